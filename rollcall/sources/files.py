@@ -11,11 +11,13 @@ delimiter, line numbers) is aggregated and joined back. Both ways give the same
 from __future__ import annotations
 
 import csv
+import re
 from pathlib import PurePosixPath
 
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StringType
 
 from rollcall.storage import land
 
@@ -29,16 +31,36 @@ WHOLE_FILE_BYTES = 64 * 1024 * 1024
 _SAMPLE_BYTES = 4 * SAMPLE_CHARS
 
 
+def _file_name() -> Column:
+    """The name of the file a row comes from; Spark gives it in URL form."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def _listing(spark: SparkSession, directory: str, glob: str) -> DataFrame:
     return (
         spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
         .select(
-            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"),
-            "length", "content",
+            F.col("_metadata.file_path").alias("path"), _file_name().alias("file_name"),
+            "length", "content", F.col("path").alias("location"),
         )
     )
 
 
+def empty_files(spark: SparkSession, directory: str, glob: str) -> DataFrame:
+    """Files of zero bytes (path, file_name, length), which Spark leaves out of every scan.
+
+    The names come from the file index, which the driver holds for any read of the folder.
+    """
+    indexed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory).inputFiles()
+    names = spark.createDataFrame([(name,) for name in indexed], "path string")
+    path = F.regexp_replace("path", "^file:/+", "file:/")
+    file_name = F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
+    return (
+        names.select(path.alias("path"), file_name.alias("file_name"), F.lit(0).cast("bigint").alias("length"))
+        .join(_listing(spark, directory, glob).select("path"), "path", "left_anti")
+    )
+
+
 def find_input_files(spark: SparkSession, directory: str, extensions=EXTENSIONS) -> DataFrame:
     """Files by extension in any case, sorted by name. A missing folder gives no rows."""
     pattern = r"(?i)(" + "|".join(e.replace(".", r"\.") for e in extensions) + r")\z"
@@ -48,12 +70,14 @@ def find_input_files(spark: SparkSession, directory: str, extensions=EXTENSIONS)
         if "PATH_NOT_FOUND" not in str(error):
             raise
         return spark.createDataFrame([], "path string, file_name string, length bigint")
-    return files.drop("content").where(F.col("file_name").rlike(pattern)).orderBy("file_name", "path")
+    found = files.drop("content", "location").unionByName(empty_files(spark, directory, "*"))
+    return found.where(F.col("file_name").rlike(pattern)).orderBy("file_name", "path")
 
 
 def require_files(spark: SparkSession, directory: str, glob: str) -> None:
     """Stop when no file matches, as the meeting loader and the profiler do."""
-    if _listing(spark, directory, glob).drop("content").isEmpty():
+    read = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
+    if not read.inputFiles():
         raise FileNotFoundError(f"no {glob} files found in {directory}")
 
 
@@ -74,16 +98,22 @@ _CP1252 = "".join(b.decode("cp1252") for b in _DEFINED)
 _UNDEFINED = "[" + "".join(b.decode("latin-1") for b in _HIGH if b not in _DEFINED) + "]"
 
 
-@F.pandas_udf("string")
-def _utf16_checked(content: pd.Series, codec: pd.Series) -> pd.Series:
+# The two functions that run in Python are nested, so that they reach the workers by value and
+# the package need not be installed there.
+
+
+def _utf16_checked(content: Column, codec: Column) -> Column:
     """UTF-16 text that may hold broken surrogates; null where it does."""
-    def decode(raw, name):
+    def decoded(raw, name):
         try:
             return None if raw is None else bytes(raw).decode(name)
         except UnicodeDecodeError:
             return None
 
-    return pd.Series([decode(raw, name) for raw, name in zip(content, codec)], dtype=object)
+    def batch(content: pd.Series, codec: pd.Series) -> pd.Series:
+        return pd.Series([decoded(raw, name) for raw, name in zip(content, codec)], dtype=object)
+
+    return F.pandas_udf(batch, StringType())(content, codec)
 
 
 def _latin1(content: Column) -> Column:
@@ -136,17 +166,21 @@ def decode(content: Column, encoding: Column) -> Column:
 # --- delimiter ------------------------------------------------------------------------------
 
 
-@F.pandas_udf("string")
-def _sniffed(sample: pd.Series) -> pd.Series:
+def _sniffed(sample: Column) -> Column:
+    allowed = SNIFFED
+
     def sniff(text):
         if text is None:
             return None
         try:
-            return csv.Sniffer().sniff(text, delimiters=SNIFFED).delimiter
+            return csv.Sniffer().sniff(text, delimiters=allowed).delimiter
         except csv.Error:
             return ","
 
-    return pd.Series([sniff(text) for text in sample], dtype=object)
+    def batch(sample: pd.Series) -> pd.Series:
+        return pd.Series([sniff(text) for text in sample], dtype=object)
+
+    return F.pandas_udf(batch, StringType())(sample)
 
 
 def choose_delimiter(sample: Column) -> Column:
@@ -171,7 +205,7 @@ def decode_files(files: DataFrame) -> DataFrame:
         .withColumn("text", decode(content, F.col("encoding")))
         .withColumn("delimiter", choose_delimiter(F.col("text")))
     )
-    return decoded.withColumn("error", file_error(F.col("length"), F.col("text").isNull())).drop("content")
+    return decoded.withColumn("error", file_error(F.col("length"), F.col("text").isNull())).drop("content", "location")
 
 
 def file_error(length: Column, undecodable: Column) -> Column:
@@ -200,8 +234,9 @@ def read_byte_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     A task knows the order of its own lines only. Lines are counted per block of a file, and the
     count of the earlier blocks is added.
     """
-    read = spark.read.option("lineSep", "\n").text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"),
+    exact = [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
+    read = spark.read.option("lineSep", "\n").text(exact).select(
+        F.col("_metadata.file_path").alias("path"), _file_name().alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"), F.col("value").cast("binary").alias("raw"),
     )
@@ -216,7 +251,7 @@ def read_byte_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def describe_byte_lines(raw: DataFrame) -> DataFrame:
-    """One row per file out of its byte lines: the ``files`` columns.
+    """One row per file out of its byte lines: the ``files`` columns and the number of lines.
 
     The hash of such a file is built from one hash per numbered line, combined in any order, so no
     task has to see the whole file.
@@ -229,6 +264,7 @@ def describe_byte_lines(raw: DataFrame) -> DataFrame:
     size = F.length(content)
     summary = raw.groupBy("path", "file_name").agg(
         (F.sum(size) + F.count(F.lit(1))).alias("length"),
+        F.max("line_number").alias("last_line"),
         F.max(F.when(first, bom(content))).alias("mark"),
         F.bool_and(is_utf8(content)).alias("utf8"),
         F.bool_or(has_undefined_byte(content)).alias("undefined"),
@@ -243,7 +279,7 @@ def describe_byte_lines(raw: DataFrame) -> DataFrame:
     broken = (mark.isin("FFFE", "FEFF")) & ~even
     digest = F.sha2(F.concat_ws("|", F.col("length").cast("string"), F.col("h1").cast("string"), F.col("h2").cast("string")), 256)
     described = summary.select(
-        "path", "file_name", "length", digest.alias("source_file_hash"),
+        "path", "file_name", "length", "last_line", digest.alias("source_file_hash"),
         choose_encoding(F.col("utf8"), mark, even, F.col("undefined")).alias("encoding"),
         F.when(broken, "UNDECODABLE").alias("error"),
     )
@@ -254,7 +290,7 @@ def describe_byte_lines(raw: DataFrame) -> DataFrame:
             "sample", lambda piece: _plain_decode(byte_line(piece["raw"], piece["line_number"], F.col("encoding")), F.col("encoding"))
         ), "\n"))
         .withColumn("delimiter", choose_delimiter(F.col("sample_text")))
-        .select(*FILE_COLUMNS)
+        .select(*FILE_COLUMNS, "last_line")
     )
 
 
@@ -292,8 +328,10 @@ def byte_line(raw: Column, line_number: Column, encoding: Column) -> Column:
 
 def decode_byte_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
     """Lines of large files as text. ``files`` is small per file and joined by path."""
-    facts = files.where(F.col("error").isNull()).select("path", "encoding", "delimiter")
-    joined = raw.join(facts, "path")
+    facts = files.where(F.col("error").isNull()).select("path", "encoding", "delimiter", "last_line")
+    # The second byte of the last little endian line feed is cut off as a line of its own.
+    remnant = (F.col("encoding") == "utf-16-le") & (F.col("line_number") == F.col("last_line")) & (F.hex("raw") == "00")
+    joined = raw.join(facts, "path").where(~remnant)
     content = byte_line(F.col("raw"), F.col("line_number"), F.col("encoding"))
     return joined.select("path", "line_number", decode(content, F.col("encoding")).alias("line"), "delimiter")
 
@@ -309,11 +347,17 @@ def read_files(spark: SparkSession, directory: str, glob: str = "*.csv", whole_f
     require_files(spark, directory, glob)
     listing = _listing(spark, directory, glob)
     decoded = land(decode_files(listing.where(F.col("length") <= whole_file_bytes)), "decoded")
-    files, lines = decoded.select(*FILE_COLUMNS), split_lines(decoded).select(*LINE_COLUMNS)
-    large = [row.path for row in listing.where(F.col("length") > whole_file_bytes).select("path").collect()]
+    nothing = F.lit(None).cast("string")
+    empty = empty_files(spark, directory, glob).withColumns({
+        "source_file_hash": F.sha2(F.lit(b""), 256), "encoding": nothing, "delimiter": nothing,
+        "error": file_error(F.col("length"), F.lit(False)),
+    })
+    files = decoded.select(*FILE_COLUMNS).unionByName(empty.select(*FILE_COLUMNS))
+    lines = split_lines(decoded).select(*LINE_COLUMNS)
+    large = [row.location for row in listing.where(F.col("length") > whole_file_bytes).select("location").collect()]
     if large:
         raw = land(read_byte_lines(spark, large), "byte_lines")
         large_files = land(describe_byte_lines(raw), "large_files")
-        files = files.unionByName(large_files)
+        files = files.unionByName(large_files.drop("last_line"))
         lines = lines.unionByName(decode_byte_lines(raw, large_files).select(*LINE_COLUMNS))
     return files, lines

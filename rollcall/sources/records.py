@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Fixed value: the longest field a reader accepts.
 FIELD_LIMIT = 131_072
+# A record is one row, so it has to fit in one: longer runs of lines are not put together.
+RECORD_LIMIT = 64 * 1024 * 1024
 
 BLOCK_LINES = 10_000
 
@@ -52,7 +54,7 @@ def leaves_open(line: Column, delimiter: Column, inside: bool = False) -> Column
     """Is a quoted field open at the end of the line, given whether one was at its start?"""
     start = F.concat(delimiter, F.lit('"') if inside else F.lit(""), line)
     pattern = _with(f'(?s)^(?:[~](?:{_QUOTED}"|(?!"))[^~]*+)*+[~]{_QUOTED}\\z', delimiter)
-    return F.when(F.contains(line, F.lit('"')), start.rlike(pattern)).otherwise(F.lit(inside))
+    return F.when(F.contains(line, F.lit('"')), F.rlike(start, pattern)).otherwise(F.lit(inside))
 
 
 def _entry_state(df: DataFrame, groups: list[str], order: str) -> DataFrame:
@@ -132,9 +134,10 @@ def read_records(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
     reading = F.concat_ws("\u0001", *group)
     many = lines.join(spanning, group, "left_semi").withColumn("_path", F.col("path")).withColumn("path", reading)
     numbered = number_records(many).withColumn("path", F.col("_path"))
-    # A field beyond the limit fails its file, so longer runs of lines are never put together.
+    # A quote that is never closed makes the rest of the file one record. Sizes are summed first,
+    # so such a run fails its file and is never collected.
     sizes = numbered.groupBy(*group, "row_number").agg(F.sum(F.length("line") + 1).alias("_size"))
-    short = F.col("_size") <= FIELD_LIMIT * 2
+    short = F.col("_size") <= RECORD_LIMIT
     sized = numbered.join(sizes, [*group, "row_number"])
     joined = (
         sized.withColumn("_piece", F.when(short, F.struct("line_number", "line")))
