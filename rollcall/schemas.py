@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), "date": T.DateType(),
+    "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(), "decimal(5,2)": T.DecimalType(5, 2),
+}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """``name type, name type`` as a schema; unlike fromDDL this needs no session."""
+    return T.StructType([T.StructField(*_named(column)) for column in text.split(", ")])
+
+
+def _named(column: str) -> tuple[str, T.DataType]:
+    name, kind = column.split()
+    return name, _TYPES[kind]
 
 
 _LINEAGE = "dataset_name string, source_file_name string"

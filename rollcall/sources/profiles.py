@@ -118,9 +118,13 @@ def unique_headers(headers: DataFrame) -> DataFrame:
 
     A blank cell is named by its position; the k-th use of a name gets the suffix ``_k``.
     """
-    named = headers.select("path", F.posexplode("cells").alias("position", "raw")).select(
-        "path", (F.col("position") + 1).alias("position"), strip("raw").alias("raw")
-    )
+    cells = headers.select("path", F.posexplode("cells").alias("position", "raw"))
+    return name_columns(cells.withColumn("position", F.col("position") + 1))
+
+
+def name_columns(cells: DataFrame) -> DataFrame:
+    """S16 on one row per header cell (path, position from 1, raw)."""
+    named = cells.select("path", "position", strip("raw").alias("raw"))
     clean = F.when(F.col("raw") == "", F.concat(F.lit("unnamed_column_"), F.col("position").cast("string"))).otherwise(F.col("raw"))
     # A window per file and name over the cells of one record, which is one row in size.
     use = F.row_number().over(Window.partitionBy("path", "clean").orderBy("position"))
