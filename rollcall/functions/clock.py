@@ -6,32 +6,32 @@ from pyspark.sql import Column, functions as F
 
 from rollcall.functions.text import blank_to_null, col
 
-_STAMP = r"(?i)^(\d{1,2})/(\d{1,2})/(\d{4}|\d{2}),?\s*(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?\s*(AM|PM)\z"
+_STAMP = r"(?i)^\d{1,2}/\d{1,2}/(?:\d{4}|\d{2}),?\s*(?:0?[1-9]|1[0-2]):\d{1,2}(?::\d{1,2})?\s*(?:AM|PM)\z"
+_BETWEEN_PARTS = r"[/:]|,\s*|(?<=\d)\s*(?=[AaPp])|\s+"
 
 
 def parse_timestamp(c) -> Column:
     """``M/D/YY, H:MM[:SS] AM`` to a zone-free timestamp; anything else is null.
 
     Two-digit years 00-49 are in the 2000s and 50-99 in the 1900s. The text is rebuilt in ISO
-    form before the cast, so the session time zone and its gaps have no part in it.
+    form before the cast, so the session time zone and its gaps have no part in it. A text is
+    matched once and split once; the parts are picked outside of any branch, so that Spark shares
+    the split among them.
     """
     text = blank_to_null(c)
-
-    def part(index: int) -> Column:
-        return F.regexp_extract(text, _STAMP, index)
-
-    hour12 = part(4).try_cast("int")
-    year = F.when(F.length(part(3)) == 4, part(3)).otherwise(
-        F.concat(F.when(part(3) < "50", F.lit("20")).otherwise(F.lit("19")), part(3))
-    )
-    hour = (hour12 % 12) + F.when(F.upper(part(7)) == "PM", 12).otherwise(0)
+    parts = F.split(F.when(text.rlike(_STAMP), text), _BETWEEN_PARTS)
+    month, day, year, hour, minute, second = [F.get(parts, i) for i in range(6)]
+    half = F.upper(F.element_at(parts, -1))
+    # Without seconds the sixth part is AM or PM.
+    seconds = F.regexp_replace(second, "[^0-9]+", "00")
+    pivot = F.when(F.length(year) == 4, "").when(year < "50", "20").otherwise("19")
+    hours = hour.try_cast("int") % 12 + F.when(half == "PM", 12).otherwise(0)
     iso = F.concat(
-        year, F.lit("-"), F.lpad(part(1), 2, "0"), F.lit("-"), F.lpad(part(2), 2, "0"),
-        F.lit(" "), F.lpad(hour.cast("string"), 2, "0"),
-        F.lit(":"), F.lpad(part(5), 2, "0"),
-        F.lit(":"), F.lpad(F.when(part(6) == "", "0").otherwise(part(6)), 2, "0"),
+        pivot, year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"),
+        F.lit(" "), F.lpad(hours.cast("string"), 2, "0"), F.lit(":"), F.lpad(minute, 2, "0"),
+        F.lit(":"), F.lpad(seconds, 2, "0"),
     )
-    return F.when(text.rlike(_STAMP) & hour12.between(1, 12), iso.try_cast("timestamp_ntz"))
+    return iso.try_cast("timestamp_ntz")
 
 
 def parse_duration(c) -> Column:
@@ -39,9 +39,9 @@ def parse_duration(c) -> Column:
     text = F.lower(blank_to_null(c))
 
     def amount(unit: str) -> Column:
-        digits = F.regexp_extract(text, rf"([0-9]+)\s*{unit}", 1)
-        return F.when(digits == "", F.lit(0).cast("bigint")).otherwise(digits.try_cast("bigint"))
+        # The leading zero reads a missing number as 0; a number that is too long becomes null.
+        return F.concat(F.lit("0"), F.regexp_extract(text, rf"([0-9]+)\s*{unit}", 1)).try_cast("bigint")
 
     hours = F.try_multiply(amount("h"), F.lit(3600).cast("bigint"))
     minutes = F.try_multiply(amount("m"), F.lit(60).cast("bigint"))
-    return F.when(text.isNotNull(), F.try_add(F.try_add(hours, minutes), amount("s")))
+    return F.try_add(F.try_add(hours, minutes), amount("s"))

@@ -120,40 +120,36 @@ def read_records(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
     ``extra`` names further columns that identify a file reading, such as the delimiter when one
     file is read with several.
     """
-    extra = extra or []
-    group = ["path", *extra]
-    ending = F.regexp_replace("line", "\r+\\z", "")
+    group = ["path", *(extra or [])]
+    carried = group if "delimiter" in group else [*group, "delimiter"]
     # A spanning file has to be known as a whole before its first record: one row per such file.
     spanning = (
         lines.where(F.contains("line", F.lit('"')) & leaves_open(F.col("line"), F.col("delimiter")))
         .select(*group).distinct()
     )
     single = lines.join(spanning, group, "left_anti").select(
-        *group, F.col("line_number").alias("row_number"), ending.alias("record"), "delimiter"
+        *carried, F.col("line_number").alias("row_number"), F.regexp_replace("line", "\r+\\z", "").alias("record")
     )
-    reading = F.concat_ws("\u0001", *group)
-    many = lines.join(spanning, group, "left_semi").withColumn("_path", F.col("path")).withColumn("path", reading)
-    numbered = number_records(many).withColumn("path", F.col("_path"))
+    many = lines.join(spanning, group, "left_semi").withColumn("_path", F.col("path"))
+    numbered = number_records(many.withColumn("path", F.concat_ws("\u0001", *group))).withColumn("path", F.col("_path"))
     # A quote that is never closed makes the rest of the file one record. Sizes are summed first,
     # so such a run fails its file and is never collected.
     sizes = numbered.groupBy(*group, "row_number").agg(F.sum(F.length("line") + 1).alias("_size"))
     short = F.col("_size") <= RECORD_LIMIT
-    sized = numbered.join(sizes, [*group, "row_number"])
+    pieces = F.sort_array(F.collect_list(F.when(short, F.struct("line_number", "line"))))
+    whole = F.array_join(F.transform("_pieces", lambda piece: piece["line"]), "\n")
     joined = (
-        sized.withColumn("_piece", F.when(short, F.struct("line_number", "line")))
-        .groupBy(*group, "row_number", "delimiter")
-        .agg(F.sort_array(F.collect_list("_piece")).alias("_pieces"), F.bool_or(~short).alias("_oversize"))
+        numbered.join(sizes, [*group, "row_number"])
+        .groupBy(*carried, "row_number")
+        .agg(pieces.alias("_pieces"))
         .select(
-            *group, "row_number",
-            F.when(~F.col("_oversize"), F.regexp_replace(F.array_join(F.transform("_pieces", lambda p: p["line"]), "\n"), "\r+\\z", "")).alias("record"),
-            "delimiter",
+            *carried, "row_number",
+            F.when(F.size("_pieces") > 0, F.regexp_replace(whole, "\r+\\z", "")).alias("record"),
         )
     )
-    records = single.unionByName(joined.select(*single.columns))
-    cells = split_cells(F.col("record"), F.col("delimiter"))
-    keep = [*group, "row_number"] + ([] if "delimiter" in group else ["delimiter"])
-    return records.select(
-        *keep, F.coalesce(cells, F.array().cast("array<string>")).alias("cells"), F.col("record").isNull().alias("_lost")
-    ).withColumn(
-        "too_long", F.col("_lost") | F.exists("cells", lambda cell: F.length(cell) > FIELD_LIMIT)
-    ).drop("_lost")
+    records = single.unionByName(joined)
+    cells = F.coalesce(split_cells(F.col("record"), F.col("delimiter")), F.array().cast("array<string>"))
+    return records.withColumn("cells", cells).select(
+        *carried, "row_number", "cells",
+        (F.col("record").isNull() | F.exists("cells", lambda cell: F.length(cell) > FIELD_LIMIT)).alias("too_long"),
+    )
