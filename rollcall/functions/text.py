@@ -7,8 +7,8 @@ from functools import cache
 
 from pyspark.sql import Column, functions as F
 
-# Whitespace as Python's str.strip sees it, which is wider than SQL trim.
-_SPACE = r"[\s\x1c-\x1f]"
+# All white space characters, where SQL trim alone takes blanks.
+_SPACE = "".join(chr(point) for point in range(sys.maxunicode + 1) if chr(point).isspace())
 
 
 def col(c) -> Column:
@@ -16,13 +16,18 @@ def col(c) -> Column:
 
 
 def blank_to_null(c) -> Column:
-    """SQL trim, with the empty text read as null."""
-    return F.nullif(F.trim(col(c)), F.lit(""))
+    """SQL trim, with the empty text read as null.
+
+    Not written with nullif: Spark plans that with a name of its own per use, and expressions
+    built on it are then no longer recognised as equal and computed once.
+    """
+    text = F.trim(col(c))
+    return F.when(text != "", text)
 
 
 def strip(c) -> Column:
     """Remove all leading and trailing whitespace, not only blanks."""
-    return F.regexp_replace(col(c), rf"(?U)^{_SPACE}+|{_SPACE}+\z", "")
+    return F.trim(col(c), F.lit(_SPACE))
 
 
 @cache
@@ -47,7 +52,20 @@ def casefold(c) -> Column:
     folded = F.array_join(
         F.transform(letters, lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
     )
-    return F.when(lowered.rlike(special), folded).otherwise(lowered)
+    wide = F.length(lowered) != F.octet_length(lowered)
+    return F.when(wide & lowered.rlike(special), folded).otherwise(lowered)
+
+
+@cache
+def _label_letters() -> str:
+    """Letters outside ASCII that fold to text with ASCII letters in it, such as the sharp s."""
+    single, multi = _fold_rules()
+    return "".join(ch for ch, folded in {**single, **multi}.items() if any("a" <= f <= "z" for f in folded))
+
+
+def may_hold_label(text: Column, words: str) -> Column:
+    """A cheap test that a text can hold one of the words (a pattern) once it is normalised."""
+    return F.lower(text).rlike(words) | text.rlike(f"[{_label_letters()}]")
 
 
 def normalise_label(c) -> Column:

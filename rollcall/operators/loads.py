@@ -102,65 +102,54 @@ def raw_batch(meetings: Meetings, loaded: DataFrame, highest: Highest = Highest(
 
 
 class Store:
-    """Tables in a shared folder.
-
-    A batch table is partitioned by batch, and writing a batch again replaces that batch only. A
-    state table is written as a whole to a new version. Neither is visible before the last step of
-    a batch, ``commit``, has written its row to the commit log; readers take committed batches and
-    versions only. So several tables change together, and a job that dies half way leaves nothing
-    behind that is read.
+    """Tables in a shared folder, written batch by batch.
+
+    The rows a batch adds to a table are one partition, and writing the batch again replaces it. A
+    dimension is written as a whole to a new version, and the one it was built from is not touched.
+    A batch counts from the moment ``commit`` has written its row, which is the last step; readers
+    stop at the last committed batch. So several tables change together, and a job that dies half
+    way leaves nothing behind that is read: the next run has the same number and overwrites it.
+    There is one writer at a time.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _read(self, path: str, schema=None) -> DataFrame | None:
+    def _read(self, path: str, schema: StructType) -> DataFrame:
         try:
-            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-            return reader.parquet(path)
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return None
-            raise
-
-    def commits(self) -> DataFrame:
-        found = self._read(f"{self.folder}/_commits", "batch_id bigint")
-        return self.spark.createDataFrame([], "batch_id bigint") if found is None else found
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            return self.spark.createDataFrame([], schema)
 
     def last_batch(self) -> int:
         """The number of the last committed batch, 0 before the first."""
-        return self.commits().agg(F.coalesce(F.max("batch_id"), F.lit(0))).first()[0]
+        commits = self._read(f"{self.folder}/_commits.parquet", StructType([StructField("batch_id", LongType())]))
+        return commits.agg(F.coalesce(F.max("batch_id"), F.lit(0))).first()[0]
 
     def commit(self, batch_id: int) -> None:
-        self.spark.range(batch_id, batch_id + 1).select(F.col("id").alias("batch_id")).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.folder}/_commits")
+        row = self.spark.range(batch_id, batch_id + 1, numPartitions=1).select(F.col("id").alias("batch_id"))
+        row.write.mode("append").parquet(f"{self.folder}/_commits.parquet")
 
     def write_batch(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        """Append the rows of a batch, or replace them when the batch is run again (K1, K3)."""
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch_id").parquet(f"{self.folder}/{table}")
-
-    def batch_rows(self, table: str, schema, batch_id: int | None = None) -> DataFrame:
-        """Rows of all committed batches, or of one batch whether committed or not."""
-        full = StructType([*schema.fields, StructField("batch_id", LongType())])
-        found = self._read(f"{self.folder}/{table}", full)
-        if found is None:
-            return self.spark.createDataFrame([], full)
-        if batch_id is not None:
-            return found.where(F.col("batch_id") == batch_id)
-        return found.join(self.commits(), "batch_id", "left_semi")
+        """K1, K3-K5: the rows of one batch, in place of any an earlier try has left."""
+        rows.write.mode("overwrite").parquet(f"{self.folder}/{table}/batch_id={batch_id}")
+
+    def rows(self, table: str, schema: StructType, batch_id: int | None = None) -> DataFrame:
+        """Rows of all committed batches, or of one batch even if it is not committed yet."""
+        found = self._read(f"{self.folder}/{table}", StructType([*schema.fields, StructField("batch_id", LongType())]))
+        chosen = F.col("batch_id") <= self.last_batch() if batch_id is None else F.col("batch_id") == batch_id
+        return found.where(chosen).drop("batch_id")
 
     def write_version(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        """The whole table as of a batch (K5-K7); the version it was built from is never touched."""
+        """K6, K7: the whole table as of a batch."""
         rows.write.mode("overwrite").parquet(f"{self.folder}/{table}/version={batch_id}")
 
-    def version(self, table: str, schema, batch_id: int | None = None) -> DataFrame:
-        """The table as of the last committed batch; empty before the first."""
+    def version(self, table: str, schema: StructType, batch_id: int | None = None) -> DataFrame:
+        """The whole table as of the last committed batch or the given one; empty before the first."""
         number = self.last_batch() if batch_id is None else batch_id
-        found = self._read(f"{self.folder}/{table}/version={number}", schema)
-        return self.spark.createDataFrame([], schema) if found is None else found
+        return self._read(f"{self.folder}/{table}/version={number}", schema)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

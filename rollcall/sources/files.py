@@ -36,7 +36,7 @@ def _file_name() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
-def _listing(spark: SparkSession, directory: str, glob: str) -> DataFrame:
+def _listing(spark: SparkSession, directory: str | list[str], glob: str) -> DataFrame:
     return (
         spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
         .select(
@@ -46,7 +46,7 @@ def _listing(spark: SparkSession, directory: str, glob: str) -> DataFrame:
     )
 
 
-def empty_files(spark: SparkSession, directory: str, glob: str) -> DataFrame:
+def empty_files(spark: SparkSession, directory: str | list[str], glob: str) -> DataFrame:
     """Files of zero bytes (path, file_name, length), which Spark leaves out of every scan.
 
     The names come from the file index, which the driver holds for any read of the folder.
@@ -74,7 +74,7 @@ def find_input_files(spark: SparkSession, directory: str, extensions=EXTENSIONS)
     return found.where(F.col("file_name").rlike(pattern)).orderBy("file_name", "path")
 
 
-def require_files(spark: SparkSession, directory: str, glob: str) -> None:
+def require_files(spark: SparkSession, directory: str | list[str], glob: str) -> None:
     """Stop when no file matches, as the meeting loader and the profiler do."""
     read = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
     if not read.inputFiles():
@@ -187,7 +187,9 @@ def choose_delimiter(sample: Column) -> Column:
     """A tab in the sample wins, else the sniffed one of ``; | ,``, else comma."""
     text = F.regexp_replace(F.substring(sample, 1, SAMPLE_CHARS), "\r\n?", "\n")
     tab = F.contains(text, F.lit("\t"))
-    sniffed = _sniffed(F.when(~tab, text))
+    # Without a semicolon or a bar the answer can only be a comma, sniffed or not.
+    open_question = ~tab & text.rlike("[;|]")
+    sniffed = _sniffed(F.when(open_question, text))
     return F.when(tab, "\t").when(sniffed.isin(*SNIFFED), sniffed).otherwise(",")
 
 
@@ -339,8 +341,8 @@ def decode_byte_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
 # --- both -----------------------------------------------------------------------------------
 
 
-def read_files(spark: SparkSession, directory: str, glob: str = "*.csv", whole_file_bytes: int = WHOLE_FILE_BYTES) -> tuple[DataFrame, DataFrame]:
-    """``(files, lines)`` of a folder, landed once.
+def read_files(spark: SparkSession, directory: str | list[str], glob: str = "*.csv", whole_file_bytes: int = WHOLE_FILE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``(files, lines)`` of a folder, or of single files, landed once.
 
     The driver holds the paths of the files above the limit, nothing else.
     """

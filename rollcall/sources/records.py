@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rollcall.storage import land
+
 # Fixed value: the longest field a reader accepts.
 FIELD_LIMIT = 131_072
 # A record is one row, so it has to fit in one: longer runs of lines are not put together.
@@ -35,18 +37,25 @@ def _with(pattern: str, delimiter: Column) -> Column:
 
 def split_cells(record: Column, delimiter: Column) -> Column:
     """Cells of one record; an empty record has none."""
+    record = F.translate(record, "\u0000", "")
     fields = F.regexp_extract_all(
         F.concat(delimiter, record), _with(f'(?s)[~]({_QUOTED}"[^~]*+|{_QUOTED}\\z|[^~]*+)', delimiter), F.lit(1)
     )
 
-    def unquoted(field: Column) -> Column:
+    def general(field: Column) -> Column:
         inner = F.regexp_replace(F.regexp_extract(field, f"(?s)^({_QUOTED})", 1), '^"', "")
         rest = F.regexp_extract(field, f'(?s)^{_QUOTED}"(.*)\\z', 1)
-        return F.when(field.startswith('"'), F.concat(F.replace(inner, F.lit('""'), F.lit('"')), rest)).otherwise(field)
+        return F.concat(F.replace(inner, F.lit('""'), F.lit('"')), rest)
+
+    def unquoted(field: Column) -> Column:
+        return (
+            F.when(~field.startswith('"'), field)
+            .when(field.rlike('^"[^"]*+"\\z'), F.substring(field, F.lit(2), F.length(field) - 2))
+            .otherwise(general(field))
+        )
 
     plain = F.split(record, F.concat(F.lit("["), delimiter, F.lit("]")))
     cells = F.when(F.contains(record, F.lit('"')), F.transform(fields, unquoted)).otherwise(plain)
-    cells = F.transform(cells, lambda cell: F.translate(cell, "\u0000", ""))
     return F.when(record == "", F.array().cast("array<string>")).otherwise(cells)
 
 
@@ -118,38 +127,51 @@ def read_records(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Records of all files: path, row_number, cells and ``too_long`` for a field beyond the limit.
 
     ``extra`` names further columns that identify a file reading, such as the delimiter when one
-    file is read with several.
+    file is read with several. Files with a record over several lines are looked for first, as
+    only they need the scan; there is one row per such file, and usually none.
     """
     group = ["path", *(extra or [])]
     carried = group if "delimiter" in group else [*group, "delimiter"]
-    # A spanning file has to be known as a whole before its first record: one row per such file.
-    spanning = (
-        lines.where(F.contains("line", F.lit('"')) & leaves_open(F.col("line"), F.col("delimiter")))
-        .select(*group).distinct()
-    )
-    single = lines.join(spanning, group, "left_anti").select(
+    opens = F.contains("line", F.lit('"')) & leaves_open(F.col("line"), F.col("delimiter"))
+    spanning = land(lines.where(opens).select(*group).distinct(), "spanning")
+    if spanning.isEmpty():
+        return _cut(_one_per_line(lines, carried), carried)
+    single = _one_per_line(lines.join(spanning, group, "left_anti"), carried)
+    many = _over_lines(lines.join(spanning, group, "left_semi"), group, carried)
+    return _cut(single.unionByName(many), carried)
+
+
+def _one_per_line(lines: DataFrame, carried: list[str]) -> DataFrame:
+    return lines.select(
         *carried, F.col("line_number").alias("row_number"), F.regexp_replace("line", "\r+\\z", "").alias("record")
     )
-    many = lines.join(spanning, group, "left_semi").withColumn("_path", F.col("path"))
-    numbered = number_records(many.withColumn("path", F.concat_ws("\u0001", *group))).withColumn("path", F.col("_path"))
+
+
+def _over_lines(lines: DataFrame, group: list[str], carried: list[str]) -> DataFrame:
+    """Records of files in which some run over several lines."""
+    reading = lines.withColumn("_path", F.col("path")).withColumn("path", F.concat_ws("\u0001", *group))
+    numbered = land(number_records(land(reading, "spanning_lines")).withColumn("path", F.col("_path")), "numbered_lines")
     # A quote that is never closed makes the rest of the file one record. Sizes are summed first,
     # so such a run fails its file and is never collected.
     sizes = numbered.groupBy(*group, "row_number").agg(F.sum(F.length("line") + 1).alias("_size"))
-    short = F.col("_size") <= RECORD_LIMIT
-    pieces = F.sort_array(F.collect_list(F.when(short, F.struct("line_number", "line"))))
-    whole = F.array_join(F.transform("_pieces", lambda piece: piece["line"]), "\n")
-    joined = (
+    piece = F.when(F.col("_size") <= RECORD_LIMIT, F.struct("line_number", "line"))
+    whole = F.array_join(F.transform("_pieces", lambda p: p["line"]), "\n")
+    return (
         numbered.join(sizes, [*group, "row_number"])
         .groupBy(*carried, "row_number")
-        .agg(pieces.alias("_pieces"))
+        .agg(F.sort_array(F.collect_list(piece)).alias("_pieces"))
         .select(
             *carried, "row_number",
             F.when(F.size("_pieces") > 0, F.regexp_replace(whole, "\r+\\z", "")).alias("record"),
         )
     )
-    records = single.unionByName(joined)
+
+
+def _cut(records: DataFrame, carried: list[str]) -> DataFrame:
     cells = F.coalesce(split_cells(F.col("record"), F.col("delimiter")), F.array().cast("array<string>"))
     return records.withColumn("cells", cells).select(
         *carried, "row_number", "cells",
-        (F.col("record").isNull() | F.exists("cells", lambda cell: F.length(cell) > FIELD_LIMIT)).alias("too_long"),
+        F.when(F.col("record").isNull(), True)
+        .when(F.length("record") <= FIELD_LIMIT, False)
+        .otherwise(F.exists("cells", lambda cell: F.length(cell) > FIELD_LIMIT)).alias("too_long"),
     )
