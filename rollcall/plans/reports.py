@@ -27,9 +27,12 @@ def daily_activity(
 ) -> DataFrame:
     """What one employee did on one day."""
     employee = dim_employee.where(F.col("employee_id") == employee_id)
-    dates = dim_date.where(F.col("full_date") == F.lit(day).cast("date"))
+    date = F.lit(day).cast("date")
+    dates = dim_date.where(F.col("full_date") == date)
+    # The date key is the date in digits, so the day also prunes the scan of the facts.
+    that_day = fact.where(F.col("date_key") == F.date_format(date, "yyyyMMdd").cast("int"))
     return (
-        _dated(fact, dates, dim_activity_type)
+        _dated(that_day, dates, dim_activity_type)
         # employee_id is unique, so this side holds at most one row.
         .join(F.broadcast(employee), "employee_key")
         .join(dim_project, "project_key", "left")
