@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import views
 from checks.views import stamp, table
-from rollcall.functions.clock import parse_duration, parse_timestamp
+from rollcall.functions.clock import parse_duration, with_timestamps
 from rollcall.functions.text import match_key, normalise_header, normalise_label, session_key
 from rollcall.operators import audit, dims, facts, loads, rules, stage, upsert
 from rollcall.operators.ranking import number_by_hash
@@ -169,12 +169,12 @@ def stage_activity(spark, sf):
 def parse_timestamps(spark, sf):
     """U1 on every line item."""
     ts = F.col("l_shipdate") + F.make_dt_interval(secs=(F.col("l_orderkey") * 7 % 86400).cast("decimal(18,6)"))
-    lines = table(spark, sf, "lineitem").withColumn("ts", ts)
-    return lines.select(
+    lines = table(spark, sf, "lineitem").withColumn("ts", ts).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        stamp(parse_timestamp(F.concat(F.lit(" "), views.clock_text("ts")))).alias("with_seconds"),
-        stamp(parse_timestamp(views.clock_text("ts", False))).alias("without_seconds"),
+        F.concat(F.lit(" "), views.clock_text("ts")).alias("long_text"), views.clock_text("ts", False).alias("short_text"),
     )
+    timed = with_timestamps(lines, {"with_seconds": "long_text", "without_seconds": "short_text"})
+    return timed.drop("long_text", "short_text").withColumns({c: stamp(c) for c in ("with_seconds", "without_seconds")})
 
 
 @query

@@ -2,36 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.functions.text import blank_to_null, col
 
-_STAMP = r"(?i)^\d{1,2}/\d{1,2}/(?:\d{4}|\d{2}),?\s*(?:0?[1-9]|1[0-2]):\d{1,2}(?::\d{1,2})?\s*(?:AM|PM)\z"
-_BETWEEN_PARTS = r"[/:]|,\s*|(?<=\d)\s*(?=[AaPp])|\s+"
+_STAMP = (
+    r"(?i)^(\d{1,2})/(\d{1,2})/(\d{4}|\d{2}),?\s*(0?[1-9]|1[0-2]):([0-5]?\d)(?::([0-5]?\d))?\s*(AM|PM)\z"
+)
+_MARK = "\u0001"
+_PARTS = "".join(f"{_MARK}${i}" for i in range(1, 8))
 
 
-def parse_timestamp(c) -> Column:
-    """``M/D/YY, H:MM[:SS] AM`` to a zone-free timestamp; anything else is null.
+def timestamp_parts(c) -> Column:
+    """The parts 1 to 7 of a ``M/D/YY, H:MM[:SS] AM`` text; only a part 0 for any other text.
+
+    One pass of the pattern: a text it matches comes out as its parts with a mark before each, and
+    a text it does not match comes out as it was.
+    """
+    marked = F.regexp_replace(blank_to_null(c), _STAMP, _PARTS)
+    return F.split(marked, _MARK)
 
-    Two-digit years 00-49 are in the 2000s and 50-99 in the 1900s. The text is rebuilt in ISO
-    form before the cast, so the session time zone and its gaps have no part in it. A text is
-    matched once and split once; the parts are picked outside of any branch, so that Spark shares
-    the split among them.
+
+def timestamp_of(parts) -> Column:
+    """The zone-free timestamp of ``timestamp_parts``; null where the date does not exist.
+
+    Two-digit years 00-49 are in the 2000s and 50-99 in the 1900s. The timestamp is made from its
+    fields, so the session time zone and its gaps have no part in it.
     """
-    text = blank_to_null(c)
-    parts = F.split(F.when(text.rlike(_STAMP), text), _BETWEEN_PARTS)
-    month, day, year, hour, minute, second = [F.get(parts, i) for i in range(6)]
-    half = F.upper(F.element_at(parts, -1))
-    # Without seconds the sixth part is AM or PM.
-    seconds = F.regexp_replace(second, "[^0-9]+", "00")
-    pivot = F.when(F.length(year) == 4, "").when(year < "50", "20").otherwise("19")
-    hours = hour.try_cast("int") % 12 + F.when(half == "PM", 12).otherwise(0)
-    iso = F.concat(
-        pivot, year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"),
-        F.lit(" "), F.lpad(hours.cast("string"), 2, "0"), F.lit(":"), F.lpad(minute, 2, "0"),
-        F.lit(":"), F.lpad(seconds, 2, "0"),
+    parts = col(parts)
+    # All parts are digits or missing, so no cast fails; a failing try_cast is slow. Missing
+    # seconds are an empty part, read as 0.
+    number = lambda i: F.get(parts, i).cast("int")
+    century = F.when(F.length(F.get(parts, 3)) == 4, 0).when(number(3) < 50, 2000).otherwise(1900)
+    afternoon = F.when(F.upper(F.get(parts, 7)) == "PM", 12).otherwise(0)
+    seconds = F.concat(F.lit("0"), F.get(parts, 6)).cast("int")
+    return F.try_make_timestamp_ntz(
+        number(3) + century, number(1), number(2), number(4) % 12 + afternoon, number(5), seconds
     )
-    return iso.try_cast("timestamp_ntz")
+
+
+def parse_timestamp(c) -> Column:
+    """U1 as one expression."""
+    return timestamp_of(timestamp_parts(c))
+
+
+def with_timestamps(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """U1 for several columns (new name to text column), each text matched and split once.
+
+    The parts are columns of their own for one step. That keeps the generated code of each step
+    small enough to be compiled, and does not leave it to the optimizer to share the split.
+    """
+    split = df.withColumns({f"_parts_{new}": timestamp_parts(old) for new, old in columns.items()})
+    made = split.withColumns({new: timestamp_of(f"_parts_{new}") for new in columns})
+    return made.drop(*[f"_parts_{new}" for new in columns])
 
 
 def parse_duration(c) -> Column:

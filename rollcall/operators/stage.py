@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.functions.clock import parse_duration, parse_timestamp
+from rollcall.functions.clock import parse_duration, with_timestamps
 from rollcall.functions.text import blank_to_null
 from rollcall.operators.rules import Rule, validate
 
@@ -47,12 +47,12 @@ def default_attributes(employees: DataFrame) -> DataFrame:
 def stage_sessions(raw: DataFrame) -> DataFrame:
     """P2, V1."""
     reported = F.trim("attended_participants_raw")
-    typed = raw.select(
+    timed = with_timestamps(raw, {"start_timestamp": "start_time_raw", "end_timestamp": "end_time_raw"})
+    typed = timed.select(
         "session_raw_id", "run_id", "session_source_key",
         blank_to_null("meeting_title_raw").alias("meeting_title"),
         F.when(reported.rlike(r"^[0-9]+\z"), reported.try_cast("bigint")).alias("reported_participant_count"),
-        parse_timestamp("start_time_raw").alias("start_timestamp"),
-        parse_timestamp("end_time_raw").alias("end_timestamp"),
+        "start_timestamp", "end_timestamp",
         parse_duration("meeting_duration_raw").alias("meeting_duration_seconds"),
         parse_duration("average_attendance_time_raw").alias("average_attendance_seconds"),
     )
@@ -79,10 +79,9 @@ def _person_rules(missing: str, duration: str) -> list[Rule]:
 
 def stage_participants(raw: DataFrame) -> DataFrame:
     """P3, V2."""
-    typed = raw.select(
-        "participant_raw_id", "session_raw_id", "run_id", *_person(),
-        parse_timestamp("first_join_raw").alias("first_join_timestamp"),
-        parse_timestamp("last_leave_raw").alias("last_leave_timestamp"),
+    timed = with_timestamps(raw, {"first_join_timestamp": "first_join_raw", "last_leave_timestamp": "last_leave_raw"})
+    typed = timed.select(
+        "participant_raw_id", "session_raw_id", "run_id", *_person(), "first_join_timestamp", "last_leave_timestamp",
         parse_duration("in_meeting_duration_raw").alias("duration_seconds"),
     )
     return validate(typed, _person_rules(PARTICIPANT_MISSING, PARTICIPANT_DURATION))
@@ -90,10 +89,9 @@ def stage_participants(raw: DataFrame) -> DataFrame:
 
 def stage_activities(raw: DataFrame) -> DataFrame:
     """P4, V3."""
-    typed = raw.select(
-        "activity_raw_id", "session_raw_id", "run_id", *_person(),
-        parse_timestamp("join_time_raw").alias("join_timestamp"),
-        parse_timestamp("leave_time_raw").alias("leave_timestamp"),
+    timed = with_timestamps(raw, {"join_timestamp": "join_time_raw", "leave_timestamp": "leave_time_raw"})
+    typed = timed.select(
+        "activity_raw_id", "session_raw_id", "run_id", *_person(), "join_timestamp", "leave_timestamp",
         parse_duration("duration_raw").alias("duration_seconds"),
     )
     return validate(typed, _person_rules(ACTIVITY_MISSING, ACTIVITY_DURATION))
