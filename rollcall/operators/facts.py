@@ -22,13 +22,22 @@ def date_key(day) -> Column:
     return F.date_format(col(day), "yyyyMMdd").cast("int")
 
 
+def _spread(key: Column, unique_record: str) -> Column:
+    """``key``, or where it is null a text of the row's own that matches nothing."""
+    return F.coalesce(key, F.concat(F.lit("\u0000"), F.col(unique_record).cast("string")))
+
+
+def _with_employee(rows: DataFrame, key: Column, known: DataFrame, unique_record: str) -> DataFrame:
+    """Rows with the ``employee_key`` that ``known`` (_key, employee_key) has for the key."""
+    found = rows.withColumn("_key", _spread(key, unique_record)).join(known, "_key", "left")
+    return found.withColumn("employee_key", F.coalesce("employee_key", F.lit(UNKNOWN_KEY).cast("bigint"))).drop("_key")
+
+
 def _by_email(rows: DataFrame, email: str, dim_employee: DataFrame, unique_record: str) -> DataFrame:
     known = dim_employee.where(F.col("employee_key") != UNKNOWN_KEY).select(
         F.lower(F.trim("employee_id")).alias("_key"), "employee_key"
     )
-    nobody = F.concat(F.lit("\u0000"), F.col(unique_record).cast("string"))
-    key = F.coalesce(F.lower(blank_to_null(email)), nobody)
-    return _found(rows.withColumn("_key", key).join(known, "_key", "left"))
+    return _with_employee(rows, F.lower(blank_to_null(email)), known, unique_record)
 
 
 def _by_unique_name(rows: DataFrame, name: str, dim_employee: DataFrame, unique_record: str) -> DataFrame:
@@ -39,13 +48,7 @@ def _by_unique_name(rows: DataFrame, name: str, dim_employee: DataFrame, unique_
         .where("_n = 1")
         .drop("_n")
     )
-    nobody = F.concat(F.lit("\u0000"), F.col(unique_record).cast("string"))
-    key = F.coalesce(F.lower(blank_to_null(name)), nobody)
-    return _found(rows.withColumn("_key", key).join(known, "_key", "left"))
-
-
-def _found(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("employee_key", F.coalesce("employee_key", F.lit(UNKNOWN_KEY).cast("bigint"))).drop("_key")
+    return _with_employee(rows, F.lower(blank_to_null(name)), known, unique_record)
 
 
 def _fact(rows: DataFrame, code: str, system: str, *, day, hours: Column, record: Column, project=None, training=None) -> DataFrame:
@@ -94,9 +97,10 @@ def training_facts(
 def work_facts(timesheet: DataFrame, dim_employee: DataFrame, dim_project: DataFrame) -> DataFrame:
     """A WORK fact per timesheet row (record_id, email, project_name, work_date, hours, run_id)."""
     rows = _by_email(timesheet, "email", dim_employee, "record_id")
-    projects = dim_project.select("project_key", "project_name")
+    projects = dim_project.select("project_key", F.col("project_name").alias("_project"))
+    named = rows.withColumn("_project", _spread(F.col("project_name"), "record_id"))
     return _fact(
-        rows.join(projects, "project_name", "left"), "WORK", TIMESHEET_SYSTEM,
+        named.join(projects, "_project", "left"), "WORK", TIMESHEET_SYSTEM,
         day="work_date", hours=F.col("hours"), record=F.col("record_id"), project="project_key",
     )
 

@@ -61,7 +61,7 @@ def raw_batch(meetings: Meetings, loaded: DataFrame, highest: Highest = Highest(
 
     def children(rows: DataFrame, key: str, fields: tuple[str, ...], start) -> DataFrame:
         owned = rows.join(owner, "path")
-        return number_by_hash(owned, ["session_raw_id", "source_row_number"], key, start).select(
+        return number_by_hash(owned, ["session_raw_id", "source_row_number"], key, start, costly=True).select(
             key, "session_raw_id", "run_id", "dataset_name", "source_file_name", "source_row_number", *fields, "raw_record",
         )
 

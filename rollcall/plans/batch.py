@@ -115,7 +115,9 @@ def add_facts(store: Store, rows: DataFrame, batch: int) -> None:
     """Number fact rows and write them as the facts of a batch."""
     schema = TARGET["fact_employee_activity"]
     highest = store.rows("fact_employee_activity", schema).agg(F.coalesce(F.max("activity_key"), F.lit(0))).scalar()
-    numbered = number_by_hash(rows, ["source_system", "source_record_id", "activity_type_key"], "activity_key", highest)
+    numbered = number_by_hash(
+        rows, ["source_system", "source_record_id", "activity_type_key"], "activity_key", highest, costly=True
+    )
     timed = _with_clock(numbered, "load_timestamp")
     store.write_batch("fact_employee_activity", timed.select(*schema.names), batch)
 

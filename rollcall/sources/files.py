@@ -19,6 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType
 
+from rollcall.sources.perfile import join_file_facts
 from rollcall.storage import land
 
 # Accepted extensions, sample length for the delimiter, delimiters to sniff.
@@ -333,7 +334,7 @@ def decode_byte_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
     facts = files.where(F.col("error").isNull()).select("path", "encoding", "delimiter", "last_line")
     # The second byte of the last little endian line feed is cut off as a line of its own.
     remnant = (F.col("encoding") == "utf-16-le") & (F.col("line_number") == F.col("last_line")) & (F.hex("raw") == "00")
-    joined = raw.join(facts, "path").where(~remnant)
+    joined = join_file_facts(raw, facts, ["path"], "line_number", "last_line").where(~remnant)
     content = byte_line(F.col("raw"), F.col("line_number"), F.col("encoding"))
     return joined.select("path", "line_number", decode(content, F.col("encoding")).alias("line"), "delimiter")
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rollcall.functions.text import normalise_header, strip
 from rollcall.sources.files import read_files
+from rollcall.sources.perfile import join_file_facts
 from rollcall.sources.records import read_records
 from rollcall.storage import land
 
@@ -55,7 +56,7 @@ def read_with_all_delimiters(lines: DataFrame) -> DataFrame:
 
 
 def choose_layout(records: DataFrame) -> DataFrame:
-    """Per file the delimiter and dominant width: path, delimiter, width.
+    """Per file the delimiter and dominant width: path, delimiter, width, last_row.
 
     Widths above one are counted per delimiter; the dominant width is the most frequent, the wider
     of equals. The delimiter with the best (count, width, rows with several columns) wins, and the
@@ -64,7 +65,9 @@ def choose_layout(records: DataFrame) -> DataFrame:
     width = F.size("cells")
     histogram = (
         records.groupBy("path", "delimiter", width.alias("width"), (_filled() & (width > 1)).alias("counts"))
-        .agg(F.count(F.lit(1)).alias("n"), F.bool_or("too_long").alias("too_long"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.bool_or("too_long").alias("too_long"), F.max("row_number").alias("last_row")
+        )
     )
     counted = F.when(F.col("counts"), F.col("n"))
     dominant = (
@@ -73,12 +76,13 @@ def choose_layout(records: DataFrame) -> DataFrame:
             F.max(F.when(F.col("counts"), F.struct("n", "width"))).alias("top"),
             F.sum(counted).alias("multi"),
             F.bool_or("too_long").alias("too_long"),
+            F.max("last_row").alias("last_row"),
         )
         .where(F.col("top").isNotNull() & ~F.col("too_long"))
     )
     order = F.array_position(F.array(*[F.lit(d) for d in DELIMITERS]), F.col("delimiter"))
-    best = F.max_by(F.struct("delimiter", "top.width"), F.struct("top.n", "top.width", "multi", -order))
-    return dominant.groupBy("path").agg(best.alias("b")).select("path", "b.delimiter", "b.width")
+    best = F.max_by(F.struct("delimiter", "top.width", "last_row"), F.struct("top.n", "top.width", "multi", -order))
+    return dominant.groupBy("path").agg(best.alias("b")).select("path", "b.delimiter", "b.width", "b.last_row")
 
 
 def find_headers(records: DataFrame, layout: DataFrame) -> DataFrame:
@@ -87,8 +91,8 @@ def find_headers(records: DataFrame, layout: DataFrame) -> DataFrame:
     The rows after a candidate are looked at in blocks of rows; the first rows of a block are also
     given to the block before, so that no window holds a whole file.
     """
-    rows = records.join(layout, ["path", "delimiter"]).select(
-        "path", "delimiter", "width", "row_number", "cells", (_filled() & (F.size("cells") == F.col("width"))).alias("fits")
+    rows = join_file_facts(records, layout, ["path", "delimiter"], "row_number", "last_row").select(
+        "path", "delimiter", "width", "last_row", "row_number", "cells", (_filled() & (F.size("cells") == F.col("width"))).alias("fits")
     )
     # Only cells of fitting rows are scored; other rows are needed for their position.
     normalised = F.transform("cells", normalise_header)
@@ -97,7 +101,7 @@ def find_headers(records: DataFrame, layout: DataFrame) -> DataFrame:
     hit = F.filter(normalised, lambda c: F.array_contains(hints, c) | F.arrays_overlap(F.split(c, "_"), hints))
     letters = F.filter("cells", lambda c: c.rlike(r"\p{L}"))
     scored = rows.select(
-        "path", "delimiter", "width", "row_number", "fits",
+        "path", "delimiter", "width", "last_row", "row_number", "fits",
         F.when(F.col("fits"), F.size(hit)).alias("hints"),
         F.when(F.col("fits"), F.size(letters)).alias("letters"),
     )
@@ -110,7 +114,7 @@ def find_headers(records: DataFrame, layout: DataFrame) -> DataFrame:
         .where(F.col("fits") & (F.col("block") == F.col("own")))
     )
     best = F.max_by("row_number", F.struct("hints", "followers", "letters", -F.col("row_number")))
-    return candidates.groupBy("path", "delimiter", "width").agg(best.alias("header_row"))
+    return candidates.groupBy("path", "delimiter", "width", "last_row").agg(best.alias("header_row"))
 
 
 def unique_headers(headers: DataFrame) -> DataFrame:
@@ -137,7 +141,7 @@ def name_columns(cells: DataFrame) -> DataFrame:
 def table_rows(records: DataFrame, headers: DataFrame) -> DataFrame:
     """Non-blank rows below the header; ``fits`` tells table rows from skipped ones."""
     return (
-        records.join(headers, ["path", "delimiter"])
+        join_file_facts(records, headers, ["path", "delimiter"], "row_number", "last_row")
         .where((F.col("row_number") > F.col("header_row")) & _filled())
         .select("path", "row_number", "cells", (F.size("cells") == F.col("width")).alias("fits"))
     )
@@ -180,7 +184,7 @@ def profile_records(records: DataFrame, files: DataFrame) -> DataFrame:
     )
     profile = (
         files.select("path", "file_name", "encoding", F.col("error").alias("file_error"))
-        .join(headers, "path", "left")
+        .join(headers.drop("last_row"), "path", "left")
         .join(listed, "path", "left")
         .join(counts, "path", "left")
         .join(resolve_columns(names), "path", "left")
@@ -213,8 +217,9 @@ def inventory(records: DataFrame, files: DataFrame) -> DataFrame:
     The first record is the header. A column is a whole number, a number, a truth value or text,
     judged over all its non-empty cells; an empty column counts as a number.
     """
-    first = records.groupBy("path").agg(F.min(F.when(F.size("cells") > 0, F.col("row_number"))).alias("header_row"))
-    placed = records.where(F.size("cells") > 0).join(first, "path")
+    filled = records.where(F.size("cells") > 0)
+    first = filled.groupBy("path").agg(F.min("row_number").alias("header_row"), F.max("row_number").alias("last_row"))
+    placed = join_file_facts(filled, first, ["path"], "row_number", "last_row")
     header = placed.where("row_number = header_row").select("path", F.col("cells").alias("columns"))
     body = placed.where("row_number > header_row")
 

@@ -206,3 +206,21 @@ def test_input_files(spark, tmp_path):
     assert files.read_table(spark, str(tmp_path / "b.CSV")).dtypes == [("a", "int"), ("b", "double")]
     with pytest.raises(ValueError, match="unsupported"):
         files.read_table(spark, str(tmp_path / "c.txt"))
+
+
+@pytest.mark.parametrize("costly", [False, True])
+def test_costly_rows_get_the_same_numbers(spark, costly):
+    frame = spark.range(300).select(F.col("id").cast("string").alias("k"))
+    got = dict(rows(number_by_hash(frame, ["k"], "n", costly=costly), "k", "n"))
+    order = sorted(got, key=lambda k: hashlib.sha256(k.encode()).hexdigest())
+    assert [got[k] for k in order] == list(range(1, 301))
+
+
+@pytest.mark.parametrize("block_rows", [1, 3, 1000])
+def test_file_facts_meet_all_rows(spark, block_rows):
+    from rollcall.sources.perfile import join_file_facts
+
+    frame = spark.createDataFrame([(p, n) for p, last in (("a", 10), ("b", 1)) for n in range(1, last + 1)], "path string, n bigint")
+    facts_of = spark.createDataFrame([("a", 10, "x"), ("b", 1, "y"), ("c", 5, "z")], "path string, last bigint, fact string")
+    joined = join_file_facts(frame, facts_of, ["path"], "n", "last", block_rows)
+    assert rows(joined, "path", "n", "fact") == sorted([("a", n, "x") for n in range(1, 11)] + [("b", 1, "y")], key=str)
