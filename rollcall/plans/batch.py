@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall import schemas
@@ -10,14 +12,28 @@ from rollcall.operators.loads import Highest, Store
 from rollcall.operators.ranking import number_by_hash
 from rollcall.plans import quality
 from rollcall.sources import master
-from rollcall.sources.meetings import Meetings, read_meetings
+from rollcall.sources.files import require_files, unseen_files
+from rollcall.sources.meetings import Meetings, parse_meetings, read_meetings
 
 RAW, STAGING, TARGET, CONTROL = schemas.SOURCES, schemas.STAGING, schemas.TARGET, schemas.CONTROL
 
 
+MEETING_GLOB = "Meeting*.csv"
+
+
 def load_folder(spark: SparkSession, directory: str | list[str], store: Store, people: list[DataFrame] | None = None) -> int:
     """Load the meeting exports of a folder. Files loaded before are skipped, so it may run again."""
-    return load_meetings(read_meetings(spark, directory), store, people)
+    loaded = store.rows("training_session_raw", RAW["training_session_raw"])
+    if loaded.isEmpty():
+        return load_meetings(read_meetings(spark, directory, MEETING_GLOB), store, people)
+    require_files(spark, directory, MEETING_GLOB)
+    locations, known = unseen_files(spark, directory, loaded, MEETING_GLOB)
+    if locations:
+        fresh = read_meetings(spark, locations, MEETING_GLOB)
+    else:
+        lines = spark.createDataFrame([], "path string, line_number bigint, line string, delimiter string")
+        fresh = parse_meetings(known.limit(0), lines)
+    return load_meetings(replace(fresh, files=fresh.files.unionByName(known)), store, people)
 
 
 def load_meetings(meetings: Meetings, store: Store, people: list[DataFrame] | None = None) -> int:

@@ -32,18 +32,29 @@ WHOLE_FILE_BYTES = 64 * 1024 * 1024
 _SAMPLE_BYTES = 4 * SAMPLE_CHARS
 
 
+def _plain(name: Column) -> Column:
+    """A file name or path that Spark gives in URL form."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def _file_name() -> Column:
-    """The name of the file a row comes from; Spark gives it in URL form."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return _plain(F.col("_metadata.file_name"))
+
+
+def exact(paths: list[str]) -> list[str]:
+    """Paths in which no character is read as a pattern."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
+
+
+def _binary_files(spark: SparkSession, directory: str | list[str], glob: str) -> DataFrame:
+    places = directory if isinstance(directory, str) else exact(directory)
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(places)
 
 
 def _listing(spark: SparkSession, directory: str | list[str], glob: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-        .select(
-            F.col("_metadata.file_path").alias("path"), _file_name().alias("file_name"),
-            "length", "content", F.col("path").alias("location"),
-        )
+    return _binary_files(spark, directory, glob).select(
+        F.col("_metadata.file_path").alias("path"), _file_name().alias("file_name"),
+        "length", "content", F.col("path").alias("location"),
     )
 
 
@@ -52,10 +63,10 @@ def empty_files(spark: SparkSession, directory: str | list[str], glob: str) -> D
 
     The names come from the file index, which the driver holds for any read of the folder.
     """
-    indexed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory).inputFiles()
+    indexed = _binary_files(spark, directory, glob).inputFiles()
     names = spark.createDataFrame([(name,) for name in indexed], "path string")
     path = F.regexp_replace("path", "^file:/+", "file:/")
-    file_name = F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
+    file_name = _plain(F.substring_index(path, "/", -1))
     return (
         names.select(path.alias("path"), file_name.alias("file_name"), F.lit(0).cast("bigint").alias("length"))
         .join(_listing(spark, directory, glob).select("path"), "path", "left_anti")
@@ -77,8 +88,7 @@ def find_input_files(spark: SparkSession, directory: str, extensions=EXTENSIONS)
 
 def require_files(spark: SparkSession, directory: str | list[str], glob: str) -> None:
     """Stop when no file matches, as the meeting loader and the profiler do."""
-    read = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-    if not read.inputFiles():
+    if not _binary_files(spark, directory, glob).inputFiles():
         raise FileNotFoundError(f"no {glob} files found in {directory}")
 
 
@@ -237,8 +247,7 @@ def read_byte_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     A task knows the order of its own lines only. Lines are counted per block of a file, and the
     count of the earlier blocks is added.
     """
-    exact = [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
-    read = spark.read.option("lineSep", "\n").text(exact).select(
+    read = spark.read.option("lineSep", "\n").text(exact(paths)).select(
         F.col("_metadata.file_path").alias("path"), _file_name().alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"), F.col("value").cast("binary").alias("raw"),
@@ -342,6 +351,29 @@ def decode_byte_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
 # --- both -----------------------------------------------------------------------------------
 
 
+def hash_files(spark: SparkSession, directory: str | list[str], glob: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Files up to the limit with their content hash, nothing decoded."""
+    listing = _listing(spark, directory, glob).where(F.col("length") <= whole_file_bytes)
+    return listing.withColumn("source_file_hash", F.sha2("content", 256)).drop("content")
+
+
+def unseen_files(spark: SparkSession, directory: str | list[str], loaded: DataFrame, glob: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> tuple[list[str], DataFrame]:
+    """K2 before any parsing: ``(locations to read, files known by their hash)``.
+
+    Files are hashed once; only the others are read again and parsed. Empty and large files are
+    always among the locations. The driver holds locations, as its file index does anyway.
+    """
+    hashed = land(hash_files(spark, directory, glob, whole_file_bytes), "hashed")
+    hashes = loaded.select("source_file_hash").distinct()
+    fresh = hashed.join(hashes, "source_file_hash", "left_anti").select("location")
+    large = _listing(spark, directory, glob).where(F.col("length") > whole_file_bytes).select("location")
+    empty = empty_files(spark, directory, glob).select(_plain(F.col("path")).alias("location"))
+    locations = [row.location for row in fresh.unionByName(large).unionByName(empty).collect()]
+    nothing = F.lit(None).cast("string")
+    known = hashed.join(hashes, "source_file_hash", "left_semi").withColumns({"encoding": nothing, "delimiter": nothing, "error": nothing})
+    return locations, known.select(*FILE_COLUMNS)
+
+
 def read_files(spark: SparkSession, directory: str | list[str], glob: str = "*.csv", whole_file_bytes: int = WHOLE_FILE_BYTES) -> tuple[DataFrame, DataFrame]:
     """``(files, lines)`` of a folder, or of single files, landed once.
 

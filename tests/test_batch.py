@@ -32,18 +32,18 @@ def test_batch_twice(spark, tmp_path):
     first, _ = export("Alpha", people)
     (inbox / "Meeting1.csv").write_bytes(first)
     (inbox / "Meeting2.csv").write_bytes(export("Beta")[0])
-    (inbox / "Meeting3.csv").write_bytes(b"")
+    (inbox / "Meeting [3].csv").write_bytes(b"")
     store = Store(spark, str(tmp_path / "store"))
     assert batch.load_folder(spark, str(inbox), store) == 1
 
     runs = {r.source_name: r for r in batch.run_table(store).collect()}
     assert (runs["Meeting1.csv"].status, runs["Meeting1.csv"].rows_read, runs["Meeting1.csv"].rows_rejected) == ("SUCCESS", 7, 1)
     assert (runs["Meeting2.csv"].status, runs["Meeting2.csv"].rows_loaded) == ("SUCCESS", 4)
-    assert (runs["Meeting3.csv"].status, runs["Meeting3.csv"].error_message) == ("FAILED", "File is empty: Meeting3.csv")
+    assert (runs["Meeting [3].csv"].status, runs["Meeting [3].csv"].error_message) == ("FAILED", "File is empty: Meeting [3].csv")
     assert {r.run_id for r in runs.values()} == {1, 2, 3}
 
     errors = {(e.error_code, e.source_name, e.source_row_number) for e in batch.error_log(store).collect()}
-    assert errors == {("EMPTY_FILE", "Meeting3.csv", None), ("NO_IDENTITY", "Meeting1.csv", 15), ("INVALID_PARTICIPANT", "Meeting1.csv", 14)}
+    assert errors == {("EMPTY_FILE", "Meeting [3].csv", None), ("NO_IDENTITY", "Meeting1.csv", 15), ("INVALID_PARTICIPANT", "Meeting1.csv", 14)}
 
     facts = table(store, "fact_employee_activity", "TARGET")
     employees = store.version("dim_employee", schemas.TARGET["dim_employee"])
@@ -62,10 +62,15 @@ def test_batch_twice(spark, tmp_path):
     assert snapshot(store) == before
     runs = batch.run_table(store).where("run_id > 3").collect()
     assert {(r.source_name, r.status, r.rows_read) for r in runs} == {
-        ("Meeting1.csv", "SUCCESS", 0), ("Meeting2.csv", "SUCCESS", 0), ("Meeting3.csv", "FAILED", 0),
+        ("Meeting1.csv", "SUCCESS", 0), ("Meeting2.csv", "SUCCESS", 0), ("Meeting [3].csv", "FAILED", 0),
         ("Meeting4.csv", "SUCCESS", 0), ("Meeting5.csv", "FAILED", 0),
     }
 
+    # With nothing new a run still leaves its trace, and nothing else.
+    assert batch.load_folder(spark, [str(inbox / "Meeting1.csv"), str(inbox / "Meeting2.csv")], store) == 3
+    assert snapshot(store) == before
+    assert {(r.status, r.rows_read) for r in batch.run_table(store).where("run_id > 8").collect()} == {("SUCCESS", 0)}
+
     quality = {(r.rule_name, r.result_status) for r in table(store, "data_quality_result", "CONTROL").where("run_id <= 3").collect()}
     assert ("TRAINING_PARTICIPANT_VALIDATION", "FAILED") in quality and ("REPORTED_VS_PARSED_PARTICIPANTS", "WARNING") in quality
 
