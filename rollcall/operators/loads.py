@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,15 +18,23 @@ from rollcall.sources.meetings import ACTIVITY_FIELDS, PARTICIPANT_FIELDS, SUMMA
 PIPELINE = "TRAINING_ATTENDANCE"
 
 
-@dataclass(frozen=True)
+@dataclass
 class RawBatch:
-    """The rows one batch of files adds."""
+    """The rows one batch of files adds. Children are numbered when they are asked for."""
 
     run_events: DataFrame
     sessions: DataFrame
-    participants: DataFrame
-    activities: DataFrame
     errors: DataFrame
+    number_participants: Callable[[], DataFrame]
+    number_activities: Callable[[], DataFrame]
+
+    @cached_property
+    def participants(self) -> DataFrame:
+        return self.number_participants()
+
+    @cached_property
+    def activities(self) -> DataFrame:
+        return self.number_activities()
 
 
 @dataclass(frozen=True)
@@ -65,9 +75,6 @@ def raw_batch(meetings: Meetings, loaded: DataFrame, highest: Highest = Highest(
             key, "session_raw_id", "run_id", "dataset_name", "source_file_name", "source_row_number", *fields, "raw_record",
         )
 
-    participants = children(meetings.participants, "participant_raw_id", PARTICIPANT_FIELDS, highest.participant)
-    activities = children(meetings.activities, "activity_raw_id", ACTIVITY_FIELDS, highest.activity)
-
     rejects = meetings.rejects.unionByName(duplicates)
     # Row rejects of files that are skipped as known were logged when the file was loaded.
     skipped = meetings.sessions.select("path").join(fresh.select("path"), "path", "left_anti")
@@ -98,7 +105,11 @@ def raw_batch(meetings: Meetings, loaded: DataFrame, highest: Highest = Highest(
     session_rows = sessions.select(
         "session_raw_id", "session_source_key", "run_id", "dataset_name", "source_file_name", "source_file_hash", *SUMMARY_FIELDS
     )
-    return RawBatch(events, session_rows, participants, activities, errors)
+    return RawBatch(
+        events, session_rows, errors,
+        lambda: children(meetings.participants, "participant_raw_id", PARTICIPANT_FIELDS, highest.participant),
+        lambda: children(meetings.activities, "activity_raw_id", ACTIVITY_FIELDS, highest.activity),
+    )
 
 
 class Store:
