@@ -272,22 +272,24 @@ def describe_byte_lines(raw: DataFrame) -> DataFrame:
     first = F.col("line_number") == 1
     # In UTF-16 the line feed has two bytes. The cut after 0x0A leaves the second (little endian)
     # or first (big endian) one on a neighbouring line, so all lines but the outer ones are odd.
-    outer_le, outer_be = first, F.lit(False)
     size = F.length(content)
+    even_size = size % 2 == 0
+    after_le = ~even_size & (F.hex(F.substring(content, 1, 1)) == "00")
+    before_be = ~even_size & (F.hex(F.substring(content, -1, 1)) == "00")
     summary = raw.groupBy("path", "file_name").agg(
         (F.sum(size) + F.count(F.lit(1))).alias("length"),
         F.max("line_number").alias("last_line"),
         F.max(F.when(first, bom(content))).alias("mark"),
         F.bool_and(is_utf8(content)).alias("utf8"),
         F.bool_or(has_undefined_byte(content)).alias("undefined"),
-        F.bool_and(F.when(outer_le, size % 2 == 0).otherwise((size % 2 == 1) & (F.hex(F.substring(content, 1, 1)) == "00"))).alias("cut_le"),
-        F.count_if(F.when(outer_be, False).otherwise((size % 2 == 0) | (F.hex(F.substring(content, -1, 1)) != "00"))).alias("odd_be"),
+        F.bool_and(F.when(first, even_size).otherwise(after_le)).alias("cut_le"),
+        F.count_if(~before_be).alias("uncut_be"),
         F.bit_xor(F.xxhash64("line_number", content)).alias("h1"),
         F.sum(F.xxhash64(content, "line_number").cast("decimal(20,0)")).alias("h2"),
     )
     mark = F.col("mark")
     # The last big endian line has no line feed after it, so one line may differ.
-    even = F.when(mark == "FFFE", F.col("cut_le")).otherwise(F.col("odd_be") <= 1)
+    even = F.when(mark == "FFFE", F.col("cut_le")).otherwise(F.col("uncut_be") <= 1)
     broken = (mark.isin("FFFE", "FEFF")) & ~even
     digest = F.sha2(F.concat_ws("|", F.col("length").cast("string"), F.col("h1").cast("string"), F.col("h2").cast("string")), 256)
     described = summary.select(
