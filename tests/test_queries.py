@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import connect, difference
+from checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,10 +19,10 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     problem = difference(entry.queries()[name](spark, SF_DIR), connection, entry.oracle_sql()[name])
     assert problem is None, problem
