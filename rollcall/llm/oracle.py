@@ -2,4 +2,66 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+MIXING = r"""
+WITH sized AS (
+  SELECT doc_id, text, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), graded AS (
+  SELECT doc_id, avg(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), keyed AS (
+  SELECT s.doc_id, s.source, s.size,
+    -ln((('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, '') || '/' || md5(coalesce(s.text, ''))), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+      / coalesce(0.5 + 1.5 * g.quality, 1.0) AS key
+  FROM sized s LEFT JOIN graded g USING (doc_id)
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM sized GROUP BY source
+), limits AS (
+  SELECT *, (source_size * 2)::DOUBLE AS most, (source_size * 2)::DOUBLE / weight AS per, sum(source_size) OVER ()::DOUBLE AS total FROM sources
+), levels AS (
+  SELECT *, (total * 1.5 - (sum(most) OVER (ORDER BY per, source NULLS LAST) - most))
+    / sum(weight) OVER (ORDER BY per, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM limits
+), level AS (
+  SELECT arg_min(level, per) AS level FROM levels WHERE level <= per
+), aims AS (
+  SELECT source, source_size, coalesce(least(most, level.level * weight), most) AS target FROM levels, level
+), rests AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM aims
+), placed AS (
+  SELECT k.doc_id, k.size, r.source_size, r.target, r.epochs, r.target - r.epochs * r.source_size AS rest,
+    sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id) - k.size AS before
+  FROM keyed k JOIN rests r ON k.source IS NOT DISTINCT FROM r.source
+)
+SELECT doc_id, size, source_size, target,
+  CASE WHEN size = 0 THEN 0 ELSE size * (epochs + greatest(0, least(1, floor((rest - before) / size + 0.5)))) END::BIGINT AS taken
+FROM placed
+"""
+
+LINES = r"""
+WITH cut AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS raw FROM documents
+), numbered AS (
+  SELECT doc_id, raw, line, NOT regexp_matches(line, '^\s*$') AS is_full,
+    CASE WHEN NOT regexp_matches(line, '^\s*$') THEN row_number() OVER (PARTITION BY doc_id, NOT regexp_matches(line, '^\s*$') ORDER BY raw) END AS place
+  FROM cut
+), pairs AS (
+  SELECT doc_id, place, line, lead(line) OVER (PARTITION BY doc_id ORDER BY place) AS behind FROM numbered WHERE is_full
+), later AS (
+  SELECT doc_id, place FROM (
+    SELECT doc_id, place, row_number() OVER (PARTITION BY line, behind ORDER BY doc_id, place) AS nth FROM pairs WHERE behind IS NOT NULL
+  ) WHERE nth > 1
+), gone AS (
+  SELECT doc_id, place FROM later UNION SELECT doc_id, place + 1 FROM later
+), left_over AS (
+  SELECT n.doc_id, n.raw, n.line, n.is_full, g.place IS NOT NULL AS is_gone FROM numbered n LEFT JOIN gone g USING (doc_id, place)
+), texts AS (
+  SELECT doc_id, count(*) FILTER (is_full) AS n_lines, count(*) FILTER (is_gone) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY raw) FILTER (NOT is_gone), '') AS kept
+  FROM left_over GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_removed, 0) AS n_removed,
+  CASE WHEN d.text IS NULL THEN NULL WHEN t.n_removed = 0 THEN sha256(d.text) WHEN t.n_removed = t.n_lines THEN sha256('') ELSE sha256(t.kept) END AS kept_sha256
+FROM documents d LEFT JOIN texts t USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op5_mixing": MIXING, "op9_line_dedup": LINES}

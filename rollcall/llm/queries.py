@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import packing, token_files
+from rollcall.llm import lines, mixing, near_text, packing, sharding, substrings, token_files
 from rollcall.storage import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -17,11 +17,35 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.op1_sharding(documents(spark, sf_dir))
+
+
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_text.op2_minhash_near_dedup(documents(spark, sf_dir))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/rollcall/{uuid.uuid4().hex}/token_files"
     return token_files.op4_token_files(documents(spark, sf_dir), path, public_tokenizers.path(TOKENIZER))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op5_mixing(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.op7_substring_dedup(documents(spark, sf_dir))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.op9_line_dedup(documents(spark, sf_dir))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     return packing.op10_best_fit_packing(docs, public_tokenizers.path(TOKENIZER))
 
@@ -30,4 +54,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op4_token_files, op10_best_fit_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_sharding, op2_minhash_near_dedup, op4_token_files, op5_mixing, op7_substring_dedup, op9_line_dedup, op10_best_fit_packing)
+}
