@@ -48,8 +48,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         encode = encoder(tokenizer_path).encode
         for batch in batches:
             rows = []
-            for doc, mark, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = encode(text) + end
+            for doc, mark, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encode(batch.column(2)), strict=True):
+                ids += end
                 for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc, mark, number, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))

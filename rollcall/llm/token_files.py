@@ -50,8 +50,9 @@ SCHEMA = (
 
 def table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The symbols of ``ids`` in order and whole frequencies, none below 1, that add up to 2^PRECISION."""
-    symbols, counts = np.unique(ids, return_counts=True)
-    total = 1 << PRECISION
+    every = np.bincount(ids)
+    symbols, total = np.flatnonzero(every), 1 << PRECISION
+    counts = every[symbols]
     if len(symbols) > total:
         raise ValueError("more symbols than a table can hold")
     scaled = np.maximum(1, counts * total // counts.sum())
@@ -72,7 +73,9 @@ def encode_blocks(ids: np.ndarray, symbols: np.ndarray, frequencies: np.ndarray)
     n_blocks = -(-len(ids) // BLOCK)
     steps = BLOCK // LANES if n_blocks > 1 else -(-len(ids) // LANES)
     place = np.zeros(n_blocks * steps * LANES, np.int64)
-    place[: len(ids)] = np.searchsorted(symbols, ids)  # what is missing in the last block is filled with the first symbol
+    known = np.zeros(int(symbols[-1]) + 1, np.int64)
+    known[symbols] = np.arange(len(symbols))
+    place[: len(ids)] = known[ids]  # what is missing in the last block is filled with the first symbol
     place = place.reshape(n_blocks, steps, LANES)
     starts = np.cumsum(frequencies) - frequencies
     state = np.full((n_blocks, LANES), LOW, np.uint64)
@@ -101,24 +104,31 @@ def encode_blocks(ids: np.ndarray, symbols: np.ndarray, frequencies: np.ndarray)
     return blocks
 
 
-def decode_block(block: dict, symbols: np.ndarray, frequencies: np.ndarray, slots: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:
-    """The ids of a block, or only those from checkpoint ``first`` up to checkpoint ``last``."""
-    states = np.frombuffer(block["states"], "<u8").reshape(-1, LANES)
-    words = np.frombuffer(block["words"], "<u4").astype(np.uint64)
-    starts = np.cumsum(frequencies) - frequencies
-    steps = -(-block["n_ids"] // LANES)
-    begin, stop = first * CHECKPOINT, steps if last is None else min(steps, last * CHECKPOINT)
-    state, at = states[first].copy(), int(np.frombuffer(block["places"], "<u4")[first])
-    out = np.empty((stop - begin, LANES), symbols.dtype)
+def decode_blocks(blocks: list[dict], symbols: np.ndarray, frequencies: np.ndarray, first: int = 0, last: int | None = None) -> list[np.ndarray]:
+    """The ids of each block, all decoded side by side, or only those from checkpoint ``first`` up to checkpoint ``last``."""
+    slots, starts = slot_table(frequencies), np.cumsum(frequencies) - frequencies
+    begin = first * CHECKPOINT
+    stop = min(max(-(-b["n_ids"] // LANES) for b in blocks), begin + BLOCK if last is None else last * CHECKPOINT)
+    # A block that ends before its checkpoint has no state there and nothing to give.
+    going = [k for k, b in enumerate(blocks) if b["n_ids"] > begin * LANES]
+    words = np.frombuffer(b"".join(blocks[k]["words"] + bytes(4 * LANES) for k in going), "<u4").astype(np.uint64)
+    sizes = np.array([len(blocks[k]["words"]) // 4 + LANES for k in going], np.int64)
+    at = np.cumsum(sizes) - sizes + [int(np.frombuffer(blocks[k]["places"], "<u4")[first]) for k in going]
+    most = np.cumsum(sizes) - 1
+    state = np.stack([np.frombuffer(blocks[k]["states"], "<u8").reshape(-1, LANES)[first] for k in going])
+    out = np.zeros((len(going), stop - begin, LANES), np.uint32)
     for step in range(begin, stop):
         slot = state & _MASK
         found = slots[slot]
-        out[step - begin] = symbols[found]
+        out[:, step - begin] = symbols[found]
         state = frequencies[found] * (state >> _P) + slot - starts[found]
-        low = np.flatnonzero(state < LOW)
-        state[low] = state[low] << _32 | words[at : at + len(low)]
-        at += len(low)
-    return out.reshape(-1)[: block["n_ids"] - begin * LANES]
+        low = state < LOW
+        taken = np.cumsum(low, axis=1)
+        place = np.minimum(at[:, None] + taken - 1, most[:, None])  # a block that is over reads zeros behind its words
+        state[low] = state[low] << _32 | words[place[low]]
+        at += taken[:, -1]
+    given = dict(zip(going, out, strict=True))
+    return [given[k].reshape(-1)[: max(0, b["n_ids"] - begin * LANES)] if k in given else np.empty(0, np.uint32) for k, b in enumerate(blocks)]
 
 
 def slot_table(frequencies: np.ndarray) -> np.ndarray:
@@ -141,8 +151,8 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID)
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts_to_ids, part, number, before, held, names, ids = encoder(tokenizer_path).encode, 0, 0, 0, 0, [], []
         for batch in batches:
-            for part, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids.append(texts_to_ids(text) + end)
+            for part, doc, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_to_ids(batch.column(2)), strict=True):
+                ids.append(own + end)
                 names.append(doc)
                 held += len(ids[-1]) // 4
                 if held >= SEGMENT:
@@ -166,12 +176,10 @@ _ARROW = pa.schema([
 def decode_segment(row: dict) -> np.ndarray:
     """All ids of a segment; a block whose checksum differs is an error."""
     symbols, frequencies = np.frombuffer(row["symbols"], "<u4"), np.frombuffer(row["frequencies"], "<u4").astype(np.uint64)
-    slots, out = slot_table(frequencies), []
-    for k, block in enumerate(row["blocks"]):
-        ids = decode_block(block, symbols, frequencies, slots)
+    out = decode_blocks(row["blocks"], symbols, frequencies)
+    for k, (ids, block) in enumerate(zip(out, row["blocks"], strict=True)):
         if zlib.crc32(ids.astype("<u4").tobytes()) != block["crc32"]:
             raise ValueError(f"part {row['part']}, segment {row['number']}, block {k}: checksum differs")
-        out.append(ids)
     return np.concatenate(out)
 
 
