@@ -1,18 +1,70 @@
-"""A corpus from raw documents to packed sequences, stage by stage; each stage calls one operator."""
+"""From raw documents to packed sequences, stage by stage.
+
+Each stage calls one operator on all that the stage before kept. Documents that the toxicity model rejects go;
+runs of lines that stand earlier are cut out, and documents that consist of nothing else go; of each group
+of near duplicates one document stays; sources are mixed to their targets, so a document may come once,
+twice or not at all; what is left is packed into sequences. Between the stages the table has the columns
+of ``documents``; ``n_chars`` follows the text.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from rollcall.llm import lines, mixing, near_text, queries, toxicity
+from rollcall.storage import land
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without those that are likelier toxic than not."""
+    found = toxicity.scored(docs, toxicity.train(docs, queries.labels(spark, sf_dir)))
+    return found.filter("NOT toxic").select(*docs.columns)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without runs of lines that stand earlier; those with no other lines go, empty ones stay."""
+    found = lines.line_dedup(docs).filter("n_removed < n_lines OR n_lines = 0")
+    cut = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", cut).select(*docs.columns)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the smallest id; of rows that repeat it, one row."""
+    found = land(near_text.near_duplicates(docs).filter("kept").select("doc_id", "text_mark", "component_id").distinct(), "kept")
+    # A group's smallest id may stand on rows with different texts.
+    one = F.row_number().over(Window.partitionBy("component_id", "doc_id").orderBy("text_mark"))
+    chosen = found.withColumn("one", one).filter("one = 1 OR component_id IS NULL").select("doc_id", "text_mark")
+    marked = docs.withColumn("text_mark", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    chosen = chosen.select(F.col("doc_id").alias("of_id"), F.col("text_mark").alias("of_mark"))
+    return marked.join(chosen, marked["doc_id"].eqNullSafe(chosen["of_id"]) & (marked["text_mark"] == chosen["of_mark"]), "left_semi").select(*docs.columns)
+
+
+def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources, documents as often as it takes them."""
+    return mixing.mixed(docs, mixing.quality_weights(queries.labels(spark, sf_dir)))
+
+
+def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document with its sequence and place."""
+    return queries.packed(docs)
 
-from rollcall.llm import queries
 
-STAGES = [("best-fit packing", lambda spark, docs, sf_dir: queries.packed(docs))]
+STAGES = [
+    ("toxicity", without_toxic),
+    ("line dedup", without_repeated_lines),
+    ("near-duplicate texts", without_near_duplicates),
+    ("mixing to target weights", to_target_weights),
+    ("best-fit packing", into_sequences),
+]
 
+#: Regression, sketches and packing are not SQL; the tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over the documents of ``sf_dir``, each written once before the next reads it."""
+    docs = queries.documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = land(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+    return STAGES[-1][1](spark, docs, sf_dir)
