@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm import lines, mixing, near_text, queries, toxicity
+from rollcall.llm.keys import unpacked, whole
 from rollcall.storage import land
 
 
@@ -34,10 +35,13 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     found = land(near_text.near_duplicates(docs).filter("kept").select("doc_id", "text_mark", "component_id").distinct(), "kept")
     # A group's smallest id may stand on rows with different texts.
     one = F.row_number().over(Window.partitionBy("component_id", "doc_id").orderBy("text_mark"))
-    chosen = found.withColumn("one", one).filter("one = 1 OR component_id IS NULL").select("doc_id", "text_mark")
-    marked = docs.withColumn("text_mark", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    chosen = chosen.select(F.col("doc_id").alias("of_id"), F.col("text_mark").alias("of_mark"))
-    return marked.join(chosen, marked["doc_id"].eqNullSafe(chosen["of_id"]) & (marked["text_mark"] == chosen["of_mark"]), "left_semi").select(*docs.columns)
+    chosen = found.withColumn("one", one).filter("one = 1 OR component_id IS NULL")
+    # Null ids as values of their own, so that the join and the dropping of repeated rows share one shuffle of the texts.
+    id_or_0, keys = F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), ["id", "no_id", "mark"]
+    chosen = chosen.select(id_or_0, F.col("doc_id").isNull().alias("no_id"), F.col("text_mark").alias("mark"))
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    rows = docs.select(whole(docs).alias("document"), id_or_0, F.col("doc_id").isNull().alias("no_id"), mark.alias("mark"))
+    return rows.join(chosen, keys, "left_semi").dropDuplicates(keys).select(*unpacked(docs, "document"))
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,23 @@ def marked(docs: DataFrame, *columns: str) -> DataFrame:
     Id and mark together name a document. Rows that repeat both are one document given twice.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col(DOC), F.xxhash64(text).alias(MARK), text.alias("text"), *columns)
+    return docs.select(F.col(DOC).cast("long").alias(DOC), F.xxhash64(text).alias(MARK), text.alias("text"), *columns)
+
+
+def others(rows: DataFrame, *names: str) -> list[str]:
+    """The columns of ``rows`` without ``names``, quoted; Spark does not tell capitals from small letters in names."""
+    return [f"`{c.replace('`', '``')}`" for c in rows.columns if c.lower() not in names]
+
+
+def whole(rows: DataFrame, *without: str) -> Column:
+    """All columns of a row but ``without`` as one struct, so that no name in it meets the names of an operator."""
+    kept = others(rows, *without)
+    return F.struct(*(F.col(c) for c in kept)) if kept else F.struct(F.lit(None).alias("none"))
+
+
+def unpacked(rows: DataFrame, packed: str, *without: str) -> list[Column]:
+    """The columns of a struct that ``whole`` made of ``rows``."""
+    return [F.col(packed)[c[1:-1].replace("``", "`")].alias(c[1:-1].replace("``", "`")) for c in others(rows, *without)]
 
 
 def same_document(left: DataFrame, right: DataFrame) -> Column:

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollcall.llm.keys import unpacked, whole
 from rollcall.storage import land
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -67,7 +68,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[int, .
     ``quality``: doc_id and a positive ``weight`` per document; documents without one have weight 1.
     """
     sized = docs.select(
-        F.col("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_mark"), F.col("source"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_mark"), F.col("source"),
         words(F.col("text")).alias("size"), uniform(F.col("doc_id"), F.col("text")).alias("u"),
     )
     units = sized.groupBy("doc_id", "text_mark", "source", "size", "u").agg(F.count("*").alias("copies"))
@@ -120,13 +121,14 @@ def mixed(docs: DataFrame, quality: DataFrame | None = None, **settings) -> Data
     times = mix(docs, quality, **settings).filter("times > 0")
     # Rows that repeat id, text and source share their count evenly, the first of them take what is left over.
     counts = times.groupBy("doc_id", "text_mark", "source").agg(F.sum("times").alias("mix_times"))
-    named = docs.withColumn("text_mark", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    rows = docs.select(whole(docs).alias("document"), F.col("doc_id").cast("long").alias("doc_id"), mark.alias("text_mark"), "source")
     own = Window.partitionBy("doc_id", "text_mark", "source")
-    found = _with(named, counts, "doc_id", "text_mark", "source")
-    found = found.withColumn("mix_copies", F.count("*").over(own)).withColumn("mix_copy", F.row_number().over(own.orderBy("mix_times")))
-    times = F.floor(F.col("mix_times") / F.col("mix_copies")) + (F.col("mix_copy") <= F.col("mix_times") % F.col("mix_copies")).cast("long")
-    found = found.withColumn("mix_now", times).filter("mix_now > 0")
-    return found.withColumn("mix_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_now")))).select(*docs.columns)
+    found = _with(rows, counts, "doc_id", "text_mark", "source")
+    found = found.withColumn("copies", F.count("*").over(own)).withColumn("copy", F.row_number().over(own.orderBy("mix_times")))
+    now = F.floor(F.col("mix_times") / F.col("copies")) + (F.col("copy") <= F.col("mix_times") % F.col("copies")).cast("long")
+    found = found.withColumn("now", now).filter("now > 0")
+    return found.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("now")))).select(*unpacked(docs, "document"))
 
 
 def op5_mixing(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.llm.keys import others
+
 #: A prime, 100 times the number of shards or more, so that shares differ by 1 % at most.
 SHARDS, SLOTS = 64, 6421
 #: The largest table that is built and broadcast.
@@ -74,14 +76,14 @@ def _next_round(state: Column, turn, none: Column) -> Column:
 def shard(rows: DataFrame, key: str, names: list[str], slots: int = SLOTS) -> DataFrame:
     """``rows`` with ``slot`` and ``shard`` by ``key``; columns of ``rows`` with these names are replaced."""
     table = F.broadcast(lookup_table(rows.sparkSession, names, slots))  # at most MOST_SLOTS rows
-    kept = [c for c in rows.columns if c not in ("slot", "shard")]
+    kept = others(rows, "slot", "shard")
     return rows.select(*kept, F.pmod(digest(F.col(key)), F.lit(slots)).alias("slot")).join(table, "slot").select(*kept, "slot", "shard")
 
 
 def write_shards(rows: DataFrame, key: str, names: list[str], path: str, slots: int = SLOTS, files: int = 8) -> None:
     """Write ``rows`` below ``path``, a folder per shard with up to ``files`` files, however uneven the keys are."""
     placed = shard(rows, key, names, slots)
-    dealt = placed.withColumn("file", F.pmod(F.xxhash64(*rows.columns), F.lit(files)))
+    dealt = placed.withColumn("file", F.pmod(F.xxhash64(*others(rows, "shard")), F.lit(files)))
     dealt.repartition(F.col("shard"), F.col("file")).drop("slot", "file").write.partitionBy("shard").parquet(path)
 
 

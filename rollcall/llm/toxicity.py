@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollcall.llm.keys import others
 from rollcall.storage import land
 
 #: Labelled documents to fit on; features kept; documents a feature has to stand in; grades above 0.
@@ -185,22 +186,23 @@ def collect_counts(rows: DataFrame, known: dict[str, int]) -> list[tuple[int, di
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with severity (expected grade), grade (the likeliest) and toxic (grade 1 or more is likelier than not)."""
-    kept = [f for f in docs.schema.fields if f.name not in ("severity", "grade", "toxic")]
+    kept = [f for f in docs.schema.fields if f.name.lower() not in ("severity", "grade", "toxic")]
     schema = T.StructType([*kept, T.StructField("severity", T.DoubleType()), T.StructField("grade", T.IntegerType()), T.StructField("toxic", T.BooleanType())])
+    text_at = [f.name.lower() for f in kept].index("text")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as many weights as features were kept
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         empty = model.chances({})
         for batch in batches:
-            chances = np.array([model.chances(f) if f else empty for f in counted(batch.column("text"), model.known)]).reshape(-1, GRADES)
+            chances = np.array([model.chances(f) if f else empty for f in counted(batch.column(text_at), model.known)]).reshape(-1, GRADES)
             each = -np.diff(np.concatenate([np.ones((len(chances), 1)), chances, np.zeros((len(chances), 1))], axis=1), axis=1)
-            columns = [batch.column(f.name) for f in kept]
+            columns = list(batch.columns)
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(chances.sum(1)), pa.array(each.argmax(1), pa.int32()), pa.array(chances[:, 0] >= 0.5)], names=schema.names
             )
 
-    return docs.select([f.name for f in kept]).mapInArrow(score, schema)
+    return docs.select(*others(docs, "severity", "grade", "toxic")).mapInArrow(score, schema)
 
 
 def op8_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
