@@ -111,6 +111,8 @@ def decode_blocks(blocks: list[dict], symbols: np.ndarray, frequencies: np.ndarr
     stop = min(max(-(-b["n_ids"] // LANES) for b in blocks), begin + BLOCK if last is None else last * CHECKPOINT)
     # A block that ends before its checkpoint has no state there and nothing to give.
     going = [k for k, b in enumerate(blocks) if b["n_ids"] > begin * LANES]
+    if not going:
+        return [np.empty(0, np.uint32) for _ in blocks]
     words = np.frombuffer(b"".join(blocks[k]["words"] + bytes(4 * LANES) for k in going), "<u4").astype(np.uint64)
     sizes = np.array([len(blocks[k]["words"]) // 4 + LANES for k in going], np.int64)
     at = np.cumsum(sizes) - sizes + [int(np.frombuffer(blocks[k]["places"], "<u4")[first]) for k in going]

@@ -10,7 +10,7 @@ toxic documents use: up to a third of the toxic documents each have grade 1, 2 a
 
 Fit: on at most ``SAMPLE`` labelled documents, those of the smallest digests of their ids, so that the
 table of their ids can be broadcast. Spark counts in how many toxic and clean ones each feature stands,
-the ``FEATURES`` most telling ones are kept (both numbers are parameters), and the few features of each
+those that tell the two apart are kept, ``FEATURES`` at most (both numbers are parameters), and the few features of each
 document are fitted on the driver. All documents and whole texts are scored.
 
 Defined cases: null and blank texts have no features. Documents labelled more than once are toxic if any
@@ -32,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.keys import others
+from rollcall.llm.keys import unpacked, whole
 from rollcall.storage import land
 
 #: Labelled documents to fit on; features kept; documents a feature has to stand in; grades above 0.
-SAMPLE, FEATURES, LEAST, GRADES = 20_000, 500, 8, 3
+SAMPLE, FEATURES, LEAST, GRADES = 20_000, 4_000, 5, 3
+#: Chi-squared from which a feature tells toxic documents from clean ones; chance alone gives one in 10^7 features more than 28.
+TELLING = 30.0
 #: Lengths of beginnings of words; bytes of text handled together.
 BEGINNINGS, SLICE = (4, 5, 6), 8_000_000
 
@@ -90,12 +92,14 @@ class Model:
     def chances(self, found: dict[int, int]) -> np.ndarray:
         """Chance of grade k or more, for k from 1."""
         score = sum(self.weights[f] * np.log1p(n) for f, n in found.items())
-        return 1 / (1 + np.exp(np.clip(self.thresholds - score, -500, 500)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(self.thresholds - score))
 
 
-def fit(rows: list[dict[int, int]], grades: np.ndarray, n_features: int, steps: int = 400, penalty: float = 5e-5) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds by gradient steps on the ordinal likelihood."""
+def fit(rows: list[dict[int, int]], grades: np.ndarray, n_features: int, steps: int = 400, prior: float = 0.15) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds by gradient steps on the ordinal likelihood, weights with a normal prior of variance 1 / ``prior``."""
     n, top = len(rows), int(GRADES)
+    penalty = prior / n
     owner = np.repeat(np.arange(n), [len(r) for r in rows])
     column = np.array([f for r in rows for f in r], np.int64)
     value = np.log1p(np.array([c for r in rows for c in r.values()], float))
@@ -153,11 +157,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_features:
     if all_rows is None or not all_rows["clean"] or not all_rows["toxic"]:
         return Model({}, np.empty(0), np.full(GRADES, np.inf))
     n_clean, n_toxic = all_rows["clean"], all_rows["toxic"]
-    # How far the share of toxic documents with the feature is from that of the clean ones, in standard deviations, squared.
+    # Chi-squared of the feature against the label.
     a, b = F.col("toxic") / n_toxic, F.col("clean") / n_clean
     both = (F.col("toxic") + F.col("clean")) / (n_toxic + n_clean)
-    telling = (a - b) * (a - b) / (both * (1 - both) + F.lit(1e-6))
-    top = counts.filter("feature != ''").withColumn("telling", telling).orderBy(F.desc("telling"), "feature").limit(n_features).collect()
+    telling = (a - b) * (a - b) / (both * (1 - both) + F.lit(1e-9)) * (n_toxic * n_clean / (n_toxic + n_clean))
+    top = counts.filter("feature != ''").withColumn("telling", telling).filter(F.col("telling") > TELLING).orderBy(F.desc("telling"), "feature").limit(n_features).collect()
     known = {r["feature"]: k for k, r in enumerate(top)}
     own = {k for k, r in enumerate(top) if r["feature"].startswith("=") and r["toxic"] / n_toxic > 20 * r["clean"] / n_clean}
 
@@ -186,23 +190,21 @@ def collect_counts(rows: DataFrame, known: dict[str, int]) -> list[tuple[int, di
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with severity (expected grade), grade (the likeliest) and toxic (grade 1 or more is likelier than not)."""
-    kept = [f for f in docs.schema.fields if f.name.lower() not in ("severity", "grade", "toxic")]
-    schema = T.StructType([*kept, T.StructField("severity", T.DoubleType()), T.StructField("grade", T.IntegerType()), T.StructField("toxic", T.BooleanType())])
-    text_at = [f.name.lower() for f in kept].index("text")
+    added = ("severity", "grade", "toxic")
+    rows = docs.select(whole(docs, *added).alias("document"), "text")
+    schema = T.StructType([rows.schema["document"], *(T.StructField(c, t()) for c, t in zip(added, (T.DoubleType, T.IntegerType, T.BooleanType), strict=True))])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as many weights as features were kept
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         empty = model.chances({})
         for batch in batches:
-            chances = np.array([model.chances(f) if f else empty for f in counted(batch.column(text_at), model.known)]).reshape(-1, GRADES)
+            chances = np.array([model.chances(f) if f else empty for f in counted(batch.column(1), model.known)]).reshape(-1, GRADES)
             each = -np.diff(np.concatenate([np.ones((len(chances), 1)), chances, np.zeros((len(chances), 1))], axis=1), axis=1)
-            columns = list(batch.columns)
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(chances.sum(1)), pa.array(each.argmax(1), pa.int32()), pa.array(chances[:, 0] >= 0.5)], names=schema.names
-            )
+            found = [batch.column(0), pa.array(chances.sum(1)), pa.array(each.argmax(1), pa.int32()), pa.array(chances[:, 0] >= 0.5)]
+            yield pa.RecordBatch.from_arrays(found, names=schema.names)
 
-    return docs.select(*others(docs, "severity", "grade", "toxic")).mapInArrow(score, schema)
+    return rows.mapInArrow(score, schema).select(*unpacked(docs, "document", *added), *added)
 
 
 def op8_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
