@@ -181,12 +181,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     )
     classes = land(classes, "classes")
 
-    spread = classes.select("node", F.explode("buckets").alias("bucket"))
+    spread = classes.select("node", F.posexplode("buckets").alias("band", "bucket"))
     company = spread.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     entries = land(spread.join(company, "bucket"), "entries")
     weight = entries.groupBy("node").agg(F.sum("size").alias("weight"))
     heavy = entries.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("hub"))
-    facts = land(classes.join(weight, "node").select("node", "of.*", "n", "signature"), "facts")
+    facts = land(classes.join(weight, "node").select("node", "of.*", "n", "signature", "buckets"), "facts")
     sets = land(set_table(docs, facts, width), "sets")
 
     hubs = entries.join(heavy.select("bucket", F.col("hub.node").alias("hub")), "bucket").filter("node != hub")
@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
 
 def _between(entries: DataFrame, facts: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket in different components that no bound rules out."""
-    placed = entries.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = entries.select("bucket", "band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     open_rows = land(placed.join(mixed.select("bucket"), "bucket"), "open")
     nodes = open_rows.select("node").distinct()
@@ -222,16 +222,18 @@ def _between(entries: DataFrame, facts: DataFrame, sets: DataFrame, roots: DataF
     numbered = land(nodes.withColumn("owner", F.monotonically_increasing_id()), "owners")
     elements = sets.join(numbered, "node").select("owner", "elements").mapInArrow(spread, "owner long, mark long")
     lone = elements.groupBy("mark").agg(F.count("*").alias("n"), F.min("owner").alias("owner")).filter("n = 1").groupBy("owner").agg(F.count("*").alias("lone"))
-    bounded = numbered.join(lone, "owner", "left").join(facts.select("node", "n", "signature"), "node")
+    bounded = numbered.join(lone, "owner", "left").join(facts.select("node", "n", "signature", "buckets"), "node")
     bounded = bounded.withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0))).filter(_may_link(F.col("shared"), F.col("n"), percent))
-    bounded = land(bounded.select("node", "n", "shared", "signature"), "bounded")
+    bounded = land(bounded.select("node", "n", "shared", "signature", "buckets"), "bounded")
 
     rows = open_rows.join(bounded, "node")
     left, right = rows.alias("l"), rows.alias("r")
     most = F.least(F.col("l.shared"), F.col("r.shared"))
+    # A pair comes from the first bucket that it shares.
+    first = F.array_position(F.zip_with("l.buckets", "r.buckets", lambda x, y: x == y), True) == F.col("l.band") + 1
     same = (
         (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.node") > F.col("r.node")) & (F.col("l.root") != F.col("r.root"))
-        & (100 * most >= percent * (F.col("l.n") + F.col("r.n") - most)) & _agree("l", "r")
+        & (100 * most >= percent * (F.col("l.n") + F.col("r.n") - most)) & _agree("l", "r") & first
     )
     return left.join(right, same).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
 
