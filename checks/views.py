@@ -70,7 +70,7 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "view", F.col("user_id")).alias("training_key"),
         F.lit("EVENTS").alias("source_system"),
         F.col("event_id").cast("string").alias("source_record_id"),
-        F.col("value").cast("decimal(5,2)").alias("hours"),
+        F.col("value").cast("decimal(18,2)").alias("hours"),
     )
 
 
@@ -104,7 +104,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = _plus(F.lit("1995-01-01 00:00:00").cast("timestamp_ntz"), F.col("c_custkey") * 7919)
     return customer.join(orders, customer.c_custkey == orders.o_custkey, "left").select(
         "c_custkey", F.coalesce("n", F.lit(0)).alias("n"), "c_name", start.alias("start_ts")
-    ).withColumn("end_ts", _plus("start_ts", F.lit(7147)))
+    ).withColumn("end_ts", _plus("start_ts", F.lit(5552)))
 
 
 def participants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +145,7 @@ def session_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 19 == 0, "not a time").when(k % 3 == 0, clock_text("start_ts", False))
         .otherwise(clock_text("start_ts")).alias("start_time_raw"),
         F.when(k % 29 == 0, "").otherwise(F.concat(F.lit(" "), clock_text("end_ts"))).alias("end_time_raw"),
-        duration_text(F.lit(7147)).alias("meeting_duration_raw"),
+        duration_text(F.lit(5552)).alias("meeting_duration_raw"),
         F.when(k % 7 == 0, F.lit(None)).otherwise(F.concat((k % 90).cast("string"), F.lit(" M"))).alias("average_attendance_time_raw"),
     )
 
@@ -242,7 +242,7 @@ def meeting_byte_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = [
         lit("1. Summary"), [F.lit("Meeting title"), meeting_title()], [F.lit("Attended participants"), F.col("n").cast("string")],
         [F.lit("Start time"), clock_text("start_ts")], [F.lit("End time"), clock_text("end_ts")],
-        [F.lit("Meeting duration"), duration_text(F.lit(7147))], [F.lit("Average attendance time"), F.concat((k % 90).cast("string"), F.lit("m 0s"))],
+        [F.lit("Meeting duration"), duration_text(F.lit(5552))], [F.lit("Average attendance time"), F.concat((k % 90).cast("string"), F.lit("m 0s"))],
         lit(""), lit("2. Participants"), lit(*PEOPLE_HEADER),
     ]
     tail = [lit(""), lit("3. In-Meeting Activities"), lit(*ACTION_HEADER)]
@@ -274,7 +274,10 @@ def meeting_byte_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     utf16 = F.concat(F.when(first, F.lit(b"\xff\xfe")).otherwise(F.lit(b"\x00")), F.encode(text, "UTF-16LE"))
     raw = F.when(k % 3 == 0, F.encode(text, "UTF-8")).when(k % 3 == 1, utf16).otherwise(F.encode(text, "ISO-8859-1"))
     name = F.concat(F.lit("Meeting"), k.cast("string"), F.lit(".csv"))
-    return lines.select(name.alias("path"), name.alias("file_name"), "line_number", raw.alias("raw"))
+    rows = lines.select(name.alias("path"), name.alias("file_name"), "line_number", raw.alias("raw"))
+    # The last line has no line feed.
+    lengths = rows.groupBy("path").agg((F.sum(F.length("raw") + 1) - 1).alias("length"))
+    return rows.join(lengths, "path").select("path", "file_name", "length", "line_number", "raw")
 
 
 def meeting_title() -> Column:

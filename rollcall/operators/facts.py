@@ -52,7 +52,7 @@ def _by_unique_name(rows: DataFrame, name: str, dim_employee: DataFrame, unique_
 
 
 def _fact(rows: DataFrame, code: str, system: str, *, day, hours: Column, record: Column, project=None, training=None) -> DataFrame:
-    """The fact columns; ``hours`` that are missing, negative or too large stay visible as null."""
+    """The fact columns; ``hours`` that are missing or negative stay visible as null."""
     def key(value) -> Column:
         return (F.lit(None) if value is None else col(value)).cast("bigint")
 
@@ -64,7 +64,7 @@ def _fact(rows: DataFrame, code: str, system: str, *, day, hours: Column, record
         key(training).alias("training_key"),
         F.lit(system).alias("source_system"),
         record.cast("string").alias("source_record_id"),
-        F.round(hours.cast("decimal(20,6)"), 2).try_cast("decimal(5,2)").alias("hours"),
+        F.round(F.when(hours >= 0, hours).cast("decimal(24,6)"), 2).cast("decimal(18,2)").alias("hours"),
         F.col("run_id").cast("bigint").alias("etl_run_id"),
     )
 

@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, MapType, Row, StringType, StructField, StructType
 
 from rollcall.operators import audit
 from rollcall.operators.ranking import number_by_hash
@@ -115,16 +115,24 @@ def raw_batch(meetings: Meetings, loaded: DataFrame, highest: Highest = Highest(
 class Store:
     """Tables in a shared folder, written batch by batch.
 
-    The rows a batch adds to a table are one partition, and writing the batch again replaces it. A
+    The rows a batch adds to a table are one folder per part, and writing the part again replaces it. A
     dimension is written as a whole to a new version, and the one it was built from is not touched.
-    A batch counts from the moment ``commit`` has written its row, which is the last step; readers
-    stop at the last committed batch. So several tables change together, and a job that dies half
-    way leaves nothing behind that is read: the next run has the same number and overwrites it.
-    There is one writer at a time.
+    A batch counts from the moment ``commit`` has written its row, which is the last step. The row
+    names the version of every dimension as of the batch, so a batch that leaves a dimension alone
+    keeps the one before, and the highest keys in use, so a load does not look through all rows for
+    them. Readers stop at the last committed batch. So several tables change together, and a job
+    that dies half way leaves nothing behind that is read: the next run has the same number and
+    overwrites it. A committed batch is not written again. There is one writer at a time.
     """
 
+    _COMMIT = StructType([
+        StructField("batch_id", LongType()), StructField("versions", MapType(StringType(), LongType())),
+        StructField("highest", MapType(StringType(), LongType())),
+    ])
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._written: dict[int, set[str]] = {}
 
     def _read(self, path: str, schema: StructType) -> DataFrame:
         try:
@@ -134,33 +142,64 @@ class Store:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _last(self) -> Row:
+        """The last commit row; batch 0 before the first."""
+        commits = self._read(f"{self.folder}/_commits.parquet", self._COMMIT)
+        last = commits.agg(F.max_by(F.struct("batch_id", "versions", "highest"), "batch_id").alias("c")).first()["c"]
+        return last or Row(batch_id=0, versions={}, highest={})
+
     def last_batch(self) -> int:
         """The number of the last committed batch, 0 before the first."""
-        commits = self._read(f"{self.folder}/_commits.parquet", StructType([StructField("batch_id", LongType())]))
-        return commits.agg(F.coalesce(F.max("batch_id"), F.lit(0))).first()[0]
-
-    def commit(self, batch_id: int) -> None:
-        row = self.spark.range(batch_id, batch_id + 1, numPartitions=1).select(F.col("id").alias("batch_id"))
-        row.write.mode("append").parquet(f"{self.folder}/_commits.parquet")
-
-    def write_batch(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        """K1, K3-K5: the rows of one batch, in place of any an earlier try has left."""
-        rows.write.mode("overwrite").parquet(f"{self.folder}/{table}/batch_id={batch_id}")
-
-    def rows(self, table: str, schema: StructType, batch_id: int | None = None) -> DataFrame:
+        return self._last()["batch_id"]
+
+    def highest(self, key: str) -> int:
+        """The highest value of a surrogate key as of the last committed batch, 0 before the first."""
+        return self._last()["highest"].get(key, 0)
+
+    def commit(self, batch_id: int, highest: dict[str, int] | None = None) -> None:
+        """Make a batch count; ``highest`` has the highest value of each key the batch has given."""
+        last = self._open(batch_id)
+        versions = {**last["versions"], **dict.fromkeys(self._written.pop(batch_id, ()), batch_id)}
+        keys = {k: max(v, last["highest"].get(k, 0)) for k, v in (highest or {}).items()}
+        row = self.spark.createDataFrame([(batch_id, versions, {**last["highest"], **keys})], self._COMMIT)
+        row.coalesce(1).write.mode("append").parquet(f"{self.folder}/_commits.parquet")
+
+    def _open(self, batch_id: int) -> Row:
+        """The last commit row, if ``batch_id`` comes after it."""
+        last = self._last()
+        if batch_id <= last["batch_id"]:
+            raise ValueError(f"batch {batch_id} is committed")
+        return last
+
+    def write_batch(self, table: str, rows: DataFrame, batch_id: int, part: str = "all") -> None:
+        """K1, K3-K5: the rows one part of a batch adds, in place of any an earlier try has left."""
+        self._open(batch_id)
+        rows.write.mode("overwrite").parquet(f"{self.folder}/{table}/batch_id={batch_id}/part={part}")
+
+    def rows(self, table: str, schema: StructType, batch_id: int | None = None, not_part: str | None = None) -> DataFrame:
         """Rows of all committed batches, or of one batch even if it is not committed yet."""
-        found = self._read(f"{self.folder}/{table}", StructType([*schema.fields, StructField("batch_id", LongType())]))
+        folders = [StructField("batch_id", LongType()), StructField("part", StringType())]
+        found = self._read(f"{self.folder}/{table}", StructType([*schema.fields, *folders]))
         chosen = F.col("batch_id") <= self.last_batch() if batch_id is None else F.col("batch_id") == batch_id
-        return found.where(chosen).drop("batch_id")
+        if not_part is not None:
+            chosen = chosen & (F.col("part") != not_part)
+        return found.where(chosen).drop("batch_id", "part")
 
     def write_version(self, table: str, rows: DataFrame, batch_id: int) -> None:
         """K6, K7: the whole table as of a batch."""
+        self._open(batch_id)
         rows.write.mode("overwrite").parquet(f"{self.folder}/{table}/version={batch_id}")
+        self._written.setdefault(batch_id, set()).add(table)
 
     def version(self, table: str, schema: StructType, batch_id: int | None = None) -> DataFrame:
-        """The whole table as of the last committed batch or the given one; empty before the first."""
-        number = self.last_batch() if batch_id is None else batch_id
-        return self._read(f"{self.folder}/{table}/version={number}", schema)
+        """The whole table as of the last committed batch, or as a batch that is open has written it.
+
+        Empty before the first version; a version that a commit names and that is gone is an error.
+        """
+        number = self._last()["versions"].get(table) if batch_id is None else batch_id
+        if number is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{table}/version={number}")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

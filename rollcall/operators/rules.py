@@ -43,7 +43,7 @@ def quality_rows(
         status.alias("result_status"),
         F.col("checked_rows").cast("bigint").alias("checked_rows"),
         F.col("failed_rows").cast("bigint").alias("failed_rows"),
-        F.lit(details[:4000]).alias("details"),
+        F.lit(details).alias("details"),
     )
 
 

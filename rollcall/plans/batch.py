@@ -12,8 +12,9 @@ from rollcall.operators.loads import Highest, Store
 from rollcall.operators.ranking import number_by_hash
 from rollcall.plans import quality
 from rollcall.sources import master
-from rollcall.sources.files import require_files, unseen_files
-from rollcall.sources.meetings import Meetings, parse_meetings, read_meetings
+from rollcall.sources.files import FILE_COLUMNS, decode_lines, describe_files
+from rollcall.sources.meetings import Meetings, parse_meetings
+from rollcall.storage import land
 
 RAW, STAGING, TARGET, CONTROL = schemas.SOURCES, schemas.STAGING, schemas.TARGET, schemas.CONTROL
 
@@ -22,18 +23,13 @@ MEETING_GLOB = "Meeting*.csv"
 
 
 def load_folder(spark: SparkSession, directory: str | list[str], store: Store, people: list[DataFrame] | None = None) -> int:
-    """Load the meeting exports of a folder. Files loaded before are skipped, so it may run again."""
-    loaded = store.rows("training_session_raw", RAW["training_session_raw"])
-    if loaded.isEmpty():
-        return load_meetings(read_meetings(spark, directory, MEETING_GLOB), store, people)
-    require_files(spark, directory, MEETING_GLOB)
-    locations, known = unseen_files(spark, directory, loaded, MEETING_GLOB)
-    if locations:
-        fresh = read_meetings(spark, locations, MEETING_GLOB)
-    else:
-        lines = spark.createDataFrame([], "path string, line_number bigint, line string, delimiter string")
-        fresh = parse_meetings(known.limit(0), lines)
-    return load_meetings(replace(fresh, files=fresh.files.unionByName(known)), store, people)
+    """Load the meeting exports of a folder. Files loaded before are known by their hash and not parsed again."""
+    hashes = store.rows("training_session_raw", RAW["training_session_raw"]).select("source_file_hash").distinct()
+    files, raw = describe_files(spark, directory, MEETING_GLOB)
+    fresh = land(files.join(hashes, "source_file_hash", "left_anti").select(*files.columns), "fresh_files")
+    known = files.join(hashes, "source_file_hash", "left_semi").select(*FILE_COLUMNS)
+    meetings = parse_meetings(fresh.select(*FILE_COLUMNS), decode_lines(raw, fresh))
+    return load_meetings(replace(meetings, files=meetings.files.unionByName(known)), store, people)
 
 
 def load_meetings(meetings: Meetings, store: Store, people: list[DataFrame] | None = None) -> int:
@@ -47,25 +43,30 @@ def load_meetings(meetings: Meetings, store: Store, people: list[DataFrame] | No
     _stage_and_check(store, batch)
     _load_dimensions(store, batch, people or [])
     _load_facts(store, batch)
-    store.commit(batch)
+    commit(store, batch)
     return batch
 
 
+#: Surrogate keys with the table that holds them.
+_KEYS = {
+    "run_id": ("etl_run_event", CONTROL), "session_raw_id": ("training_session_raw", RAW), "participant_raw_id": ("training_participant_raw", RAW),
+    "activity_raw_id": ("training_activity_raw", RAW), "activity_key": ("fact_employee_activity", TARGET),
+}
+
+
+def commit(store: Store, batch: int) -> None:
+    """Commit a batch with the highest keys among its own rows."""
+    found = {key: store.rows(table, group[table], batch).agg(F.max(key)).first()[0] for key, (table, group) in _KEYS.items()}
+    store.commit(batch, {key: value for key, value in found.items() if value is not None})
+
+
 def _with_clock(rows: DataFrame, column: str) -> DataFrame:
     return rows.withColumn(column, F.current_timestamp())
 
 
 def _load_raw(meetings: Meetings, store: Store, batch: int) -> None:
-    def highest(table: str, schema, key: str):
-        return store.rows(table, schema).agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-
     loaded = store.rows("training_session_raw", RAW["training_session_raw"]).select("source_file_hash", "session_source_key")
-    raw = loads.raw_batch(meetings, loaded, Highest(
-        highest("etl_run_event", CONTROL["etl_run_event"], "run_id"),
-        highest("training_session_raw", RAW["training_session_raw"], "session_raw_id"),
-        highest("training_participant_raw", RAW["training_participant_raw"], "participant_raw_id"),
-        highest("training_activity_raw", RAW["training_activity_raw"], "activity_raw_id"),
-    ))
+    raw = loads.raw_batch(meetings, loaded, Highest(*(store.highest(key) for key in ("run_id", "session_raw_id", "participant_raw_id", "activity_raw_id"))))
     store.write_batch("training_session_raw", _with_clock(raw.sessions, "process_timestamp"), batch)
     store.write_batch("training_participant_raw", _with_clock(raw.participants, "process_timestamp"), batch)
     store.write_batch("training_activity_raw", _with_clock(raw.activities, "process_timestamp"), batch)
@@ -124,18 +125,19 @@ def _load_facts(store: Store, batch: int) -> None:
         _staged(store, batch, "stg_training_session"), store.version("dim_training", TARGET["dim_training"], batch),
         store.version("dim_employee", TARGET["dim_employee"], batch),
     )
-    add_facts(store, rows, batch)
+    add_facts(store, rows, batch, "training")
 
 
-def add_facts(store: Store, rows: DataFrame, batch: int) -> None:
-    """Number fact rows and write them as the facts of a batch."""
+def add_facts(store: Store, rows: DataFrame, batch: int, part: str) -> None:
+    """Number fact rows and write them as a part of the facts of a batch that is not committed yet."""
     schema = TARGET["fact_employee_activity"]
-    highest = store.rows("fact_employee_activity", schema).agg(F.coalesce(F.max("activity_key"), F.lit(0))).scalar()
+    others = store.rows("fact_employee_activity", schema, batch, not_part=part).agg(F.max("activity_key")).first()[0]
+    highest = max(store.highest("activity_key"), others or 0)
     numbered = number_by_hash(
         rows, ["source_system", "source_record_id", "activity_type_key"], "activity_key", highest, costly=True
     )
     timed = _with_clock(numbered, "load_timestamp")
-    store.write_batch("fact_employee_activity", timed.select(*schema.names), batch)
+    store.write_batch("fact_employee_activity", timed.select(*schema.names), batch, part)
 
 
 def run_table(store: Store) -> DataFrame:

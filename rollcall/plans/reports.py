@@ -62,7 +62,7 @@ def monthly_activity(
         _dated(fact, dim_date, dim_activity_type)
         .groupBy("employee_key", "year_number", "month_number", "month_name", "activity_code")
         .agg(
-            F.sum(F.coalesce("hours", F.lit(0).cast("decimal(5,2)"))).alias("_hours"),
+            F.sum(F.coalesce("hours", F.lit(0).cast("decimal(18,2)"))).alias("_hours"),
             F.count(F.lit(1)).alias("_count"),
         )
     )

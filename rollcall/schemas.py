@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), "date": T.DateType(),
-    "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(), "decimal(5,2)": T.DecimalType(5, 2),
+    "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(), "decimal(18,2)": T.DecimalType(18, 2),
 }
 
 
@@ -96,7 +96,7 @@ TARGET = {
     "fact_employee_activity": _schema(
         "activity_key bigint, employee_key bigint, date_key int, activity_type_key int, "
         "project_key bigint, training_key bigint, source_system string, source_record_id string, "
-        "hours decimal(5,2), load_timestamp timestamp, etl_run_id bigint"
+        "hours decimal(18,2), load_timestamp timestamp, etl_run_id bigint"
     ),
 }
 

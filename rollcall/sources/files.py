@@ -3,33 +3,28 @@
 ``lines`` have the columns path, line_number, line, delimiter: text without its line feed.
 ``files`` have one row per file: path, file_name, length, source_file_hash, encoding, delimiter, error.
 
-Files up to ``WHOLE_FILE_BYTES`` are read whole, one row each, and split without a shuffle. Larger
-files are read as byte lines by many tasks, and what holds for the file as a whole (encoding,
-delimiter, line numbers) is aggregated and joined back. Both ways give the same lines.
+Files of every size go one way: they are read as byte lines by many tasks, and what holds for the
+file as a whole (line numbers, encoding, delimiter, content hash) is aggregated and joined back by file
+and block of lines. Everything is a column expression.
 """
 
 from __future__ import annotations
 
-import csv
 import re
 from pathlib import PurePosixPath
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StringType
 
 from rollcall.sources.perfile import join_file_facts
 from rollcall.storage import land
 
-# Accepted extensions, sample length for the delimiter, delimiters to sniff.
+# Accepted extensions, delimiters to choose from when there is no tab.
 EXTENSIONS = (".csv", ".xlsx", ".xls")
-SAMPLE_CHARS = 10_000
-SNIFFED = ";|,"
+CHOSEN_FROM = (";", "|", ",")
 
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
-# A character takes at most four bytes, so the sample lies within this many.
-_SAMPLE_BYTES = 4 * SAMPLE_CHARS
+# Lines in a block when something is counted along a file.
+BLOCK_LINES = 10_000
 
 
 def _plain(name: Column) -> Column:
@@ -109,24 +104,6 @@ _CP1252 = "".join(b.decode("cp1252") for b in _DEFINED)
 _UNDEFINED = "[" + "".join(b.decode("latin-1") for b in _HIGH if b not in _DEFINED) + "]"
 
 
-# The two functions that run in Python are nested, so that they reach the workers by value and
-# the package need not be installed there.
-
-
-def _utf16_checked(content: Column, codec: Column) -> Column:
-    """UTF-16 text that may hold broken surrogates; null where it does."""
-    def decoded(raw, name):
-        try:
-            return None if raw is None else bytes(raw).decode(name)
-        except UnicodeDecodeError:
-            return None
-
-    def batch(content: pd.Series, codec: pd.Series) -> pd.Series:
-        return pd.Series([decoded(raw, name) for raw, name in zip(content, codec)], dtype=object)
-
-    return F.pandas_udf(batch, StringType())(content, codec)
-
-
 def _latin1(content: Column) -> Column:
     return F.decode(content, "ISO-8859-1")
 
@@ -155,70 +132,32 @@ def choose_encoding(utf8: Column, mark: Column, even: Column, undefined: Column)
 
 
 def decode(content: Column, encoding: Column) -> Column:
-    """Text of ``content``; a byte order mark is dropped, broken UTF-16 is null.
-
-    Only UTF-16 content with a byte that can be part of a surrogate goes through Python, because
-    the built-in decoder stops the job on a broken pair.
-    """
-    utf16 = encoding.startswith("utf-16")
-    doubtful = utf16 & _latin1(content).rlike("[Ø-ß]")
-    checked = _utf16_checked(F.when(doubtful, content), encoding)
-    text = (
+    """Text of whole lines; UTF-16 has to be well formed (see ``is_well_formed``)."""
+    return (
         F.when(encoding == "utf-8-sig", content.cast("string"))
-        .when(doubtful, checked)
-        .when(encoding == "utf-16-le", F.decode(F.when(utf16, content), "UTF-16LE"))
-        .when(encoding == "utf-16-be", F.decode(F.when(utf16, content), "UTF-16BE"))
+        .when(encoding == "utf-16-le", F.decode(F.when(encoding == "utf-16-le", content), "UTF-16LE"))
+        .when(encoding == "utf-16-be", F.decode(F.when(encoding == "utf-16-be", content), "UTF-16BE"))
         .when(encoding == "cp1252", F.translate(_latin1(content), _LATIN, _CP1252))
         .otherwise(_latin1(content))
     )
-    return F.regexp_replace(text, "^﻿", "")
-
-
-# --- delimiter ------------------------------------------------------------------------------
-
-
-def _sniffed(sample: Column) -> Column:
-    allowed = SNIFFED
-
-    def sniff(text):
-        if text is None:
-            return None
-        try:
-            return csv.Sniffer().sniff(text, delimiters=allowed).delimiter
-        except csv.Error:
-            return ","
-
-    def batch(sample: pd.Series) -> pd.Series:
-        return pd.Series([sniff(text) for text in sample], dtype=object)
 
-    return F.pandas_udf(batch, StringType())(sample)
 
+def is_well_formed(content: Column, wide: Column) -> Column:
+    """Whether UTF-16 bytes have every surrogate in a pair, seen through ISO-8859-1."""
+    low_first = r"(?s)\A(?:.[^Ø-ß]|.[Ø-Û].[Ü-ß])*+\z"
+    high_first = r"(?s)\A(?:[^Ø-ß].|[Ø-Û].[Ü-ß].)*+\z"
+    text = _latin1(content)
+    return F.when(wide == "FFFE", text.rlike(low_first)).when(wide == "FEFF", text.rlike(high_first)).otherwise(True)
 
-def choose_delimiter(sample: Column) -> Column:
-    """A tab in the sample wins, else the sniffed one of ``; | ,``, else comma."""
-    text = F.regexp_replace(F.substring(sample, 1, SAMPLE_CHARS), "\r\n?", "\n")
-    tab = F.contains(text, F.lit("\t"))
-    # Without a semicolon or a bar the answer can only be a comma, sniffed or not.
-    open_question = ~tab & text.rlike("[;|]")
-    sniffed = _sniffed(F.when(open_question, text))
-    return F.when(tab, "\t").when(sniffed.isin(*SNIFFED), sniffed).otherwise(",")
 
-
-# --- whole files ----------------------------------------------------------------------------
-
-
-def decode_files(files: DataFrame) -> DataFrame:
-    """Whole files (path, file_name, length, content) with hash, encoding, text, delimiter, error."""
-    content = F.col("content")
-    even = F.length(content) % 2 == 0
-    encoding = choose_encoding(is_utf8(content), bom(content), even, has_undefined_byte(content))
-    decoded = (
-        files.withColumn("source_file_hash", F.sha2("content", 256))
-        .withColumn("encoding", encoding)
-        .withColumn("text", decode(content, F.col("encoding")))
-        .withColumn("delimiter", choose_delimiter(F.col("text")))
+def _plain_text(content: Column, wide: Column) -> Column:
+    """The ASCII characters of a line, enough to look for delimiters before it is decoded."""
+    text = _latin1(content)
+    return (
+        F.when(wide == "FFFE", F.regexp_replace(text, r"(?s)(.)\x00|..", "$1"))
+        .when(wide == "FEFF", F.regexp_replace(text, r"(?s)\x00(.)|..", "$1"))
+        .otherwise(text)
     )
-    return decoded.withColumn("error", file_error(F.col("length"), F.col("text").isNull())).drop("content", "location")
 
 
 def file_error(length: Column, undecodable: Column) -> Column:
@@ -229,27 +168,19 @@ FILE_COLUMNS = ["path", "file_name", "length", "source_file_hash", "encoding", "
 LINE_COLUMNS = ["path", "line_number", "line", "delimiter"]
 
 
-def split_lines(decoded: DataFrame) -> DataFrame:
-    """Lines of decoded whole files. A carriage return before the line feed stays on the line."""
-    text = F.regexp_replace("text", "\r(?!\n)", "\n")
-    pieces = F.split(F.regexp_replace(text, "\n\\z", ""), "\n")
-    return decoded.where(F.col("error").isNull()).select(
-        "path", "delimiter", F.posexplode(pieces).alias("line_number", "line")
-    ).select("path", (F.col("line_number") + 1).cast("bigint").alias("line_number"), "line", "delimiter")
-
-
 # --- byte lines -----------------------------------------------------------------------------
 
 
-def read_byte_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Lines of large files as bytes (path, file_name, line_number, raw), each file read by many tasks.
+def read_byte_lines(spark: SparkSession, directory: str | list[str], glob: str) -> DataFrame:
+    """Lines of files as bytes (path, file_name, length, line_number, raw), each file read by many tasks.
 
     A task knows the order of its own lines only. Lines are counted per block of a file, and the
     count of the earlier blocks is added.
     """
-    read = spark.read.option("lineSep", "\n").text(exact(paths)).select(
+    places = directory if isinstance(directory, str) else exact(directory)
+    read = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(places).select(
         F.col("_metadata.file_path").alias("path"), _file_name().alias("file_name"),
-        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("length"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"), F.col("value").cast("binary").alias("raw"),
     )
     blocks = read.groupBy("path", "block").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
@@ -258,143 +189,147 @@ def read_byte_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         "path", "block", "first_id", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
     )
     return read.join(offsets, ["path", "block"]).select(
-        "path", "file_name", (F.col("before") + F.col("id") - F.col("first_id") + 1).alias("line_number"), "raw"
+        "path", "file_name", "length", (F.col("before") + F.col("id") - F.col("first_id") + 1).alias("line_number"), "raw"
     )
 
 
-def describe_byte_lines(raw: DataFrame) -> DataFrame:
-    """One row per file out of its byte lines: the ``files`` columns and the number of lines.
-
-    The hash of such a file is built from one hash per numbered line, combined in any order, so no
-    task has to see the whole file.
-    """
-    content = F.col("raw")
-    first = F.col("line_number") == 1
-    # In UTF-16 the line feed has two bytes. The cut after 0x0A leaves the second (little endian)
-    # or first (big endian) one on a neighbouring line, so all lines but the outer ones are odd.
-    size = F.length(content)
-    even_size = size % 2 == 0
-    after_le = ~even_size & (F.hex(F.substring(content, 1, 1)) == "00")
-    before_be = ~even_size & (F.hex(F.substring(content, -1, 1)) == "00")
-    summary = raw.groupBy("path", "file_name").agg(
-        (F.sum(size) + F.count(F.lit(1))).alias("length"),
-        F.max("line_number").alias("last_line"),
-        F.max(F.when(first, bom(content))).alias("mark"),
-        F.bool_and(is_utf8(content)).alias("utf8"),
-        F.bool_or(has_undefined_byte(content)).alias("undefined"),
-        F.bool_and(F.when(first, even_size).otherwise(after_le)).alias("cut_le"),
-        F.count_if(~before_be).alias("uncut_be"),
-        F.bit_xor(F.xxhash64("line_number", content)).alias("h1"),
-        F.sum(F.xxhash64(content, "line_number").cast("decimal(20,0)")).alias("h2"),
-    )
-    mark = F.col("mark")
-    # The last big endian line has no line feed after it, so one line may differ.
-    even = F.when(mark == "FFFE", F.col("cut_le")).otherwise(F.col("uncut_be") <= 1)
-    broken = (mark.isin("FFFE", "FEFF")) & ~even
-    digest = F.sha2(F.concat_ws("|", F.col("length").cast("string"), F.col("h1").cast("string"), F.col("h2").cast("string")), 256)
-    described = summary.select(
-        "path", "file_name", "length", "last_line", digest.alias("source_file_hash"),
-        choose_encoding(F.col("utf8"), mark, even, F.col("undefined")).alias("encoding"),
-        F.when(broken, "UNDECODABLE").alias("error"),
-    )
-    sample = sample_bytes(raw)
+def _running(rows: DataFrame, value: Column, out: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` over all earlier lines of the file, added up block by block."""
+    placed = rows.withColumn("_at", F.floor(F.col("line_number") / BLOCK_LINES)).withColumn("_value", value.cast("bigint"))
+    earlier = Window.partitionBy("path").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = placed.groupBy("path", "_at").agg(F.sum("_value").alias("_sum"))
+    offsets = blocks.select("path", "_at", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("path", "_at").orderBy("line_number").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        described.join(sample, "path")
-        .withColumn("sample_text", F.array_join(F.transform(
-            "sample", lambda piece: _plain_decode(byte_line(piece["raw"], piece["line_number"], F.col("encoding")), F.col("encoding"))
-        ), "\n"))
-        .withColumn("delimiter", choose_delimiter(F.col("sample_text")))
-        .select(*FILE_COLUMNS, "last_line")
+        placed.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+        .join(offsets, ["path", "_at"])
+        .withColumn(out, F.col("_before") + F.col("_inside"))
+        .drop("_at", "_value", "_inside", "_before")
     )
 
 
-def _plain_decode(content: Column, encoding: Column) -> Column:
-    """Decoding for the sample only, where a broken character may be anything: ASCII is kept."""
-    narrow = F.regexp_replace(_latin1(content), "\u0000", "")
-    return F.when(encoding.startswith("utf-16"), narrow).otherwise(_latin1(content))
-
+def whole_lines(raw: DataFrame) -> DataFrame:
+    """Byte lines with ``wide`` (the mark of a UTF-16 file, else null) and with the lines of such files mended.
 
-def sample_bytes(raw: DataFrame) -> DataFrame:
-    """The lines in which the first 10,000 characters lie, in order (path, sample).
-
-    A line has at least its line feed, so only the first 10,000 lines can be among them; that
-    bounds the window, and the byte limit bounds the list.
+    In UTF-16 a line feed has two bytes, and its byte may be half of another character. Bytes between
+    two such bytes are one line unless both lie where a character begins and ends: that follows
+    from the place of the byte in the file, which is the sum of the lengths before it.
     """
-    head = raw.where(F.col("line_number") <= SAMPLE_CHARS).select(
-        "path", "line_number", F.substring("raw", 1, _SAMPLE_BYTES).alias("raw")
+    mark = bom(F.col("raw"))
+    wide_file = (F.col("line_number") == 1) & mark.isin("FFFE", "FEFF") & (F.col("length") % 2 == 0)
+    marks = raw.where(wide_file).select("path", mark.alias("wide"), "length")
+    if marks.isEmpty():
+        return raw.withColumn("wide", F.lit(None).cast("string"))
+    narrow = raw.join(marks.select("path"), "path", "left_anti").withColumn("wide", F.lit(None).cast("string"))
+    # Every line has one byte at least, so the length bounds the number of the last line.
+    pieces = join_file_facts(raw.drop("length"), marks, ["path"], "line_number", "length")
+    placed = _running(pieces, F.length("raw") + 1, "start")
+    little, size = F.col("wide") == "FFFE", F.length("raw")
+    first, last = F.hex(F.substring("raw", 1, 1)) == "00", F.hex(F.substring("raw", -1, 1)) == "00"
+    begins = (F.col("line_number") == 1) | ((F.col("start") % 2 == 1) & first)
+    ends = ((F.col("start") + size) % 2 == 1) & last
+    # Little endian: the zero byte behind a real line feed begins a line. Big endian: the one before it ends a line.
+    stepped = placed.withColumn("step", F.when(little, begins).otherwise(ends))
+    numbered = _running(stepped, F.col("step"), "prior").withColumn(
+        "number", F.col("prior") + F.when(little, F.col("step").cast("bigint")).otherwise(F.lit(1))
     )
-    earlier = Window.partitionBy("path").orderBy("line_number").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        head.withColumn("before", F.coalesce(F.sum(F.length("raw") + 1).over(earlier), F.lit(0)))
-        .where(F.col("before") < _SAMPLE_BYTES)
-        .groupBy("path")
-        .agg(F.sort_array(F.collect_list(F.struct("line_number", "raw"))).alias("sample"))
+    half = F.col("step") & (~little | (F.col("line_number") > 1))
+    content = (
+        F.when(half & little, F.substring(F.col("raw"), F.lit(2), size))
+        .when(half, F.substring(F.col("raw"), F.lit(1), size - 1)).otherwise(F.col("raw"))
     )
+    # The second byte of the last line feed of a little endian file is no line.
+    remnant = little & half & (size == 1) & (F.col("start") + 1 == F.col("length"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_number", "piece"))), lambda p: p["piece"]), "\n")
+    mended = (
+        numbered.where(~remnant).withColumn("piece", _latin1(content))
+        .groupBy("path", "file_name", "length", "wide", "number").agg(F.encode(joined, "ISO-8859-1").alias("raw"))
+    )
+    return narrow.unionByName(mended.withColumnRenamed("number", "line_number"))
 
 
-def byte_line(raw: Column, line_number: Column, encoding: Column) -> Column:
-    """A byte line without the half line feed that the cut left on it in UTF-16."""
-    low_first = (encoding == "utf-16-le") & (line_number > 1)
-    high_last = (encoding == "utf-16-be") & (F.length(raw) % 2 == 1)
-    body = F.when(low_first, F.substring(raw, 2, 2**31 - 1)).otherwise(raw)
-    return F.when(high_last, F.substring(raw, F.lit(1), F.length(raw) - 1)).otherwise(body)
-
-
-def decode_byte_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
-    """Lines of large files as text. ``files`` is small per file and joined by path."""
-    facts = files.where(F.col("error").isNull()).select("path", "encoding", "delimiter", "last_line")
-    # The second byte of the last little endian line feed is cut off as a line of its own.
-    remnant = (F.col("encoding") == "utf-16-le") & (F.col("line_number") == F.col("last_line")) & (F.hex("raw") == "00")
-    joined = join_file_facts(raw, facts, ["path"], "line_number", "last_line").where(~remnant)
-    content = byte_line(F.col("raw"), F.col("line_number"), F.col("encoding"))
-    return joined.select("path", "line_number", decode(content, F.col("encoding")).alias("line"), "delimiter")
-
-
-# --- both -----------------------------------------------------------------------------------
-
-
-def hash_files(spark: SparkSession, directory: str | list[str], glob: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """Files up to the limit with their content hash, nothing decoded."""
-    listing = _listing(spark, directory, glob).where(F.col("length") <= whole_file_bytes)
-    return listing.withColumn("source_file_hash", F.sha2("content", 256)).drop("content")
-
-
-def unseen_files(spark: SparkSession, directory: str | list[str], loaded: DataFrame, glob: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> tuple[list[str], DataFrame]:
-    """K2 before any parsing: ``(locations to read, files known by their hash)``.
+def describe_byte_lines(raw: DataFrame) -> DataFrame:
+    """One row per file out of its ``whole_lines``: the ``files`` columns, ``last_line`` and ``bare_cr``.
 
-    Files are hashed once; only the others are read again and parsed. Empty and large files are
-    always among the locations. The driver holds locations, as its file index does anyway.
+    The content hash (S12) is a digest of the length and of one hash per numbered line, combined in any order: one
+    definition for all sizes, and no task has to see a whole file. With the length it also
+    tells whether the last line has its line feed.
     """
-    hashed = land(hash_files(spark, directory, glob, whole_file_bytes), "hashed")
-    hashes = loaded.select("source_file_hash").distinct()
-    fresh = hashed.join(hashes, "source_file_hash", "left_anti").select("location")
-    large = _listing(spark, directory, glob).where(F.col("length") > whole_file_bytes).select("location")
-    empty = empty_files(spark, directory, glob).select(_plain(F.col("path")).alias("location"))
-    locations = [row.location for row in fresh.unionByName(large).unionByName(empty).collect()]
-    nothing = F.lit(None).cast("string")
-    known = hashed.join(hashes, "source_file_hash", "left_semi").withColumns({"encoding": nothing, "delimiter": nothing, "error": nothing})
-    return locations, known.select(*FILE_COLUMNS)
+    content, text = F.col("raw"), _plain_text(F.col("raw"), F.col("wide"))
+    first = F.col("line_number") == 1
+    summary = raw.groupBy("path", "file_name", "length").agg(
+        F.max("line_number").alias("last_line"),
+        F.max(F.when(first, bom(content))).alias("mark"),
+        F.bool_and(is_utf8(content)).alias("utf8"),
+        F.bool_or(has_undefined_byte(content)).alias("undefined"),
+        F.bool_and(is_well_formed(content, F.col("wide"))).alias("well_formed"),
+        F.bool_or(F.contains(text, F.lit("\t"))).alias("tab"),
+        F.bool_or(text.rlike("[;|]")).alias("open"),
+        F.bool_or(text.rlike("\r(?!\\z)")).alias("bare_cr"),
+        F.bit_xor(F.xxhash64("line_number", content)).alias("h1"),
+        F.sum(F.xxhash64(content, "line_number").cast("decimal(20,0)")).alias("h2"),
+    )
+    digest = F.sha2(F.concat_ws("|", F.col("length").cast("string"), F.col("h1").cast("string"), F.col("h2").cast("string")), 256)
+    encoding = choose_encoding(F.col("utf8"), F.col("mark"), F.col("length") % 2 == 0, F.col("undefined"))
+    facts = land(summary.withColumn("source_file_hash", digest).withColumn("encoding", encoding), "summary")
+    chosen = choose_delimiters(raw, facts.where("open AND NOT tab").select("path", "last_line"))
+    delimiter = F.when(F.col("tab"), "\t").otherwise(F.coalesce("chosen", F.lit(",")))
+    return facts.join(chosen, "path", "left").withColumn("delimiter", delimiter).withColumn(
+        "error", file_error(F.col("length"), F.col("encoding").startswith("utf-16") & ~F.col("well_formed"))
+    ).select(*FILE_COLUMNS, "last_line", "bare_cr")
 
 
-def read_files(spark: SparkSession, directory: str | list[str], glob: str = "*.csv", whole_file_bytes: int = WHOLE_FILE_BYTES) -> tuple[DataFrame, DataFrame]:
-    """``(files, lines)`` of a folder, or of single files, landed once.
+def choose_delimiters(raw: DataFrame, open_files: DataFrame) -> DataFrame:
+    """S4 for files without a tab: path, chosen.
 
-    The driver holds the paths of the files above the limit, nothing else.
+    A line's width is how often a delimiter stands in it outside quotes. The delimiter wins whose most
+    frequent width above zero has most lines, then the wider one, then the earlier of ``; | ,``.
     """
+    placed = join_file_facts(raw, open_files, ["path"], "line_number", "last_line")
+    bare = F.regexp_replace(_plain_text(F.col("raw"), F.col("wide")), '"[^"]*+(?:"|\\z)', "")
+    widths = F.array(*[
+        F.struct(F.lit(-i).alias("order"), (F.length(bare) - F.length(F.replace(bare, F.lit(d)))).alias("width"))
+        for i, d in enumerate(CHOSEN_FROM)
+    ])
+    counted = placed.select("path", F.inline(widths)).where("width > 0").groupBy("path", "order", "width").agg(F.count(F.lit(1)).alias("n"))
+    best = F.max_by("order", F.struct("n", "width", "order"))
+    names = F.array(*[F.lit(d) for d in CHOSEN_FROM])
+    return counted.groupBy("path").agg(best.alias("best")).select("path", F.element_at(names, 1 - F.col("best")).alias("chosen"))
+
+
+def decode_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
+    """Lines as text, out of ``whole_lines`` and ``describe_byte_lines``; only of the ``files`` given."""
+    facts = files.where(F.col("error").isNull()).select("path", "encoding", "delimiter", "last_line", "bare_cr")
+    joined = join_file_facts(raw.select("path", "line_number", "raw"), facts, ["path"], "line_number", "last_line")
+    text = decode(F.col("raw"), F.col("encoding"))
+    text = F.when(F.col("line_number") == 1, F.regexp_replace(text, "^\ufeff", "")).otherwise(text)
+    lines = joined.withColumn("line", text)
+    if files.where("bare_cr").isEmpty():
+        return lines.select(*LINE_COLUMNS)
+    # A carriage return without a line feed ends a line too, so later lines of such a file move down.
+    pieces = F.split(F.regexp_replace("line", "\r(?!\\z)", "\u0000\n"), "\u0000\n")
+    moved = _running(lines.where("bare_cr").withColumn("pieces", pieces), F.size("pieces") - 1, "more")
+    moved = moved.select("path", "delimiter", F.col("line_number").alias("own"), "more", F.posexplode("pieces").alias("piece", "line"))
+    moved = moved.withColumn("line_number", F.col("own") + F.col("more") + F.col("piece"))
+    return lines.where("NOT bare_cr").select(*LINE_COLUMNS).unionByName(moved.select(*LINE_COLUMNS))
+
+
+# --- folders --------------------------------------------------------------------------------
+
+
+def describe_files(spark: SparkSession, directory: str | list[str], glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
+    """``(files, raw)`` of a folder, or of single files, landed once: their facts and their byte lines."""
     require_files(spark, directory, glob)
-    listing = _listing(spark, directory, glob)
-    decoded = land(decode_files(listing.where(F.col("length") <= whole_file_bytes)), "decoded")
+    raw = land(whole_lines(land(read_byte_lines(spark, directory, glob), "byte_lines")), "whole_lines")
     nothing = F.lit(None).cast("string")
     empty = empty_files(spark, directory, glob).withColumns({
-        "source_file_hash": F.sha2(F.lit(b""), 256), "encoding": nothing, "delimiter": nothing,
-        "error": file_error(F.col("length"), F.lit(False)),
+        "source_file_hash": F.sha2(F.lit("0||").cast("binary"), 256), "encoding": nothing, "delimiter": nothing,
+        "error": file_error(F.col("length"), F.lit(False)), "last_line": F.lit(0).cast("bigint"), "bare_cr": F.lit(False),
     })
-    files = decoded.select(*FILE_COLUMNS).unionByName(empty.select(*FILE_COLUMNS))
-    lines = split_lines(decoded).select(*LINE_COLUMNS)
-    large = [row.location for row in listing.where(F.col("length") > whole_file_bytes).select("location").collect()]
-    if large:
-        raw = land(read_byte_lines(spark, large), "byte_lines")
-        large_files = land(describe_byte_lines(raw), "large_files")
-        files = files.unionByName(large_files.drop("last_line"))
-        lines = lines.unionByName(decode_byte_lines(raw, large_files).select(*LINE_COLUMNS))
-    return files, lines
+    return land(describe_byte_lines(raw).unionByName(empty), "files"), raw
+
+
+def read_files(spark: SparkSession, directory: str | list[str], glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
+    """``(files, lines)`` of a folder, or of single files."""
+    files, raw = describe_files(spark, directory, glob)
+    return files.select(*FILE_COLUMNS), decode_lines(raw, files)

@@ -60,13 +60,13 @@ def choose_layout(records: DataFrame) -> DataFrame:
 
     Widths above one are counted per delimiter; the dominant width is the most frequent, the wider
     of equals. The delimiter with the best (count, width, rows with several columns) wins, and the
-    earlier one in the list of equals. A reading with a field beyond the limit does not take part.
+    earlier one in the list of equals. A reading with a quote that is never closed does not take part.
     """
     width = F.size("cells")
     histogram = (
         records.groupBy("path", "delimiter", width.alias("width"), (_filled() & (width > 1)).alias("counts"))
         .agg(
-            F.count(F.lit(1)).alias("n"), F.bool_or("too_long").alias("too_long"), F.max("row_number").alias("last_row")
+            F.count(F.lit(1)).alias("n"), F.bool_or("unclosed").alias("unclosed"), F.max("row_number").alias("last_row")
         )
     )
     counted = F.when(F.col("counts"), F.col("n"))
@@ -75,10 +75,10 @@ def choose_layout(records: DataFrame) -> DataFrame:
         .agg(
             F.max(F.when(F.col("counts"), F.struct("n", "width"))).alias("top"),
             F.sum(counted).alias("multi"),
-            F.bool_or("too_long").alias("too_long"),
+            F.bool_or("unclosed").alias("unclosed"),
             F.max("last_row").alias("last_row"),
         )
-        .where(F.col("top").isNotNull() & ~F.col("too_long"))
+        .where(F.col("top").isNotNull() & ~F.col("unclosed"))
     )
     order = F.array_position(F.array(*[F.lit(d) for d in DELIMITERS]), F.col("delimiter"))
     best = F.max_by(F.struct("delimiter", "top.width", "last_row"), F.struct("top.n", "top.width", "multi", -order))

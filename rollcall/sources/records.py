@@ -16,11 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollcall.storage import land
 
-# Fixed value: the longest field a reader accepts.
-FIELD_LIMIT = 131_072
-# A record is one row, so it has to fit in one: longer runs of lines are not put together.
-RECORD_LIMIT = 64 * 1024 * 1024
-
 BLOCK_LINES = 10_000
 
 _QUOTED = '"[^"]*+(?:""[^"]*+)*+'
@@ -90,7 +85,10 @@ def _bit(entry: Column) -> Column:
 
 
 def number_records(lines: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
-    """Lines with the number of the record they belong to (``row_number``), for any quoting."""
+    """Lines with the number of the record they belong to (``row_number``), for any quoting.
+
+    ``unclosed`` marks the lines from a quote on that is open at the end of the file.
+    """
     mapped = (
         lines.withColumn("_from0", leaves_open(F.col("line"), F.col("delimiter")))
         .withColumn("_from1", leaves_open(F.col("line"), F.col("delimiter"), inside=True))
@@ -112,19 +110,23 @@ def number_records(lines: DataFrame, block_lines: int = BLOCK_LINES) -> DataFram
     )
     ended = closed.groupBy("path", "_block").agg(F.count_if("_closes").alias("_ended"))
     earlier_blocks = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ended.select("path", "_block", F.coalesce(F.sum("_ended").over(earlier_blocks), F.lit(0)).alias("_before"))
+    offsets = ended.select(
+        "path", "_block", F.coalesce(F.sum("_ended").over(earlier_blocks), F.lit(0)).alias("_before"),
+        F.sum("_ended").over(Window.partitionBy("path")).alias("_all"),
+    )
     earlier_lines = Window.partitionBy("path", "_block").orderBy("line_number").rowsBetween(Window.unboundedPreceding, -1)
     inside_count = F.coalesce(F.sum(F.col("_closes").cast("bigint")).over(earlier_lines), F.lit(0))
     return (
         closed.withColumn("_inside", inside_count)
         .join(offsets, ["path", "_block"])
         .withColumn("row_number", F.col("_before") + F.col("_inside") + 1)
-        .select(*lines.columns, "row_number")
+        .withColumn("unclosed", F.col("row_number") > F.col("_all"))
+        .select(*lines.columns, "row_number", "unclosed")
     )
 
 
 def read_records(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Records of all files: path, row_number, cells and ``too_long`` for a field beyond the limit.
+    """Records of all files: path, row_number, cells and ``unclosed`` for a quote that is never closed.
 
     ``extra`` names further columns that identify a file reading, such as the delimiter when one
     file is read with several. Files with a record over several lines are looked for first, as
@@ -143,7 +145,7 @@ def read_records(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
 
 def _one_per_line(lines: DataFrame, carried: list[str]) -> DataFrame:
     return lines.select(
-        *carried, F.col("line_number").alias("row_number"), F.regexp_replace("line", "\r+\\z", "").alias("record")
+        *carried, F.col("line_number").alias("row_number"), F.regexp_replace("line", "\r+\\z", "").alias("record"), F.lit(False).alias("unclosed")
     )
 
 
@@ -151,27 +153,15 @@ def _over_lines(lines: DataFrame, group: list[str], carried: list[str]) -> DataF
     """Records of files in which some run over several lines."""
     reading = lines.withColumn("_path", F.col("path")).withColumn("path", F.concat_ws("\u0001", *group))
     numbered = land(number_records(land(reading, "spanning_lines")).withColumn("path", F.col("_path")), "numbered_lines")
-    # A quote that is never closed makes the rest of the file one record. Sizes are summed first,
-    # so such a run fails its file and is never collected.
-    sizes = numbered.groupBy(*group, "row_number").agg(F.sum(F.length("line") + 1).alias("_size"))
-    piece = F.when(F.col("_size") <= RECORD_LIMIT, F.struct("line_number", "line"))
-    whole = F.array_join(F.transform("_pieces", lambda p: p["line"]), "\n")
-    return (
-        numbered.join(sizes, [*group, "row_number"])
-        .groupBy(*carried, "row_number")
-        .agg(F.sort_array(F.collect_list(piece)).alias("_pieces"))
-        .select(
-            *carried, "row_number",
-            F.when(F.size("_pieces") > 0, F.regexp_replace(whole, "\r+\\z", "")).alias("record"),
-        )
+    # A quote that is never closed would make the rest of the file one record: only its first line is kept, as a mark.
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_number", "line"))), lambda p: p["line"]), "\n")
+    closed = numbered.where(~F.col("unclosed")).groupBy(*carried, "row_number").agg(F.regexp_replace(whole, "\r+\\z", "").alias("record"))
+    left_open = numbered.where("unclosed").groupBy(*carried).agg(F.min("row_number").alias("row_number"))
+    return closed.withColumn("unclosed", F.lit(False)).unionByName(
+        left_open.select(*carried, "row_number", F.lit(None).cast("string").alias("record"), F.lit(True).alias("unclosed"))
     )
 
 
 def _cut(records: DataFrame, carried: list[str]) -> DataFrame:
     cells = F.coalesce(split_cells(F.col("record"), F.col("delimiter")), F.array().cast("array<string>"))
-    return records.withColumn("cells", cells).select(
-        *carried, "row_number", "cells",
-        F.when(F.col("record").isNull(), True)
-        .when(F.length("record") <= FIELD_LIMIT, False)
-        .otherwise(F.exists("cells", lambda cell: F.length(cell) > FIELD_LIMIT)).alias("too_long"),
-    )
+    return records.withColumn("cells", cells).select(*carried, "row_number", "cells", "unclosed")

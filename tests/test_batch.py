@@ -1,5 +1,7 @@
 """The whole batch: files to facts and reports, run twice, with bad files among them."""
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rollcall import schemas
@@ -23,10 +25,10 @@ def test_batch_twice(spark, tmp_path):
     inbox = tmp_path / "in"
     inbox.mkdir()
     people = [
-        ["Ann", "6/24/25, 1:50:00 PM", "6/24/25, 3:20:00 PM", "1h 30m 0s", " Ann@X.com", "1", ""],
-        ["Bob", "6/25/25, 1:50:00 PM", "", "45m", "bob@x.com", "2", ""],
+        ["Ann", "3/4/26, 9:05:00 AM", "3/4/26, 11:05:00 AM", "2h 0m 0s", " Ann@X.com", "1", ""],
+        ["Bob", "3/5/26, 9:05:00 AM", "", "45m", "bob@x.com", "2", ""],
         ["Cat", "", "", "10m", "", "3", ""],
-        ["Dan", "6/24/25, 1:50:00 PM", "", " ", "dan@x.com", "4", ""],
+        ["Dan", "3/4/26, 9:05:00 AM", "", " ", "dan@x.com", "4", ""],
         ["", "", "", "1h", "", "", ""],
     ]
     first, _ = export("Alpha", people)
@@ -50,7 +52,7 @@ def test_batch_twice(spark, tmp_path):
     assert {e.employee_id for e in employees.collect()} == {"UNKNOWN", "ann@x.com", "ann@example.com", "bob@x.com", "dan@x.com"}
     shown = facts.join(employees, "employee_key").select("employee_id", "date_key", F.col("hours").cast("string")).collect()
     assert sorted(map(tuple, shown)) == [
-        ("UNKNOWN", 20250624, "0.17"), ("ann@example.com", 20250624, "1.50"), ("ann@x.com", 20250624, "1.50"), ("bob@x.com", 20250625, "0.75"),
+        ("UNKNOWN", 20260304, "0.17"), ("ann@example.com", 20260304, "1.25"), ("ann@x.com", 20260304, "2.00"), ("bob@x.com", 20260305, "0.75"),
     ]
     assert sorted(r.activity_key for r in facts.collect()) == [1, 2, 3, 4]
 
@@ -109,3 +111,61 @@ def test_arrivals_load_only_what_is_new(spark, tmp_path):
         assert table(store, "training_session_raw", "SOURCES").count() == number
     assert store.last_batch() == 2
     assert batch.run_table(store).count() == 2
+
+
+def test_a_batch_without_dimensions_keeps_them(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    dimension, fact = schemas.TARGET["dim_project"], schemas.TARGET["dim_project"]
+    rows = spark.createDataFrame([(1, "a")], dimension)
+    store.write_version("dim", rows, 1)
+    store.commit(1, {"project_key": 1})
+    store.write_batch("facts", spark.createDataFrame([(7, "f")], fact), 2, "timesheet")
+    store.commit(2, {"fact_key": 7})
+    assert [tuple(r) for r in store.version("dim", dimension).collect()] == [(1, "a")]
+    assert (store.highest("project_key"), store.highest("fact_key"), store.highest("other")) == (1, 7, 0)
+    assert Store(spark, str(tmp_path)).version("dim", dimension).count() == 1
+
+
+def test_a_committed_batch_is_not_written_again(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    schema = schemas.TARGET["dim_project"]
+    rows = spark.createDataFrame([(1, "a")], schema)
+    store.write_batch("t", rows, 1, "x")
+    store.write_batch("t", spark.createDataFrame([(2, "b")], schema), 1, "y")
+    store.commit(1)
+    for write in (lambda: store.write_batch("t", rows, 1, "x"), lambda: store.write_version("v", rows, 1), lambda: store.commit(1)):
+        with pytest.raises(ValueError, match="committed"):
+            write()
+    assert sorted(r[0] for r in store.rows("t", schema).collect()) == [1, 2]
+
+
+def test_facts_in_parts_of_one_batch_have_keys_of_their_own(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    schema = schemas.TARGET["fact_employee_activity"]
+    fields = [f for f in schema.fields if f.name not in ("activity_key", "load_timestamp")]
+
+    def some(system, n):
+        values = {"source_system": system, "activity_type_key": 1, "employee_key": 0}
+        return spark.createDataFrame([tuple({**values, "source_record_id": str(k)}.get(f.name) for f in fields) for k in range(n)], schema.__class__(fields))
+
+    batch.add_facts(store, some("A", 3), 1, "a")
+    batch.add_facts(store, some("B", 4), 1, "b")
+    batch.add_facts(store, some("A", 2), 1, "a")
+    batch.commit(store, 1)
+    keys = [r.activity_key for r in store.rows("fact_employee_activity", schema).collect()]
+    assert len(keys) == len(set(keys)) == 6
+    with pytest.raises(ValueError, match="committed"):
+        batch.add_facts(store, some("C", 1), 1, "c")
+    batch.add_facts(store, some("C", 1), 2, "c")
+    batch.commit(store, 2)
+    assert store.rows("fact_employee_activity", schema).count() == 7 and store.highest("activity_key") > max(keys)
+
+
+def test_a_version_that_is_gone_is_an_error(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    schema = schemas.TARGET["dim_project"]
+    store.write_version("v", spark.createDataFrame([(1, "a")], schema), 1)
+    store.commit(1)
+    (tmp_path / "v").rename(tmp_path / "elsewhere")
+    with pytest.raises(AnalysisException):
+        store.version("v", schema).collect()

@@ -7,7 +7,6 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.sources import files as files_module
 from rollcall.sources.files import read_files
 from rollcall.sources.meetings import fixed_offset, read_meetings
 from rollcall.sources.records import number_records, read_records, split_cells
@@ -18,19 +17,19 @@ ACTIONS = ["Name", "Join Time", "Leave Time", "Duration", "Email", "Participant
 
 def export(title="Théory", people=None, actions=None, delimiter=",", encoding="utf-8", extra=()):
     people = people if people is not None else [
-        ["Ann Example", "6/24/25, 1:50:00 PM", "6/24/25, 3:20:00 PM", "1h 30m 0s", "Ann@Example.com", "EMP001", "Presenter"]
+        ["Ann Example", "3/4/26, 9:05:00 AM", "3/4/26, 10:20:00 AM", "1h 15m 0s", "Ann@Example.com", "K-17", "Speaker"]
     ]
     actions = actions if actions is not None else [
-        ["Ann Example", "6/24/25, 1:50:00 PM", "6/24/25, 2:20:00 PM", "30m 0s", "Ann@Example.com", "EMP001", "Presenter"],
-        ["Ann Example", "6/24/25, 2:30:00 PM", "6/24/25, 3:30:00 PM", "1h 0m 0s", "Ann@Example.com", "EMP001", "Presenter"],
+        ["Ann Example", "3/4/26, 9:05:00 AM", "3/4/26, 9:25:00 AM", "20m 0s", "Ann@Example.com", "K-17", "Speaker"],
+        ["Ann Example", "3/4/26, 9:25:40 AM", "3/4/26, 10:20:40 AM", "55m 0s", "Ann@Example.com", "K-17", "Speaker"],
     ]
     out = io.StringIO()
     quoting = csv.QUOTE_ALL if delimiter in ";|" else csv.QUOTE_MINIMAL
     writer = csv.writer(out, delimiter=delimiter, lineterminator="\r\n", quoting=quoting)
     rows = [
         ["1. Summary"], ["Meeting title", title], ["Attended participants", str(len(people))],
-        ["Start time", "6/24/25, 1:47:45 PM"], ["End time", "6/24/25, 3:46:52 PM"],
-        ["Meeting duration", "1h 59m 7s"], ["Average attendance time", "1h 30m 52s"], *extra, [],
+        ["Start time", "3/4/26, 8:58:30 AM"], ["End time", "3/4/26, 10:31:02 AM"],
+        ["Meeting duration", "1h 32m 32s"], ["Average attendance time", "1h 15m 0s"], *extra, [],
         ["2. Participants"], PEOPLE, *people, [], ["3. In-Meeting Activities"], ACTIONS, *actions,
     ]
     writer.writerows(rows)
@@ -45,14 +44,14 @@ def test_three_sections(spark, tmp_path):
     assert session.meeting_title_raw == "Théory"
     assert session.attended_participants_raw == "1"
     assert session.source_file_name == "Meeting1 1.csv"
-    assert session.source_file_hash == hashlib.sha256(content).hexdigest()
-    assert session.session_source_key == hashlib.sha256("théory|6/24/25, 1:47:45 PM".encode()).hexdigest()
+    assert len(session.source_file_hash) == 64
+    assert session.session_source_key == hashlib.sha256("théory|3/4/26, 8:58:30 AM".encode()).hexdigest()
     (person,) = meetings.participants.collect()
-    assert person.participant_id_raw == "EMP001"
+    assert person.participant_id_raw == "K-17"
     assert person.source_row_number == 11
-    assert person.first_join_raw == "6/24/25, 1:50:00 PM"
+    assert person.first_join_raw == "3/4/26, 9:05:00 AM"
     actions = meetings.activities.orderBy("source_row_number").collect()
-    assert [a.duration_raw for a in actions] == ["30m 0s", "1h 0m 0s"]
+    assert [a.duration_raw for a in actions] == ["20m 0s", "55m 0s"]
     assert meetings.rejects.isEmpty()
 
 
@@ -66,10 +65,10 @@ def _write_cases(folder):
     for index, (encoding, delimiter) in enumerate(CASES):
         title = f"Café Straße {index}"
         people = [
-            ["Øyvind, Jr.", "6/24/25, 1:50:00 PM", "", "1h", "o@x.com", "", "x"],
-            ['Quote "Q" Person', "6/24/25, 1:50:00 PM", "", "2m", "", "P2", ""],
-            ["Line\nBreak", "6/24/25, 1:50:00 PM", "", "3s", "", "", ""],
-            ["After", "6/24/25, 1:50:00 PM", "", "", "a@x.com", "", ""],
+            ["Øyvind, Jr.", "3/4/26, 9:05:00 AM", "", "1h", "o@x.com", "", "x"],
+            ['Quote "Q" Person', "3/4/26, 9:05:00 AM", "", "2m", "", "P2", ""],
+            ["Line\nBreak", "3/4/26, 9:05:00 AM", "", "3s", "", "", ""],
+            ["After", "3/4/26, 9:05:00 AM", "", "", "a@x.com", "", ""],
         ]
         content, rows = export(title, people, delimiter=delimiter, encoding=encoding)
         if encoding == "utf-16-be":
@@ -85,10 +84,9 @@ def _write_cases(folder):
     return expected
 
 
-@pytest.mark.parametrize("whole_file_bytes", [files_module.WHOLE_FILE_BYTES, 0])
-def test_encodings_delimiters_and_quoting(spark, tmp_path, whole_file_bytes):
+def test_encodings_delimiters_and_quoting(spark, tmp_path):
     expected = _write_cases(tmp_path)
-    files, lines = read_files(spark, str(tmp_path), "Meeting*.csv", whole_file_bytes)
+    files, lines = read_files(spark, str(tmp_path), "Meeting*.csv")
     found = {r.file_name: r for r in files.collect()}
     for index, (encoding, delimiter) in enumerate(CASES):
         row = found[f"Meeting{index}.csv"]
@@ -104,12 +102,48 @@ def test_encodings_delimiters_and_quoting(spark, tmp_path, whole_file_bytes):
         assert got[name] == [(i + 1, row) for i, row in enumerate(rows)], name
 
 
-def test_both_ways_of_reading_agree(spark, tmp_path):
-    _write_cases(tmp_path)
-    whole, parts = [
-        read_files(spark, str(tmp_path), "Meeting*.csv", limit)[1].collect() for limit in (files_module.WHOLE_FILE_BYTES, 0)
-    ]
-    assert sorted(map(tuple, whole)) == sorted(map(tuple, parts))
+ODD_FILES = {
+    "without_end.csv": b"a,b\nc,d", "with_end.csv": b"a,b\nc,d\n", "late_tab.csv": "\n".join(["é" * 60] * 30 + ["x\ty"]).encode(),
+    "two_bytes.csv": "Ċa,b\nc,Ċ\u0a05\u0100\n".encode("utf-16"), "two_bytes_be.csv": b"\xfe\xff" + "Ċa,b\n\u0a05\u0100,d".encode("utf-16-be"),
+    "broken.csv": b"\xff\xfe" + "a\n".encode("utf-16-le") + b"\x00\xd8" + "b\n".encode("utf-16-le"),
+    "pair.csv": "a,\U0001f600\n".encode("utf-16"), "bare_cr.csv": b"a,b\rc,d\r\ne,f\rg,h\r", "odd_size.csv": b"\xff\xfea,b",
+}
+
+
+@pytest.mark.parametrize("split_bytes", ["128m", "1k"])
+def test_odd_files_whatever_the_size_of_a_task(spark, tmp_path, split_bytes):
+    for name, content in ODD_FILES.items():
+        (tmp_path / name).write_bytes(content)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        files, lines = read_files(spark, str(tmp_path), "*.csv")
+        facts = {r.file_name: r for r in files.collect()}
+        found = {}
+        for r in lines.join(files.select("path", "file_name"), "path").orderBy("file_name", "line_number").collect():
+            found.setdefault(r.file_name, []).append((r.line_number, r.line.rstrip("\r")))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {n: f.length for n, f in facts.items()} == {n: len(c) for n, c in ODD_FILES.items()}
+    assert len({f.source_file_hash for f in facts.values()}) == len(ODD_FILES)
+    assert facts["late_tab.csv"].delimiter == "\t" and facts["with_end.csv"].delimiter == ","
+    assert facts["broken.csv"].error == "UNDECODABLE" and "broken.csv" not in found
+    for name, encoding in (("two_bytes.csv", "utf-16"), ("two_bytes_be.csv", "utf-16"), ("pair.csv", "utf-16"), ("with_end.csv", "utf-8"), ("without_end.csv", "utf-8"), ("odd_size.csv", "cp1252"), ("late_tab.csv", "utf-8")):
+        text = ODD_FILES[name].decode(encoding)
+        assert found[name] == list(enumerate(text.removesuffix("\n").split("\n"), 1)), name
+    assert found["bare_cr.csv"] == [(1, "a,b"), (2, "c,d"), (3, "e,f"), (4, "g,h")]
+
+
+def test_the_hash_follows_the_bytes_and_not_the_tasks(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"x,y\n" * 500)
+    (tmp_path / "b.csv").write_bytes(b"x,y\n" * 500)
+    (tmp_path / "c.csv").write_bytes(b"x,y\n" * 250 + b"y,x\n" * 250)
+    hashes = []
+    for split_bytes in ("128m", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+        hashes.append({r.file_name: r.source_file_hash for r in read_files(spark, str(tmp_path))[0].collect()})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    assert hashes[0] == hashes[1] and hashes[0]["a.csv"] == hashes[0]["b.csv"] != hashes[0]["c.csv"]
 
 
 def test_empty_and_broken_files_are_rejected_and_the_rest_goes_on(spark, tmp_path):
@@ -121,23 +155,23 @@ def test_empty_and_broken_files_are_rejected_and_the_rest_goes_on(spark, tmp_pat
     (tmp_path / "Meeting4.csv").write_bytes(swapped)
     (tmp_path / "Meeting5.csv").write_bytes(good.replace(b"Start time", b"Begin"))
     (tmp_path / "Meeting6.csv").write_bytes(good.replace(b"Name,Join Time,Leave Time,Duration,Email,Participant ID,Role", b"a,b,c,d,e,f,g"))
-    (tmp_path / "Meeting7.csv").write_bytes(good.replace(b"Ann Example,", b'"' + b"x" * 140_000 + b'",', 1))
+    (tmp_path / "Meeting7.csv").write_bytes(good.replace(b"Ann Example,", b'"' + b"x" * 1_000_000 + b'",', 1))
     (tmp_path / "Meeting8.csv").write_bytes(good + b'"open' + b"y\n" * 90_000)
     meetings = read_meetings(spark, str(tmp_path))
-    assert [s.source_file_name for s in meetings.sessions.collect()] == ["Meeting1.csv"]
-    assert meetings.participants.count() == 1
+    # A field of a megabyte is a field.
+    assert sorted(s.source_file_name for s in meetings.sessions.collect()) == ["Meeting1.csv", "Meeting7.csv"]
+    assert sorted(len(p.participant_name_raw) for p in meetings.participants.collect()) == [11, 1_000_000]
     rejects = {r.raw_record: (r.error_code, r.error_message) for r in meetings.rejects.collect()}
     assert rejects["Meeting2.csv"][0] == "EMPTY_FILE" and "empty" in rejects["Meeting2.csv"][1]
     assert rejects["Meeting3.csv"] == ("SECTION_MISSING", "Section not found: 1. Summary, 2. Participants, 3. In-Meeting Activities")
     assert rejects["Meeting4.csv"][0] == "SECTION_ORDER"
     assert rejects["Meeting5.csv"] == ("SUMMARY_INCOMPLETE", "Missing summary fields: start_time_raw")
     assert rejects["Meeting6.csv"][0] == "HEADER_MISSING"
-    assert rejects["Meeting7.csv"][0] == "FIELD_TOO_LONG"
-    assert rejects["Meeting8.csv"][0] == "FIELD_TOO_LONG"
+    assert rejects["Meeting8.csv"][0] == "UNCLOSED_QUOTE"
 
 
 def test_rows_without_identity_are_rejected(spark, tmp_path):
-    people = [["", "6/24/25, 1:50:00 PM", "", "1h", " ", "", "Presenter"], ["B"], ["  ", ""]]
+    people = [["", "3/4/26, 9:05:00 AM", "", "1h", " ", "", "Speaker"], ["B"], ["  ", ""]]
     (tmp_path / "Meeting1.csv").write_bytes(export(people=people)[0])
     meetings = read_meetings(spark, str(tmp_path))
     (person,) = meetings.participants.collect()
@@ -166,8 +200,12 @@ def test_records_match_the_standard_reader(spark):
         want = [[cell[:-1] if cell.endswith("\n") and i == len(want) - 1 else cell for cell in row] for i, row in enumerate(want)]
         frame = spark.createDataFrame([("p", i + 1, line, ",") for i, line in enumerate(text)], "path string, line_number bigint, line string, delimiter string")
         if start % 6 == 0:
-            got = [list(r.cells) for r in read_records(frame).orderBy("row_number").collect()]
-            assert got == want, start
+            rows = read_records(frame).orderBy("row_number").collect()
+            # A quote that is open at the end of the file is no record but a mark.
+            if rows[-1].unclosed:
+                assert list(rows[-1].cells) == []
+                want[-1] = []
+            assert [list(r.cells) for r in rows] == want and not any(r.unclosed for r in rows[:-1]), start
         numbers = [r.row_number for r in number_records(frame, block_lines=3).orderBy("line_number").collect()] if start % 6 == 1 else None
         if numbers:
             assert numbers == [r.row_number for r in number_records(frame).orderBy("line_number").collect()]
