@@ -13,6 +13,7 @@ from pyspark.sql.types import LongType, MapType, Row, StringType, StructField, S
 from rollcall.operators import audit
 from rollcall.operators.ranking import number_by_hash
 from rollcall.operators.upsert import new_files
+from rollcall.sources.perfile import join_file_facts
 from rollcall.sources.meetings import ACTIVITY_FIELDS, PARTICIPANT_FIELDS, SUMMARY_FIELDS, Meetings
 
 PIPELINE = "TRAINING_ATTENDANCE"
@@ -70,7 +71,7 @@ def raw_batch(meetings: Meetings, loaded: DataFrame, highest: Highest = Highest(
     owner = sessions.select("path", "session_raw_id", "run_id", "dataset_name", "source_file_name")
 
     def children(rows: DataFrame, key: str, fields: tuple[str, ...], start) -> DataFrame:
-        owned = rows.join(owner, "path")
+        owned = join_file_facts(rows, owner.join(meetings.extents, "path"), ["path"], "source_row_number", "last_row")
         return number_by_hash(owned, ["session_raw_id", "source_row_number"], key, start, costly=True).select(
             key, "session_raw_id", "run_id", "dataset_name", "source_file_name", "source_row_number", *fields, "raw_record",
         )
@@ -91,8 +92,7 @@ def raw_batch(meetings: Meetings, loaded: DataFrame, highest: Highest = Highest(
     )
     counts = audit.run_counts(
         sessions.select("path"),
-        meetings.participants.select("path").join(owner.select("path"), "path", "left_semi"),
-        meetings.activities.select("path").join(owner.select("path"), "path", "left_semi"), "path",
+        meetings.participants.select("path"), meetings.activities.select("path"), "path",
     )
     closed = opened.join(per_file, "path", "left").join(counts, "path", "left")
     zero = F.lit(0)

@@ -11,9 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rollcall.functions.text import match_key
+from rollcall.operators.dims import UNKNOWN_KEY
 from rollcall.operators.ranking import dense_rank_desc
 
 TOLERANCE_SECONDS = 5
+#: Copies of the unknown member in joins with single facts.
+SALTS = 64
 
 
 def _dated(fact: DataFrame, dim_date: DataFrame, dim_activity_type: DataFrame) -> DataFrame:
@@ -99,10 +102,20 @@ def training_participation(
 ) -> DataFrame:
     """Who attended which training, when and for how long."""
     training = dim_activity_type.where(F.col("activity_code") == "TRAINING")
+    # All people that are not known have one key: that member is repeated, and its facts are spread over the copies.
+    unknown = F.col("employee_key") == UNKNOWN_KEY
+    facts = _dated(fact, dim_date, training).withColumn(
+        "_salt", F.when(unknown, F.pmod(F.xxhash64("source_record_id"), F.lit(SALTS))).otherwise(F.lit(0))
+    )
+    copies = F.when(unknown, F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint")))
+    members = dim_employee.select("employee_key", "employee_id", "employee_name", F.explode(copies).alias("_salt"))
+    # Facts without a training match none; they get keys below zero, so that they do not meet in one task.
+    spread = F.coalesce("training_key", -1 - F.pmod(F.xxhash64("source_record_id"), F.lit(1_000_000)))
+    names = dim_training.select(F.col("training_key").alias("_training"), "training_name")
     return (
-        _dated(fact, dim_date, training)
-        .join(dim_employee, "employee_key", "left")
-        .join(dim_training.select("training_key", "training_name"), "training_key", "left")
+        facts.join(members, ["employee_key", "_salt"], "left")
+        .withColumn("_training", spread)
+        .join(names, "_training", "left")
         .select(
             "employee_id", "employee_name", F.col("full_date").alias("training_date"),
             "training_name", "hours", "source_record_id",
