@@ -512,6 +512,22 @@ ORACLES["master_rejects"] = """
     SELECT 3 AS file_order, o_orderkey AS row_number, 'Order ' || o_orderkey AS employee_name, 'NO_EMAIL' AS error_code
     FROM orders WHERE o_orderkey % 3 = 0"""
 
+_LOOSE = """(SELECT * REPLACE (CASE WHEN activity_key % 13 <> 0 THEN employee_key END AS employee_key,
+    CASE WHEN activity_key % 7 = 0 THEN -hours - 1 WHEN activity_key % 11 <> 0 THEN hours END AS hours), activity_key % 5 AS run_id FROM fact)"""
+_FACT_CHECKS = [
+    *((f"NOT_NULL_{c.upper()}", c, f"{c} IS NULL") for c in ("employee_key", "date_key", "activity_type_key", "source_system", "source_record_id", "hours")),
+    ("MINIMUM_HOURS", "hours", "hours < 0"),
+]
+ORACLES["batch_constraints"] = " UNION ALL ".join(f"""
+    SELECT run_id, '{name}' AS rule_name, 'TARGET.FACT_EMPLOYEE_ACTIVITY' AS table_name, '{column.upper()}' AS column_name,
+        CASE WHEN count(*) FILTER ({failed}) = 0 THEN 'PASSED' ELSE 'FAILED' END AS result_status,
+        count(*) AS checked_rows, count(*) FILTER ({failed}) AS failed_rows, 'Rows that break a constraint of the fact.' AS details
+    FROM {_LOOSE} GROUP BY run_id""" for name, column, failed in _FACT_CHECKS)
+ORACLES["batch_rejects"] = " UNION ALL ".join(f"""
+    SELECT run_id, 'TRAINING_ATTENDANCE' AS pipeline_name, source_system AS source_name, CAST(NULL AS BIGINT) AS source_row_number,
+        '{name}' AS error_code, 'The fact breaks {name}' AS error_message, source_record_id AS raw_record
+    FROM {_LOOSE} WHERE {failed}""" for name, _, failed in _FACT_CHECKS)
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql(body) for name, body in ORACLES.items()}

@@ -352,6 +352,25 @@ def constraint_violations(spark, sf):
     return reduce(DataFrame.unionByName, checked)
 
 
+def loose_facts(spark, sf) -> DataFrame:
+    """Facts of which some lack an employee or hours, or have negative ones."""
+    key = F.col("activity_key")
+    return views.fact(spark, sf).withColumns({
+        "employee_key": F.when(key % 13 != 0, F.col("employee_key")), "etl_run_id": key % 5,
+        "hours": F.when(key % 7 == 0, -F.col("hours") - 1).when(key % 11 != 0, F.col("hours")),
+    })
+
+
+@query
+def batch_constraints(spark, sf):
+    return quality.fact_constraints(loose_facts(spark, sf))
+
+
+@query
+def batch_rejects(spark, sf):
+    return quality.fact_rejects(loose_facts(spark, sf))
+
+
 @query
 def constraint_rejects(spark, sf):
     checks = [rules.not_null("email"), rules.minimum("duration_seconds", 1)]

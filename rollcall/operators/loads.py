@@ -176,11 +176,13 @@ class Store:
         self._open(batch_id)
         rows.write.mode("overwrite").parquet(f"{self.folder}/{table}/batch_id={batch_id}/part={part}")
 
-    def rows(self, table: str, schema: StructType, batch_id: int | None = None, not_part: str | None = None) -> DataFrame:
-        """Rows of all committed batches, or of one batch even if it is not committed yet."""
+    def rows(self, table: str, schema: StructType, batch_id: int | None = None, part: str | None = None, not_part: str | None = None) -> DataFrame:
+        """Rows of all committed batches, or of one batch even if it is not committed yet; of all parts, one, or all but one."""
         folders = [StructField("batch_id", LongType()), StructField("part", StringType())]
         found = self._read(f"{self.folder}/{table}", StructType([*schema.fields, *folders]))
         chosen = F.col("batch_id") <= self.last_batch() if batch_id is None else F.col("batch_id") == batch_id
+        if part is not None:
+            chosen = chosen & (F.col("part") == part)
         if not_part is not None:
             chosen = chosen & (F.col("part") != not_part)
         return found.where(chosen).drop("batch_id", "part")

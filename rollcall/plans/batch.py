@@ -138,6 +138,9 @@ def add_facts(store: Store, rows: DataFrame, batch: int, part: str) -> None:
     )
     timed = _with_clock(numbered, "load_timestamp")
     store.write_batch("fact_employee_activity", timed.select(*schema.names), batch, part)
+    written = store.rows("fact_employee_activity", schema, batch, part=part)
+    store.write_batch("data_quality_result", _with_clock(quality.fact_constraints(written), "checked_at"), batch, f"facts_{part}")
+    store.write_batch("etl_error_log", _with_clock(quality.fact_rejects(written), "created_at"), batch, f"facts_{part}")
 
 
 def run_table(store: Store) -> DataFrame:

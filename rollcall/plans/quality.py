@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.operators.rules import quality_rows
+from rollcall.operators import audit
+from rollcall.operators.rules import Check, failing_rows, minimum, not_null, quality_rows
 
 PIPELINE = "TRAINING_ATTENDANCE"
 
@@ -106,3 +107,37 @@ def quality_results(
 def reject_log(*rejects: DataFrame) -> DataFrame:
     """Every rejected record of every stage in one table."""
     return reduce(DataFrame.unionByName, rejects)
+
+
+FACT_TABLE = "TARGET.FACT_EMPLOYEE_ACTIVITY"
+
+
+def fact_checks() -> list[Check]:
+    """Constraints of the activity fact. Hours are missing where a source has none, or negative ones."""
+    needed = ("employee_key", "date_key", "activity_type_key", "source_system", "source_record_id", "hours")
+    return [*(not_null(column) for column in needed), minimum("hours", 0)]
+
+
+def fact_constraints(facts: DataFrame) -> DataFrame:
+    """Quality rows of all fact constraints per run, in one pass over the facts (V6, V8, A5)."""
+    checks = fact_checks()
+    counted = facts.groupBy(F.col("etl_run_id").alias("run_id")).agg(
+        F.count(F.lit(1)).alias("checked_rows"), *[F.count_if(check.failed).alias(f"f{i}") for i, check in enumerate(checks)]
+    )
+    results = [
+        quality_rows(
+            counted.withColumn("failed_rows", F.col(f"f{i}")), check.name, FACT_TABLE, check.column.upper(),
+            on_failure="FAILED", details="Rows that break a constraint of the fact.",
+        )
+        for i, check in enumerate(checks)
+    ]
+    return reduce(DataFrame.unionByName, results)
+
+
+def fact_rejects(facts: DataFrame) -> DataFrame:
+    """Error rows of facts that break a constraint (D7); the facts themselves stay."""
+    broken = failing_rows(facts.withColumnRenamed("etl_run_id", "run_id"), fact_checks())
+    return audit.error_rows(
+        broken, pipeline=PIPELINE, source="source_system", code=F.col("rule_name"),
+        message=F.concat(F.lit("The fact breaks "), "rule_name"), raw_record="source_record_id",
+    )

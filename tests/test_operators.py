@@ -138,7 +138,7 @@ def test_run_log(spark):
     )
     states = audit.run_states(events)
     assert rows(states, "run_id", "status", "rows_read", "rows_loaded", "rows_rejected", F.length("error_message")) == [
-        (1, "SUCCESS", 5, 4, 1, None), (2, "FAILED", 0, 0, 0, 4000), (3, "RUNNING", 0, 0, 0, None),
+        (1, "SUCCESS", 5, 4, 1, None), (2, "FAILED", 0, 0, 0, 5000), (3, "RUNNING", 0, 0, 0, None),
     ]
     assert states.columns == schemas.CONTROL["etl_run"].names
 
