@@ -170,7 +170,7 @@ def test_facts_find_employees(spark):
     work = facts.work_facts(sheet, employees, projects)
     assert rows(work, "source_record_id", "employee_key", "project_key", F.col("hours").cast("string"), "activity_type_key", "date_key") == [
         ("r1", 1, 4, "7.13", 1, 20250102), ("r2", 0, None, "8.00", 1, 20250102), ("r3", 0, None, "8.00", 1, 20250102),
-        ("r4", 2, 4, None, 1, 20250102),
+        ("r4", 2, 4, "1000.00", 1, 20250102),
     ]
     exams = spark.createDataFrame([("e1", "ANN ", dt.date(2025, 1, 2), 2, 1), ("e2", "Bob", dt.date(2025, 1, 2), 2, 1), ("e3", None, dt.date(2025, 1, 2), 2, 1)],
                                   "record_id string, employee_name string, exam_date date, hours int, run_id bigint")
