@@ -12,9 +12,9 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Words kept per worker in two generations, and the longest one kept: a bound on memory, not on what is encoded.
-KEPT_WORDS, KEPT_CHARS = 1_000_000, 40
+KEPT_WORDS, KEPT_CHARS = 600_000, 40
 #: Bytes of text encoded together (or one longer text).
-SLICE = 16_000_000
+SLICE = 12_000_000
 #: Other new words encoded in one call; longer calls cost more for each word.
 TOGETHER = 50
 #: Letters that are one code point in every normal form and have a lower form of one code point, and a mark behind them.

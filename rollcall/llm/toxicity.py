@@ -40,7 +40,7 @@ SAMPLE, FEATURES, LEAST, GRADES = 20_000, 4_000, 5, 3
 #: Chi-squared from which a feature tells toxic documents from clean ones; chance alone gives one in 10^7 features more than 28.
 TELLING = 30.0
 #: Lengths of beginnings of words; bytes of text handled together.
-BEGINNINGS, SLICE = (4, 5, 6), 8_000_000
+BEGINNINGS, SLICE = (4, 5, 6), 4_000_000
 
 
 def _words(texts: pa.StringArray) -> pa.ListArray:
@@ -138,19 +138,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_features:
 
     def stand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic, counts = batch.column(0).to_pylist(), (Counter(), Counter())
-            at = 0
-            for some in _slices(batch.column(1)):
-                for words in _words(some).to_pylist():
-                    counts[toxic[at]].update({f for w in set(words) for f in features(w)})
+            toxic, at = batch.column(0).to_pylist(), 0
+            for some in _slices(batch.column(1)):  # counts of a slice at a time bound the memory
+                # The empty feature counts the documents themselves.
+                counts = (Counter(), Counter())
+                for words in _words(some):
+                    counts[toxic[at]].update({"", *(f for w in set(words.as_py()) for f in features(w))})
                     at += 1
-            keys = list(counts[0].keys() | counts[1].keys())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), *(pa.array([c[k] for k in keys], pa.int64()) for c in counts), pa.array([0] * len(keys), pa.int64())], names=["feature", "clean", "toxic", "n"]
-            )
-            yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([toxic.count(0)]), pa.array([toxic.count(1)]), pa.array([len(toxic)])], names=["feature", "clean", "toxic", "n"])
+                keys = list(counts[0].keys() | counts[1].keys())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in counts)], names=["feature", "clean", "toxic"]
+                )
 
-    counts = rows.mapInArrow(stand, "feature string, clean long, toxic long, n long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = rows.mapInArrow(stand, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counts = counts.filter(f"feature = '' OR clean + toxic >= {LEAST}")
     counts = land(counts, "features")
     all_rows = counts.filter("feature = ''").first()
