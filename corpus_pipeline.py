@@ -16,6 +16,9 @@ from rollcall.llm import lines, mixing, near_text, queries, toxicity
 from rollcall.llm.keys import unpacked, whole
 from rollcall.storage import land
 
+#: Words that a worker remembers while it packs: fewer than a worker that does nothing else, as its memory also served the stages before.
+KEPT_WORDS = 500_000
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that are likelier toxic than not."""
@@ -51,7 +54,7 @@ def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document with its sequence and place."""
-    return queries.packed(docs)
+    return queries.packed(docs, KEPT_WORDS)
 
 
 STAGES = [

@@ -40,12 +40,15 @@ _NAMES = ["doc_id", "text_mark", "piece", "start", "length", "ids_crc32", "ids"]
 _ARROW = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """Each document's ids with ``end_id`` behind them, cut only where they are longer than ``capacity``."""
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, kept_words: int | None = None) -> DataFrame:
+    """Each document's ids with ``end_id`` behind them, cut only where they are longer than ``capacity``.
+
+    ``kept_words`` bounds the words a worker remembers; it changes no result.
+    """
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path).encode
+        encode = encoder(tokenizer_path, kept_words).encode
         for batch in batches:
             rows = []
             for doc, mark, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encode(batch.column(2)), strict=True):
@@ -213,7 +216,7 @@ def sequences(packed: DataFrame) -> DataFrame:
     return packed.groupBy("sequence_id").agg(ordered.alias("parts"), F.sum("length").alias("length"))
 
 
-def op10_best_fit_packing(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def op10_best_fit_packing(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, kept_words: int | None = None) -> DataFrame:
     """One row per piece with its sequence and place there."""
-    parts = land(pieces(docs, tokenizer_path, capacity, end_id), "pieces")
+    parts = land(pieces(docs, tokenizer_path, capacity, end_id, kept_words=kept_words), "pieces")
     return pack(parts, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -62,8 +62,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.op9_line_dedup(documents(spark, sf_dir))
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    return packing.op10_best_fit_packing(docs, public_tokenizers.path(TOKENIZER))
+def packed(docs: DataFrame, kept_words: int | None = None) -> DataFrame:
+    return packing.op10_best_fit_packing(docs, public_tokenizers.path(TOKENIZER), kept_words=kept_words)
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

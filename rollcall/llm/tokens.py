@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Words kept per worker in two generations, and the longest one kept: a bound on memory, not on what is encoded.
-KEPT_WORDS, KEPT_CHARS = 600_000, 40
+KEPT_WORDS, KEPT_CHARS = 1_000_000, 40
 #: Bytes of text encoded together (or one longer text).
 SLICE = 12_000_000
 #: Other new words encoded in one call; longer calls cost more for each word.
@@ -29,7 +29,8 @@ class WordEncoder:
     the tokenizer's model, as is a stop or comma behind it. Ids are little-endian unsigned 32-bit.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept_words: int | None = None) -> None:
+        self._kept_words = KEPT_WORDS if kept_words is None else kept_words
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         written = self._tokenizer.pre_tokenizer.pre_tokenize_str
@@ -76,7 +77,7 @@ class WordEncoder:
             learnt = self._learn([words[k] for k in new])
             for k in new:
                 ids[k] = learnt[words[k]]
-            if 2 * (len(known) + len(learnt)) > KEPT_WORDS:
+            if 2 * (len(known) + len(learnt)) > self._kept_words:
                 self._older, self._known = known, (known := {})
             known.update((w, i) for w, i in learnt.items() if len(w) <= KEPT_CHARS)
         return ids
@@ -100,6 +101,6 @@ class WordEncoder:
 
 
 @cache
-def encoder(path: str) -> WordEncoder:
-    """One encoder per worker process and tokenizer file."""
-    return WordEncoder(path)
+def encoder(path: str, kept_words: int | None = None) -> WordEncoder:
+    """One encoder per worker process, tokenizer file and bound on its memory."""
+    return WordEncoder(path, kept_words)
