@@ -56,7 +56,7 @@ def raw_batch(meetings: Meetings, loaded: DataFrame, highest: Highest = Highest(
     meeting fails as a duplicate session; so does any file that could not be parsed. The other
     files of the batch go on.
     """
-    runs = number_by_hash(meetings.files.select("path", "file_name"), ["path"], "run_id", highest.run_id)
+    runs = number_by_hash(meetings.files.select("path", "file_name"), ["path"], "run_id", highest.run_id, costly=True)
     fresh = new_files(meetings.sessions, loaded)
     first = fresh.groupBy("session_source_key").agg(F.min("path").alias("path"))
     accepted_keys = first.join(loaded.select("session_source_key"), "session_source_key", "left_anti")
@@ -66,7 +66,7 @@ def raw_batch(meetings: Meetings, loaded: DataFrame, highest: Highest = Highest(
         F.lit("The meeting is already loaded from another file.").alias("error_message"),
         F.col("source_file_name").alias("raw_record"),
     )
-    numbered = number_by_hash(accepted, ["session_source_key"], "session_raw_id", highest.session)
+    numbered = number_by_hash(accepted, ["session_source_key"], "session_raw_id", highest.session, costly=True)
     sessions = numbered.join(runs.select("path", "run_id"), "path")
     owner = sessions.select("path", "session_raw_id", "run_id", "dataset_name", "source_file_name")
 
