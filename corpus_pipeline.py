@@ -18,6 +18,8 @@ from rollcall.storage import land
 
 #: Words that a worker remembers while it packs: fewer than a worker that does nothing else, as its memory also served the stages before.
 KEPT_WORDS = 500_000
+#: Texts are near duplicates from this similarity in percent on; operator 2 has a threshold of its own.
+SIMILAR = 80
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id; of rows that repeat it, one row."""
-    found = land(near_text.near_duplicates(docs).filter("kept").select("doc_id", "text_mark", "component_id").distinct(), "kept")
+    found = land(near_text.near_duplicates(docs, SIMILAR).filter("kept").select("doc_id", "text_mark", "component_id").distinct(), "kept")
     # A group's smallest id may stand on rows with different texts.
     one = F.row_number().over(Window.partitionBy("component_id", "doc_id").orderBy("text_mark"))
     chosen = found.withColumn("one", one).filter("one = 1 OR component_id IS NULL")

@@ -5,15 +5,16 @@ set is hashed to a bin with a value that grows with i, each bin keeps its smalle
 until no bin is empty; in the second half of the rounds round i fills one bin for certain, so every
 coordinate is filled. Equal coordinates estimate the similarity with the concentration of minwise sketches.
 
-Then banding: ``BANDS`` bands of ``ROWS`` coordinates are hashed to buckets. Documents with equal sets are one
-class from the start, so that only classes go on. Links are confirmed on full sets.
+Then banding: bands of coordinates, as many and as wide as ``banding`` finds for the threshold, are hashed to
+buckets. Documents with equal sets are one class from the start, so that only classes go on. Links are
+confirmed on full sets.
 
 Buckets are worked off without all their pairs. First each class of a bucket meets the bucket's hub, the
 class with most company in its buckets; confirmed links give components. Classes of a bucket that are
 then in different components are compared too, unless a bound rules the pair out: elements that no other
 class of such buckets has cannot be shared, and signatures of the sketch must agree as far as a similar
-pair's would (a pair at the threshold misses that by more than 5 standard deviations). So no link is
-lost but by the sketch's own error: at the threshold less than one pair in 10^6 shares no bucket.
+pair's would (``agreeing``). So no link is lost but by the sketch's own error: at any threshold less than
+one pair in 10^6 that stands at it shares no bucket, and less than one in 10^6 has signatures too different.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing. Texts with fewer words
 than a shingle have one element, the whole sequence. Rows that repeat an id are separate rows of it. A null
@@ -23,6 +24,7 @@ id has the smallest id of its component, which is null if it is alone. An empty
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +38,8 @@ from rollcall.storage import land
 
 #: Words in a shingle; links from 100 * intersection >= PERCENT * union.
 WIDTH, PERCENT = 5, 85
-#: 36 * 7 of 256 coordinates. A pair at 0.85 shares no band with probability (1 - 0.85^7)^36 < 10^-6.
-COORDINATES, BANDS, ROWS = 256, 36, 7
-#: Of 256 signature bits a pair at 0.85 agrees in 236.8 on average, standard deviation 4.2.
-AGREEING = 214
+#: Coordinates of a sketch, and how often a pair at the threshold may miss its buckets or the signatures' bound.
+COORDINATES, MISSED = 256, 1e-6
 
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -54,6 +54,31 @@ def mix(x: np.ndarray) -> np.ndarray:
 _STEPS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows for a threshold: the widest bands, and as few of them, that a pair at it shares often enough.
+
+    A pair at s shares no band with probability (1 - s^rows)^bands. 36 bands of 7 for 85, 35 of 5 for 80.
+    """
+    for rows in range(len(_STEPS), 0, -1):
+        for bands in range(1, COORDINATES // rows + 1):
+            if (1 - (percent / 100) ** rows) ** bands <= MISSED:
+                return bands, rows
+    raise ValueError(f"{COORDINATES} coordinates are too few for links from {percent} percent")
+
+
+def agreeing(percent: int) -> int:
+    """The most signature bits that a pair at the threshold has in common often enough: 214 for 85, 205 for 80.
+
+    A bit agrees where the coordinates do and in half of the other places.
+    """
+    same, missed = (1 + percent / 100) / 2, 0.0
+    for bits in range(COORDINATES + 1):
+        missed += comb(COORDINATES, bits) * same**bits * (1 - same) ** (COORDINATES - bits)
+        if missed > MISSED:
+            return bits
+    return COORDINATES
+
+
 def shingles(text: str, width: int = WIDTH) -> np.ndarray:
     """Sorted 64-bit marks of the distinct shingles of a whole text, letters A-Z lowered."""
     words = text.encode().lower().split()
@@ -92,11 +117,12 @@ def sketches(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarr
     return out
 
 
-def buckets(sketch: np.ndarray) -> np.ndarray:
+def buckets(sketch: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The marks of the bands of each sketch."""
-    rows = sketch[:, : BANDS * ROWS].reshape(len(sketch), BANDS, ROWS)
-    sums = (mix(rows) * _STEPS[:ROWS]).sum(2, dtype=np.uint64)
-    return mix(sums + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+    bands, width = banding(percent)
+    rows = sketch[:, : bands * width].reshape(len(sketch), bands, width)
+    sums = (mix(rows) * _STEPS[:width]).sum(2, dtype=np.uint64)
+    return mix(sums + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
 def signature(sketch: np.ndarray) -> np.ndarray:
@@ -105,7 +131,7 @@ def signature(sketch: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<i8")
 
 
-def described(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def described(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, text_mark, n_shingles, node (128-bit mark of the set), buckets, signature of every row."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +142,7 @@ def described(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 full = [k for k, s in enumerate(sets) if len(s)]
                 sketch = sketches([sets[k] for k in full])
                 bands, bits = [None] * len(sets), [None] * len(sets)
-                for k, b, s in zip(full, buckets(sketch).tolist(), signature(sketch).tolist(), strict=True):
+                for k, b, s in zip(full, buckets(sketch, percent).tolist(), signature(sketch).tolist(), strict=True):
                     bands[k], bits[k] = b, s
                 yield pa.RecordBatch.from_arrays([
                     some.column(0), some.column(1), pa.array([len(s) for s in sets], pa.int64()),
@@ -161,10 +187,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(keep, "a binary, b binary")
 
 
-def _agree(left: str, right: str):
+def _agree(left: str, right: str, percent: int):
     """Enough signature bits in common."""
     differing = sum((F.bit_count(F.col(f"{left}.signature")[k].bitwiseXOR(F.col(f"{right}.signature")[k])) for k in range(4)), F.lit(0))
-    return differing <= COORDINATES - AGREEING
+    return differing <= COORDINATES - agreeing(percent)
 
 
 def _may_link(low, high, percent: int):
@@ -174,7 +200,7 @@ def _may_link(low, high, percent: int):
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """doc_id, text_mark, n_shingles, component_id, kept for every row of ``docs``."""
-    rows = land(described(docs, width), "described")
+    rows = land(described(docs, width, percent), "described")
     classes = rows.filter("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct("doc_id", "text_mark")).alias("of"), F.first("n_shingles").alias("n"),
         F.first("buckets").alias("buckets"), F.first("signature").alias("signature"), F.min("doc_id").alias("low_id"),
@@ -192,7 +218,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     hubs = entries.join(heavy.select("bucket", F.col("hub.node").alias("hub")), "bucket").filter("node != hub")
     star = hubs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     a, b = facts.select(F.col("node").alias("a"), F.struct("n", "signature").alias("l")), facts.select(F.col("node").alias("b"), F.struct("n", "signature").alias("r"))
-    likely = _agree("l", "r") & _may_link(F.least("l.n", "r.n"), F.greatest("l.n", "r.n"), percent)
+    likely = _agree("l", "r", percent) & _may_link(F.least("l.n", "r.n"), F.greatest("l.n", "r.n"), percent)
     links = land(confirmed(star.join(a, "a").join(b, "b").filter(likely).select("a", "b"), sets, percent), "star_links")
 
     rest = land(confirmed(_between(entries, facts, sets, components(links), percent), sets, percent), "more_links")
@@ -233,7 +259,7 @@ def _between(entries: DataFrame, facts: DataFrame, sets: DataFrame, roots: DataF
     first = F.array_position(F.zip_with("l.buckets", "r.buckets", lambda x, y: x == y), True) == F.col("l.band") + 1
     same = (
         (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.node") > F.col("r.node")) & (F.col("l.root") != F.col("r.root"))
-        & (100 * most >= percent * (F.col("l.n") + F.col("r.n") - most)) & _agree("l", "r") & first
+        & (100 * most >= percent * (F.col("l.n") + F.col("r.n") - most)) & _agree("l", "r", percent) & first
     )
     return left.join(right, same).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
 

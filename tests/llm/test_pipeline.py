@@ -1,6 +1,7 @@
 """The stages of the pipeline against plain versions, each judged on its own input."""
 
 from collections import Counter
+from itertools import combinations
 
 import corpus_pipeline
 import pytest
@@ -9,7 +10,7 @@ from tokenizers import Tokenizer
 
 from .conftest import ODD_ROWS
 from .test_corpus_operators import check_packing, labelled, plain_targets
-from .test_text_operators import plain_components, plain_lines
+from .test_text_operators import plain_components, plain_lines, shingle_set
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -76,6 +77,24 @@ def test_one_of_each_group_stays(spark, corpus, folder):
     assert max(kept.values()) == 1
 
 
+def test_pairs_between_the_thresholds_of_stage_and_query_go(spark, folder):
+    """Pairs planted at 0.80 to 0.85 and just below 0.80, against brute force over all pairs."""
+    rows = []
+    for k in range(60):
+        words = [f"p{k}w{n}" for n in range(104 + 9 * (k % 3))]
+        rows.append((2 * k, " ".join(words), "a"))
+        size = len(words) - 4
+        # A tail of its own for one of the two: similarity shared / size, a shade below 0.80 for every fourth pair.
+        shared = -(-size * (80 + k % 5) // 100) if k % 4 else size * 80 // 100 - 1
+        rows.append((2 * k + 1, " ".join(words[: shared + 4]), "a"))
+    sets = [shingle_set(t) for _, t, _ in rows]
+    alike = [len(x & y) / len(x | y) for x, y in zip(sets[::2], sets[1::2])]
+    assert sum(0.8 <= s < 0.85 for s in alike) == 45 and sum(0.77 < s < 0.8 for s in alike) == 15
+    gone = {max(rows[a][0], rows[b][0]) for a, b in combinations(range(len(rows)), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    out = corpus_pipeline.without_near_duplicates(spark, as_documents(spark, rows), folder)
+    assert {r["doc_id"] for r in out.collect()} == {d for d, _, _ in rows} - gone and len(gone) == 45
+
+
 def test_sources_come_near_their_targets(spark, corpus, folder):
     out = corpus_pipeline.to_target_weights(spark, as_documents(spark, corpus[0]), folder)
     assert out.columns == COLUMNS

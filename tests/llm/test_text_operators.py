@@ -116,6 +116,16 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert near_text.op2_minhash_near_dedup(no_docs).collect() == []
 
 
+def test_bands_and_signatures_follow_the_threshold():
+    assert near_text.banding(85) == (36, 7) and near_text.agreeing(85) == 214
+    for percent in (10, 50, 80, 99, 100):
+        bands, rows = near_text.banding(percent)
+        assert bands * rows <= near_text.COORDINATES and (1 - (percent / 100) ** rows) ** bands <= 1e-6
+    assert 203 <= near_text.agreeing(80) <= 205
+    with pytest.raises(ValueError):
+        near_text.banding(1)
+
+
 def test_sketches_fill_every_coordinate_and_estimate_similarity():
     import numpy as np
 
