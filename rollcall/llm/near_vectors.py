@@ -4,9 +4,10 @@ Method: a hierarchical navigable small-world graph per shard. Vectors with equal
 of about ``SHARD`` vectors; each shard's graph is built once and written. Every vector of a label then
 queries every shard of the label, in blocks: a beam search down the levels, then from what it has found
 on through the lowest level as long as neighbours are similar, so that a group of very many near copies is
-followed to its end. A sample of a block's queries is compared with all vectors of the shard; while less
-than ``AUDIT`` of their links are found the beam is doubled, and a beam as wide as the shard looks at
-every vector. Links are verified by cosine in double precision. A block gives a count of links per vector
+followed to its end. A sample of a block's queries is compared with all vectors of the shard, and the beam is
+doubled until each of them, by itself, has found ``AUDIT`` of its links; its own place is no link. Where fewer
+than ``LINKED`` of them have links, as in most shards of a large label, each of the others has to find
+its nearest vector too. Beams wider than ``WIDEST`` become as wide as the shard, which looks at every vector. Links are verified by cosine in double precision. A block gives a count of links per vector
 and the links that join its components, not all pairs; the components of all blocks are united.
 
 Vectors equal in label and all components are one class, which stands for each of them.
@@ -35,8 +36,10 @@ THRESHOLD = 0.98
 SHARD, QUERIES = 4096, 4096
 #: Neighbours kept per vector above the lowest level and on it; beam of the build and of the first search.
 NEIGHBOURS, LOWEST, BUILD_BEAM, BEAM = 12, 24, 40, 16
-#: Share of the links of audited queries that has to be found, and queries audited per block.
-AUDIT, AUDITED = 0.999, 64
+#: Share of its links that each audited query has to find, queries audited per block, and how many with links suffice for that.
+AUDIT, AUDITED, LINKED = 0.999, 64, 32
+#: The widest beam before all vectors are looked at, which takes less time than a wider one.
+WIDEST = 128
 #: How far below the threshold a vector may be and still lead on to others.
 SLACK = 0.03
 _TOGETHER = 256
@@ -153,15 +156,42 @@ class Graph:
             self._both = np.searchsorted(pairs, np.arange(n + 1) * n), pairs % n
         return self._both
 
+    def nearest(self, queries: np.ndarray, beam: int, own: np.ndarray) -> np.ndarray:
+        """For each query the closeness of the nearest vector that a beam meets, but for the query's ``own`` place (-1: none)."""
+        near, close = self._beam(queries, self._entry(queries), 0, beam)
+        return np.where((near >= 0) & (near != own[:, None]), close, -2).max(1)
+
+    def _entry(self, queries: np.ndarray) -> np.ndarray:
+        """Where a search of the lowest level begins."""
+        entry = np.zeros(len(queries), np.int64)
+        for lv in range(len(self.links) - 1, 0, -1):
+            entry = self._beam(queries, entry, lv, 1)[0][:, 0]
+        return entry
+
+    def audited_beam(self, queries: np.ndarray, own: np.ndarray, threshold: float) -> int:
+        """The narrowest beam that does for each of ``queries``; ``own`` is the place of each in the shard, -1 if it has none."""
+        scores = queries @ self.unit.T
+        scores[np.flatnonzero(own >= 0), own[own >= 0]] = -2
+        truth = [np.flatnonzero(row >= threshold) for row in scores]
+        lone = np.array([k for k, t in enumerate(truth) if not len(t)], np.int64)
+        if len(queries) - len(lone) >= LINKED:
+            lone = lone[:0]
+        beam = BEAM
+        while beam < len(self.unit):
+            got = self.search(queries, threshold, beam)
+            if all(len(np.intersect1d(a, b, assume_unique=True)) >= AUDIT * len(b) for a, b in zip(got, truth, strict=True)):
+                # Equal but for the rounding of a product of matrices and one of vectors.
+                if not len(lone) or (self.nearest(queries[lone], beam, own[lone]) >= scores[lone].max(1) - 1e-9).all():
+                    return beam
+            beam = 2 * beam if 2 * beam <= WIDEST else len(self.unit)
+        return beam
+
     def search(self, queries: np.ndarray, threshold: float, beam: int) -> list[np.ndarray]:
         """For each query the vectors found at ``threshold`` or above, in order."""
         if beam >= len(self.unit):
             return [np.flatnonzero(row >= threshold) for row in queries @ self.unit.T]
         first, around_all = self.both_ways()
-        entry = np.zeros(len(queries), np.int64)
-        for lv in range(len(self.links) - 1, 0, -1):
-            entry = self._beam(queries, entry, lv, 1)[0][:, 0]
-        near, close = self._beam(queries, entry, 0, beam)
+        near, close = self._beam(queries, self._entry(queries), 0, beam)
         out = []
         for q, some, scores in zip(queries, near, close, strict=True):
             lead = some[scores >= threshold - SLACK]
@@ -220,14 +250,9 @@ def _query(threshold: float):
         graph, nodes, copies = _loaded(row), np.frombuffer(row["nodes"], "<i8"), np.frombuffer(row["copies"], "<i8")
         queries = queries.sort_values("node")
         unit, own = _unit(queries["values"]), queries["node"].to_numpy()
-        beam, audited = BEAM, np.linspace(0, len(unit) - 1, min(AUDITED, len(unit))).astype(int)
-        truth = [np.flatnonzero(r >= threshold) for r in unit[audited] @ graph.unit.T]
-        wanted = sum(map(len, truth))
-        while True:
-            got = graph.search(unit[audited], threshold, beam)
-            if sum(len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(got, truth, strict=True)) >= AUDIT * wanted or beam >= len(nodes):
-                break
-            beam *= 2
+        audited = np.linspace(0, len(unit) - 1, min(AUDITED, len(unit))).astype(int)
+        place = {node: k for k, node in enumerate(nodes.tolist())}
+        beam = graph.audited_beam(unit[audited], np.array([place.get(node, -1) for node in own[audited].tolist()], np.int64), threshold)
         found = [f for at in range(0, len(unit), _TOGETHER) for f in graph.search(unit[at : at + _TOGETHER], threshold, beam)]
         # Verified once more, the same way for every query; a class does not link with itself here.
         kept = []

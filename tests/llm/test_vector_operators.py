@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from rollcall.llm import graph, near_vectors, top_scores
 
@@ -82,6 +83,37 @@ def test_graphs_find_nearly_all_with_a_narrow_beam():
     assert all((unit[f] @ q >= 0.98).all() for f, q in zip(found, unit))
 
 
+def counted_in_a_shard(vectors, queries, first):
+    """Links of queries, numbered from ``first`` on, that one cell finds and that there are."""
+    table = lambda rows, at: pd.DataFrame({"node": np.arange(at, at + len(rows)), "copies": 1, "values": [r.tobytes() for r in rows]})
+    out = near_vectors._query(0.98)(table(queries, first)[["node", "values"]], near_vectors._build((0, vectors.shape[1], 0), table(vectors, 0)))
+    counts = out.groupby("node")["n_links"].sum()
+    unit, asked = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (vectors, queries))
+    close = asked @ unit.T >= 0.98
+    want = close.sum(1) - (close[np.arange(len(queries)), np.arange(len(queries))] if first == 0 else 0)
+    return np.array([counts.get(first + k, 0) for k in range(len(queries))]), want
+
+
+def test_a_large_group_hides_no_losses_of_others():
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(size=(2000, 64))
+    vectors[:666] = vectors[0] + rng.normal(size=(666, 64)) * 0.01
+    vectors[1333:] = vectors[666:1333] + rng.normal(size=(667, 64)) * 0.1
+    vectors = vectors[rng.permutation(2000)]
+    got, want = counted_in_a_shard(vectors, vectors, 0)
+    few = (want > 0) & (want < 50)
+    assert few.sum() > 1300 and (got[few] / want[few]).mean() >= 0.99 and got.sum() >= 0.999 * want.sum()
+
+
+def test_cells_almost_without_links_are_audited():
+    rng = np.random.default_rng(4)
+    vectors, queries = rng.normal(size=(2000, 256)), rng.normal(size=(2000, 256))
+    linked = np.setdiff1d(np.arange(0, 2000, 4), np.linspace(0, 1999, near_vectors.AUDITED).astype(int))
+    queries[linked] = vectors[linked] + rng.normal(size=(len(linked), 256)) * 0.18
+    got, want = counted_in_a_shard(vectors, queries, 5000)
+    assert want.sum() > 300 and (got == want).all()
+
+
 def plain_top(vectors, k):
     good = [v for v in vectors if v[0] is not None and usable(v, label=False)]
     size = max((len(v[1]) for v in good), default=0)
