@@ -64,4 +64,104 @@ SELECT d.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_removed, 0) AS
 FROM documents d LEFT JOIN texts t USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op5_mixing": MIXING, "op9_line_dedup": LINES}
+_ASSIGN = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_SCANS = " UNION ALL ".join(
+    f"SELECT doc_id, source, text, {kind} AS kind, regexp_extract_all(text, '{pattern}') AS hits, string_split_regex(text, '{pattern}') AS gaps FROM texts"
+    for kind, pattern in enumerate((_ASSIGN, "AKIA[A-Z0-9]+", "[0-9a-f]{32,}", "[A-Za-z0-9+/_-]{20,}"))
+)
+SECRETS = rf"""
+WITH texts AS (
+  SELECT doc_id, source, coalesce(text, '') AS text FROM documents
+), scans AS (
+  {_SCANS}
+), numbered AS (
+  SELECT doc_id, source, kind, hits, gaps, unnest(range(1, len(hits) + 1)) AS i FROM scans WHERE len(hits) > 0
+), placed AS (
+  SELECT doc_id, source, kind, hits[i] AS hit,
+    (list_sum(list_transform(gaps[1:i], lambda g: len(g))) + list_sum(list_transform(hits[1:i], lambda h: len(h))))::BIGINT AS stop FROM numbered
+), valued AS (
+  SELECT *, CASE kind WHEN 0 THEN regexp_extract(hit, '{_ASSIGN}', 1) ELSE hit END AS value, stop - len(hit) AS start FROM placed
+), kept AS (
+  SELECT *, len(value) >= 16 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND list_unique(string_split(value[1:64], '')) >= 8
+    AND NOT regexp_matches(value, '(?i)example|sample|dummy|changeme|placeholder|your_?|test|x{{4}}|1234567') AS looks_live
+  FROM valued WHERE CASE kind WHEN 0 THEN len(value) >= 8 WHEN 1 THEN len(value) >= 16 ELSE true END
+), held AS (
+  SELECT value, count(DISTINCT coalesce(source, '<null>')) AS owners, count(DISTINCT (source, doc_id)) AS repositories, bool_or(looks_live) AS looks_live
+  FROM kept GROUP BY value
+), standing AS (
+  SELECT value, CASE WHEN owners >= 3 OR repositories > 100 THEN 'copied' WHEN looks_live THEN 'live' ELSE 'weak' END AS standing FROM held
+), spans AS (
+  SELECT doc_id, kind, start, stop, standing FROM kept JOIN standing USING (value) WHERE kind < 3
+  UNION SELECT doc_id, 4, stop - len(value), stop, standing FROM kept JOIN standing USING (value) WHERE standing = 'live'
+), listed AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(['assign', 'access', 'hex'][kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+    string_agg(['assign', 'access', 'hex', '', 'live'][kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop) AS spans,
+    count(*) FILTER (kind = 4) AS n_live, count(*) FILTER (kind < 3 AND standing = 'copied') AS n_copied
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM documents LEFT JOIN listed USING (doc_id)
+"""
+
+SEARCH = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), sized AS (
+  SELECT doc_id, terms, len(terms)::BIGINT AS n FROM words WHERE len(terms) > 0
+), counts AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM sized
+), postings AS (
+  SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM sized) GROUP BY doc_id, n, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), counts
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term), counts GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+AUDIT = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), said AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT doc_id, part, (len(words) < 200)::INT + 2 * (100 * list_unique(words) < 50 * len(words))::INT
+    + 4 * (100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * len(text))::INT + 8 * regexp_matches(text, '[#$%&*|]')::INT
+    + 16 * coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false)::INT AS mask
+  FROM texts
+), cells AS (
+  SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM failing LEFT JOIN said USING (doc_id) GROUP BY part, mask
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE (a.bit | b.bit | c.bit | d.bit | e.bit) = 31
+), steps AS (
+  SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before FROM orders, range(1, 6) s(step)
+), taken AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit, before
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM taken
+"""
+
+SQL: dict[str, str] = {
+    "op5_mixing": MIXING, "op9_line_dedup": LINES, "op11_secret_scans": SECRETS, "op12_lexical_search": SEARCH, "op13_filter_audit": AUDIT,
+}

@@ -7,7 +7,9 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import lines, mixing, near_text, near_vectors, packing, sharding, substrings, token_files, top_scores, toxicity
+from rollcall.llm import (
+    filter_audit, lexical_search, lines, mixing, near_text, near_vectors, packing, secret_scan, sharding, substrings, token_files, top_scores, toxicity,
+)
 from rollcall.storage import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -21,6 +23,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
@@ -70,10 +76,23 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir))
 
 
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.op11_secret_scans(documents(spark, sf_dir))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.op12_lexical_search(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.op13_filter_audit(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sharding, op2_minhash_near_dedup, op3_embedding_near_dedup, op4_token_files, op5_mixing, op6_exact_top_k,
-        op7_substring_dedup, op8_toxicity, op9_line_dedup, op10_best_fit_packing,
+        op7_substring_dedup, op8_toxicity, op9_line_dedup, op10_best_fit_packing, op11_secret_scans, op12_lexical_search,
+        op13_filter_audit,
     )
 }

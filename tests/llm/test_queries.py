@@ -34,7 +34,7 @@ def found(spark, name):
 
 
 def test_one_query_per_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(oracle.SQL) <= set(QUERIES)
 
 
@@ -43,7 +43,7 @@ def test_against_sql(spark, name):
     assert difference(QUERIES[name](spark, SF_DIR), connect(SF_DIR), oracle.SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", ["op1_sharding", "op5_mixing", "op9_line_dedup"])
+@pytest.mark.parametrize("name", ["op1_sharding", "op5_mixing", "op9_line_dedup", "op11_secret_scans"])
 def test_native_operators_run_no_python(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
