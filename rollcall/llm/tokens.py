@@ -17,6 +17,8 @@ KEPT_WORDS, KEPT_CHARS = 1_000_000, 40
 SLICE = 12_000_000
 #: Other new words encoded in one call; longer calls cost more for each word.
 TOGETHER = 50
+#: Marks that may join a letter in front of them to one code point; some join a capital only once it is lowered, or the other way round.
+_MARKS = "[\u0300-\u036f]"
 #: Letters that are one code point in every normal form and have a lower form of one code point, and a mark behind them.
 _UNIT = re.compile("([a-zA-Z\u00c0-\u00d6\u00d8-\u00de\u00df-\u00f6\u00f8-\u00ff]+)([.,]?)").fullmatch
 
@@ -90,8 +92,9 @@ class WordEncoder:
         while at < len(texts):
             upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE)))
             some = texts.slice(at, upto - at)
-            # The tokenizer lowers letters itself, but knows its special marks by their own letters only.
-            words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(some, "<|"), some, pc.ascii_lower(some)))
+            # The tokenizer lowers letters itself, but knows its special marks by their own letters only, and joins letters and marks first.
+            as_it_is = pc.or_(pc.match_substring(some, "<|"), pc.match_substring_regex(some, _MARKS))
+            words = pc.ascii_split_whitespace(pc.if_else(as_it_is, some, pc.ascii_lower(some)))
             distinct = words.flatten().dictionary_encode()
             ids = pa.array(self._lookup(distinct.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary()).take(distinct.indices)
             edges = np.frombuffer(ids.buffers()[1], np.int32)[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist() if len(ids) else [0] * (len(some) + 1)

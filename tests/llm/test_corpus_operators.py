@@ -24,6 +24,7 @@ def plain(tokenizer_path):
 ODD_TEXTS = [
     None, "", "  a ", "a<|endoftext|>b  c", "A<|ENDOFTEXT|>B <|startoftext|>", "don't WON'T it's'll\t\n'd", "x y z\x1cq\x85w", "\x00 a\x00b",
     "a. b, c., d.. , . x.y, 's, it's. é. 1, ß,", "ÀÉ Þß ÿŸ × ÷ ª º µ ÑO, ẞ K Å ́ a ́b İ Σ ΑΣ", "日本語 テキスト 123 45", "ﬁ ½ " + "x" * 500,
+    "J\u030c x", "H\u0331", "T\u0308 Q", "aW\u030a", "Y\u030a. J", "J\u030c<|endoftext|>\u030cJ", "A\u0301 E\u0301E \u0301Z",
     "".join(map(chr, range(0x20, 0x250))), " ".join(map(chr, range(0x20, 0x250))),
 ]
 
@@ -43,6 +44,13 @@ def test_any_texts_give_the_tokenizers_ids(plain, tokenizer_path, texts):
     assert [np.frombuffer(i, "<u4").tolist() for i in found] == [plain(t) for t in texts]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aAhHjJtTwWyY .\u030c\u0331\u0308\u030a\u0301", max_size=30), max_size=6))
+def test_letters_with_marks_give_the_tokenizers_ids(plain, tokenizer_path, texts):
+    found = tokens.encoder(tokenizer_path).encode(pa.array(texts, pa.string()))
+    assert [np.frombuffer(i, "<u4").tolist() for i in found] == [plain(t) for t in texts]
+
+
 @pytest.mark.parametrize(("n", "symbols"), [(1, 1), (257, 3), (65_536, 50), (65_537, 5000), (400_000, 49_000)])
 def test_blocks_round_trip(n, symbols):
     rng = np.random.default_rng(n)
