@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +42,13 @@ def unpacked(rows: DataFrame, packed: str, *without: str) -> list[Column]:
 def same_document(left: DataFrame, right: DataFrame) -> Column:
     """Join condition on id and mark; null ids meet too, and the mark keeps them from meeting in one task."""
     return left[DOC].eqNullSafe(right[DOC]) & (left[MARK] == right[MARK])
+
+
+def byte_slices(texts: pa.StringArray, most: int) -> Iterator[tuple[int, int]]:
+    """First and last place of runs of texts that hold up to ``most`` bytes together, or one longer text; nulls hold none."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most)))
+        yield at, upto
+        at = upto

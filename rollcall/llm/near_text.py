@@ -11,10 +11,13 @@ confirmed on full sets.
 
 Buckets are worked off without all their pairs. First each class of a bucket meets the bucket's hub, the
 class with most company in its buckets; confirmed links give components. Classes of a bucket that are
-then in different components are compared too, unless a bound rules the pair out: elements that no other
-class of such buckets has cannot be shared, and signatures of the sketch must agree as far as a similar
-pair's would (``agreeing``). So no link is lost but by the sketch's own error: at any threshold less than
-one pair in 10^6 that stands at it shares no bucket, and less than one in 10^6 has signatures too different.
+then in different components are compared too, but only those that can link: elements that no other class of
+such buckets has cannot be shared, and of two similar sets, elements in order of how many have them, the first
+n - ceil(threshold n) + 1 have one in common. So pairs come from rare elements, not from the bucket, and pages
+of one template that stay below the threshold make none out of what the template gives them. Signatures of the
+sketch must agree as far as a similar pair's would (``agreeing``). So no link is lost but by the sketch's own error:
+at any threshold less than one pair in 10^6 that stands at it shares no bucket, and less than one in 10^6 has
+signatures too different.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing. Texts with fewer words
 than a shingle have one element, the whole sequence. Rows that repeat an id are separate rows of it. A null
@@ -29,17 +32,19 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.graph import components
-from rollcall.llm.keys import marked
+from rollcall.llm.keys import byte_slices, marked
 from rollcall.storage import land
 
 #: Words in a shingle; links from 100 * intersection >= PERCENT * union.
 WIDTH, PERCENT = 5, 85
 #: Coordinates of a sketch, and how often a pair at the threshold may miss its buckets or the signatures' bound.
 COORDINATES, MISSED = 256, 1e-6
+#: Bytes of text whose sets are sketched together (or one longer text), and elements hashed in one go.
+SLICE, TOGETHER = 1_500_000, 1 << 17
 
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -100,13 +105,13 @@ def sketches(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarr
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     values = np.concatenate(sets) if sets else np.empty(0, np.uint64)
     for turn in range(2 * coordinates):
-        hashed = mix(values + np.uint64((turn + 1) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
-        value = np.uint64(turn << 40) | (hashed & np.uint64((1 << 40) - 1))
-        if turn < coordinates:
-            place = ((hashed >> np.uint64(40)) * np.uint64(coordinates) >> np.uint64(24)).astype(np.int64)
-        else:
-            place = np.full(len(values), turn - coordinates)
-        np.minimum.at(flat, owner * coordinates + place, value)
+        for at in range(0, len(values), TOGETHER):
+            hashed = mix(values[at : at + TOGETHER] + np.uint64((turn + 1) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
+            if turn < coordinates:
+                place = ((hashed >> np.uint64(40)) * np.uint64(coordinates) >> np.uint64(24)).astype(np.int64)
+            else:
+                place = turn - coordinates
+            np.minimum.at(flat, owner[at : at + TOGETHER] * coordinates + place, np.uint64(turn << 40) | (hashed & np.uint64((1 << 40) - 1)))
         if turn % 4 == 3 or len(values) < 5000:
             open_sets = (out == _MAX).any(1)
             going = open_sets[owner]
@@ -136,8 +141,8 @@ def described(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for at, upto in byte_slices(batch.column(2), SLICE):
+                some = batch.slice(at, upto - at)
                 sets = [shingles(t, width) for t in some.column(2).to_pylist()]
                 full = [k for k, s in enumerate(sets) if len(s)]
                 sketch = sketches([sets[k] for k in full])
@@ -155,36 +160,30 @@ def described(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
 
 
 def set_table(docs: DataFrame, nodes: DataFrame, width: int = WIDTH) -> DataFrame:
-    """node, elements (sorted 64-bit marks) for ``nodes`` (node, doc_id, text_mark of a document with that set)."""
+    """node, elements (64-bit marks) for ``nodes`` (node, doc_id, text_mark of a document with that set)."""
     wanted = nodes.select("node", F.col("doc_id").alias("of_id"), F.col("text_mark").alias("of_mark"))
     texts = marked(docs)
     found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["of_id"]) & (texts["text_mark"] == wanted["of_mark"]))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
-                sets = [shingles(t, width).astype("<u8").tobytes() for t in some.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], names=["node", "elements"])
+            for at, upto in byte_slices(batch.column(1), SLICE):
+                some = batch.slice(at, upto - at)
+                sets = [shingles(t, width) for t in some.column(1).to_pylist()]
+                ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+                elements = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([some.column(0), elements], names=["node", "elements"])
 
-    return found.select("node", "text").mapInArrow(build, "node binary, elements binary").dropDuplicates(["node"])
+    return found.select("node", "text").mapInArrow(build, "node binary, elements array<long>").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The ``pairs`` (a, b) whose sets satisfy 100 * intersection >= percent * union."""
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                left, right = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                shared = len(np.intersect1d(left, right, assume_unique=True))
-                good.append(100 * shared >= percent * (len(left) + len(right) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
     left = sets.select(F.col("node").alias("a"), F.col("elements").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(keep, "a binary, b binary")
+    shared = F.size(F.array_intersect("x", "y")).cast("long")
+    sized = pairs.join(left, "a").join(right, "b").select("a", "b", (F.size("x") + F.size("y")).cast("long").alias("both"), shared.alias("shared"))
+    return sized.filter(100 * F.col("shared") >= percent * (F.col("both") - F.col("shared"))).select("a", "b")
 
 
 def _agree(left: str, right: str, percent: int):
@@ -199,7 +198,10 @@ def _may_link(low, high, percent: int):
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """doc_id, text_mark, n_shingles, component_id, kept for every row of ``docs``."""
+    """doc_id, text_mark, n_shingles, component_id, kept, root for every row of ``docs``.
+
+    ``root`` names the component whatever the ids are; it is null for an empty set.
+    """
     rows = land(described(docs, width, percent), "described")
     classes = rows.filter("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct("doc_id", "text_mark")).alias("of"), F.first("n_shingles").alias("n"),
@@ -207,12 +209,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     )
     classes = land(classes, "classes")
 
-    spread = classes.select("node", F.posexplode("buckets").alias("band", "bucket"))
+    spread = classes.select("node", F.explode("buckets").alias("bucket"))
     company = spread.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     entries = land(spread.join(company, "bucket"), "entries")
     weight = entries.groupBy("node").agg(F.sum("size").alias("weight"))
     heavy = entries.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("hub"))
-    facts = land(classes.join(weight, "node").select("node", "of.*", "n", "signature", "buckets"), "facts")
+    facts = land(classes.join(weight, "node").select("node", "of.*", "n", "signature"), "facts")
     sets = land(set_table(docs, facts, width), "sets")
 
     hubs = entries.join(heavy.select("bucket", F.col("hub.node").alias("hub")), "bucket").filter("node != hub")
@@ -225,43 +227,46 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     roots = components(links.union(rest))
     named = classes.select("node", "low_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = named.groupBy("root").agg(F.min("low_id").alias("component_id"))
-    found = land(named.join(lowest, "root").select("node", "component_id"), "components")
+    found = land(named.join(lowest, "root").select("node", "component_id", "root"), "components")
     out = rows.select("doc_id", "text_mark", "n_shingles", "node").join(found, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "text_mark", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "text_mark", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "root")
 
 
 def _between(entries: DataFrame, facts: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket in different components that no bound rules out."""
-    placed = entries.select("bucket", "band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = entries.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     open_rows = land(placed.join(mixed.select("bucket"), "bucket"), "open")
     nodes = open_rows.select("node").distinct()
 
     # Elements that one open class alone has: an aggregation over marks, whatever the number of classes.
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                marks = np.frombuffer(batch.column(1)[k].as_buffer(), "<i8")
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(marks), pa.int64()), pa.array(marks)], names=["owner", "mark"])
-
     numbered = land(nodes.withColumn("owner", F.monotonically_increasing_id()), "owners")
-    elements = sets.join(numbered, "node").select("owner", "elements").mapInArrow(spread, "owner long, mark long")
-    lone = elements.groupBy("mark").agg(F.count("*").alias("n"), F.min("owner").alias("owner")).filter("n = 1").groupBy("owner").agg(F.count("*").alias("lone"))
-    bounded = numbered.join(lone, "owner", "left").join(facts.select("node", "n", "signature", "buckets"), "node")
+    spread = lambda owners: sets.join(owners, "node").select(*(c for c in owners.columns if c != "node"), F.explode("elements").alias("mark"))
+    held = land(spread(numbered).groupBy("mark").agg(F.count("*").alias("holders"), F.min("owner").alias("owner")), "holders")
+    lone = held.filter("holders = 1").groupBy("owner").agg(F.count("*").alias("lone"))
+    bounded = numbered.join(lone, "owner", "left").join(facts.select("node", "n", "signature"), "node")
     bounded = bounded.withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0))).filter(_may_link(F.col("shared"), F.col("n"), percent))
-    bounded = land(bounded.select("node", "n", "shared", "signature", "buckets"), "bounded")
+    bounded = land(bounded.join(open_rows.select("node", "root").distinct(), "node").select("node", "owner", "root", "n", "shared", "signature"), "bounded")
+
+    # The rarest shareable elements of each set, so many that similar sets have one of them in common.
+    first = F.col("shared") - F.floor((percent * F.col("n") + 99) / 100) + 1
+    rare = spread(bounded.select("node", "owner", first.alias("first"))).join(held.filter("holders > 1").select("mark", "holders"), "mark")
+    place = F.row_number().over(Window.partitionBy("owner").orderBy("holders", "mark"))
+    rare = rare.withColumn("place", place).filter(F.col("place") <= F.col("first")).select("owner", "mark")
+    rows = land(rare.join(bounded.select("owner", "root", "n", "shared", "signature"), "owner"), "rare")
 
-    rows = open_rows.join(bounded, "node")
     left, right = rows.alias("l"), rows.alias("r")
     most = F.least(F.col("l.shared"), F.col("r.shared"))
-    # A pair comes from the first bucket that it shares.
-    first = F.array_position(F.zip_with("l.buckets", "r.buckets", lambda x, y: x == y), True) == F.col("l.band") + 1
     same = (
-        (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.node") > F.col("r.node")) & (F.col("l.root") != F.col("r.root"))
-        & (100 * most >= percent * (F.col("l.n") + F.col("r.n") - most)) & _agree("l", "r", percent) & first
+        (F.col("l.mark") == F.col("r.mark")) & (F.col("l.owner") > F.col("r.owner")) & (F.col("l.root") != F.col("r.root"))
+        & (100 * most >= percent * (F.col("l.n") + F.col("r.n") - most)) & _agree("l", "r", percent)
     )
-    return left.join(right, same).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+    pairs = left.join(right, same).select(F.col("l.owner").alias("l"), F.col("r.owner").alias("r")).distinct()
+    names = bounded.select("owner", "node")
+    for side, end in (("l", "a"), ("r", "b")):
+        pairs = pairs.join(names.select(F.col("owner").alias(side), F.col("node").alias(end)), side)
+    return pairs.select("a", "b")
 
 
 def op2_minhash_near_dedup(docs: DataFrame) -> DataFrame:
