@@ -40,24 +40,12 @@ FROM placed
 LINES = r"""
 WITH cut AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS raw FROM documents
-), numbered AS (
-  SELECT doc_id, raw, line, NOT regexp_matches(line, '^\s*$') AS is_full,
-    CASE WHEN NOT regexp_matches(line, '^\s*$') THEN row_number() OVER (PARTITION BY doc_id, NOT regexp_matches(line, '^\s*$') ORDER BY raw) END AS place
-  FROM cut
-), pairs AS (
-  SELECT doc_id, place, line, lead(line) OVER (PARTITION BY doc_id ORDER BY place) AS behind FROM numbered WHERE is_full
-), later AS (
-  SELECT doc_id, place FROM (
-    SELECT doc_id, place, row_number() OVER (PARTITION BY line, behind ORDER BY doc_id, place) AS nth FROM pairs WHERE behind IS NOT NULL
-  ) WHERE nth > 1
-), gone AS (
-  SELECT doc_id, place FROM later UNION SELECT doc_id, place + 1 FROM later
-), left_over AS (
-  SELECT n.doc_id, n.raw, n.line, n.is_full, g.place IS NOT NULL AS is_gone FROM numbered n LEFT JOIN gone g USING (doc_id, place)
+), placed AS (
+  SELECT *, NOT regexp_matches(line, '^\s*$') AS is_full, row_number() OVER (PARTITION BY line ORDER BY doc_id, raw) > 1 AS is_later FROM cut
 ), texts AS (
-  SELECT doc_id, count(*) FILTER (is_full) AS n_lines, count(*) FILTER (is_gone) AS n_removed,
-    coalesce(string_agg(line, chr(10) ORDER BY raw) FILTER (NOT is_gone), '') AS kept
-  FROM left_over GROUP BY doc_id
+  SELECT doc_id, count(*) FILTER (is_full) AS n_lines, count(*) FILTER (is_full AND is_later) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY raw) FILTER (NOT is_full OR NOT is_later), '') AS kept
+  FROM placed GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_removed, 0) AS n_removed,
   CASE WHEN d.text IS NULL THEN NULL WHEN t.n_removed = 0 THEN sha256(d.text) WHEN t.n_removed = t.n_lines THEN sha256('') ELSE sha256(t.kept) END AS kept_sha256

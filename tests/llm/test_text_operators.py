@@ -1,10 +1,12 @@
 """Sharding, near duplicates, substrings and lines against plain versions."""
 
 import hashlib
+import time
 from collections import Counter
 from itertools import combinations
 
 import pytest
+import xxhash
 from rollcall.llm import lines, near_text, sharding, substrings
 
 from .conftest import CLASHING, ODD_ROWS
@@ -116,6 +118,35 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert near_text.op2_minhash_near_dedup(no_docs).collect() == []
 
 
+def test_pages_of_one_template_below_the_threshold_make_few_pairs(spark, make_docs, monkeypatch):
+    """Pages that share a template and, in pairs of neighbours, more: only the neighbours are compared, and linked."""
+    template = [f"t{k}" for k in range(240)]
+    rows = []
+    for k in range(3000):
+        own = [f"p{k}w{j}" for j in range(70)] if k % 100 else [f"q{k // 200}w{j}" for j in range(70)]
+        rows.append((k, " ".join(template + [f"pool{(k * j) % 211}x{j % 3}" for j in range(8)] + own)))
+    seen = []
+    compared = near_text.confirmed
+    monkeypatch.setattr(near_text, "confirmed", lambda pairs, *more: seen.append(pairs.count()) or compared(pairs, *more))
+    found = {r["doc_id"]: r["component_id"] for r in near_text.op2_minhash_near_dedup(make_docs([(*r, "a") for r in rows])).collect()}
+    sets = {k: shingle_set(t) for k, t in rows if k % 100 == 0}
+    for a, b in combinations(sets, 2):
+        linked = 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+        assert linked == (a // 200 == b // 200)
+    assert all(found[k] == (k // 200 * 200 if k % 100 == 0 else k) for k in found)
+    assert seen[1] < 20 * len(rows)
+
+
+def test_a_very_long_text_is_sketched_in_parts(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (30_000, 7, 500)]
+    want = near_text.sketches(sets)
+    monkeypatch.setattr(near_text, "TOGETHER", 1000)
+    assert (near_text.sketches(sets) == want).all()
+
+
 def test_bands_and_signatures_follow_the_threshold():
     assert near_text.banding(85) == (36, 7) and near_text.agreeing(85) == 214
     for percent in (10, 50, 80, 99, 100):
@@ -169,41 +200,73 @@ def test_substrings_of_nothing(no_docs):
 
 
 def plain_lines(rows, run):
-    texts = {}
-    for doc, text in rows:
-        texts[doc, text] = [line for line in (text or "").split("\n") if line.strip()]
-    places = {}
-    for (doc, text), own in texts.items():
+    """Rows that repeat id and text are one document; null ids come first, texts of one id in the order in which Spark finds them."""
+    texts = {(doc, text): [line for line in (text or "").split("\n") if line.strip()] for doc, text in rows}
+    order = sorted(texts, key=lambda t: (t[0] is not None, t[0] or 0, mark_of(t[1])))
+    seen, gone = set(), {}
+    for key in order:
+        own = texts[key]
+        gone[key] = set()
         for k in range(len(own) - run + 1):
-            places.setdefault(tuple(own[k : k + run]), []).append((doc is not None, doc or 0, text, k))
+            if tuple(own[k : k + run]) in seen:
+                gone[key].update(range(k, k + run))
+            seen.add(tuple(own[k : k + run]))
     out = []
     for doc, text in rows:
-        own = texts[doc, text]
-        gone = set()
-        for k in range(len(own) - run + 1):
-            if min((p[:2] for p in places[tuple(own[k : k + run])])) < (doc is not None, doc or 0) or min(p[3] for p in places[tuple(own[k : k + run])] if p[1:3] == (doc or 0, text)) < k:
-                gone.update(range(k, k + run))
+        own, cut = texts[doc, text], gone[doc, text]
         kept, at = [], 0
         for line in (text or "").split("\n"):
             if line.strip():
-                if at not in gone:
+                if at not in cut:
                     kept.append(line)
                 at += 1
             else:
                 kept.append(line)
-        final = None if text is None else text if not gone else "" if len(gone) == len(own) else "\n".join(kept)
-        out.append((doc, len(own), len(gone), final))
+        final = None if text is None else text if not cut else "" if len(cut) == len(own) else "\n".join(kept)
+        out.append((doc, len(own), len(cut), final))
     return Counter(out)
 
 
-@pytest.mark.parametrize("run", [1, 2, 3])
+def mark_of(text):
+    """The mark that orders texts of one id: XXH64 with Spark's seed, as a signed number."""
+    n = xxhash.xxh64_intdigest((text or "").encode(), seed=42)
+    return n - (1 << 64) if n >> 63 else n
+
+
+@pytest.mark.parametrize("run", [1, 2, 3, 5])
 def test_lines(make_docs, run):
     rows = [(k, "\n".join(f"line {(k * j) % 5}" if j % 4 else "" for j in range(k))) for k in range(25)]
-    rows += [(r[0], r[1]) for r in ODD_ROWS if r[0] is not None and r[0] != 10]
+    rows += [(r[0], r[1]) for r in ODD_ROWS]
     found = lines.line_dedup(make_docs([(*r, "a") for r in rows]), run).select("doc_id", "n_lines", "n_removed", "text")
     assert Counter(map(tuple, found.collect())) == plain_lines(rows, run)
 
 
+def test_a_line_goes_whatever_stands_beside_it(make_docs):
+    rows = [(1, "a\nshared\nb"), (2, "c\nshared\nd"), (3, "shared"), (4, "e\nshared")]
+    found = {r["doc_id"]: (r["text"], r["n_removed"]) for r in lines.line_dedup(make_docs([(*r, "a") for r in rows])).collect()}
+    assert found == {1: ("a\nshared\nb", 0), 2: ("c\nd", 1), 3: ("", 1), 4: ("e", 1)}
+
+
+def test_fingerprints_are_fewer_than_windows_and_cover_each_of_them(make_docs):
+    rows = [(k, "\n".join(f"l{(k * j * j) % 97}" for j in range(60))) for k in range(1, 20)]
+    found = lines.fingerprints(make_docs([(*r, "a") for r in rows]), 8).groupBy("doc_id").agg({"place": "collect_list"}).collect()
+    for doc, places in found:
+        assert len(places) < 30 and len(set(places)) == len(places)
+        assert all(any(s <= p < s + 8 for p in places) for s in range(53))
+
+
+def test_a_text_of_very_many_lines(make_docs):
+    """Every third line goes; twice the lines take about twice the time."""
+    took = {}
+    for n in (2_000, 32_000, 64_000):
+        rows = [(1, "\n".join(f"x{k}" for k in range(0, n, 3)), "a"), (2, "\n".join(f"x{k}" for k in range(n)), "a")]
+        started = time.perf_counter()
+        removed = {r["doc_id"]: r["n_removed"] for r in lines.line_dedup(make_docs(rows)).collect()}
+        took[n] = time.perf_counter() - started
+        assert removed == {1: 0, 2: len(range(0, n, 3))}
+    assert took[64_000] < 3 * took[32_000] + 2
+
+
 def test_lines_of_odd_rows(odd_docs, no_docs):
     found = lines.line_dedup(odd_docs)
     assert "Python" not in found._jdf.queryExecution().toString()
@@ -213,5 +276,5 @@ def test_lines_of_odd_rows(odd_docs, no_docs):
     by_id = {r["doc_id"]: r for r in rows}
     assert by_id[1]["text"] is None and by_id[1]["n_lines"] == 0
     assert by_id[12]["text"] == "other\n" and by_id[12]["n_removed"] == 2
-    assert by_id[13]["text"] == "\nline one" and by_id[13]["n_lines"] == 3
+    assert by_id[13]["text"] == "" and by_id[13]["n_lines"] == by_id[13]["n_removed"] == 3  # its last line stands in 11 too
     assert lines.op9_line_dedup(no_docs).collect() == []
