@@ -52,6 +52,7 @@ def failures(docs: DataFrame) -> DataFrame:
     mask = sum((fail.cast("int") * (1 << k) for k, fail in enumerate(fails)), F.lit(0))
     rows = land(rows.select("doc_id", "part", mask.alias("mask"), F.unhex(F.sha2("text", 256)).alias("digest")), "failures")
     copies = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).filter("copies > 1").select("digest", "first")
+    copies = land(copies, "copies")  # read back, it is dealt out for the join itself, which only then can be split
     repeats = F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False)).cast("int") * (1 << len(fails))
     return rows.join(copies, "digest", "left").select("doc_id", "part", (F.col("mask") + repeats).alias("mask"))
 

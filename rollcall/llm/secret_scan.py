@@ -92,7 +92,8 @@ def secrets(docs: DataFrame, repository: str = "doc_id", owner: str = "source")
     Kinds are numbers of ``KINDS``. Opaque tokens are not spans unless they are live.
     """
     found = land(candidates(docs, repository, owner), "candidates")
-    known = found.join(ownership(found).select("digest", "standing"), "digest")
+    # Read back, the standings are dealt out for the join itself, which only then can be split.
+    known = found.join(land(ownership(found), "ownership").select("digest", "standing"), "digest")
     base = F.when(F.col("kind") < 3, F.struct("start", "kind", "end", "standing"))
     live = F.when(F.col("standing") == "live", F.struct(F.col("value_start").alias("start"), F.lit(KINDS.index("live")).alias("kind"), "end", "standing"))
     spans = known.select("doc_id", "text_mark", F.explode(F.array(base, live)).alias("span")).filter("span IS NOT NULL")
@@ -107,7 +108,7 @@ def _listed(spans: Column) -> Column:
 def op11_secret_scans(docs: DataFrame) -> DataFrame:
     """One row per document: counts of the base kinds, digest of the base spans, all spans, live and copied values' places."""
     rows = marked(docs.select("doc_id", "text", "source")).select("doc_id", "text_mark")
-    found = secrets(docs).withColumnsRenamed({"doc_id": "of_id", "text_mark": "of_mark"})
+    found = land(secrets(docs), "secrets").withColumnsRenamed({"doc_id": "of_id", "text_mark": "of_mark"})
     rows = rows.join(found, rows["doc_id"].eqNullSafe(found["of_id"]) & (rows["text_mark"] == found["of_mark"]), "left")
     rows = rows.select("doc_id", F.coalesce("spans", F.array().cast(dict(found.dtypes)["spans"])).alias("spans"))
     base = F.filter("spans", lambda s: s["kind"] < 3)
