@@ -1,15 +1,20 @@
 """From raw documents to packed sequences, stage by stage.
 
 Each stage calls one operator on all that the stage before kept. Documents that the toxicity model rejects go;
-runs of lines that stand earlier are cut out, and documents that consist of nothing else go; of each group
+lines that stand earlier are cut out, and documents that consist of nothing else go; of each group
 of near duplicates one document stays; sources are mixed to their targets, so a document may come once,
 twice or not at all; what is left is packed into sequences. Between the stages the table has the columns
 of ``documents``; ``n_chars`` follows the text.
+
+Defined cases: null and empty texts go through all stages and give a sequence nothing but their end id. Null ids and ids
+on several rows or texts keep their rows apart; a row that repeats id and text is the same document once more, lines
+of both count as one place, and of a group only one such row stays. Null sources are a source. Other columns go along up to
+the last stage, whatever their names. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import lines, mixing, near_text, queries, toxicity
@@ -36,17 +41,23 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; of rows that repeat it, one row."""
-    found = land(near_text.near_duplicates(docs, SIMILAR).filter("kept").select("doc_id", "text_mark", "component_id").distinct(), "kept")
-    # A group's smallest id may stand on rows with different texts.
-    one = F.row_number().over(Window.partitionBy("component_id", "doc_id").orderBy("text_mark"))
-    chosen = found.withColumn("one", one).filter("one = 1 OR component_id IS NULL")
+    """One document of each group stays, the one with the smallest id (ids come before null), and of rows that repeat it one.
+
+    Groups are told apart by their roots, so a shared id joins no texts and a null id parts none. Empty texts are in no group.
+    """
+    found = near_text.near_duplicates(docs, SIMILAR).select("doc_id", "text_mark", "root")
+    found = land(found, "near_duplicates")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_mark")))
+    chosen = found.filter("root IS NOT NULL").groupBy("root").agg(first.alias("first")).select(F.col("first.doc_id"), F.col("first.text_mark"), F.lit(False).alias("alone"))
+    chosen = chosen.union(found.filter("root IS NULL").select("doc_id", "text_mark", F.lit(True)).distinct())
     # Null ids as values of their own, so that the join and the dropping of repeated rows share one shuffle of the texts.
     id_or_0, keys = F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), ["id", "no_id", "mark"]
-    chosen = chosen.select(id_or_0, F.col("doc_id").isNull().alias("no_id"), F.col("text_mark").alias("mark"))
+    chosen = chosen.select(id_or_0, F.col("doc_id").isNull().alias("no_id"), F.col("text_mark").alias("mark"), "alone")
     mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     rows = docs.select(whole(docs).alias("document"), id_or_0, F.col("doc_id").isNull().alias("no_id"), mark.alias("mark"))
-    return rows.join(chosen, keys, "left_semi").dropDuplicates(keys).select(*unpacked(docs, "document"))
+    own = F.when(F.col("alone"), F.monotonically_increasing_id())  # rows that are in no group all stay
+    rows = rows.join(land(chosen, "kept"), keys).withColumn("own", own)
+    return rows.dropDuplicates([*keys, "own"]).select(*unpacked(docs, "document"))
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
