@@ -13,7 +13,7 @@ Buckets are worked off without all their pairs. First each class of a bucket mee
 class with most company in its buckets; confirmed links give components. Classes of a bucket that are
 then in different components are compared too, but only those that can link: elements that no other class of
 such buckets has cannot be shared, and of two similar sets, elements in order of how many have them, the first
-n - ceil(threshold n) + 1 have one in common. So pairs come from rare elements, not from the bucket, and pages
+n - ceil(threshold n) + 1 have one in common, behind whose place enough elements are left in both. So pairs come from rare elements, not from the bucket, and pages
 of one template that stay below the threshold make none out of what the template gives them. Signatures of the
 sketch must agree as far as a similar pair's would (``agreeing``). So no link is lost but by the sketch's own error:
 at any threshold less than one pair in 10^6 that stands at it shares no bucket, and less than one in 10^6 has
@@ -253,11 +253,12 @@ def _between(entries: DataFrame, facts: DataFrame, sets: DataFrame, roots: DataF
     first = F.col("shared") - F.floor((percent * F.col("n") + 99) / 100) + 1
     rare = spread(bounded.select("node", "owner", first.alias("first"))).join(held.filter("holders > 1").select("mark", "holders"), "mark")
     place = F.row_number().over(Window.partitionBy("owner").orderBy("holders", "mark"))
-    rare = rare.withColumn("place", place).filter(F.col("place") <= F.col("first")).select("owner", "mark")
+    rare = rare.withColumn("place", place).filter(F.col("place") <= F.col("first")).select("owner", "mark", "place")
     rows = land(rare.join(bounded.select("owner", "root", "n", "shared", "signature"), "owner"), "rare")
 
     left, right = rows.alias("l"), rows.alias("r")
-    most = F.least(F.col("l.shared"), F.col("r.shared"))
+    # Where a mark is the first that two sets share, they share no more than what either has from there on.
+    most = F.least(*(F.col(f"{side}.shared") - F.col(f"{side}.place") + 1 for side in "lr"))
     same = (
         (F.col("l.mark") == F.col("r.mark")) & (F.col("l.owner") > F.col("r.owner")) & (F.col("l.root") != F.col("r.root"))
         & (100 * most >= percent * (F.col("l.n") + F.col("r.n") - most)) & _agree("l", "r", percent)
