@@ -1,6 +1,7 @@
 """Profiles of arbitrary delimited files.
 
-A file is read with each of four delimiters; the one with the most regular layout wins. The header
+The cells of every line are counted under each of four delimiters, in one pass; the delimiter with the most regular
+layout wins, and the file is cut into records under it alone. The header
 is looked for among the rows of the dominant width, and its columns are matched with the employee
 attributes.
 """
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from rollcall.functions.text import normalise_header, strip
 from rollcall.sources.files import read_files
 from rollcall.sources.perfile import join_file_facts
-from rollcall.sources.records import read_records
+from rollcall.sources.records import cell_counts, read_records
 from rollcall.storage import land
 
 # Delimiters, header words, column aliases by priority, and required columns.
@@ -48,33 +49,38 @@ def _filled(cells="cells") -> Column:
     return F.exists(cells, lambda cell: strip(cell) != "")
 
 
-def read_with_all_delimiters(lines: DataFrame) -> DataFrame:
-    """Records of each file under each candidate delimiter (a fixed fan-out of four)."""
-    candidates = F.array(*[F.lit(d) for d in DELIMITERS])
-    readings = lines.drop("delimiter").withColumn("delimiter", F.explode(candidates))
-    return read_records(readings, extra=["delimiter"])
-
-
-def choose_layout(records: DataFrame) -> DataFrame:
-    """Per file the delimiter and dominant width: path, delimiter, width, last_row.
+def choose_layout(lines: DataFrame) -> DataFrame:
+    """Per file the delimiter and dominant width: path, delimiter, width, last_row, last_line, spans.
 
     Widths above one are counted per delimiter; the dominant width is the most frequent, the wider
     of equals. The delimiter with the best (count, width, rows with several columns) wins, and the
     earlier one in the list of equals. A reading with a quote that is never closed does not take part.
+
+    One pass over the lines counts the cells under all delimiters. Where a line leaves a field open, that
+    file is cut into records under that delimiter before its cells are counted; ``spans`` tells such a reading.
     """
-    width = F.size("cells")
-    histogram = (
-        records.groupBy("path", "delimiter", width.alias("width"), (_filled() & (width > 1)).alias("counts"))
-        .agg(
-            F.count(F.lit(1)).alias("n"), F.bool_or("unclosed").alias("unclosed"), F.max("row_number").alias("last_row")
-        )
+    counts = F.col("filled") & (F.col("width") > 1)
+    own = cell_counts(lines.select("path", "line_number", "line"), DELIMITERS).groupBy("path", "delimiter", "width", counts.alias("counts")).agg(
+        F.count(F.lit(1)).alias("n"), F.bool_or("opens").alias("opens"), F.max("line_number").alias("last_row")
     )
-    counted = F.when(F.col("counts"), F.col("n"))
+    own = land(own, "widths")
+    spanning = land(own.where("opens").select("path", "delimiter").distinct(), "spanning_readings")
+    histogram = own.withColumn("unclosed", F.lit(False)).drop("opens")
+    if not spanning.isEmpty():
+        extents = own.groupBy("path").agg(F.max("last_row").alias("last_row"))
+        pairs = spanning.join(extents, "path")
+        again = join_file_facts(lines.select("path", "line_number", "line"), pairs, ["path"], "line_number", "last_row")
+        records = read_records(again.drop("last_row"), ["delimiter"], spanning)
+        width = F.size("cells")
+        cut = records.groupBy("path", "delimiter", width.alias("width"), (_filled() & (width > 1)).alias("counts")).agg(
+            F.count(F.lit(1)).alias("n"), F.max("row_number").alias("last_row"), F.bool_or("unclosed").alias("unclosed")
+        )
+        histogram = histogram.join(spanning, ["path", "delimiter"], "left_anti").unionByName(cut)
     dominant = (
         histogram.groupBy("path", "delimiter")
         .agg(
             F.max(F.when(F.col("counts"), F.struct("n", "width"))).alias("top"),
-            F.sum(counted).alias("multi"),
+            F.sum(F.when(F.col("counts"), F.col("n"))).alias("multi"),
             F.bool_or("unclosed").alias("unclosed"),
             F.max("last_row").alias("last_row"),
         )
@@ -82,7 +88,20 @@ def choose_layout(records: DataFrame) -> DataFrame:
     )
     order = F.array_position(F.array(*[F.lit(d) for d in DELIMITERS]), F.col("delimiter"))
     best = F.max_by(F.struct("delimiter", "top.width", "last_row"), F.struct("top.n", "top.width", "multi", -order))
-    return dominant.groupBy("path").agg(best.alias("b")).select("path", "b.delimiter", "b.width", "b.last_row")
+    chosen = dominant.groupBy("path").agg(best.alias("b")).select("path", "b.delimiter", "b.width", "b.last_row")
+    last_lines = own.groupBy("path").agg(F.max("last_row").alias("last_line"))
+    known = spanning.withColumn("spans", F.lit(True))
+    return chosen.join(last_lines, "path").join(known, ["path", "delimiter"], "left").withColumn("spans", F.coalesce("spans", F.lit(False)))
+
+
+def read_layout(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(layout, records)`` of files: how each is laid out, and its records under the delimiter that won, both landed."""
+    layout = land(choose_layout(lines), "layout")
+    won = join_file_facts(
+        lines.select("path", "line_number", "line"), layout.select("path", "delimiter", "last_line"), ["path"], "line_number", "last_line"
+    )
+    records = read_records(won.drop("last_line"), spanning=layout.where("spans").select("path"))
+    return layout, land(records, "records")
 
 
 def find_headers(records: DataFrame, layout: DataFrame) -> DataFrame:
@@ -91,7 +110,8 @@ def find_headers(records: DataFrame, layout: DataFrame) -> DataFrame:
     The rows after a candidate are looked at in blocks of rows; the first rows of a block are also
     given to the block before, so that no window holds a whole file.
     """
-    rows = join_file_facts(records, layout, ["path", "delimiter"], "row_number", "last_row").select(
+    facts = layout.select("path", "delimiter", "width", "last_row")
+    rows = join_file_facts(records, facts, ["path", "delimiter"], "row_number", "last_row").select(
         "path", "delimiter", "width", "last_row", "row_number", "cells", (_filled() & (F.size("cells") == F.col("width"))).alias("fits")
     )
     # Only cells of fitting rows are scored; other rows are needed for their position.
@@ -126,6 +146,12 @@ def unique_headers(headers: DataFrame) -> DataFrame:
     return name_columns(cells.withColumn("position", F.col("position") + 1))
 
 
+def header_names(records: DataFrame, headers: DataFrame) -> DataFrame:
+    """The unique names of the columns of every file: path, position, header."""
+    rows = headers.select("path", "delimiter", F.col("header_row").alias("row_number"))
+    return unique_headers(records.join(rows, ["path", "delimiter", "row_number"]).select("path", "cells"))
+
+
 def name_columns(cells: DataFrame) -> DataFrame:
     """S16 on one row per header cell (path, position from 1, raw)."""
     named = cells.select("path", "position", strip("raw").alias("raw"))
@@ -168,14 +194,10 @@ def resolve_columns(headers: DataFrame) -> DataFrame:
     ])
 
 
-def profile_records(records: DataFrame, files: DataFrame) -> DataFrame:
+def profile_records(layout: DataFrame, records: DataFrame, files: DataFrame) -> DataFrame:
     """One row per file: layout, row counts, columns, attributes, and an error where none fits."""
-    layout = choose_layout(records)
     headers = land(find_headers(records, layout), "headers")
-    header_cells = records.join(
-        headers.select("path", "delimiter", F.col("header_row").alias("row_number")), ["path", "delimiter", "row_number"]
-    ).select("path", "cells")
-    names = unique_headers(header_cells)
+    names = header_names(records, headers)
     listed = names.groupBy("path").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("position", "header"))), lambda s: s["header"]).alias("columns")
     )
@@ -203,7 +225,7 @@ def profile_records(records: DataFrame, files: DataFrame) -> DataFrame:
 def profile_folder(spark: SparkSession, directory: str) -> DataFrame:
     """S19 over all CSV files of a folder; no file is an error."""
     files, lines = read_files(spark, directory, "*.csv")
-    return profile_records(land(read_with_all_delimiters(lines), "readings"), files)
+    return profile_records(*read_layout(lines), files)
 
 
 def candidate_files(profile: DataFrame) -> DataFrame:

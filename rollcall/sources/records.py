@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rollcall.functions.text import strip
 from rollcall.storage import land
 
 BLOCK_LINES = 10_000
@@ -61,6 +62,29 @@ def leaves_open(line: Column, delimiter: Column, inside: bool = False) -> Column
     return F.when(F.contains(line, F.lit('"')), F.rlike(start, pattern)).otherwise(F.lit(inside))
 
 
+def cell_counts(lines: DataFrame, delimiters: tuple[str, ...]) -> DataFrame:
+    """Each line as a record under each of several delimiters, in one pass: the columns of ``lines`` but ``line``, and
+    delimiter, width (number of cells), filled (whether any cell has a visible character) and opens (whether a field is left open).
+
+    Cells are made only of lines with a quote; elsewhere counting characters tells as much.
+    """
+    others = [c for c in lines.columns if c not in ("line", "delimiter")]
+    record = F.translate(F.regexp_replace("line", "\r+\\z", ""), "\u0000", "")
+    quoted = F.contains(F.col("record"), F.lit('"'))
+    cut = lines.select(*others, "line", record.alias("record")).select(
+        *others, "line", "record", *(F.when(quoted, split_cells(F.col("record"), F.lit(d))).alias(f"_cells{i}") for i, d in enumerate(delimiters))
+    )
+
+    def reading(delimiter: str, cells: str) -> Column:
+        bare = F.replace("record", F.lit(delimiter))
+        width = F.when(F.col("record") == "", 0).when(F.col(cells).isNull(), F.length("record") - F.length(bare) + 1).otherwise(F.size(cells))
+        filled = F.when(F.col(cells).isNull(), strip(bare) != "").otherwise(F.exists(cells, lambda cell: strip(cell) != ""))
+        opens = leaves_open(F.col("line"), F.lit(delimiter))
+        return F.struct(F.lit(delimiter).alias("delimiter"), width.alias("width"), filled.alias("filled"), opens.alias("opens"))
+
+    return cut.select(*others, F.inline(F.array(*(reading(d, f"_cells{i}") for i, d in enumerate(delimiters)))))
+
+
 def _entry_state(df: DataFrame, groups: list[str], order: str) -> DataFrame:
     """Per row: ``_fixed`` (the bit set by the rows before, or null) and ``_odd`` (flips since then).
 
@@ -125,17 +149,18 @@ def number_records(lines: DataFrame, block_lines: int = BLOCK_LINES) -> DataFram
     )
 
 
-def read_records(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
+def read_records(lines: DataFrame, extra: list[str] | None = None, spanning: DataFrame | None = None) -> DataFrame:
     """Records of all files: path, row_number, cells and ``unclosed`` for a quote that is never closed.
 
     ``extra`` names further columns that identify a file reading, such as the delimiter when one
     file is read with several. Files with a record over several lines are looked for first, as
-    only they need the scan; there is one row per such file, and usually none.
+    only they need the scan; there is one row per such file, and usually none. A caller that knows them gives them as ``spanning``.
     """
     group = ["path", *(extra or [])]
     carried = group if "delimiter" in group else [*group, "delimiter"]
-    opens = F.contains("line", F.lit('"')) & leaves_open(F.col("line"), F.col("delimiter"))
-    spanning = land(lines.where(opens).select(*group).distinct(), "spanning")
+    if spanning is None:
+        opens = F.contains("line", F.lit('"')) & leaves_open(F.col("line"), F.col("delimiter"))
+        spanning = land(lines.where(opens).select(*group).distinct(), "spanning")
     if spanning.isEmpty():
         return _cut(_one_per_line(lines, carried), carried)
     single = _one_per_line(lines.join(spanning, group, "left_anti"), carried)
