@@ -16,6 +16,7 @@ from pathlib import PurePosixPath
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from rollcall.functions.text import col
 from rollcall.sources.perfile import join_file_facts
 from rollcall.storage import land
 
@@ -27,13 +28,13 @@ CHOSEN_FROM = (";", "|", ",")
 BLOCK_LINES = 10_000
 
 
-def _plain(name: Column) -> Column:
+def plain_name(name) -> Column:
     """A file name or path that Spark gives in URL form."""
-    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.url_decode(F.replace(col(name), F.lit("+"), F.lit("%2B")))
 
 
 def _file_name() -> Column:
-    return _plain(F.col("_metadata.file_name"))
+    return plain_name("_metadata.file_name")
 
 
 def exact(paths: list[str]) -> list[str]:
@@ -41,13 +42,14 @@ def exact(paths: list[str]) -> list[str]:
     return [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
 
 
-def _binary_files(spark: SparkSession, directory: str | list[str], glob: str) -> DataFrame:
+def binary_files(spark: SparkSession, directory: str | list[str], glob: str) -> DataFrame:
+    """The files of a folder, or single files, as rows; their content is only read where it is selected."""
     places = directory if isinstance(directory, str) else exact(directory)
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(places)
 
 
 def _listing(spark: SparkSession, directory: str | list[str], glob: str) -> DataFrame:
-    return _binary_files(spark, directory, glob).select(
+    return binary_files(spark, directory, glob).select(
         F.col("_metadata.file_path").alias("path"), _file_name().alias("file_name"),
         "length", "content", F.col("path").alias("location"),
     )
@@ -58,10 +60,10 @@ def empty_files(spark: SparkSession, directory: str | list[str], glob: str) -> D
 
     The names come from the file index, which the driver holds for any read of the folder.
     """
-    indexed = _binary_files(spark, directory, glob).inputFiles()
+    indexed = binary_files(spark, directory, glob).inputFiles()
     names = spark.createDataFrame([(name,) for name in indexed], "path string")
     path = F.regexp_replace("path", "^file:/+", "file:/")
-    file_name = _plain(F.substring_index(path, "/", -1))
+    file_name = plain_name(F.substring_index(path, "/", -1))
     return (
         names.select(path.alias("path"), file_name.alias("file_name"), F.lit(0).cast("bigint").alias("length"))
         .join(_listing(spark, directory, glob).select("path"), "path", "left_anti")
@@ -82,8 +84,8 @@ def find_input_files(spark: SparkSession, directory: str, extensions=EXTENSIONS)
 
 
 def require_files(spark: SparkSession, directory: str | list[str], glob: str) -> None:
-    """Stop when no file matches, as the meeting loader and the profiler do."""
-    if not _binary_files(spark, directory, glob).inputFiles():
+    """Stop when no file matches, as the meeting loader and the profiler do. One name is enough to know; empty files are only looked for without one."""
+    if binary_files(spark, directory, glob).select("path").isEmpty() and empty_files(spark, directory, glob).isEmpty():
         raise FileNotFoundError(f"no {glob} files found in {directory}")
 
 
@@ -248,30 +250,44 @@ def whole_lines(raw: DataFrame) -> DataFrame:
     return narrow.unionByName(mended.withColumnRenamed("number", "line_number"))
 
 
-def describe_byte_lines(raw: DataFrame) -> DataFrame:
+#: How facts about parts of a file become facts about the whole.
+_TOGETHER = {
+    "last_line": F.max, "mark": F.max, "utf8": F.bool_and, "undefined": F.bool_or, "well_formed": F.bool_and, "tab": F.bool_or, "open": F.bool_or,
+    "bare_cr": F.bool_or,
+}
+
+
+def _folded(position: str) -> Column:
+    """The digest of the digests of a part, in the order of ``position``."""
+    parts = F.array_sort(F.collect_list(F.struct(position, "digest")))
+    return F.sha2(F.array_join(F.transform(parts, lambda p: p["digest"]), ""), 256)
+
+
+def describe_byte_lines(raw: DataFrame, fan: int | None = None) -> DataFrame:
     """One row per file out of its ``whole_lines``: the ``files`` columns, ``last_line`` and ``bare_cr``.
 
-    The content hash (S12) is a digest of the length and of one hash per numbered line, combined in any order: one
-    definition for all sizes, and no task has to see a whole file. With the length it also
-    tells whether the last line has its line feed.
+    The content hash (S12) is the root of a tree: the SHA-256 of each numbered line, of the digests of each block of
+    ``fan`` lines, of each ``fan`` blocks, and of all these with the length of the file. It is one definition for all
+    sizes, no task holds more than ``fan`` digests but for the last step, and only files with the same bytes share it. With the
+    length it also tells whether the last line has its line feed.
     """
+    fan = BLOCK_LINES if fan is None else fan
     content, text = F.col("raw"), _plain_text(F.col("raw"), F.col("wide"))
-    first = F.col("line_number") == 1
-    summary = raw.groupBy("path", "file_name", "length").agg(
-        F.max("line_number").alias("last_line"),
-        F.max(F.when(first, bom(content))).alias("mark"),
-        F.bool_and(is_utf8(content)).alias("utf8"),
-        F.bool_or(has_undefined_byte(content)).alias("undefined"),
-        F.bool_and(is_well_formed(content, F.col("wide"))).alias("well_formed"),
-        F.bool_or(F.contains(text, F.lit("\t"))).alias("tab"),
-        F.bool_or(text.rlike("[;|]")).alias("open"),
-        F.bool_or(text.rlike("\r(?!\\z)")).alias("bare_cr"),
-        F.bit_xor(F.xxhash64("line_number", content)).alias("h1"),
-        F.sum(F.xxhash64(content, "line_number").cast("decimal(20,0)")).alias("h2"),
+    first, file = F.col("line_number") == 1, ("path", "file_name", "length")
+    leaves = raw.select(
+        *file, "line_number", F.floor((F.col("line_number") - 1) / fan).alias("block"),
+        F.sha2(F.concat(F.encode(F.concat(F.col("line_number").cast("string"), F.lit("|")), "UTF-8"), content), 256).alias("digest"),
+        F.col("line_number").alias("last_line"), F.when(first, bom(content)).alias("mark"), is_utf8(content).alias("utf8"),
+        has_undefined_byte(content).alias("undefined"), is_well_formed(content, F.col("wide")).alias("well_formed"),
+        F.contains(text, F.lit("\t")).alias("tab"), text.rlike("[;|]").alias("open"), text.rlike("\r(?!\\z)").alias("bare_cr"),
     )
-    digest = F.sha2(F.concat_ws("|", F.col("length").cast("string"), F.col("h1").cast("string"), F.col("h2").cast("string")), 256)
+    together = [how(name).alias(name) for name, how in _TOGETHER.items()]
+    blocks = leaves.groupBy(*file, "block").agg(_folded("line_number").alias("digest"), *together)
+    halls = blocks.groupBy(*file, F.floor(F.col("block") / fan).alias("hall")).agg(_folded("block").alias("digest"), *together)
+    summary = halls.groupBy(*file).agg(_folded("hall").alias("digest"), *together)
+    digest = F.sha2(F.concat_ws("|", F.col("length").cast("string"), "digest"), 256)
     encoding = choose_encoding(F.col("utf8"), F.col("mark"), F.col("length") % 2 == 0, F.col("undefined"))
-    facts = land(summary.withColumn("source_file_hash", digest).withColumn("encoding", encoding), "summary")
+    facts = land(summary.withColumn("source_file_hash", digest).withColumn("encoding", encoding).drop("digest"), "summary")
     chosen = choose_delimiters(raw, facts.where("open AND NOT tab").select("path", "last_line"))
     delimiter = F.when(F.col("tab"), "\t").otherwise(F.coalesce("chosen", F.lit(",")))
     return facts.join(chosen, "path", "left").withColumn("delimiter", delimiter).withColumn(
@@ -317,18 +333,29 @@ def decode_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
 # --- folders --------------------------------------------------------------------------------
 
 
-def describe_files(spark: SparkSession, directory: str | list[str], glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
-    """``(files, raw)`` of a folder, or of single files, landed once: their facts and their byte lines."""
-    require_files(spark, directory, glob)
-    raw = land(whole_lines(land(read_byte_lines(spark, directory, glob), "byte_lines")), "whole_lines")
+def _described(raw: DataFrame, empty: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(files, raw)`` out of byte lines, and empty files, landed once."""
+    raw = land(whole_lines(land(raw, "byte_lines")), "whole_lines")
     nothing = F.lit(None).cast("string")
-    empty = empty_files(spark, directory, glob).withColumns({
+    empty = empty.withColumns({
         "source_file_hash": F.sha2(F.lit("0||").cast("binary"), 256), "encoding": nothing, "delimiter": nothing,
         "error": file_error(F.col("length"), F.lit(False)), "last_line": F.lit(0).cast("bigint"), "bare_cr": F.lit(False),
     })
     return land(describe_byte_lines(raw).unionByName(empty), "files"), raw
 
 
+def describe_files(spark: SparkSession, directory: str | list[str], glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
+    """``(files, raw)`` of a folder, or of single files: their facts and their byte lines."""
+    require_files(spark, directory, glob)
+    return _described(read_byte_lines(spark, directory, glob), empty_files(spark, directory, glob))
+
+
+def describe_paths(spark: SparkSession, paths: list[str], empty: DataFrame, glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
+    """``(files, raw)`` of files named one by one, of which there may be none, and of ``empty`` ones."""
+    nothing = "path string, file_name string, length bigint, line_number bigint, raw binary"
+    return _described(read_byte_lines(spark, paths, glob) if paths else spark.createDataFrame([], nothing), empty)
+
+
 def read_files(spark: SparkSession, directory: str | list[str], glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
     """``(files, lines)`` of a folder, or of single files."""
     files, raw = describe_files(spark, directory, glob)
