@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, MapType, Row, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, LongType, MapType, Row, StringType, StructField, StructType
 
 from rollcall.operators import audit
 from rollcall.operators.ranking import number_by_hash
@@ -112,27 +113,52 @@ def raw_batch(meetings: Meetings, loaded: DataFrame, highest: Highest = Highest(
     )
 
 
+#: Buckets of a table whose versions are kept bucket by bucket.
+BUCKETS = 256
+
+
+def bucket_of(key) -> Column:
+    """The bucket of a key, two hex digits of its hash; null is a key too."""
+    return F.substring(F.sha2(F.coalesce(F.col(key).cast("string"), F.lit("\u0002")), 256), 1, 2)
+
+
+def touched_buckets(rows: DataFrame, key: str) -> list[str]:
+    """The buckets that the keys of ``rows`` fall into, ``BUCKETS`` at most."""
+    return sorted(row[0] for row in rows.select(bucket_of(key).alias("b")).distinct().collect())
+
+
 class Store:
     """Tables in a shared folder, written batch by batch.
 
     The rows a batch adds to a table are one folder per part, and writing the part again replaces it. A
-    dimension is written as a whole to a new version, and the one it was built from is not touched.
+    dimension is written to a new version, and the one it was built from is not touched. Either the version is the
+    whole table, or, for a table kept in buckets by its key, only those buckets that the batch changes; the
+    table then is each bucket's latest version, and buckets nobody touched are not written or read.
     A batch counts from the moment ``commit`` has written its row, which is the last step. The row
-    names the version of every dimension as of the batch, so a batch that leaves a dimension alone
+    names the version of every dimension, or of every bucket, as of the batch, so a batch that leaves a dimension alone
     keeps the one before, and the highest keys in use, so a load does not look through all rows for
     them. Readers stop at the last committed batch. So several tables change together, and a job
     that dies half way leaves nothing behind that is read: the next run has the same number and
     overwrites it. A committed batch is not written again. There is one writer at a time.
+
+    What an open batch has written is noted in the folder itself, with the highest keys that its writes have observed,
+    so that any ``Store`` on the folder can commit it. From ``begin`` to ``commit`` a store works from the commit row
+    that it began with, and does not look it up again.
     """
 
     _COMMIT = StructType([
         StructField("batch_id", LongType()), StructField("versions", MapType(StringType(), LongType())),
         StructField("highest", MapType(StringType(), LongType())),
     ])
+    _NOTE = StructType([
+        StructField("at", LongType()), StructField("name", StringType()), StructField("buckets", ArrayType(StringType())),
+        StructField("highest", MapType(StringType(), LongType())),
+    ])
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        self._written: dict[int, set[str]] = {}
+        self._base: Row | None = None
+        self._own_notes: dict[int, list[Row]] = {}
 
     def _read(self, path: str, schema: StructType) -> DataFrame:
         try:
@@ -143,7 +169,9 @@ class Store:
             return self.spark.createDataFrame([], schema)
 
     def _last(self) -> Row:
-        """The last commit row; batch 0 before the first."""
+        """The last commit row; batch 0 before the first. While a batch of this store is open, the one it began with."""
+        if self._base is not None:
+            return self._base
         commits = self._read(f"{self.folder}/_commits.parquet", self._COMMIT)
         last = commits.agg(F.max_by(F.struct("batch_id", "versions", "highest"), "batch_id").alias("c")).first()["c"]
         return last or Row(batch_id=0, versions={}, highest={})
@@ -156,13 +184,52 @@ class Store:
         """The highest value of a surrogate key as of the last committed batch, 0 before the first."""
         return self._last()["highest"].get(key, 0)
 
+    def begin(self) -> int:
+        """The number of the next batch. Notes that an earlier try at it has left are dropped."""
+        self._base = None
+        base = self._last()
+        number = base["batch_id"] + 1
+        self.spark.createDataFrame([], self._NOTE).write.mode("overwrite").parquet(self._notes(number))
+        self._base, self._own_notes = base, {number: []}
+        return number
+
+    def _notes(self, batch_id: int) -> str:
+        return f"{self.folder}/_notes/batch_id={batch_id}"
+
+    def _note(self, batch_id: int, name: str, buckets: list[str] | None, highest: dict[str, int]) -> None:
+        note = Row(at=time.time_ns(), name=name, buckets=buckets, highest=highest)
+        self.spark.createDataFrame([tuple(note)], self._NOTE).coalesce(1).write.mode("append").parquet(self._notes(batch_id))
+        if batch_id in self._own_notes:
+            self._own_notes[batch_id].append(note)
+
+    def _noted(self, batch_id: int) -> tuple[dict[str, int], dict[str, int]]:
+        """Versions and highest keys that an open batch has written; of a table written twice the last."""
+        notes = self._own_notes.get(batch_id)
+        notes = self._read(self._notes(batch_id), self._NOTE).collect() if notes is None else notes
+        latest = {row["name"]: row for row in sorted(notes, key=lambda row: row["at"])}
+        versions, highest = {}, {}
+        for name, row in latest.items():
+            if not row["highest"]:
+                versions |= {name: batch_id} if row["buckets"] is None else {f"{name}/{b}": batch_id for b in row["buckets"]}
+            for key, value in (row["highest"] or {}).items():
+                highest[key] = max(value, highest.get(key, 0))
+        return versions, highest
+
+    def noted(self, batch_id: int) -> dict[str, int]:
+        """The highest keys that the writes of an open batch have observed so far."""
+        return self._noted(batch_id)[1]
+
     def commit(self, batch_id: int, highest: dict[str, int] | None = None) -> None:
-        """Make a batch count; ``highest`` has the highest value of each key the batch has given."""
+        """Make a batch count. Keys that its writes did not observe are given as ``highest``."""
+        self._base = None
         last = self._open(batch_id)
-        versions = {**last["versions"], **dict.fromkeys(self._written.pop(batch_id, ()), batch_id)}
-        keys = {k: max(v, last["highest"].get(k, 0)) for k, v in (highest or {}).items()}
-        row = self.spark.createDataFrame([(batch_id, versions, {**last["highest"], **keys})], self._COMMIT)
+        versions, observed = self._noted(batch_id)
+        keys = dict(last["highest"])
+        for key, value in [*observed.items(), *(highest or {}).items()]:
+            keys[key] = max(value, keys.get(key, 0))
+        row = self.spark.createDataFrame([(batch_id, {**last["versions"], **versions}, keys)], self._COMMIT)
         row.coalesce(1).write.mode("append").parquet(f"{self.folder}/_commits.parquet")
+        self._own_notes = {}
 
     def _open(self, batch_id: int) -> Row:
         """The last commit row, if ``batch_id`` comes after it."""
@@ -171,10 +238,20 @@ class Store:
             raise ValueError(f"batch {batch_id} is committed")
         return last
 
-    def write_batch(self, table: str, rows: DataFrame, batch_id: int, part: str = "all") -> None:
-        """K1, K3-K5: the rows one part of a batch adds, in place of any an earlier try has left."""
+    def write_batch(self, table: str, rows: DataFrame, batch_id: int, part: str = "all", highest: Sequence[str] = ()) -> dict[str, int]:
+        """K1, K3-K5: the rows one part of a batch adds, in place of any an earlier try has left.
+
+        Gives the number of rows and the highest values of the surrogate keys ``highest`` among them, observed
+        while they are written; the latter are noted for the commit.
+        """
         self._open(batch_id)
-        rows.write.mode("overwrite").parquet(f"{self.folder}/{table}/batch_id={batch_id}/part={part}")
+        seen = Observation()
+        watched = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.max(key).alias(key) for key in highest))
+        watched.write.mode("overwrite").parquet(f"{self.folder}/{table}/batch_id={batch_id}/part={part}")
+        found = {key: value for key, value in seen.get.items() if value is not None}
+        if highest:
+            self._note(batch_id, f"{table}:{part}", None, {key: found.get(key, 0) for key in highest})
+        return found
 
     def rows(self, table: str, schema: StructType, batch_id: int | None = None, part: str | None = None, not_part: str | None = None) -> DataFrame:
         """Rows of all committed batches, or of one batch even if it is not committed yet; of all parts, one, or all but one."""
@@ -191,17 +268,52 @@ class Store:
         """K6, K7: the whole table as of a batch."""
         self._open(batch_id)
         rows.write.mode("overwrite").parquet(f"{self.folder}/{table}/version={batch_id}")
-        self._written.setdefault(batch_id, set()).add(table)
+        self._note(batch_id, table, None, {})
+
+    def write_buckets(self, table: str, rows: DataFrame, batch_id: int, key: str, buckets: list[str], highest: Sequence[str] = ()) -> dict[str, int]:
+        """The named buckets of a table kept by ``key``, as of a batch; ``rows`` are all their rows, and no others.
 
-    def version(self, table: str, schema: StructType, batch_id: int | None = None) -> DataFrame:
-        """The whole table as of the last committed batch, or as a batch that is open has written it.
+        The rows of a bucket are written by one task each. Gives what ``write_batch`` gives.
+        """
+        self._open(batch_id)
+        if not buckets:
+            return {"rows": 0}
+        seen = Observation()
+        placed = rows.withColumn("bucket", bucket_of(key)).repartition(len(buckets), "bucket")
+        watched = placed.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.max(k).alias(k) for k in highest))
+        watched.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/{table}/version={batch_id}")
+        found = {k: value for k, value in seen.get.items() if value is not None}
+        self._note(batch_id, table, buckets, {})
+        if highest:
+            self._note(batch_id, f"{table}:keys", None, {k: found.get(k, 0) for k in highest})
+        return found
+
+    def version(self, table: str, schema: StructType, batch_id: int | None = None, buckets: list[str] | None = None) -> DataFrame:
+        """The table as of the last committed batch, or as an open batch sees it; of a table in buckets only ``buckets``, if given.
 
         Empty before the first version; a version that a commit names and that is gone is an error.
         """
-        number = self._last()["versions"].get(table) if batch_id is None else batch_id
-        if number is None:
+        versions = dict(self._last()["versions"])
+        if batch_id is not None:
+            versions |= self._noted(batch_id)[0]
+        paths = [f"{self.folder}/{table}/version={versions[table]}"] if table in versions else [
+            f"{self.folder}/{table}/version={number}/bucket={bucket}"
+            for name, _, bucket, number in ((*name.partition("/"), number) for name, number in sorted(versions.items()))
+            if name == table and bucket and (buckets is None or bucket in buckets)
+        ]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{table}/version={number}")
+        return self.spark.read.schema(schema).parquet(*paths)
+
+
+def replace_partitions(fresh: DataFrame, path: str, column: str) -> None:
+    """K3 where the rows lie: of a table in folders by ``column`` the folders in ``fresh`` are written anew, the others stay as they are.
+
+    The folders of each value are dealt to several tasks by the rows' own hash, so that a large one is no single task.
+    """
+    dealt = fresh.withColumn("_deal", F.pmod(F.xxhash64(*fresh.columns), F.lit(8)))
+    dealt = dealt.repartition(F.col(column), F.col("_deal")).drop("_deal")
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall import schemas
-from rollcall.operators import audit, dims, facts, loads, stage, upsert
-from rollcall.operators.loads import Highest, Store
+from rollcall.operators import audit, dims, facts, known, loads, stage, upsert
+from rollcall.operators.loads import Highest, Store, touched_buckets
 from rollcall.operators.ranking import number_by_hash
-from rollcall.plans import quality
+from rollcall.plans import constraints, quality, reports
 from rollcall.sources import master
-from rollcall.sources.files import FILE_COLUMNS, decode_lines, describe_files
+from rollcall.sources.files import FILE_COLUMNS, decode_lines, describe_files, describe_paths, empty_files, plain_name, require_files
 from rollcall.sources.meetings import Meetings, parse_meetings
 from rollcall.storage import land
 
@@ -22,42 +23,72 @@ RAW, STAGING, TARGET, CONTROL = schemas.SOURCES, schemas.STAGING, schemas.TARGET
 MEETING_GLOB = "Meeting*.csv"
 
 
+#: Paths that a load names one by one; beyond that the folder is read as a whole.
+MOST_PATHS = 10_000
+
+
 def load_folder(spark: SparkSession, directory: str | list[str], store: Store, people: list[DataFrame] | None = None) -> int:
-    """Load the meeting exports of a folder. Files loaded before are known by their hash and not parsed again."""
-    hashes = store.rows("training_session_raw", RAW["training_session_raw"]).select("source_file_hash").distinct()
-    files, raw = describe_files(spark, directory, MEETING_GLOB)
-    fresh = land(files.join(hashes, "source_file_hash", "left_anti").select(*files.columns), "fresh_files")
-    known = files.join(hashes, "source_file_hash", "left_semi").select(*FILE_COLUMNS)
+    """Load the meeting exports of a folder.
+
+    Files that are known by path, length and time are not read again, and others with a content that is loaded are
+    not parsed again (``operators.known``).
+    """
+    require_files(spark, directory, MEETING_GLOB)
+    listed = land(known.listing(spark, directory, MEETING_GLOB), "listing")
+    same = land(known.unchanged_files(store, listed), "unchanged_files")
+    changed = listed.join(same, "path", "left_anti")
+    few = [row[0] for row in changed.select("location").limit(MOST_PATHS + 1).collect()]
+    files, raw = _describe(spark, directory, few, same)
+    loaded = known.loaded_meetings(store, files.where("source_file_hash IS NOT NULL")).select("source_file_hash").distinct()
+    fresh = land(files.join(loaded, "source_file_hash", "left_anti").select(*files.columns), "fresh_files")
+    again = files.join(loaded, "source_file_hash", "left_semi").select(*FILE_COLUMNS)
+    unread = same.withColumn("file_name", F.substring_index("path", "/", -1)).select(
+        "path", plain_name("file_name").alias("file_name"), "length", "source_file_hash", *(F.lit(None).cast("string").alias(c) for c in ("encoding", "delimiter", "error"))
+    )
     meetings = parse_meetings(fresh.select(*FILE_COLUMNS), decode_lines(raw, fresh))
-    return load_meetings(replace(meetings, files=meetings.files.unionByName(known)), store, people)
+    whole = replace(meetings, files=meetings.files.unionByName(again).unionByName(unread))
+    return load_meetings(whole, store, people, listed.join(files.select("path", "source_file_hash"), "path"))
 
 
-def load_meetings(meetings: Meetings, store: Store, people: list[DataFrame] | None = None) -> int:
+def _describe(spark: SparkSession, directory: str | list[str], changed: list[str], same: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``describe_files`` of the files that have changed, and of empty ones. ``changed`` are their locations, if they are few."""
+    if len(changed) > MOST_PATHS:
+        files, raw = describe_files(spark, directory, MEETING_GLOB)
+        return files.join(same, "path", "left_anti"), raw.join(same, "path", "left_anti")
+    return describe_paths(spark, changed, empty_files(spark, directory, MEETING_GLOB), MEETING_GLOB)
+
+
+def load_meetings(meetings: Meetings, store: Store, people: list[DataFrame] | None = None, seen: DataFrame | None = None) -> int:
     """Load parsed meetings as one batch and give its number.
 
     ``people`` are further lists of names and emails, such as those of timesheets, in the form of
-    ``master.people_list``. Each step reads what the step before has written.
+    ``master.people_list``; ``seen`` are the files that were read, as ``known_file`` has them. Each step reads what the
+    step before has written.
     """
-    batch = store.last_batch() + 1
+    batch = store.begin()
     _load_raw(meetings, store, batch)
     _stage_and_check(store, batch)
     _load_dimensions(store, batch, people or [])
     _load_facts(store, batch)
+    _remember(store, batch, seen)
     commit(store, batch)
     return batch
 
 
-#: Surrogate keys with the table that holds them.
-_KEYS = {
-    "run_id": ("etl_run_event", CONTROL), "session_raw_id": ("training_session_raw", RAW), "participant_raw_id": ("training_participant_raw", RAW),
-    "activity_raw_id": ("training_activity_raw", RAW), "activity_key": ("fact_employee_activity", TARGET),
-}
+def _remember(store: Store, batch: int, seen: DataFrame | None) -> None:
+    """The meetings of the batch, and of the files seen those whose content is loaded by now."""
+    own = store.rows("training_session_raw", RAW["training_session_raw"], batch).select("source_file_hash", "session_source_key")
+    known.remember(store, batch, "known_hash", "source_file_hash", own)
+    known.remember(store, batch, "known_session", "session_source_key", own)
+    if seen is not None:
+        seen = land(seen, "seen_files")
+        hashes = known.loaded_meetings(store, seen).unionByName(own).select("source_file_hash").distinct()
+        known.remember(store, batch, "known_file", "path", land(seen.join(hashes, "source_file_hash", "left_semi"), "known_files"))
 
 
 def commit(store: Store, batch: int) -> None:
-    """Commit a batch with the highest keys among its own rows."""
-    found = {key: store.rows(table, group[table], batch).agg(F.max(key)).first()[0] for key, (table, group) in _KEYS.items()}
-    store.commit(batch, {key: value for key, value in found.items() if value is not None})
+    """Commit a batch with the highest keys that its writes have observed."""
+    store.commit(batch)
 
 
 def _with_clock(rows: DataFrame, column: str) -> DataFrame:
@@ -65,13 +96,13 @@ def _with_clock(rows: DataFrame, column: str) -> DataFrame:
 
 
 def _load_raw(meetings: Meetings, store: Store, batch: int) -> None:
-    loaded = store.rows("training_session_raw", RAW["training_session_raw"]).select("source_file_hash", "session_source_key")
+    loaded = known.loaded_meetings(store, meetings.sessions, meetings.sessions)
     raw = loads.raw_batch(meetings, loaded, Highest(*(store.highest(key) for key in ("run_id", "session_raw_id", "participant_raw_id", "activity_raw_id"))))
-    store.write_batch("training_session_raw", _with_clock(raw.sessions, "process_timestamp"), batch)
-    store.write_batch("training_participant_raw", _with_clock(raw.participants, "process_timestamp"), batch)
-    store.write_batch("training_activity_raw", _with_clock(raw.activities, "process_timestamp"), batch)
+    store.write_batch("training_session_raw", _with_clock(raw.sessions, "process_timestamp"), batch, highest=["session_raw_id"])
+    store.write_batch("training_participant_raw", _with_clock(raw.participants, "process_timestamp"), batch, highest=["participant_raw_id"])
+    store.write_batch("training_activity_raw", _with_clock(raw.activities, "process_timestamp"), batch, highest=["activity_raw_id"])
     store.write_batch("etl_error_log_ingest", _with_clock(raw.errors, "created_at"), batch)
-    store.write_batch("etl_run_event", raw.run_events, batch)
+    store.write_batch("etl_run_event", raw.run_events, batch, highest=["run_id"])
 
 
 def _raw(store: Store, batch: int, table: str) -> DataFrame:
@@ -111,12 +142,43 @@ def _load_dimensions(store: Store, batch: int, people: list[DataFrame]) -> None:
         "process_timestamp": F.current_timestamp(),
     })
     store.write_batch("stg_employee", stage.stage_employees(employees), batch)
-    known = store.version("dim_employee", TARGET["dim_employee"])
-    if store.last_batch() == 0:
-        known = dims.unknown_employee(spark)
-    store.write_version("dim_employee", upsert.upsert_employees(known, _staged(store, batch, "stg_employee")), batch)
-    trainings = store.version("dim_training", TARGET["dim_training"])
-    store.write_version("dim_training", upsert.upsert_trainings(trainings, _staged(store, batch, "stg_training_session")), batch)
+    merge_employees(store, batch, _staged(store, batch, "stg_employee"))
+    merge_trainings(store, batch, _staged(store, batch, "stg_training_session"))
+
+
+def _merge(store: Store, batch: int, table: str, key: str, surrogate: str, incoming: DataFrame, merged: Callable[[DataFrame, int], DataFrame]) -> None:
+    """Write those buckets of a dimension that the keys of ``incoming`` fall into; the rest of it is neither read nor written."""
+    buckets = touched_buckets(incoming, key)
+    if buckets:
+        rows = merged(store.version(table, TARGET[table], buckets=buckets), store.highest(surrogate))
+        store.write_buckets(table, rows, batch, key, buckets, highest=[surrogate])
+
+
+def merge_employees(store: Store, batch: int, staged: DataFrame) -> None:
+    """K6. The unknown member, which has a key of its own, comes with the first employees."""
+    unknown = dims.unknown_employee(store.spark)
+    first = store.version("dim_employee", TARGET["dim_employee"], buckets=touched_buckets(unknown, "employee_id")).isEmpty()
+    incoming = staged.where("validation_status = 'VALID'").select("employee_id")
+
+    def merged(before: DataFrame, highest: int) -> DataFrame:
+        return upsert.upsert_employees(before.unionByName(unknown.select(*before.columns)) if first else before, staged, highest=highest)
+
+    _merge(store, batch, "dim_employee", "employee_id", "employee_key", incoming.unionByName(unknown.select("employee_id")) if first else incoming, merged)
+
+
+def merge_trainings(store: Store, batch: int, staged: DataFrame) -> None:
+    """K7."""
+    incoming = staged.where("validation_status = 'VALID'").select(F.col("session_source_key").alias("training_source_key"))
+    _merge(
+        store, batch, "dim_training", "training_source_key", "training_key", incoming,
+        lambda before, highest: upsert.upsert_trainings(before, staged, highest=highest),
+    )
+
+
+def merge_projects(store: Store, batch: int, names: DataFrame) -> None:
+    """D5."""
+    names = land(names.select("project_name").distinct(), "project_names")
+    _merge(store, batch, "dim_project", "project_name", "project_key", names, lambda before, highest: upsert.upsert_projects(before, names, highest))
 
 
 def _load_facts(store: Store, batch: int) -> None:
@@ -129,18 +191,32 @@ def _load_facts(store: Store, batch: int) -> None:
 
 
 def add_facts(store: Store, rows: DataFrame, batch: int, part: str) -> None:
-    """Number fact rows and write them as a part of the facts of a batch that is not committed yet."""
+    """Check fact rows against the stored history, number them and write them as a part of the facts of an open batch.
+
+    A fact that its source has given before, in an earlier batch or part, is rejected, and so is one that points at a day or
+    a member that does not exist; both leave a quality row and an error row (V7, V8).
+    """
     schema = TARGET["fact_employee_activity"]
-    others = store.rows("fact_employee_activity", schema, batch, not_part=part).agg(F.max("activity_key")).first()[0]
-    highest = max(store.highest("activity_key"), others or 0)
+    checked = constraints.checked_facts(store, land(rows, "fact_rows"), batch, part)
+    highest = max(store.highest("activity_key"), store.noted(batch).get("activity_key", 0))
     numbered = number_by_hash(
-        rows, ["source_system", "source_record_id", "activity_type_key"], "activity_key", highest, costly=True
+        checked.accepted, ["source_system", "source_record_id", "activity_type_key"], "activity_key", highest, costly=True
     )
     timed = _with_clock(numbered, "load_timestamp")
-    store.write_batch("fact_employee_activity", timed.select(*schema.names), batch, part)
+    store.write_batch("fact_employee_activity", timed.select(*schema.names), batch, part, highest=["activity_key"])
     written = store.rows("fact_employee_activity", schema, batch, part=part)
-    store.write_batch("data_quality_result", _with_clock(quality.fact_constraints(written), "checked_at"), batch, f"facts_{part}")
-    store.write_batch("etl_error_log", _with_clock(quality.fact_rejects(written), "created_at"), batch, f"facts_{part}")
+    store.write_batch("fact_digest", constraints.digests(written), batch, part)
+    months = reports.monthly_partials(written, dims.calendar(store.spark), dims.activity_types(store.spark))
+    store.write_batch("fact_month", months.select(*TARGET["fact_month"].names), batch, part)
+    results = quality.fact_constraints(written).unionByName(checked.results)
+    store.write_batch("data_quality_result", _with_clock(results, "checked_at"), batch, f"facts_{part}")
+    store.write_batch("etl_error_log", _with_clock(quality.fact_rejects(written).unionByName(checked.errors), "created_at"), batch, f"facts_{part}")
+
+
+def monthly_rank(store: Store) -> DataFrame:
+    """R2 out of the sums that each batch has left."""
+    partials = store.rows("fact_month", TARGET["fact_month"])
+    return reports.monthly_rank_from_partials(reports.fold_partials(partials), store.version("dim_employee", TARGET["dim_employee"]))
 
 
 def run_table(store: Store) -> DataFrame:

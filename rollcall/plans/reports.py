@@ -61,21 +61,34 @@ def monthly_activity(
     Facts are summed per employee key first, so the join with employees sees one row per key,
     month and code; a key with a third of all facts is combined on the map side.
     """
-    per_key = (
-        _dated(fact, dim_date, dim_activity_type)
-        .groupBy("employee_key", "year_number", "month_number", "month_name", "activity_code")
-        .agg(
-            F.sum(F.coalesce("hours", F.lit(0).cast("decimal(18,2)"))).alias("_hours"),
-            F.count(F.lit(1)).alias("_count"),
-        )
+    return _named_months(monthly_partials(fact, dim_date, dim_activity_type), dim_employee)
+
+
+_MONTH = ("employee_key", "year_number", "month_number", "month_name", "activity_code")
+
+
+def monthly_partials(fact: DataFrame, dim_date: DataFrame, dim_activity_type: DataFrame) -> DataFrame:
+    """Hours and count per employee key, month and code of some facts, such as those of one batch. Partials add up."""
+    return _dated(fact, dim_date, dim_activity_type).groupBy(*_MONTH).agg(
+        F.sum(F.coalesce("hours", F.lit(0).cast("decimal(18,2)"))).cast("decimal(28,2)").alias("hours"),
+        F.count(F.lit(1)).alias("activity_count"),
     )
+
+
+def fold_partials(partials: DataFrame) -> DataFrame:
+    """The partials of several batches as one: a row per employee key, month and code."""
+    return partials.groupBy(*_MONTH).agg(F.sum("hours").cast("decimal(28,2)").alias("hours"), F.sum("activity_count").alias("activity_count"))
+
+
+def _named_months(per_key: DataFrame, dim_employee: DataFrame) -> DataFrame:
+    """Partials with the employee's names in place of the key; keys that nobody knows are one row."""
     names = dim_employee.select("employee_key", "employee_id", "employee_name")
     return (
         per_key.join(names, "employee_key", "left")
         .groupBy("employee_id", "employee_name", "year_number", "month_number", "month_name", "activity_code")
         .agg(
-            F.sum("_hours").cast("decimal(20,2)").alias("total_hours"),
-            F.sum("_count").alias("activity_count"),
+            F.sum("hours").cast("decimal(20,2)").alias("total_hours"),
+            F.sum("activity_count").alias("activity_count"),
         )
     )
 
@@ -84,7 +97,15 @@ def monthly_activity_rank(
     fact: DataFrame, dim_date: DataFrame, dim_activity_type: DataFrame, dim_employee: DataFrame
 ) -> DataFrame:
     """R2: monthly activity with a dense rank by hours within the month."""
-    monthly = monthly_activity(fact, dim_date, dim_activity_type, dim_employee)
+    return _ranked_months(monthly_activity(fact, dim_date, dim_activity_type, dim_employee))
+
+
+def monthly_rank_from_partials(partials: DataFrame, dim_employee: DataFrame) -> DataFrame:
+    """R2 out of the partials of all batches: the facts are not read again, and late facts only add a partial."""
+    return _ranked_months(_named_months(partials, dim_employee))
+
+
+def _ranked_months(monthly: DataFrame) -> DataFrame:
     ranked = dense_rank_desc(
         monthly, ["year_number", "month_number"], "total_hours", "monthly_rank", weight="activity_count"
     )

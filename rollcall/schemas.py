@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), "date": T.DateType(),
-    "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(), "decimal(18,2)": T.DecimalType(18, 2),
+    "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(), "decimal(18,2)": T.DecimalType(18, 2), "decimal(28,2)": T.DecimalType(28, 2),
 }
 
 
@@ -52,6 +52,16 @@ SOURCES = {
     ),
 }
 
+SOURCES |= {
+    # Files of timesheets and exam schedules that are loaded.
+    "activity_file": _schema("path string, file_name string, length bigint, source_file_hash string, run_id bigint"),
+    # Every file that a load has looked at: where it lies, how it looked from outside, and what it held.
+    "known_file": _schema("path string, length bigint, modified timestamp, source_file_hash string"),
+    # Loaded meetings, once by the hash of their file and once by their own key.
+    "known_hash": _schema("source_file_hash string, session_source_key string"),
+    "known_session": _schema("source_file_hash string, session_source_key string"),
+}
+
 STAGING = {
     "stg_employee": _schema(f"{_EMPLOYEE}, {_CHECKED}, {_LINEAGE}, process_timestamp timestamp"),
     "stg_training_session": _schema(
@@ -98,6 +108,12 @@ TARGET = {
         "project_key bigint, training_key bigint, source_system string, source_record_id string, "
         "hours decimal(18,2), load_timestamp timestamp, etl_run_id bigint"
     ),
+    # What identifies a fact in its source, as a digest; the first two digits are its bucket.
+    "fact_digest": _schema("fact_digest string, bucket string"),
+    # Sums of the facts of a batch, which add up.
+    "fact_month": _schema(
+        "employee_key bigint, year_number int, month_number int, month_name string, activity_code string, hours decimal(28,2), activity_count bigint"
+    ),
 }
 
 CONTROL = {

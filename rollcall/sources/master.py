@@ -11,9 +11,9 @@ from rollcall.operators.stage import default_attributes
 
 
 def people_list(df: DataFrame, name: str, email: str, row_number: str, file_order: int) -> DataFrame:
-    """One source of people; ``file_order`` is its place among the sources."""
+    """One source of people; ``file_order`` is its place among the sources. A source of several files orders them by ``file_name``."""
     return df.select(
-        F.lit(file_order).alias("file_order"), F.col(row_number).cast("bigint").alias("row_number"),
+        F.lit(file_order).alias("file_order"), F.lit("").alias("file_name"), F.col(row_number).cast("bigint").alias("row_number"),
         normalise_name(name).alias("employee_name"), normalise_email(email).alias("employee_id"),
     )
 
@@ -26,7 +26,7 @@ def employee_master(sources: list[DataFrame]) -> DataFrame:
     """
     people = reduce(DataFrame.unionByName, sources).where(F.col("employee_id") != "")
     first = people.groupBy("employee_id").agg(
-        F.min_by("employee_name", F.struct("file_order", "row_number")).alias("employee_name")
+        F.min_by("employee_name", F.struct("file_order", "file_name", "row_number")).alias("employee_name")
     )
     named = first.select("employee_name", "employee_id")
     return default_attributes(named).orderBy("employee_name", "employee_id")

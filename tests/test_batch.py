@@ -1,12 +1,14 @@
 """The whole batch: files to facts and reports, run twice, with bad files among them."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rollcall import schemas
 from rollcall.operators import dims
-from rollcall.operators.loads import Store
+from rollcall.operators.loads import Store, touched_buckets
 from rollcall.plans import batch, reports
 from rollcall.streaming.arrivals import load_arrivals
 from tests.test_meetings import export
@@ -169,3 +171,114 @@ def test_a_version_that_is_gone_is_an_error(spark, tmp_path):
     (tmp_path / "v").rename(tmp_path / "elsewhere")
     with pytest.raises(AnalysisException):
         store.version("v", schema).collect()
+
+
+def test_an_empty_file_that_arrives_is_reported(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "Meeting 1+2.csv").write_bytes(b"")
+    store = Store(spark, str(tmp_path / "store"))
+    load = lambda: load_arrivals(spark, str(inbox), store, str(tmp_path / "checkpoint")).awaitTermination()
+    load()
+    (inbox / "Meeting3.csv").write_bytes(export("Alpha")[0])
+    (inbox / "Meeting4.csv").write_bytes(b"")
+    load()
+    runs = {(r.source_name, r.status, r.error_message) for r in batch.run_table(store).collect()}
+    assert runs == {
+        ("Meeting 1+2.csv", "FAILED", "File is empty: Meeting 1+2.csv"), ("Meeting3.csv", "SUCCESS", None), ("Meeting4.csv", "FAILED", "File is empty: Meeting4.csv"),
+    }
+
+
+def buckets_of(df):
+    return {part.removeprefix("bucket=") for name in df.inputFiles() for part in name.split("/") if part.startswith("bucket=")}
+
+
+def test_a_load_writes_and_reads_only_the_buckets_it_touches(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    schema = schemas.TARGET["dim_project"]
+    names = spark.createDataFrame([(f"project {k}",) for k in range(300)], "project_name string")
+    first = store.begin()
+    batch.merge_projects(store, first, names)
+    store.commit(first)
+    before = {p: (p.stat().st_mtime_ns, p.read_bytes()) for p in (tmp_path / "dim_project").rglob("*.parquet")}
+    second = store.begin()
+    fresh = spark.createDataFrame([("project 7",), ("project 1000",)], "project_name string")
+    batch.merge_projects(store, second, fresh)
+    assert store.version("dim_project", schema).count() == 300  # an open batch is not read
+    Store(spark, str(tmp_path)).commit(second)  # any store on the folder can commit it
+    store = Store(spark, str(tmp_path))
+    rows = {r.project_name: r.project_key for r in store.version("dim_project", schema).collect()}
+    assert len(rows) == 301 and rows["project 1000"] == 301 == store.highest("project_key") and len(set(rows.values())) == 301
+    touched = set(touched_buckets(fresh, "project_name"))
+    assert buckets_of(spark.read.parquet(str(tmp_path / "dim_project" / f"version={second}"))) == touched and len(touched) == 2
+    assert all((p.stat().st_mtime_ns, p.read_bytes()) == was for p, was in before.items())
+    found = store.version("dim_project", schema, buckets=sorted(touched))
+    assert buckets_of(found) == touched and {r.project_name for r in found.collect()} >= {"project 7", "project 1000"}
+
+
+def test_notes_of_a_try_that_died_are_dropped(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    schema = schemas.TARGET["dim_project"]
+    rows = spark.createDataFrame([(1, "a")], schema)
+    store.write_version("v", rows, store.begin())
+    number = store.begin()
+    store.write_batch("t", rows, number, highest=["project_key"])
+    store.commit(number)
+    assert store.version("v", schema).isEmpty() and store.highest("project_key") == 1 and number == 1
+
+
+def test_unchanged_files_are_not_read_again(spark, tmp_path, monkeypatch):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    for k, title in enumerate(["Alpha", "Beta", "Gamma"]):
+        (inbox / f"Meeting{k}.csv").write_bytes(export(title)[0])
+    store = Store(spark, str(tmp_path / "store"))
+    batch.load_folder(spark, str(inbox), store)
+    read = []
+    described = batch.describe_paths
+    monkeypatch.setattr(batch, "describe_paths", lambda spark, paths, *more: read.append(paths) or described(spark, paths, *more))
+    (inbox / "Meeting9.csv").write_bytes(export("Delta")[0])
+    (inbox / "Meeting1.csv").write_bytes(export("Epsilon")[0])
+    batch.load_folder(spark, str(inbox), store)
+    assert [sorted(p.rsplit("/", 1)[1] for p in paths) for paths in read] == [["Meeting1.csv", "Meeting9.csv"]]
+    runs = {(r.source_name, r.rows_read) for r in batch.run_table(store).where("run_id > 3").collect()}
+    assert runs == {("Meeting0.csv", 0), ("Meeting2.csv", 0), ("Meeting1.csv", 4), ("Meeting9.csv", 4)}
+    batch.load_folder(spark, str(inbox), store)
+    assert read[1:] == [[]]
+    monkeypatch.setattr(batch, "MOST_PATHS", 0)
+    (inbox / "Meeting5.csv").write_bytes(export("Zeta")[0])
+    batch.load_folder(spark, str(inbox), store)
+    assert table(store, "training_session_raw", "SOURCES").count() == 6 and len(read) == 2
+
+
+def facts_of(spark, rows):
+    """Fact rows from (source_record_id, run_id, date_key, employee_key, hours)."""
+    schema = schemas.TARGET["fact_employee_activity"]
+    names = [f for f in schema.fields if f.name not in ("activity_key", "load_timestamp")]
+    values = lambda r: {"source_system": "S", "source_record_id": r[0], "activity_type_key": 1, "etl_run_id": r[1], "date_key": r[2], "employee_key": r[3], "hours": Decimal(r[4])}
+    return spark.createDataFrame([tuple(values(r).get(f.name) for f in names) for r in rows], schema.__class__(names))
+
+
+def test_facts_are_checked_against_all_that_is_stored(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    first = store.begin()
+    batch.add_facts(store, facts_of(spark, [("a", 1, 20250101, 0, 1), ("b", 1, 20250101, 0, 2), ("b", 1, 20250101, 0, 2), ("old", 1, 19990101, 0, 2)]), first, "x")
+    batch.add_facts(store, facts_of(spark, [("b", 2, 20250101, 0, 3), ("c", 2, 20250102, 0, 3)]), first, "y")
+    batch.commit(store, first)
+    second = store.begin()
+    batch.add_facts(store, facts_of(spark, [("a", 3, 20250101, 0, 9), ("d", 3, 20250102, 77, 3), ("e", 3, 20250102, None, 3)]), second, "x")
+    batch.commit(store, second)
+    facts = table(store, "fact_employee_activity", "TARGET").collect()
+    assert sorted((f.source_record_id, f.etl_run_id) for f in facts) == [("a", 1), ("b", 1), ("c", 2), ("e", 3)]
+    assert sorted(f.activity_key for f in facts) == [1, 2, 3, 4] and store.highest("activity_key") == 4
+    failed = {(r.run_id, r.rule_name, r.checked_rows, r.failed_rows) for r in table(store, "data_quality_result", "CONTROL").where("failed_rows > 0").collect()}
+    unique = "UNIQUE_SOURCE_SYSTEM_SOURCE_RECORD_ID_ACTIVITY_TYPE_KEY"
+    assert failed == {
+        (1, unique, 4, 1), (1, "REFERENCE_DATE_KEY", 4, 1), (2, unique, 2, 1), (3, unique, 3, 1), (3, "REFERENCE_EMPLOYEE_KEY", 3, 1), (3, "NOT_NULL_EMPLOYEE_KEY", 1, 1),
+    }
+    errors = {(e.run_id, e.error_code, e.raw_record) for e in table(store, "etl_error_log", "CONTROL").collect()}
+    assert errors == {
+        (1, unique, "b"), (1, "REFERENCE_DATE_KEY", "old"), (2, unique, "b"), (3, unique, "a"), (3, "REFERENCE_EMPLOYEE_KEY", "d"), (3, "NOT_NULL_EMPLOYEE_KEY", "e"),
+    }
+    months = batch.monthly_rank(store).collect()
+    assert [(m.employee_id, m.month_number, str(m.total_hours), m.activity_count) for m in months] == [(None, 1, "9.00", 4)]

@@ -9,8 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Window, functions as F
 
 from rollcall import schemas
-from rollcall.operators import audit, dims, facts, loads, rules, stage, upsert
-from rollcall.operators.ranking import dense_rank_desc, number_by_hash
+from rollcall.operators import audit, dims, facts, loads, ranking, rules, stage, upsert
+from rollcall.operators.ranking import counts_before, dense_rank_desc, number_by_hash
 from rollcall.plans import quality, reports
 from rollcall.sources import files, master
 
@@ -224,3 +224,71 @@ def test_file_facts_meet_all_rows(spark, block_rows):
     facts_of = spark.createDataFrame([("a", 10, "x"), ("b", 1, "y"), ("c", 5, "z")], "path string, last bigint, fact string")
     joined = join_file_facts(frame, facts_of, ["path"], "n", "last", block_rows)
     assert rows(joined, "path", "n", "fact") == sorted([("a", n, "x") for n in range(1, 11)] + [("b", 1, "y")], key=str)
+
+
+@pytest.mark.parametrize("digits", [1, 2, 3, 4, 5])
+def test_sums_down_the_digits_equal_one_window(spark, digits):
+    keys = spark.range(2000).select(F.substring(F.sha2(F.col("id").cast("string"), 256), 1, digits).alias("_bucket"))
+    sizes = keys.groupBy("_bucket").count()
+    found = {r["_bucket"]: r["_before"] for r in counts_before(sizes, digits).collect()}
+    want, before = {}, 0
+    for row in sorted(sizes.collect()):
+        want[row["_bucket"]] = before
+        before += row["count"]
+    assert found == want
+
+
+def test_no_window_sees_all_buckets(spark, monkeypatch):
+    """With a row per bucket and five digits, every window of the numbering is partitioned and holds 256 parts at most."""
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 1)
+    df = number_by_hash(spark.range(20_000).select(F.col("id").cast("string").alias("k")), ["k"], "n")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert sorted(r["n"] for r in df.collect()) == list(range(1, 20_001))
+    prefixes = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("d"))
+    for upper, lower in ((0, 2), (2, 4)):
+        parts = prefixes.select(F.substring("d", 1, upper).alias("u"), F.substring("d", 1, lower).alias("l")).distinct().groupBy("u").count()
+        assert parts.agg(F.max("count")).first()[0] <= 256
+
+
+def byte_lines(spark, name, content):
+    pieces = content.split(b"\n")
+    pieces = pieces[:-1] if content.endswith(b"\n") else pieces
+    rows = [(name, name, len(content), k + 1, bytearray(p), None) for k, p in enumerate(pieces)]
+    return spark.createDataFrame(rows, "path string, file_name string, length bigint, line_number bigint, raw binary, wide string")
+
+
+def test_content_hash_is_a_tree_over_all_lines(spark):
+    lines = [f"line {k}".encode() for k in range(40)]
+    variants = {
+        "plain": b"\n".join(lines), "again": b"\n".join(lines), "feed": b"\n".join(lines) + b"\n", "swapped": b"\n".join([lines[1], lines[0], *lines[2:]]),
+        "blocks": b"\n".join([*lines[4:8], *lines[:4], *lines[8:]]), "byte": b"\n".join([*lines[:-1], b"line 3X"]),
+        "moved": b"\n".join([lines[0][:-1], lines[0][-1:] + lines[1], *lines[2:]]),
+    }
+    raw = None
+    for name, content in variants.items():
+        own = byte_lines(spark, name, content)
+        raw = own if raw is None else raw.unionByName(own)
+    for fan in (2, 4, 10_000):
+        found = {r.path: r.source_file_hash for r in files.describe_byte_lines(raw, fan).collect()}
+        assert found["plain"] == found["again"] and len(set(found.values())) == len(variants) - 1
+
+
+def test_a_hash_by_hand(spark):
+    sha = lambda text: hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
+    leaves = [sha(b"%d|%s" % (k + 1, line)) for k, line in enumerate([b"a", b"b", b"c"])]
+    blocks = [sha("".join(leaves[:2])), sha(leaves[2])]
+    want = sha("5|" + sha(sha("".join(blocks))))
+    assert files.describe_byte_lines(byte_lines(spark, "f", b"a\nb\nc"), 2).first().source_file_hash == want
+
+
+def test_replaced_partitions_leave_the_others(spark, tmp_path):
+    rows = spark.createDataFrame([(k, k % 4, "a") for k in range(40)], "id int, run_id int, v string")
+    path = str(tmp_path / "t")
+    loads.replace_partitions(rows, path, "run_id")
+    before = {p: p.read_bytes() for p in (tmp_path / "t").rglob("*.parquet") if "run_id=2" not in str(p)}
+    loads.replace_partitions(rows.where("run_id = 2 AND id < 20").withColumn("v", F.lit("b")), path, "run_id")
+    assert {p: p.read_bytes() for p in before} == before
+    found = sorted(map(tuple, spark.read.schema(rows.schema).parquet(path).where("run_id = 2").select(*rows.columns).collect()))
+    assert found == [(2, 2, "b"), (6, 2, "b"), (10, 2, "b"), (14, 2, "b"), (18, 2, "b")]
+    assert spark.read.parquet(path).count() == 35
