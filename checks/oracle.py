@@ -114,6 +114,16 @@ VIEWS = {
             strftime(join_ts, '%-m/%-d/%y, %-I:%M:%S %p') AS join_text, strftime(leave_ts, '%-m/%-d/%y, %-I:%M:%S %p') AS leave_text,
             seconds // 3600 || 'h ' || seconds % 3600 // 60 || 'm ' || seconds % 60 || 's' AS duration_text
         FROM participants""",
+    "sheet_rows": """
+        SELECT *, NOT short AS fits, CASE WHEN short THEN 'WIDTH' WHEN event_id % 41 = 0 THEN 'BAD_DAY' WHEN event_id % 43 = 0 THEN 'BAD_HOURS' END AS code,
+            CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key, CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS hours
+        FROM (
+            SELECT *, kind || ' ' || user_id % 6 || '.csv' AS path, 2 + row_number() OVER (PARTITION BY kind, user_id % 6 ORDER BY event_id) AS row_number, event_id % 47 = 0 AS short,
+                CASE WHEN kind = 'Exam_Absences' THEN 'Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') WHEN kind = 'Timesheet_Absences' THEN 'Absent ' || user_id ELSE 'Person ' || user_id END AS name,
+                CASE WHEN kind = 'Exam_Absences' OR event_id % 5 = 0 THEN '' ELSE 'customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') || '@example.com' END AS email,
+                CASE WHEN event_type = 'purchase' THEN 'Supplier#' || lpad(CAST(user_id AS VARCHAR), 9, '0') END AS project
+            FROM (SELECT *, CASE WHEN event_type IN ('purchase', 'click') THEN 'Timesheet__WorkedHours' WHEN event_type = 'error' THEN 'Timesheet_Absences' ELSE 'Exam_Absences' END AS kind
+                FROM events WHERE event_type <> 'view'))""",
     "file_actions": """
         SELECT a.*, 'Meeting' || a.o_custkey || '.csv' AS file_name,
             13 + n + row_number() OVER (PARTITION BY a.o_custkey ORDER BY activity_id) AS source_row_number,
@@ -528,6 +538,54 @@ ORACLES["batch_rejects"] = " UNION ALL ".join(f"""
         '{name}' AS error_code, 'The fact breaks {name}' AS error_message, source_record_id AS raw_record
     FROM {_LOOSE} WHERE {failed}""" for name, _, failed in _FACT_CHECKS)
 
+ORACLES["monthly_from_partials"] = ORACLES["monthly_activity_rank"]
+ORACLES["known_files"] = """
+    SELECT doc_id, sha256(text) AS source_file_hash, coalesce(
+        min(CAST(doc_id AS VARCHAR)) FILTER (doc_id IN (SELECT doc_id FROM labels)) OVER (PARTITION BY text),
+        min(CAST(doc_id AS VARCHAR)) OVER (PARTITION BY text)) AS loaded_from
+    FROM documents"""
+ORACLES["plain_table"] = """
+    SELECT o_orderkey, o_totalprice, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN max(o_orderkey) OVER () < 2147483648 THEN 'int' ELSE 'bigint' END
+        || ',double,string,date' AS kinds FROM orders"""
+ORACLES["input_files"] = """
+    SELECT c_nationkey AS nation, true AS is_csv, 29 + sum(octet_length(encode(c_custkey || ',' || c_name || ',' || c_nationkey)) + 1) AS length,
+        count(*) + 1 AS n_lines, 'c_custkey,c_name,c_nationkey' AS header FROM customer GROUP BY c_nationkey"""
+ORACLES["mixed_csv_table"] = """
+    SELECT path, row_number, unnest(['Emp ID', 'Full Name', 'Level', 'Department', 'Manager', CASE WHEN c_nationkey % 5 = 0 THEN 'Delivery Unit' ELSE 'Region' END, 'Grade'])
+        AS column_name, unnest([CAST(c_custkey AS VARCHAR), c_name, 'L1', c_mktsegment, 'Boss', CAST(c_nationkey AS VARCHAR), CAST(CAST(abs(c_acctbal) AS DECIMAL(12,2)) AS VARCHAR)]) AS cell
+    FROM (SELECT *, 'Employees' || c_nationkey || '.csv' AS path, 2 + row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS row_number FROM customer)
+    WHERE c_custkey % 11 <> 0"""
+ORACLES["timesheet_people"] = """
+    SELECT coalesce(min(name) FILTER (kind = 'Timesheet__WorkedHours'), min(name)) AS employee_name, email AS employee_id, 'JUNIOR' AS grade,
+        'DATA_ENGINEERING' AS discipline, 'UNKNOWN' AS line_manager, 'DU_DATA' AS delivery_unit
+    FROM sheet_rows WHERE fits AND email <> '' AND kind <> 'Exam_Absences' GROUP BY email"""
+ORACLES["timesheet_facts"] = """
+    SELECT coalesce(CASE WHEN kind = 'Exam_Absences' THEN n.employee_key ELSE e.employee_key END, 0) AS employee_key, date_key,
+        CASE kind WHEN 'Timesheet__WorkedHours' THEN 1 WHEN 'Timesheet_Absences' THEN 2 ELSE 4 END AS activity_type_key, project_key,
+        CASE kind WHEN 'Exam_Absences' THEN 'EXAM_SCHEDULE' ELSE 'TIMESHEET' END AS source_system, sha256(path) || '|' || row_number AS source_record_id, hours
+    FROM sheet_rows r LEFT JOIN dim_employee e ON r.email = e.employee_id AND e.employee_key <> 0 LEFT JOIN dim_employee n ON r.name = n.employee_name AND n.employee_key <> 0
+    LEFT JOIN dim_project p ON r.project = p.project_name WHERE code IS NULL AND path <> 'Exam_Absences 5.csv'"""
+ORACLES["timesheet_rejects"] = """
+    SELECT path, row_number AS source_row_number, code AS error_code, CASE code WHEN 'WIDTH' THEN 'The row has another number of cells than the header.'
+        WHEN 'BAD_DAY' THEN 'The day is missing or no date.' ELSE 'The hours are missing or no number from 0 on.' END AS error_message
+    FROM sheet_rows WHERE code IS NOT NULL AND path <> 'Exam_Absences 5.csv'
+    UNION ALL SELECT DISTINCT path, CAST(NULL AS BIGINT), 'MISSING_COLUMNS', 'The file lacks hours' FROM sheet_rows WHERE path = 'Exam_Absences 5.csv'"""
+_TWO_BATCHES = """(SELECT event_id, event_type, user_id, ts, value, event_id % 2 + 1 AS run_id FROM events
+    UNION ALL SELECT event_id, event_type, user_id, ts, value, 2 FROM events WHERE (event_id % 2 = 0 AND event_id % 20 = 0) OR (event_id % 2 = 1 AND event_id % 15 = 1))"""
+_LISTED = "(event_type <> 'signup')"
+ORACLES["facts_after_batches"] = f"""
+    SELECT event_id AS record_id, coalesce(employee_id, 'UNKNOWN') AS employee_id, coalesce(grade, 'UNKNOWN') AS grade,
+        CASE WHEN event_type = 'purchase' THEN 'Supplier#' || lpad(CAST(events.user_id AS VARCHAR), 9, '0') END AS project_name, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key,
+        CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS hours, event_id % 2 + 1 AS run_id, employee_id IS NULL AS is_unknown
+    FROM events LEFT JOIN (
+        SELECT user_id, employee_id, 'Grade ' || max(run_id) AS grade FROM {_TWO_BATCHES} JOIN employee_rows ON employee_key = user_id + 1 WHERE {_LISTED} GROUP BY ALL
+    ) known ON known.user_id = events.user_id AND {_LISTED}"""
+ORACLES["batch_uniqueness"] = f"""
+    SELECT run_id, 'UNIQUE_SOURCE_SYSTEM_SOURCE_RECORD_ID_ACTIVITY_TYPE_KEY' AS rule_name, 'SOURCE_SYSTEM,SOURCE_RECORD_ID,ACTIVITY_TYPE_KEY' AS column_name,
+        CASE WHEN sum(extra) = 0 THEN 'PASSED' ELSE 'FAILED' END AS result_status, count(*) AS checked_rows, CAST(sum(extra) AS BIGINT) AS failed_rows
+    FROM (SELECT run_id, CASE WHEN row_number() OVER (PARTITION BY event_id ORDER BY run_id) > 1 THEN 1 ELSE 0 END AS extra FROM {_TWO_BATCHES}) GROUP BY run_id
+    UNION ALL SELECT run_id, 'REFERENCE_' || c, c, 'PASSED', count(*), 0 FROM {_TWO_BATCHES}, (VALUES ('DATE_KEY'), ('EMPLOYEE_KEY'), ('PROJECT_KEY'), ('TRAINING_KEY')) t(c) GROUP BY run_id, c"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql(body) for name, body in ORACLES.items()}

@@ -11,11 +11,12 @@ from checks import views
 from checks.views import stamp, table
 from rollcall.functions.clock import parse_duration, with_timestamps
 from rollcall.functions.text import match_key, normalise_header, normalise_label, session_key
-from rollcall.operators import audit, dims, facts, loads, rules, stage, upsert
+from rollcall import schemas
+from rollcall.operators import audit, dims, facts, known, loads, rules, stage, upsert
 from rollcall.operators.ranking import number_by_hash
-from rollcall.plans import quality, reports
-from rollcall.sources import master, meetings, profiles
-from rollcall.sources.files import FILE_COLUMNS, decode_lines, describe_byte_lines, whole_lines
+from rollcall.plans import batch, quality, reports, timesheets
+from rollcall.sources import master, meetings, profiles, tables
+from rollcall.sources.files import FILE_COLUMNS, decode_lines, describe_byte_lines, find_input_files, read_files, read_table, whole_lines
 from rollcall.sources.records import read_records
 from rollcall.storage import land
 
@@ -45,6 +46,20 @@ def monthly_activity_rank(spark, sf):
     return report.withColumn("total_hours", F.col("total_hours").cast("double"))
 
 
+@query
+def monthly_from_partials(spark, sf):
+    """The monthly rank out of the sums that three batches of facts have left in a store."""
+    star, store = views.star(spark, sf), loads.Store(spark, storage_folder(spark))
+    schema = schemas.TARGET["fact_month"]
+    for third in range(3):
+        number = store.begin()
+        months = reports.monthly_partials(star["fact"].where(F.col("activity_key") % 3 == third), star["dim_date"], star["dim_activity_type"])
+        store.write_batch("fact_month", months.select(*schema.names), number)
+        store.commit(number)
+    report = reports.monthly_rank_from_partials(reports.fold_partials(store.rows("fact_month", schema)), star["dim_employee"])
+    return report.withColumn("total_hours", F.col("total_hours").cast("double"))
+
+
 @query
 def training_participation(spark, sf):
     report = reports.training_participation(**views.star(spark, sf), dim_training=views.dim_training(spark, sf))
@@ -275,7 +290,10 @@ def restage_by_run(spark, sf):
     staged = staged_participants(spark, sf).select("participant_raw_id", "run_id", "participant_role")
     chosen = staged_sessions(spark, sf).where("run_id % 3 = 0").select("run_id").distinct()
     again = staged.join(chosen, "run_id", "left_semi").withColumn("participant_role", F.lit("AGAIN"))
-    return upsert.replace_runs(staged, again)
+    folder = f"{storage_folder(spark)}/staged"
+    for rows in (staged, again):  # the folders of a run are written anew where they lie
+        loads.replace_partitions(rows, folder, "run_id")
+    return spark.read.schema(staged.schema).parquet(folder)
 
 
 @query
@@ -303,6 +321,69 @@ def new_files_only(spark, sf):
     return upsert.new_files(documents, loaded, order="doc_id")
 
 
+@query
+def known_files(spark, sf):
+    """Documents as files: those with a label are known to a store, the others are looked up and remembered."""
+    documents = table(spark, sf, "documents").select(F.sha2("text", 256).alias("source_file_hash"), F.col("doc_id").cast("string").alias("session_source_key"), "doc_id")
+    store = loads.Store(spark, storage_folder(spark))
+    number = store.begin()
+    labelled = documents.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    # Of files with one content the first is the one that is loaded.
+    first = labelled.groupBy("source_file_hash").agg(F.min("session_source_key").alias("session_source_key"))
+    known.remember(store, number, "known_hash", "source_file_hash", first)
+    store.commit(number)
+    fresh = documents.join(known.loaded_meetings(store, documents), "source_file_hash", "left_anti")
+    number = store.begin()
+    known.remember(store, number, "known_hash", "source_file_hash", fresh.groupBy("source_file_hash").agg(F.min("session_source_key").alias("session_source_key")))
+    store.commit(number)
+    held = known.loaded_meetings(store, documents).select("source_file_hash", F.col("session_source_key").alias("loaded_from"))
+    return documents.select("doc_id", "source_file_hash").join(held, "source_file_hash")
+
+
+def stored_batches(spark, sf, batches: int = 2) -> loads.Store:
+    """Events as timesheet rows, loaded in several batches; the last one repeats a tenth of the first and some of its own."""
+    store = loads.Store(spark, storage_folder(spark))
+    rows = timesheet(spark, sf).withColumn("batch", F.col("record_id") % batches)
+    people = views.employee_rows(spark, sf).select(*schemas.TARGET["dim_employee"].names).drop("employee_key").withColumns(
+        {"validation_status": F.lit("VALID"), "validation_message": F.lit(None).cast("string"), "source_file_name": F.lit("people")}
+    )
+    for k in range(batches):
+        number = store.begin()
+        own = rows.where(F.col("batch") == k).withColumn("run_id", F.lit(k + 1))
+        if k == batches - 1:
+            again = rows.where(((F.col("batch") == 0) & (F.col("record_id") % 20 == 0)) | ((F.col("batch") == k) & (F.col("record_id") % 15 == 1)))
+            own = own.unionByName(again.withColumn("run_id", F.lit(k + 1)))
+        listed = people.join(own.select(F.lower(F.trim("email")).alias("employee_id")).distinct(), "employee_id", "left_semi")
+        batch.merge_employees(store, number, listed.withColumn("grade", F.concat(F.lit("Grade "), F.lit(str(number)))))
+        batch.merge_projects(store, number, own.where("project_name IS NOT NULL").select("project_name"))
+        target = schemas.TARGET
+        employees, projects = (store.version(t, target[t], number) for t in ("dim_employee", "dim_project"))
+        batch.add_facts(store, facts.work_facts(own.drop("batch"), employees, projects), number, "work")
+        batch.commit(store, number)
+    return store
+
+
+@query
+def facts_after_batches(spark, sf):
+    """Facts of two batches with the dimensions as they are after both."""
+    store, target = stored_batches(spark, sf), schemas.TARGET
+    employees = store.version("dim_employee", target["dim_employee"]).select("employee_key", "employee_id", "grade")
+    stored = store.rows("fact_employee_activity", target["fact_employee_activity"])
+    projects = store.version("dim_project", target["dim_project"])
+    found = stored.join(employees, "employee_key").join(projects, "project_key", "left")
+    return found.select(
+        F.col("source_record_id").cast("bigint").alias("record_id"), "employee_id", "grade", "project_name", "date_key", F.col("hours").cast("double").alias("hours"),
+        F.col("etl_run_id").alias("run_id"), (F.col("employee_key") == 0).alias("is_unknown"),
+    )
+
+
+@query
+def batch_uniqueness(spark, sf):
+    """What the load says of keys and references of both batches."""
+    results = stored_batches(spark, sf).rows("data_quality_result", schemas.CONTROL["data_quality_result"])
+    return results.where("rule_name LIKE 'UNIQUE%' OR rule_name LIKE 'REFERENCE%'").select("run_id", "rule_name", "column_name", "result_status", "checked_rows", "failed_rows")
+
+
 # --- quality and audit ----------------------------------------------------------------------
 
 
@@ -611,34 +692,97 @@ def raw_load_runs(spark, sf):
     )
 
 
-def employee_readings(spark, sf) -> tuple[DataFrame, DataFrame]:
+def employee_readings(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The employee files, their layouts and their records."""
     files, lines = views.employee_file_lines(spark, sf)
-    return files, land(profiles.read_with_all_delimiters(land(lines, "lines")), "readings")
+    return files, *profiles.read_layout(land(lines, "lines"))
 
 
 @query
 def file_profile(spark, sf):
-    files, readings = employee_readings(spark, sf)
-    return profiles.profile_records(readings, files).drop("path").withColumn("columns", F.array_join("columns", ","))
+    files, layout, records = employee_readings(spark, sf)
+    return profiles.profile_records(layout, records, files).drop("path").withColumn("columns", F.array_join("columns", ","))
 
 
 @query
 def mixed_csv_rows(spark, sf):
-    _, readings = employee_readings(spark, sf)
-    headers = profiles.find_headers(readings, profiles.choose_layout(readings))
+    _, layout, records = employee_readings(spark, sf)
     cells = F.col("cells")
-    return profiles.table_rows(readings, headers).select(
+    return profiles.table_rows(records, profiles.find_headers(records, layout)).select(
         "path", "row_number", "fits", F.size(cells).alias("width"), cells[0].alias("first_cell"), cells[1].alias("second_cell")
     )
 
 
 @query
 def resolved_columns(spark, sf):
-    _, readings = employee_readings(spark, sf)
-    headers = profiles.find_headers(readings, profiles.choose_layout(readings))
-    chosen = headers.select("path", "delimiter", F.col("header_row").alias("row_number"))
-    cells = readings.join(chosen, ["path", "delimiter", "row_number"]).select("path", "cells")
-    return profiles.resolve_columns(profiles.unique_headers(cells))
+    _, layout, records = employee_readings(spark, sf)
+    return profiles.resolve_columns(profiles.header_names(records, profiles.find_headers(records, layout)))
+
+
+@query
+def mixed_csv_table(spark, sf):
+    """Cells of the employee files under the names of their columns."""
+    files, layout, records = employee_readings(spark, sf)
+    exports = tables.Dataset("EMPLOYEE_EXPORT", "employees", {field: names for field, names in profiles.COLUMN_ALIASES.items()}, ())
+    described = files.withColumn("source_file_hash", F.sha2("path", 256))
+    schema = tables.schemas(records, profiles.find_headers(records, layout), described, (exports,))
+    named = tables.named_rows(records, schema).where("fits")
+    return named.select("path", "row_number", F.explode("named").alias("column_name", "cell"))
+
+
+def activity_tables(spark, sf) -> tables.Tables:
+    files, lines = views.activity_file_lines(spark, sf)
+    return tables.read_tables(files, land(lines, "lines"))
+
+
+@query
+def timesheet_people(spark, sf):
+    """The employee master out of rendered timesheets of different layouts."""
+    return master.employee_master([activity_tables(spark, sf).people])
+
+
+@query
+def timesheet_facts(spark, sf):
+    """Work, absence and exam facts out of rendered files, as a store has taken them."""
+    found = activity_tables(spark, sf).rows.withColumn("run_id", F.lit(1).cast("bigint"))
+    parts = timesheets.activity_facts(found, views.dim_employee(spark, sf), views.dim_project(spark, sf))
+    store = loads.Store(spark, storage_folder(spark))
+    number = store.begin()
+    store.write_version("dim_employee", views.dim_employee(spark, sf), number)
+    store.write_version("dim_project", views.dim_project(spark, sf), number)
+    for part, rows in parts.items():
+        batch.add_facts(store, rows, number, part)
+    store.commit(number)
+    stored = store.rows("fact_employee_activity", schemas.TARGET["fact_employee_activity"])
+    return _shown(stored, "activity_key", "training_key", "load_timestamp", "etl_run_id")
+
+
+@query
+def timesheet_rejects(spark, sf):
+    return activity_tables(spark, sf).rejects.select("path", "source_row_number", "error_code", "error_message")
+
+
+@query
+def input_files(spark, sf):
+    """Customers written as real files, one per nation: found, read line by line and by the plain reader."""
+    folder = f"{storage_folder(spark)}/people"
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", F.col("c_nationkey").alias("nation"))
+    rows.repartition("nation").write.partitionBy("nation").option("header", True).csv(folder)
+    found = find_input_files(spark, folder).select("path", "file_name", "length")
+    _, lines = read_files(spark, folder, "*.csv")
+    counted = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n_lines"), F.max(F.when(F.col("line_number") == 1, F.col("line"))).alias("header"))
+    nation = F.regexp_extract("path", "nation=([0-9]+)", 1).cast("int")
+    return found.join(counted, "path").select(nation.alias("nation"), F.col("file_name").endswith(".csv").alias("is_csv"), "length", "n_lines", "header")
+
+
+@query
+def plain_table(spark, sf):
+    """A plain delimited file, its types inferred."""
+    path = f"{storage_folder(spark)}/orders.csv"
+    loads.write_csv(table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")), path)
+    found = read_table(spark, path)
+    kinds = ",".join(kind for _, kind in found.dtypes)
+    return found.select("o_orderkey", "o_totalprice", "o_orderstatus", F.col("day").cast("string").alias("day"), F.lit(kinds).alias("kinds"))
 
 
 @query

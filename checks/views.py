@@ -318,3 +318,68 @@ def employee_file_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         path.alias("path"), path.alias("file_name"), F.lit("utf-8-sig").alias("encoding"), F.lit(None).cast("string").alias("error")
     )
     return files, lines
+
+
+# --- timesheets and exam schedules as files ---------------------------------------------------
+
+#: Files per kind; they differ in delimiter, in the names and the order of their columns, and in what they lack.
+SHEETS = 6
+
+
+def activity_file_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events as timesheets, absences and exam schedules: ``(files, lines)``.
+
+    A narrow line stands before the header. Some rows lack a cell, a day or hours, one exam schedule lacks its
+    hours, and one file is none of these.
+    """
+    user, event, sheet = F.col("user_id"), F.col("event_id"), F.col("sheet")
+    kind = F.when(F.col("event_type").isin("purchase", "click"), "Timesheet__WorkedHours").when(F.col("event_type") == "error", "Timesheet_Absences").when(
+        F.col("event_type") == "signup", "Exam_Absences"
+    ).otherwise("Notes")
+    events = table(spark, sf_dir, "events").withColumn("kind", kind).withColumn("sheet", F.col("user_id") % SHEETS)
+    events = events.withColumn("path", F.concat_ws(" ", "kind", F.concat(sheet.cast("string"), F.lit(".csv"))))
+    delimiter = F.when(sheet % 4 == 0, ",").when(sheet % 4 == 1, ";").when(sheet % 4 == 2, "\t").otherwise("|")
+
+    number = F.lpad(user.cast("string"), 9, "0")
+    email = F.when(event % 5 != 0, F.concat(F.lit(" CUSTOMER#"), number, F.lit("@Example.com "))).otherwise("")
+    project = F.when(F.col("event_type") == "purchase", F.concat(F.lit("Supplier#"), number)).otherwise("")
+    day = (
+        F.when(event % 41 == 0, "n/a").when(event % 3 == 0, F.date_format("ts", "yyyy-MM-dd")).when(event % 3 == 1, F.date_format("ts", "M/d/yyyy"))
+        .otherwise(F.date_format("ts", "d.M.yyyy"))
+    )
+    plain = F.col("value").cast("decimal(12,2)").cast("string")
+    hours = F.when(event % 43 == 0, "unknown").when((sheet % 4 != 0) & (event % 7 == 0), F.replace(plain, F.lit("."), F.lit(","))).otherwise(plain)
+    person = F.concat(F.lit("Person "), user.cast("string"))
+    cells = (
+        F.when((F.col("kind") == "Timesheet__WorkedHours") & (sheet % 2 == 0), F.array(person, email, project, day, hours, F.lit("note")))
+        .when(F.col("kind") == "Timesheet__WorkedHours", F.array(hours, person, day, email, project))
+        .when(F.col("kind") == "Timesheet_Absences", F.array(F.concat(F.lit("Absent "), user.cast("string")), email, day, hours))
+        .when((F.col("kind") == "Exam_Absences") & (sheet == 5), F.array(F.concat(F.lit("Customer#"), number), day, F.lit("room")))
+        .when(F.col("kind") == "Exam_Absences", F.array(F.concat(F.lit("Customer#"), number), day, hours))
+        .otherwise(F.array(person, event.cast("string")))
+    )
+    cells = F.when(event % 47 == 0, F.slice(cells, F.lit(1), F.size(cells) - 1)).otherwise(cells)
+    rows = number_within(events, ["path"], "event_id", "position").select(
+        "path", (F.col("position") + 2).alias("line_number"), F.array_join(cells, "\u0001").alias("line"), delimiter.alias("delimiter")
+    )
+    sheets = events.select("path", "kind", "sheet").distinct()
+    lits = lambda *names: F.array(*map(F.lit, names))
+    header = (
+        F.when((F.col("kind") == "Timesheet__WorkedHours") & (sheet % 2 == 0), lits("Name", "Email", "Project", "Date", "Hours", "Comment"))
+        .when(F.col("kind") == "Timesheet__WorkedHours", lits("Worked Hours", "Full Name", "Work Date", "E-Mail", "Project Name"))
+        .when(F.col("kind") == "Timesheet_Absences", lits("Name", "Email", "Absence Date", "Absence Hours"))
+        .when((F.col("kind") == "Exam_Absences") & (sheet == 5), lits("Name", "Exam Date", "Room"))
+        .when(F.col("kind") == "Exam_Absences", lits("Name", "Exam Date", "Hours"))
+        .otherwise(lits("Name", "Note"))
+    )
+    fixed = F.array(
+        F.struct(F.lit(1).cast("bigint").alias("line_number"), F.lit("Export").alias("line")),
+        F.struct(F.lit(2).cast("bigint").alias("line_number"), F.array_join(header, "\u0001").alias("line")),
+    )
+    frame = sheets.select("path", delimiter.alias("delimiter"), F.inline(fixed))
+    lines = frame.select("path", "line_number", "line", "delimiter").unionByName(rows)
+    lines = lines.withColumn("line", F.replace("line", F.lit("\u0001"), F.col("delimiter")))
+    files = sheets.select(
+        "path", F.col("path").alias("file_name"), F.sha2("path", 256).alias("source_file_hash"), F.lit(None).cast("string").alias("error")
+    )
+    return files, lines
