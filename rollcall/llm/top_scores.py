@@ -6,17 +6,20 @@ own share of the components.
 1. Of each list the ``k`` highest local scores of a query are gathered, and the candidates named there get
    their whole scores. The k-th highest of them is a safe cutoff: the answer is not below it.
 2. The cutoff goes back with the query. A candidate that reaches it has a local score of at least cutoff /
-   LISTS in one list at least, so all entries from there on are collected, and with them the answer.
+   LISTS in one list at least, so all entries from there on are looked at, and with them the answer.
 3. Candidates whose sum is still open, that is entries of other lists were below the share, are resolved
    exactly by their vectors; those that fall below the cutoff go. Then the best k stay.
 
 Queries and candidates meet in cells of a block of queries and a block of candidates, of bounded size, in
-plain numbers: whole numbers below 2^53 add up exactly in double precision.
+plain numbers: whole numbers below 2^53 add up exactly in double precision. A cell has all lists of its pairs, so of
+the entries that phase 2 looks at it sends on those pairs that reach the cutoff as a whole, and of these the k best
+of each query, by score and id. However many candidates tie, a cell sends k at most.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components, and rows without an id, take
 no part. Vectors that are shorter than the longest are filled with zeros. Equal scores are ranked by
 smaller id. Rows that repeat an id are candidates of their own; only the query's own row is left out. With
-fewer than k candidates a query returns all of them. An empty table gives no rows.
+fewer than k candidates a query returns all of them. Components so large that a score might not be below 2^53 are
+refused with an error. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +41,11 @@ def prepared(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """row (a number of its own), vec_id, values (floor(scale * x), zeros behind, as packed doubles) of vectors that take part."""
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(~bad)
-    size = good.agg(F.max(F.size("embedding"))).first()[0] or 0
+    largest = F.max(F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double")))))
+    size, most = good.agg(F.max(F.size("embedding")), largest).first()
+    size = size or 0
+    if size * (scale * (most or 0.0) + 1) ** 2 >= 1 << 53:
+        raise ValueError("components are too large for exact scores")
 
     def pack(batches):
         import pyarrow as pa
@@ -104,16 +111,24 @@ def _highest(k: int, lists: int):
     return run
 
 
-def _reaching(lists: int):
-    """Phase 2 in a cell: all local scores from a query's share of its cutoff on."""
+def _reaching(lists: int, k: int):
+    """Phase 2 in a cell: pairs with a local score from a query's share of its cutoff on and a whole score from the cutoff on, the k best of each query."""
 
     def run(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(candidates):
-            share = queries["cutoff"].fillna(-np.inf).to_numpy(float) / lists
-            for some, number, scores in _local(queries, candidates, lists):
-                i, j = np.nonzero((scores >= share[some][:, None]) & (scores > -np.inf))
-                found.append((some[i], j, number, scores[i, j]))
+            cutoff, ids, rows = queries["cutoff"].fillna(-np.inf).to_numpy(float), candidates["vec_id"].to_numpy(), candidates["row"].to_numpy()
+            parts = _local(queries, candidates, lists)
+            for group in zip(*[parts] * lists, strict=True):  # all lists of the same queries
+                some, scores = group[0][0], [local for _, _, local in group]
+                share, whole = cutoff[some][:, None] / lists, sum(scores)
+                listed = np.logical_or.reduce([local >= share for local in scores])
+                i, j = np.nonzero(listed & (whole >= cutoff[some][:, None]) & (whole > -np.inf))
+                order = np.lexsort((rows[j], ids[j], -whole[i, j], i))
+                i, j = i[order], j[order]
+                place = np.arange(len(i)) - np.searchsorted(i, i)
+                i, j = i[place < k], j[place < k]
+                found += [(some[i][local[i, j] >= share[i, 0]], j[local[i, j] >= share[i, 0]], n, local[i, j][local[i, j] >= share[i, 0]]) for n, local in enumerate(scores)]
         return _entries(queries, candidates, found)
 
     return run
@@ -159,7 +174,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K, lists: int = LISTS) -> DataF
     cutoffs = land(seen.filter(F.col("rank") == k).select(F.col("q_row").alias("row"), F.col("score").cast("double").alias("cutoff")), "cutoffs")
 
     # Phase 2. Queries without a cutoff have fewer than k candidates, or lists so alike that they name fewer than k; they collect all.
-    collected = cells(queries.join(cutoffs, "row", "left"), _reaching(lists))
+    collected = cells(queries.join(cutoffs, "row", "left"), _reaching(lists, k))
     sums = collected.groupBy("q_row", "c_row").agg(F.sum("local").alias("known"), F.count("*").alias("lists")).join(
         cutoffs.select(F.col("row").alias("q_row"), "cutoff"), "q_row", "left"
     )

@@ -137,6 +137,29 @@ def test_top_scores(spark, monkeypatch, k, lists, block):
     assert Counter(map(tuple, found)) == plain_top(vectors, k)
 
 
+def test_a_cell_sends_on_k_pairs_of_a_query_however_many_tie():
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    values = [np.full(8, 3.0)] * 500 + list(np.floor(rng.normal(size=(500, 8)) * 4))
+    order = rng.permutation(1000)
+    candidates = pd.DataFrame({"row": np.arange(1000), "vec_id": order, "values": [values[v].tobytes() for v in order]})
+    queries = candidates[candidates["vec_id"] % 100 == 0].assign(cutoff=10.0)
+    found = top_scores._reaching(2, 5)(queries, candidates).groupby("q_row")["c_row"].nunique()
+    assert found.max() == 5
+    ids = dict(zip(candidates["row"], candidates["vec_id"], strict=True))
+    pairs = top_scores._reaching(2, 5)(queries, candidates)[["q_row", "c_row"]].drop_duplicates()
+    for q in queries.itertuples():
+        x = np.frombuffer(q.values, float)
+        ranked = sorted((-float(x @ np.frombuffer(c.values, float)), c.vec_id) for c in candidates.itertuples() if c.row != q.row and x @ np.frombuffer(c.values, float) >= 10)
+        assert sorted(v for _, v in ranked[:5]) == sorted(ids[c] for c in pairs[pairs["q_row"] == q.row]["c_row"])
+
+
+def test_scores_that_could_not_be_exact_are_refused(spark):
+    with pytest.raises(ValueError, match="too large"):
+        top_scores.op6_exact_top_k(rows_of(spark, [(50, [1e12, 1.0], 0), (51, [1e12, 2.0], 0)]))
+
+
 def test_top_scores_of_odd_vectors(spark, odd_vectors, no_vectors):
     assert Counter(map(tuple, top_scores.op6_exact_top_k(odd_vectors).collect())) == plain_top(ODD_VECTORS, 5)
     assert top_scores.op6_exact_top_k(no_vectors).collect() == []
