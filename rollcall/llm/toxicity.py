@@ -9,7 +9,7 @@ Labels say toxic or not. The grades of toxic documents come from how many words
 toxic documents use: up to a third of the toxic documents each have grade 1, 2 and 3, by that number.
 
 Fit: on at most ``SAMPLE`` labelled documents, those of the smallest digests of their ids, so that the
-table of their ids can be broadcast. Spark counts in how many toxic and clean ones each feature stands,
+table of their ids can be broadcast. Of rows that share an id one is taken, so the sample bounds what comes to the driver. Spark counts in how many toxic and clean ones each feature stands,
 those that tell the two apart are kept, ``FEATURES`` at most (both numbers are parameters), and the few features of each
 document are fitted on the driver. All documents and whole texts are scored.
 
@@ -134,7 +134,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_features:
     """Fit on a bounded sample of the documents that have a label."""
     graded = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     chosen = F.broadcast(graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))  # at most `sample` rows of two numbers
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("toxic", "text")
+    # One text per id, whatever rows share it: the one with the smallest mark.
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text")).join(chosen, "doc_id").groupBy("doc_id").agg(
+        F.first("toxic").alias("toxic"), F.min(F.struct(F.xxhash64("text"), F.col("text"))).alias("own")
+    )
+    rows = land(rows.select("toxic", F.col("own.text").alias("text")), "sample")
 
     def stand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
