@@ -150,6 +150,90 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM taken
 """
 
+
+SHARDS = r"""
+WITH RECURSIVE shards AS (
+  SELECT k, 'shard-' || lpad(k::VARCHAR, 3, '0') AS name FROM range(64) r(k)
+), orders AS (
+  SELECT k, name, ('0x' || substr(md5('offset ' || name), 1, 13))::BIGINT % 6421 AS first, ('0x' || substr(md5('step ' || name), 1, 13))::BIGINT % 6420 + 1 AS step FROM shards
+), turns AS (
+  SELECT -1 AS turn, -1::BIGINT AS slot, bitstring('0', 6421) AS taken
+  UNION ALL
+  SELECT turn, slot, set_bit(taken, slot::INTEGER, 1) FROM (
+    SELECT t.turn + 1 AS turn, t.taken, list_transform(list_filter(range(6421), lambda j: get_bit(t.taken, ((o.first + j * o.step) % 6421)::INTEGER) = 0)[1:1],
+      lambda j: (o.first + j * o.step) % 6421)[1] AS slot
+    FROM turns t JOIN orders o ON o.k = (t.turn + 1) % 64 WHERE t.turn < 6420
+  )
+), placed AS (
+  SELECT slot, name AS shard FROM turns JOIN shards ON k = turn % 64 WHERE turn >= 0
+)
+SELECT doc_id, slot, shard FROM (SELECT doc_id, ('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT % 6421 AS slot FROM documents) JOIN placed USING (slot)
+"""
+
+NEAR_TEXTS = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM words WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a, b FROM (SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS shared FROM shingles l JOIN shingles r ON l.shingle = r.shingle AND l.doc_id <> r.doc_id GROUP BY 1, 2)
+  JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
+), lowest AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM lowest LEFT JOIN sizes USING (doc_id)
+"""
+
+NEAR_VECTORS = r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE label IS NOT NULL
+), sized AS (
+  SELECT *, sqrt(list_dot_product(v, v)) AS size FROM vectors WHERE list_dot_product(v, v) > 0
+), links AS (
+  SELECT l.vec_id AS a, r.vec_id AS b FROM sized l JOIN sized r ON l.label = r.label AND l.vec_id <> r.vec_id WHERE list_dot_product(l.v, r.v) / (l.size * r.size) >= 0.98
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT reached.vec_id, links.b FROM reached JOIN links ON links.a = reached.other
+), counted AS (
+  SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id) LEFT JOIN counted USING (vec_id)
+"""
+
+TOP_SCORES = r"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM scored
+) WHERE rank <= 5
+"""
+
+SUBSTRINGS = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 34], ' ')) AS name FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM words WHERE len(words) >= 35)
+), repeated AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY name) AS n FROM windows) WHERE n > 1
+), gone AS (
+  SELECT DISTINCT doc_id, place FROM (SELECT doc_id, unnest(range(i, i + 35)) AS place FROM repeated)
+), left_over AS (
+  SELECT w.doc_id, w.place, w.word, g.place IS NOT NULL AS is_gone
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM words) w LEFT JOIN gone g USING (doc_id, place)
+), counted AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (is_gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY place) FILTER (NOT is_gone), '') AS kept FROM left_over GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents LEFT JOIN counted USING (doc_id)
+"""
+
 SQL: dict[str, str] = {
-    "op5_mixing": MIXING, "op9_line_dedup": LINES, "op11_secret_scans": SECRETS, "op12_lexical_search": SEARCH, "op13_filter_audit": AUDIT,
+    "op1_sharding": SHARDS, "op2_minhash_near_dedup": NEAR_TEXTS, "op3_embedding_near_dedup": NEAR_VECTORS, "op5_mixing": MIXING, "op6_exact_top_k": TOP_SCORES,
+    "op7_substring_dedup": SUBSTRINGS, "op9_line_dedup": LINES, "op11_secret_scans": SECRETS, "op12_lexical_search": SEARCH, "op13_filter_audit": AUDIT,
 }

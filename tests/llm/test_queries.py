@@ -1,10 +1,11 @@
 """The registered queries over whole small tables, against SQL or the plain versions."""
 
+import math
 from collections import Counter
 from pathlib import Path
 
 import pytest
-from rollcall.llm import oracle
+from rollcall.llm import oracle, toxicity
 from rollcall.llm.queries import QUERIES
 from tokenizers import Tokenizer
 
@@ -80,8 +81,20 @@ def test_substrings(spark, docs):
 
 
 def test_toxicity(spark, docs):
+    """Every score again from the weights, word by word."""
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    model = toxicity.train(spark.read.parquet(f"{SF_DIR}/documents.parquet"), labels)
     rows = QUERIES["op8_toxicity"](spark, SF_DIR).collect()
-    assert Counter(r["doc_id"] for r in rows) == Counter(d for d, _ in docs)
+    texts = dict(docs)
+    assert Counter(r["doc_id"] for r in rows) == Counter(d for d, _ in docs) and len(model.known) > 5
+    for r in rows:
+        counts = Counter()
+        for word in "".join(c if c.isalnum() else " " for c in (texts[r["doc_id"]] or "").lower()).split():
+            counts.update(f for f in ["=" + word, *(word[:n] for n in (4, 5, 6) if len(word) > n)] if f in model.known)
+        score = sum(model.weights[model.known[f]] * math.log1p(n) for f, n in counts.items())
+        chances = [1 / (1 + math.exp(min(t - score, 700))) for t in model.thresholds]
+        each = [1 - chances[0], *(a - b for a, b in zip(chances, [*chances[1:], 0]))]
+        assert r["severity"] == pytest.approx(sum(chances), abs=1e-9) and r["toxic"] == (chances[0] >= 0.5) and r["grade"] == each.index(max(each))
 
 
 def test_packing(spark, docs, tokenizer_path):
