@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rollcall.functions.text import col
 from rollcall.sources.perfile import join_file_facts
+from rollcall.sources.records import leaves_open, read_records
 from rollcall.storage import land
 
 # Accepted extensions, delimiters to choose from when there is no tab.
@@ -213,18 +214,50 @@ def _running(rows: DataFrame, value: Column, out: str) -> DataFrame:
 def whole_lines(raw: DataFrame) -> DataFrame:
     """Byte lines with ``wide`` (the mark of a UTF-16 file, else null) and with the lines of such files mended.
 
-    In UTF-16 a line feed has two bytes, and its byte may be half of another character. Bytes between
-    two such bytes are one line unless both lie where a character begins and ends: that follows
-    from the place of the byte in the file, which is the sum of the lengths before it.
+    In UTF-16 a line feed has two bytes, and its byte may be half of another character. In nearly every file it never
+    is, and that shows in each piece between two such bytes by itself: a real line feed leaves its zero byte to one of
+    its neighbours, whose length is odd then. Such files keep their pieces, without that byte. Only in
+    others the place of each piece in the file is needed.
     """
     mark = bom(F.col("raw"))
     wide_file = (F.col("line_number") == 1) & mark.isin("FFFE", "FEFF") & (F.col("length") % 2 == 0)
-    marks = raw.where(wide_file).select("path", mark.alias("wide"), "length")
+    marks = land(raw.where(wide_file).select("path", mark.alias("wide"), "length"), "marks")
+    nothing = F.lit(None).cast("string")
     if marks.isEmpty():
-        return raw.withColumn("wide", F.lit(None).cast("string"))
-    narrow = raw.join(marks.select("path"), "path", "left_anti").withColumn("wide", F.lit(None).cast("string"))
+        return raw.withColumn("wide", nothing)
+    narrow = raw.join(marks.select("path"), "path", "left_anti").withColumn("wide", nothing)
     # Every line has one byte at least, so the length bounds the number of the last line.
     pieces = join_file_facts(raw.drop("length"), marks, ["path"], "line_number", "length")
+    little, size, first = F.col("wide") == "FFFE", F.length("raw"), F.col("line_number") == 1
+    leads, trails = F.hex(F.substring("raw", 1, 1)) == "00", F.hex(F.substring("raw", -1, 1)) == "00"
+    odd = size % 2 == 1
+    shapes = pieces.groupBy("path", "wide", "length").agg(
+        F.max("line_number").alias("last_piece"),
+        F.count_if(F.when(little, F.when(first, odd).otherwise(~odd | ~leads)).otherwise(~odd | ~trails)).alias("odd_ones"),
+        F.max_by(odd, "line_number").alias("ends_odd"), F.max_by(size, "line_number").alias("last_size"),
+    )
+    # Big endian: the last piece, if no line feed follows it, has no such byte.
+    plain = F.when(little, F.col("odd_ones") == 0).otherwise(F.col("odd_ones") == F.when(F.col("ends_odd"), 0).otherwise(1))
+    shapes = land(shapes.withColumn("plain", plain), "shapes")
+    easy = join_file_facts(raw.drop("length"), shapes.where("plain").drop("odd_ones", "ends_odd", "plain"), ["path"], "line_number", "length")
+    last = F.col("line_number") == F.col("last_piece")
+    content = (
+        F.when(little & ~first, F.substring(F.col("raw"), F.lit(2), size)).when(~little & odd, F.substring(F.col("raw"), F.lit(1), size - 1)).otherwise(F.col("raw"))
+    )
+    # The second byte of the last line feed of a little endian file is no line.
+    remnant = little & last & ~first & (size == 1)
+    kept = easy.where(~remnant).withColumn("raw", content).select("path", "file_name", "length", "line_number", "raw", "wide")
+    whole = narrow.unionByName(kept)
+    hard = shapes.where("NOT plain").select("path", "wide", "length")
+    return whole if hard.isEmpty() else whole.unionByName(_mended(join_file_facts(raw.drop("length"), hard, ["path"], "line_number", "length")))
+
+
+def _mended(pieces: DataFrame) -> DataFrame:
+    """The lines of UTF-16 files in which the byte of a line feed is also half of another character.
+
+    Bytes between two such bytes are one line unless both lie where a character begins and ends: that follows
+    from the place of the byte in the file, which is the sum of the lengths before it.
+    """
     placed = _running(pieces, F.length("raw") + 1, "start")
     little, size = F.col("wide") == "FFFE", F.length("raw")
     first, last = F.hex(F.substring("raw", 1, 1)) == "00", F.hex(F.substring("raw", -1, 1)) == "00"
@@ -240,14 +273,15 @@ def whole_lines(raw: DataFrame) -> DataFrame:
         F.when(half & little, F.substring(F.col("raw"), F.lit(2), size))
         .when(half, F.substring(F.col("raw"), F.lit(1), size - 1)).otherwise(F.col("raw"))
     )
-    # The second byte of the last line feed of a little endian file is no line.
     remnant = little & half & (size == 1) & (F.col("start") + 1 == F.col("length"))
+    # The reader takes the last byte of the file for a line feed; it may be half of the last character.
+    lost = (F.col("start") + size + 1 == F.col("length")) & (little | ~F.col("step"))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_number", "piece"))), lambda p: p["piece"]), "\n")
     mended = (
-        numbered.where(~remnant).withColumn("piece", _latin1(content))
+        numbered.where(~remnant).withColumn("piece", F.concat(_latin1(content), F.when(lost, "\n").otherwise("")))
         .groupBy("path", "file_name", "length", "wide", "number").agg(F.encode(joined, "ISO-8859-1").alias("raw"))
     )
-    return narrow.unionByName(mended.withColumnRenamed("number", "line_number"))
+    return mended.withColumnRenamed("number", "line_number").select("path", "file_name", "length", "line_number", "raw", "wide")
 
 
 #: How facts about parts of a file become facts about the whole.
@@ -313,6 +347,13 @@ def choose_delimiters(raw: DataFrame, open_files: DataFrame) -> DataFrame:
     return counted.groupBy("path").agg(best.alias("best")).select("path", F.element_at(names, 1 - F.col("best")).alias("chosen"))
 
 
+def spanning_files(raw: DataFrame, files: DataFrame) -> DataFrame:
+    """Paths of files with a quoted field over several lines (S6). Only lines with a quote in them are decoded for it."""
+    quoted = raw.where(F.contains(_latin1(F.col("raw")), F.lit('"')))
+    opens = leaves_open(F.col("line"), F.col("delimiter"))
+    return land(decode_lines(quoted, files.where("NOT bare_cr")).where(opens).select("path").distinct().unionByName(files.where("bare_cr").select("path")), "spanning_files")
+
+
 def decode_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
     """Lines as text, out of ``whole_lines`` and ``describe_byte_lines``; only of the ``files`` given."""
     facts = files.where(F.col("error").isNull()).select("path", "encoding", "delimiter", "last_line", "bare_cr")
@@ -360,3 +401,8 @@ def read_files(spark: SparkSession, directory: str | list[str], glob: str = "*.c
     """``(files, lines)`` of a folder, or of single files."""
     files, raw = describe_files(spark, directory, glob)
     return files.select(*FILE_COLUMNS), decode_lines(raw, files)
+
+
+def read_file_records(raw: DataFrame, files: DataFrame) -> DataFrame:
+    """The records of files, each under its own delimiter, out of ``describe_files``; every line is decoded once."""
+    return read_records(decode_lines(raw, files), spanning=spanning_files(raw, files))

@@ -1,13 +1,14 @@
 """Meeting exports: the three sections, encodings, delimiters, quoting and rejects."""
 
 import csv
+import random
 import hashlib
 import io
 
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.sources.files import read_files
+from rollcall.sources.files import read_files, whole_lines
 from rollcall.sources.meetings import fixed_offset, read_meetings
 from rollcall.sources.records import number_records, read_records, split_cells
 
@@ -134,6 +135,27 @@ def test_odd_files_whatever_the_size_of_a_task(spark, tmp_path, split_bytes):
     assert found["bare_cr.csv"] == [(1, "a,b"), (2, "c,d"), (3, "e,f"), (4, "g,h")]
 
 
+def test_lines_of_two_byte_files_with_any_characters(spark):
+    """Line feeds among characters whose halves look like them, with and without one at the end, in both byte orders."""
+    rng, rows, want = random.Random(8), [], {}
+    for k in range(240):
+        plain = k % 3 == 0
+        text = "".join(rng.choice("ab,\n\n\r" if plain else "a\n\n\u0a0a\u0a41\u410a\u0100\u0001é") for _ in range(rng.randrange(1, 25)))
+        mark, encoding = ((b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be"))[k % 2]
+        content, name = mark + text.encode(encoding), f"f{k}"
+        pieces = content.split(b"\n")
+        pieces = pieces[:-1] if content.endswith(b"\n") else pieces
+        rows += [(name, name, len(content), n, bytearray(piece)) for n, piece in enumerate(pieces, 1)]
+        want[name] = [line.encode(encoding) for line in text.removesuffix("\n").split("\n")]
+        want[name][0] = mark + want[name][0]
+    raw = spark.createDataFrame(rows, "path string, file_name string, length bigint, line_number bigint, raw binary")
+    found = {}
+    for r in whole_lines(raw).orderBy("path", "line_number").collect():
+        found.setdefault(r.path, []).append(bytes(r.raw))
+        assert r.line_number == len(found[r.path])
+    assert found == want
+
+
 def test_the_hash_follows_the_bytes_and_not_the_tasks(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"x,y\n" * 500)
     (tmp_path / "b.csv").write_bytes(b"x,y\n" * 500)
