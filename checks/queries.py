@@ -16,8 +16,7 @@ from rollcall.operators import audit, dims, facts, known, loads, rules, stage, u
 from rollcall.operators.ranking import number_by_hash
 from rollcall.plans import batch, quality, reports, timesheets
 from rollcall.sources import master, meetings, profiles, tables
-from rollcall.sources.files import FILE_COLUMNS, decode_lines, describe_byte_lines, find_input_files, read_files, read_table, whole_lines
-from rollcall.sources.records import read_records
+from rollcall.sources.files import FILE_COLUMNS, decode_lines, describe_byte_lines, find_input_files, read_file_records, read_files, read_table, whole_lines
 from rollcall.storage import land
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -584,19 +583,20 @@ def storage_folder(spark) -> str:
 # --- files ----------------------------------------------------------------------------------
 
 
-def meeting_files_and_lines(spark, sf) -> tuple[DataFrame, DataFrame]:
+def meeting_bytes(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The rendered meetings as files: their facts and their byte lines."""
     raw = land(whole_lines(land(views.meeting_byte_lines(spark, sf), "byte_lines")), "whole_lines")
-    files = land(describe_byte_lines(raw), "files")
-    return files.select(*FILE_COLUMNS), decode_lines(raw, files)
+    return land(describe_byte_lines(raw), "files"), raw
 
 
 def parsed_meetings(spark, sf) -> meetings.Meetings:
-    return meetings.parse_meetings(*meeting_files_and_lines(spark, sf))
+    files, raw = meeting_bytes(spark, sf)
+    return meetings.parse_meetings(files.select(*FILE_COLUMNS), read_file_records(raw, files))
 
 
 @query
 def meeting_files(spark, sf):
-    return meeting_files_and_lines(spark, sf)[0].select("file_name", "encoding", "delimiter", "error")
+    return meeting_bytes(spark, sf)[0].select("file_name", "encoding", "delimiter", "error")
 
 
 @query
@@ -621,8 +621,8 @@ def meeting_rejects(spark, sf):
 
 @query
 def meeting_fixed_offset(spark, sf):
-    _, lines = meeting_files_and_lines(spark, sf)
-    return meetings.fixed_offset(land(read_records(lines), "records"), ["Name", "Email"])
+    files, raw = meeting_bytes(spark, sf)
+    return meetings.fixed_offset(land(read_file_records(raw, files), "records"), ["Name", "Email"])
 
 
 def raw_loaded(spark, sf) -> loads.RawBatch:
