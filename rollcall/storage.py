@@ -24,12 +24,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
+#: Rows in a file where a caller knows about how many rows there are.
+FILE_ROWS = 100_000
+
+
+def land(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several branches read one costly result: the work is done once, a lost executor
     does not redo it, later branches read only their columns, and Spark knows the real size.
+    A caller that knows about how many ``rows`` there are spares the folder many small files; rows that are much
+    larger than a few hundred bytes count as several.
     """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     path = f"{shared_folder(df.sparkSession)}/rollcall/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
