@@ -81,11 +81,12 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[int, .
     sources = units.groupBy("source").agg(
         F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.ceil(F.sqrt(F.count("*"))).alias("slices"), F.avg("weight").alias("mean")
     )
-    sources = land(sources, "sources")
+    n = units.count()  # there are no more sources than documents
+    sources = land(sources, "sources", n)
     aims = targets(source_weights(sources.select("source", "source_size"), weights), share, most_epochs)
     aims = aims.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)))
     aims = aims.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    facts = land(_with(sources.select("source", "slices", "mean"), aims, "source"), "targets")
+    facts = land(_with(sources.select("source", "slices", "mean"), aims, "source"), "targets", n)
 
     # 1 - exp(-key * mean) is about even on [0, 1) and rises with the key.
     placed = _with(units, facts, "source").withColumn(

@@ -207,54 +207,55 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         F.min(F.struct("doc_id", "text_mark")).alias("of"), F.first("n_shingles").alias("n"),
         F.first("buckets").alias("buckets"), F.first("signature").alias("signature"), F.min("doc_id").alias("low_id"),
     )
-    classes = land(classes, "classes")
+    n = rows.count()  # what follows grows with the classes, of which there are n at most
+    classes = land(classes, "classes", 2 * n)
 
     spread = classes.select("node", F.explode("buckets").alias("bucket"))
     company = spread.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    entries = land(spread.join(company, "bucket"), "entries")
+    entries = land(spread.join(company, "bucket"), "entries", 4 * n)
     weight = entries.groupBy("node").agg(F.sum("size").alias("weight"))
     heavy = entries.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("hub"))
-    facts = land(classes.join(weight, "node").select("node", "of.*", "n", "signature"), "facts")
-    sets = land(set_table(docs, facts, width), "sets")
+    facts = land(classes.join(weight, "node").select("node", "of.*", "n", "signature"), "facts", n)
+    sets = land(set_table(docs, facts, width), "sets", 20 * n)
 
     hubs = entries.join(heavy.select("bucket", F.col("hub.node").alias("hub")), "bucket").filter("node != hub")
     star = hubs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     a, b = facts.select(F.col("node").alias("a"), F.struct("n", "signature").alias("l")), facts.select(F.col("node").alias("b"), F.struct("n", "signature").alias("r"))
     likely = _agree("l", "r", percent) & _may_link(F.least("l.n", "r.n"), F.greatest("l.n", "r.n"), percent)
-    links = land(confirmed(star.join(a, "a").join(b, "b").filter(likely).select("a", "b"), sets, percent), "star_links")
+    links = land(confirmed(star.join(a, "a").join(b, "b").filter(likely).select("a", "b"), sets, percent), "star_links", 20 * n)
 
-    rest = land(confirmed(_between(entries, facts, sets, components(links), percent), sets, percent), "more_links")
-    roots = components(links.union(rest))
+    rest = land(confirmed(_between(entries, facts, sets, components(links, n), percent, n), sets, percent), "more_links", 20 * n)
+    roots = components(links.union(rest), n)
     named = classes.select("node", "low_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = named.groupBy("root").agg(F.min("low_id").alias("component_id"))
-    found = land(named.join(lowest, "root").select("node", "component_id", "root"), "components")
+    found = land(named.join(lowest, "root").select("node", "component_id", "root"), "components", n)
     out = rows.select("doc_id", "text_mark", "n_shingles", "node").join(found, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "text_mark", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "root")
 
 
-def _between(entries: DataFrame, facts: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket in different components that no bound rules out."""
+def _between(entries: DataFrame, facts: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, n: int) -> DataFrame:
+    """Pairs of a bucket in different components that no bound rules out; ``n`` is about how many classes there are."""
     placed = entries.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    open_rows = land(placed.join(mixed.select("bucket"), "bucket"), "open")
+    open_rows = land(placed.join(mixed.select("bucket"), "bucket"), "open", 4 * n)
     nodes = open_rows.select("node").distinct()
 
     # Elements that one open class alone has: an aggregation over marks, whatever the number of classes.
-    numbered = land(nodes.withColumn("owner", F.monotonically_increasing_id()), "owners")
+    numbered = land(nodes.withColumn("owner", F.monotonically_increasing_id()), "owners", n)
     spread = lambda owners: sets.join(owners, "node").select(*(c for c in owners.columns if c != "node"), F.explode("elements").alias("mark"))
-    held = land(spread(numbered).groupBy("mark").agg(F.count("*").alias("holders"), F.min("owner").alias("owner")), "holders")
+    held = land(spread(numbered).groupBy("mark").agg(F.count("*").alias("holders"), F.min("owner").alias("owner")), "holders", 60 * n)
     lone = held.filter("holders = 1").groupBy("owner").agg(F.count("*").alias("lone"))
     bounded = numbered.join(lone, "owner", "left").join(facts.select("node", "n", "signature"), "node")
     bounded = bounded.withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0))).filter(_may_link(F.col("shared"), F.col("n"), percent))
-    bounded = land(bounded.join(open_rows.select("node", "root").distinct(), "node").select("node", "owner", "root", "n", "shared", "signature"), "bounded")
+    bounded = land(bounded.join(open_rows.select("node", "root").distinct(), "node").select("node", "owner", "root", "n", "shared", "signature"), "bounded", n)
 
     # The rarest shareable elements of each set, so many that similar sets have one of them in common.
     first = F.col("shared") - F.floor((percent * F.col("n") + 99) / 100) + 1
     rare = spread(bounded.select("node", "owner", first.alias("first"))).join(held.filter("holders > 1").select("mark", "holders"), "mark")
     place = F.row_number().over(Window.partitionBy("owner").orderBy("holders", "mark"))
     rare = rare.withColumn("place", place).filter(F.col("place") <= F.col("first")).select("owner", "mark", "place")
-    rows = land(rare.join(bounded.select("owner", "root", "n", "shared", "signature"), "owner"), "rare")
+    rows = land(rare.join(bounded.select("owner", "root", "n", "shared", "signature"), "owner"), "rare", 20 * n)
 
     left, right = rows.alias("l"), rows.alias("r")
     # Where a mark is the first that two sets share, they share no more than what either has from there on.

@@ -139,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_features:
     rows = docs.select("doc_id", text.alias("text")).join(chosen, "doc_id").groupBy("doc_id").agg(
         F.first("toxic").alias("toxic"), F.min(F.struct(F.xxhash64("text"), F.col("text"))).alias("own")
     )
-    rows = land(rows.select("toxic", F.col("own.text").alias("text")), "sample")
+    rows = land(rows.select("toxic", F.col("own.text").alias("text")), "sample", 80 * sample)
 
     def stand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_features:
 
     counts = rows.mapInArrow(stand, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counts = counts.filter(f"feature = '' OR clean + toxic >= {LEAST}")
-    counts = land(counts, "features")
+    counts = land(counts, "features", 80 * sample)
     all_rows = counts.filter("feature = ''").first()
     if all_rows is None or not all_rows["clean"] or not all_rows["toxic"]:
         return Model({}, np.empty(0), np.full(GRADES, np.inf))
