@@ -46,7 +46,8 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     Groups are told apart by their roots, so a shared id joins no texts and a null id parts none. Empty texts are in no group.
     """
     found = near_text.near_duplicates(docs, SIMILAR).select("doc_id", "text_mark", "root")
-    found = land(found, "near_duplicates")
+    n = docs.count()
+    found = land(found, "near_duplicates", n)
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_mark")))
     chosen = found.filter("root IS NOT NULL").groupBy("root").agg(first.alias("first")).select(F.col("first.doc_id"), F.col("first.text_mark"), F.lit(False).alias("alone"))
     chosen = chosen.union(found.filter("root IS NULL").select("doc_id", "text_mark", F.lit(True)).distinct())
@@ -56,7 +57,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     rows = docs.select(whole(docs).alias("document"), id_or_0, F.col("doc_id").isNull().alias("no_id"), mark.alias("mark"))
     own = F.when(F.col("alone"), F.monotonically_increasing_id())  # rows that are in no group all stay
-    rows = rows.join(land(chosen, "kept"), keys).withColumn("own", own)
+    rows = rows.join(land(chosen, "kept", n), keys).withColumn("own", own)
     return rows.dropDuplicates([*keys, "own"]).select(*unpacked(docs, "document"))
 
 
