@@ -2,7 +2,7 @@
 
 A load looks up the files of a folder by where they lie and how they look from outside (path, length, time of change),
 and only those that are not known that way are read. Of these it looks up the hash of their content, and of their
-meetings the key. Each look-up reads those buckets of the table that the incoming keys fall into, 256 at most, and
+meetings the key. Each look-up reads those buckets of the table that the incoming keys fall into, and
 writes only the buckets that get new rows. How much it reads and writes thus follows what comes in, not
 what has come in since the first load.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall import schemas
-from rollcall.operators.loads import Store, touched_buckets
+from rollcall.operators.loads import Store
 from rollcall.sources.files import binary_files
 
 _SOURCES = schemas.SOURCES
@@ -27,7 +27,7 @@ def listing(spark: SparkSession, directory: str | list[str], glob: str) -> DataF
 
 def look_up(store: Store, table: str, key: str, incoming: DataFrame) -> DataFrame:
     """The rows of an index table in the buckets that the keys of ``incoming`` fall into."""
-    return store.version(table, _SOURCES[table], buckets=touched_buckets(incoming, key))
+    return store.version(table, _SOURCES[table], buckets=store.touched(incoming, key))
 
 
 def unchanged_files(store: Store, files: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def remember(store: Store, batch_id: int, table: str, key: str, fresh: DataFrame
 
     Of rows with one key in ``fresh`` and in the table those of ``fresh`` stay.
     """
-    buckets = touched_buckets(fresh, key)
+    buckets = store.touched(fresh, key)
     if not buckets:
         return
     names = _SOURCES[table].names

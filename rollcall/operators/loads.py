@@ -113,18 +113,13 @@ def raw_batch(meetings: Meetings, loaded: DataFrame, highest: Highest = Highest(
     )
 
 
-#: Buckets of a table whose versions are kept bucket by bucket.
-BUCKETS = 256
+#: Hex digits of a bucket: 256 buckets of each table that is kept in buckets.
+DIGITS = 2
 
 
-def bucket_of(key) -> Column:
-    """The bucket of a key, two hex digits of its hash; null is a key too."""
-    return F.substring(F.sha2(F.coalesce(F.col(key).cast("string"), F.lit("\u0002")), 256), 1, 2)
-
-
-def touched_buckets(rows: DataFrame, key: str) -> list[str]:
-    """The buckets that the keys of ``rows`` fall into, ``BUCKETS`` at most."""
-    return sorted(row[0] for row in rows.select(bucket_of(key).alias("b")).distinct().collect())
+def bucket_of(key, digits: int = DIGITS) -> Column:
+    """The bucket of a key, the first hex digits of its hash; null is a key too."""
+    return F.substring(F.sha2(F.coalesce(F.col(key).cast("string"), F.lit("\u0002")), 256), 1, digits)
 
 
 class Store:
@@ -143,7 +138,8 @@ class Store:
 
     What an open batch has written is noted in the folder itself, with the highest keys that its writes have observed,
     so that any ``Store`` on the folder can commit it. From ``begin`` to ``commit`` a store works from the commit row
-    that it began with, and does not look it up again.
+    that it began with, and does not look it up again. The number of buckets, 16 to the power of ``digits``, is fixed by
+    the first commit.
     """
 
     _COMMIT = StructType([
@@ -155,8 +151,8 @@ class Store:
         StructField("highest", MapType(StringType(), LongType())),
     ])
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, digits: int = DIGITS):
+        self.spark, self.folder, self._digits = spark, folder.rstrip("/"), digits
         self._base: Row | None = None
         self._own_notes: dict[int, list[Row]] = {}
 
@@ -184,6 +180,18 @@ class Store:
         """The highest value of a surrogate key as of the last committed batch, 0 before the first."""
         return self._last()["highest"].get(key, 0)
 
+    @property
+    def digits(self) -> int:
+        """Hex digits of a bucket."""
+        return self._last()["highest"].get("_digits", self._digits)
+
+    def bucket(self, key: str) -> Column:
+        return bucket_of(key, self.digits)
+
+    def touched(self, rows: DataFrame, key: str) -> list[str]:
+        """The buckets that the keys of ``rows`` fall into; there are 16 to the power of ``digits`` at most."""
+        return sorted(row[0] for row in rows.select(self.bucket(key).alias("b")).distinct().collect())
+
     def begin(self) -> int:
         """The number of the next batch. Notes that an earlier try at it has left are dropped."""
         self._base = None
@@ -224,7 +232,7 @@ class Store:
         self._base = None
         last = self._open(batch_id)
         versions, observed = self._noted(batch_id)
-        keys = dict(last["highest"])
+        keys = {"_digits": self._digits, **last["highest"]}
         for key, value in [*observed.items(), *(highest or {}).items()]:
             keys[key] = max(value, keys.get(key, 0))
         row = self.spark.createDataFrame([(batch_id, {**last["versions"], **versions}, keys)], self._COMMIT)
@@ -238,16 +246,20 @@ class Store:
             raise ValueError(f"batch {batch_id} is committed")
         return last
 
-    def write_batch(self, table: str, rows: DataFrame, batch_id: int, part: str = "all", highest: Sequence[str] = ()) -> dict[str, int]:
-        """K1, K3-K5: the rows one part of a batch adds, in place of any an earlier try has left.
+    def write_batch(
+        self, table: str, rows: DataFrame, batch_id: int, part: str = "all", highest: Sequence[str] = (), by: str | None = None
+    ) -> dict[str, int]:
+        """K1, K3-K5: the rows one part of a batch adds, in place of any an earlier try has left; in folders by the column ``by``, if given.
 
         Gives the number of rows and the highest values of the surrogate keys ``highest`` among them, observed
         while they are written; the latter are noted for the commit.
         """
         self._open(batch_id)
         seen = Observation()
+        rows = rows if by is None else rows.repartition(by)
         watched = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.max(key).alias(key) for key in highest))
-        watched.write.mode("overwrite").parquet(f"{self.folder}/{table}/batch_id={batch_id}/part={part}")
+        writer = watched.write.mode("overwrite")
+        (writer if by is None else writer.partitionBy(by)).parquet(f"{self.folder}/{table}/batch_id={batch_id}/part={part}")
         found = {key: value for key, value in seen.get.items() if value is not None}
         if highest:
             self._note(batch_id, f"{table}:{part}", None, {key: found.get(key, 0) for key in highest})
@@ -279,7 +291,7 @@ class Store:
         if not buckets:
             return {"rows": 0}
         seen = Observation()
-        placed = rows.withColumn("bucket", bucket_of(key)).repartition(len(buckets), "bucket")
+        placed = rows.withColumn("bucket", self.bucket(key)).repartition(len(buckets), "bucket")
         watched = placed.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.max(k).alias(k) for k in highest))
         watched.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/{table}/version={batch_id}")
         found = {k: value for k, value in seen.get.items() if value is not None}

@@ -47,6 +47,15 @@ def quality_rows(
     )
 
 
+def rule_rows(counts: DataFrame, table: str) -> DataFrame:
+    """Quality results out of rows that name their rule: run_id, checked_rows, rule_name, column_name, failed_rows, details."""
+    status = F.when(F.col("failed_rows") == 0, "PASSED").otherwise("FAILED")
+    return counts.select(
+        "run_id", "rule_name", F.lit(table).alias("table_name"), "column_name", status.alias("result_status"),
+        F.col("checked_rows").cast("bigint").alias("checked_rows"), F.col("failed_rows").cast("bigint").alias("failed_rows"), "details",
+    )
+
+
 @dataclass(frozen=True)
 class Check:
     """A row condition of a table: domain, not null, length (V6, V8)."""

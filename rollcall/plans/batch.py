@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall import schemas
 from rollcall.operators import audit, dims, facts, known, loads, stage, upsert
-from rollcall.operators.loads import Highest, Store, touched_buckets
+from rollcall.operators.loads import Highest, Store
 from rollcall.operators.ranking import number_by_hash
 from rollcall.plans import constraints, quality, reports
 from rollcall.sources import master
 from rollcall.sources.files import FILE_COLUMNS, describe_files, describe_paths, empty_files, plain_name, read_file_records, require_files
 from rollcall.sources.meetings import Meetings, parse_meetings
-from rollcall.storage import land
+from rollcall.storage import job, land
 
 RAW, STAGING, TARGET, CONTROL = schemas.SOURCES, schemas.STAGING, schemas.TARGET, schemas.CONTROL
 
@@ -31,8 +31,13 @@ def load_folder(spark: SparkSession, directory: str | list[str], store: Store, p
     """Load the meeting exports of a folder.
 
     Files that are known by path, length and time are not read again, and others with a content that is loaded are
-    not parsed again (``operators.known``).
+    not parsed again (``operators.known``). What is landed on the way goes when the batch is committed.
     """
+    with job(spark):
+        return _load_folder(spark, directory, store, people)
+
+
+def _load_folder(spark: SparkSession, directory: str | list[str], store: Store, people: list[DataFrame] | None) -> int:
     require_files(spark, directory, MEETING_GLOB)
     listed = land(known.listing(spark, directory, MEETING_GLOB), "listing")
     same = land(known.unchanged_files(store, listed), "unchanged_files")
@@ -148,7 +153,7 @@ def _load_dimensions(store: Store, batch: int, people: list[DataFrame]) -> None:
 
 def _merge(store: Store, batch: int, table: str, key: str, surrogate: str, incoming: DataFrame, merged: Callable[[DataFrame, int], DataFrame]) -> None:
     """Write those buckets of a dimension that the keys of ``incoming`` fall into; the rest of it is neither read nor written."""
-    buckets = touched_buckets(incoming, key)
+    buckets = store.touched(incoming, key)
     if buckets:
         rows = merged(store.version(table, TARGET[table], buckets=buckets), store.highest(surrogate))
         store.write_buckets(table, rows, batch, key, buckets, highest=[surrogate])
@@ -157,7 +162,7 @@ def _merge(store: Store, batch: int, table: str, key: str, surrogate: str, incom
 def merge_employees(store: Store, batch: int, staged: DataFrame) -> None:
     """K6. The unknown member, which has a key of its own, comes with the first employees."""
     unknown = dims.unknown_employee(store.spark)
-    first = store.version("dim_employee", TARGET["dim_employee"], buckets=touched_buckets(unknown, "employee_id")).isEmpty()
+    first = store.version("dim_employee", TARGET["dim_employee"], buckets=store.touched(unknown, "employee_id")).isEmpty()
     incoming = staged.where("validation_status = 'VALID'").select("employee_id")
 
     def merged(before: DataFrame, highest: int) -> DataFrame:
@@ -205,7 +210,7 @@ def add_facts(store: Store, rows: DataFrame, batch: int, part: str) -> None:
     timed = _with_clock(numbered, "load_timestamp")
     store.write_batch("fact_employee_activity", timed.select(*schema.names), batch, part, highest=["activity_key"])
     written = store.rows("fact_employee_activity", schema, batch, part=part)
-    store.write_batch("fact_digest", constraints.digests(written), batch, part)
+    store.write_batch("fact_digest", constraints.digests(written, store.digits), batch, part, by="bucket")
     months = reports.monthly_partials(written, dims.calendar(store.spark), dims.activity_types(store.spark))
     store.write_batch("fact_month", months.select(*TARGET["fact_month"].names), batch, part)
     results = quality.fact_constraints(written).unionByName(checked.results)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rollcall import schemas
 from rollcall.operators import audit, dims
 from rollcall.operators.loads import Store
-from rollcall.operators.rules import quality_rows
+from rollcall.operators.rules import rule_rows
 from rollcall.plans.quality import FACT_TABLE, PIPELINE
 from rollcall.storage import land
 
@@ -35,9 +35,9 @@ def _digest() -> Column:
     return F.sha2(F.concat_ws("\u0001", *(F.coalesce(F.col(name).cast("string"), F.lit("\u0002")) for name in FACT_KEY)), 256)
 
 
-def digests(facts: DataFrame) -> DataFrame:
+def digests(facts: DataFrame, digits: int) -> DataFrame:
     """The ``fact_digest`` rows of stored facts."""
-    return facts.select(_digest().alias("fact_digest")).withColumn("bucket", F.substring("fact_digest", 1, 2))
+    return facts.select(_digest().alias("fact_digest")).withColumn("bucket", F.substring("fact_digest", 1, digits))
 
 
 def repeated(facts: DataFrame, history: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def checked_facts(store: Store, facts: DataFrame, batch: int, part: str) -> Chec
 
     Of the stored digests only the buckets are read that the incoming ones fall into.
     """
-    buckets = [row[0] for row in facts.select(F.substring(_digest(), 1, 2).alias("b")).distinct().collect()]  # 256 at most
+    buckets = [row[0] for row in digests(facts, store.digits).select("bucket").distinct().collect()]  # bounded by their number
     schema = _TARGET["fact_digest"]
     committed = store.rows("fact_digest", schema).where(F.col("bucket").isin(buckets))
     other_parts = store.rows("fact_digest", schema, batch, not_part=part).where(F.col("bucket").isin(buckets))
@@ -91,7 +91,8 @@ def checked_facts(store: Store, facts: DataFrame, batch: int, part: str) -> Chec
     keyed = keyed.drop(*(f"_lost_{column}" for column in rejected))
 
     accepted = keyed.where("_rule IS NULL").drop("_rule")
-    if not twice.isEmpty():
+    has_copies = not twice.isEmpty()
+    if has_copies:
         stored = twice.where("stored").select("fact_digest").distinct()
         inside = twice.where("stored IS NULL").select("fact_digest").distinct()
         digested = accepted.withColumn("fact_digest", _digest())
@@ -100,41 +101,38 @@ def checked_facts(store: Store, facts: DataFrame, batch: int, part: str) -> Chec
         row = F.struct(F.coalesce("etl_run_id", F.lit(0).cast("bigint")).alias("_first"), *accepted.columns)
         kept = digested.join(inside, "fact_digest", "left_semi").join(stored, "fact_digest", "left_anti").groupBy("fact_digest").agg(F.min(row).alias("_row"))
         accepted = alone.select(*accepted.columns).unionByName(kept.select(*(F.col(f"_row.{c}").alias(c) for c in accepted.columns)))
-    return Checked(accepted, _results(facts, twice, keyed), _errors(facts, twice, keyed))
-
-
-def _results(facts: DataFrame, twice: DataFrame, keyed: DataFrame) -> DataFrame:
-    """A quality row per run and rule."""
-    checked = facts.groupBy(F.col("etl_run_id").alias("run_id")).agg(F.count(F.lit(1)).alias("checked_rows"))
-    copies = twice.groupBy(F.col("etl_run_id").alias("run_id")).agg(F.sum("copies").alias("failed_rows"))
-    rules = [(UNIQUE_RULE, ",".join(FACT_KEY).upper(), "Facts whose source record is stored before, or more than once.", copies)]
-    for column in REFERENCES:
-        rule = f"REFERENCE_{column.upper()}"
-        failed = keyed.where(F.col("_rule") == rule).groupBy(F.col("etl_run_id").alias("run_id")).agg(F.count(F.lit(1)).alias("failed_rows"))
-        rules.append((rule, column.upper(), "Facts that point at a member that does not exist.", failed))
-    rows = [
-        quality_rows(
-            checked.join(failed, checked["run_id"].eqNullSafe(failed["run_id"]), "left").select(
-                checked["run_id"], "checked_rows", F.coalesce("failed_rows", F.lit(0)).alias("failed_rows")
-            ), rule, FACT_TABLE, column, on_failure="FAILED", details=details,
-        )
-        for rule, column, details, failed in rules
-    ]
-    return reduce(DataFrame.unionByName, rows)
-
-
-def _errors(facts: DataFrame, twice: DataFrame, keyed: DataFrame) -> DataFrame:
+    return Checked(accepted, _results(twice, keyed), _errors(facts, twice if has_copies else None, keyed))
+
+
+def _results(twice: DataFrame, keyed: DataFrame) -> DataFrame:
+    """A quality row per run and rule, out of one count over the facts."""
+    names = {column: f"REFERENCE_{column.upper()}" for column in REFERENCES}
+    counted = keyed.groupBy(F.col("etl_run_id").alias("run_id")).agg(
+        F.count(F.lit(1)).alias("checked_rows"), *(F.count_if(F.col("_rule") == rule).alias(column) for column, rule in names.items())
+    )
+    copies = twice.groupBy(F.col("etl_run_id").alias("of_run")).agg(F.sum("copies").alias("copies"))
+    found = counted.join(copies, counted["run_id"].eqNullSafe(copies["of_run"]), "left")
+    rule = lambda name, column, failed, details: F.struct(
+        F.lit(name).alias("rule_name"), F.lit(column.upper()).alias("column_name"), F.coalesce(failed, F.lit(0)).cast("bigint").alias("failed_rows"), F.lit(details).alias("details")
+    )
+    rules = [rule(UNIQUE_RULE, ",".join(FACT_KEY), F.col("copies"), "Facts whose source record is stored before, or more than once.")]
+    rules += [rule(name, column, F.col(column), "Facts that point at a member that does not exist.") for column, name in names.items()]
+    return rule_rows(found.select("run_id", "checked_rows", F.inline(F.array(*rules))), FACT_TABLE)
+
+
+def _errors(facts: DataFrame, twice: DataFrame | None, keyed: DataFrame) -> DataFrame:
     """An error row per fact without its member, and per key and run that repeats, with the number of copies."""
+    lost = audit.error_rows(
+        keyed.where("_rule IS NOT NULL").withColumnRenamed("etl_run_id", "run_id"), pipeline=PIPELINE, source="source_system", code=F.col("_rule"),
+        message=F.concat(F.lit("The fact breaks "), "_rule"), raw_record="source_record_id",
+    )
+    if twice is None:
+        return lost
     names = facts.select(_digest().alias("fact_digest"), "source_system", "source_record_id").join(
         twice.select("fact_digest").distinct(), "fact_digest", "left_semi"
     ).distinct()
     copies = twice.join(names, "fact_digest").withColumnRenamed("etl_run_id", "run_id")
-    duplicates = audit.error_rows(
+    return lost.unionByName(audit.error_rows(
         copies, pipeline=PIPELINE, source="source_system", code=F.lit(UNIQUE_RULE),
         message=F.concat(F.lit("The source record is stored before or repeated, copies rejected: "), F.col("copies").cast("string")), raw_record="source_record_id",
-    )
-    lost = audit.error_rows(
-        keyed.where("_rule IS NOT NULL").withColumnRenamed("etl_run_id", "run_id"), pipeline=PIPELINE, source="source_system", code=F.col("_rule"),
-        message=F.concat(F.lit("The fact breaks "), "_rule"), raw_record="source_record_id",
-    )
-    return duplicates.unionByName(lost)
+    ))

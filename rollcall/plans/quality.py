@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from rollcall.operators import audit
-from rollcall.operators.rules import Check, failing_rows, minimum, not_null, quality_rows
+from rollcall.operators.rules import Check, failing_rows, minimum, not_null, quality_rows, rule_rows
 
 PIPELINE = "TRAINING_ATTENDANCE"
 
@@ -124,14 +124,14 @@ def fact_constraints(facts: DataFrame) -> DataFrame:
     counted = facts.groupBy(F.col("etl_run_id").alias("run_id")).agg(
         F.count(F.lit(1)).alias("checked_rows"), *[F.count_if(check.failed).alias(f"f{i}") for i, check in enumerate(checks)]
     )
-    results = [
-        quality_rows(
-            counted.withColumn("failed_rows", F.col(f"f{i}")), check.name, FACT_TABLE, check.column.upper(),
-            on_failure="FAILED", details="Rows that break a constraint of the fact.",
+    each = [
+        F.struct(
+            F.lit(check.name).alias("rule_name"), F.lit(check.column.upper()).alias("column_name"), F.col(f"f{i}").alias("failed_rows"),
+            F.lit("Rows that break a constraint of the fact.").alias("details"),
         )
         for i, check in enumerate(checks)
     ]
-    return reduce(DataFrame.unionByName, results)
+    return rule_rows(counted.select("run_id", "checked_rows", F.inline(F.array(*each))), FACT_TABLE)
 
 
 def fact_rejects(facts: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall import schemas
@@ -11,7 +13,7 @@ from rollcall.operators.ranking import number_by_hash
 from rollcall.plans import batch
 from rollcall.sources import master, tables
 from rollcall.sources.files import decode_lines, describe_files
-from rollcall.storage import land
+from rollcall.storage import job, land
 
 PIPELINE = "TIMESHEETS"
 #: Part of the facts and dataset it comes from.
@@ -35,11 +37,12 @@ def load_timesheets(spark: SparkSession, directory: str | list[str], store: Stor
     A file that cannot be read, or lacks a column, fails and the others go on. Employees and projects that the
     files name are added to the dimensions before the facts look for them.
     """
-    files, raw = describe_files(spark, directory, "*.csv")
-    own = files.where(tables.dataset_of("file_name").isNotNull())
-    loaded = store.rows("activity_file", schemas.SOURCES["activity_file"]).select("source_file_hash")
-    fresh = land(upsert.new_files(own, loaded).select(*own.columns), "fresh_files")
-    return load_tables(tables.read_tables(fresh, decode_lines(raw, fresh)), own, fresh, store)
+    with job(spark):
+        files, raw = describe_files(spark, directory, "*.csv")
+        own = files.where(tables.dataset_of("file_name").isNotNull())
+        loaded = store.rows("activity_file", schemas.SOURCES["activity_file"]).select("source_file_hash")
+        fresh = land(upsert.new_files(own, loaded).select(*own.columns), "fresh_files")
+        return load_tables(tables.read_tables(fresh, decode_lines(raw, fresh)), own, fresh, store)
 
 
 def load_tables(found: tables.Tables, files: DataFrame, fresh: DataFrame, store: Store) -> int:
@@ -65,8 +68,7 @@ def load_tables(found: tables.Tables, files: DataFrame, fresh: DataFrame, store:
     batch.merge_projects(store, number, rows.where("project_name IS NOT NULL").select("project_name"))
     target = schemas.TARGET
     parts = activity_facts(rows, store.version("dim_employee", target["dim_employee"], number), store.version("dim_project", target["dim_project"], number))
-    for part, part_rows in parts.items():
-        batch.add_facts(store, part_rows, number, part)
+    batch.add_facts(store, reduce(DataFrame.unionByName, parts.values()), number, "timesheets")
     store.commit(number)
     return number
 

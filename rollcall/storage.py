@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +27,25 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_JOB: ContextVar[str | None] = ContextVar("job", default=None)
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Within it, landed tables share one folder, which goes at the end: for a job that has written all it makes by then."""
+    if _JOB.get() is not None:
+        yield
+        return
+    folder = f"{shared_folder(spark)}/rollcall/{uuid.uuid4().hex}"
+    token = _JOB.set(folder)
+    try:
+        yield
+    finally:
+        _JOB.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Rows in a file where a caller knows about how many rows there are.
 FILE_ROWS = 100_000
 
@@ -38,6 +60,7 @@ def land(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
-    path = f"{shared_folder(df.sparkSession)}/rollcall/{uuid.uuid4().hex}/{name}"
+    own = uuid.uuid4().hex
+    path = f"{_JOB.get()}/{own}/{name}" if _JOB.get() else f"{shared_folder(df.sparkSession)}/rollcall/{own}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -70,7 +70,7 @@ def test_cells_under_the_names_of_their_columns(spark, folder):
 
 
 def test_timesheets_from_folder_to_facts(spark, folder, tmp_path):
-    store = Store(spark, str(tmp_path / "store"))
+    store = Store(spark, str(tmp_path / "store"), digits=1)
     assert timesheets.load_timesheets(spark, str(folder), store) == 1
     target = schemas.TARGET
     read = lambda: store.rows("fact_employee_activity", target["fact_employee_activity"])
