@@ -544,6 +544,8 @@ ORACLES["known_files"] = """
         min(CAST(doc_id AS VARCHAR)) FILTER (doc_id IN (SELECT doc_id FROM labels)) OVER (PARTITION BY text),
         min(CAST(doc_id AS VARCHAR)) OVER (PARTITION BY text)) AS loaded_from
     FROM documents"""
+ORACLES["records_over_lines"] = """
+    SELECT source AS path, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS row_number, doc_id, sha256(text) AS text_sha256, 3 AS width, false AS unclosed FROM documents"""
 ORACLES["plain_table"] = """
     SELECT o_orderkey, o_totalprice, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN max(o_orderkey) OVER () < 2147483648 THEN 'int' ELSE 'bigint' END
         || ',double,string,date' AS kinds FROM orders"""

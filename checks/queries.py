@@ -17,6 +17,7 @@ from rollcall.operators.ranking import number_by_hash
 from rollcall.plans import batch, quality, reports, timesheets
 from rollcall.sources import master, meetings, profiles, tables
 from rollcall.sources.files import FILE_COLUMNS, decode_lines, describe_byte_lines, find_input_files, read_file_records, read_files, read_table, whole_lines
+from rollcall.sources.records import read_records
 from rollcall.storage import land
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,7 +49,7 @@ def monthly_activity_rank(spark, sf):
 @query
 def monthly_from_partials(spark, sf):
     """The monthly rank out of the sums that three batches of facts have left in a store."""
-    star, store = views.star(spark, sf), loads.Store(spark, storage_folder(spark))
+    star, store = views.star(spark, sf), loads.Store(spark, storage_folder(spark), digits=1)
     schema = schemas.TARGET["fact_month"]
     for third in range(3):
         number = store.begin()
@@ -324,7 +325,7 @@ def new_files_only(spark, sf):
 def known_files(spark, sf):
     """Documents as files: those with a label are known to a store, the others are looked up and remembered."""
     documents = table(spark, sf, "documents").select(F.sha2("text", 256).alias("source_file_hash"), F.col("doc_id").cast("string").alias("session_source_key"), "doc_id")
-    store = loads.Store(spark, storage_folder(spark))
+    store = loads.Store(spark, storage_folder(spark), digits=1)
     number = store.begin()
     labelled = documents.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
     # Of files with one content the first is the one that is loaded.
@@ -341,7 +342,7 @@ def known_files(spark, sf):
 
 def stored_batches(spark, sf, batches: int = 2) -> loads.Store:
     """Events as timesheet rows, loaded in several batches; the last one repeats a tenth of the first and some of its own."""
-    store = loads.Store(spark, storage_folder(spark))
+    store = loads.Store(spark, storage_folder(spark), digits=1)
     rows = timesheet(spark, sf).withColumn("batch", F.col("record_id") % batches)
     people = views.employee_rows(spark, sf).select(*schemas.TARGET["dim_employee"].names).drop("employee_key").withColumns(
         {"validation_status": F.lit("VALID"), "validation_message": F.lit(None).cast("string"), "source_file_name": F.lit("people")}
@@ -685,6 +686,18 @@ def page_files(spark, sf) -> tuple[DataFrame, DataFrame]:
     return raw, land(describe_byte_lines(raw), "files")
 
 
+@query
+def records_over_lines(spark, sf):
+    """Documents as quoted cells of a file per source: a record goes over as many lines as its text."""
+    quoted = F.concat(F.col("doc_id").cast("string"), F.lit(',"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('",end'))
+    pieces = table(spark, sf, "documents").select(F.col("source").alias("path"), "doc_id", F.posexplode(F.split(quoted, "\n", -1)).alias("piece", "line"))
+    # Lines of a document follow each other; a document has fewer than a million.
+    ordered = pieces.withColumn("order", F.col("doc_id") * 1_000_000 + F.col("piece"))
+    lines = views.number_within(ordered, ["path"], "order", "line_number", 1_000_000_000).select("path", "line_number", "line", F.lit(",").alias("delimiter"))
+    cell = lambda k: F.get("cells", F.lit(k))
+    return read_records(land(lines, "lines")).select("path", "row_number", cell(0).cast("bigint").alias("doc_id"), F.sha2(cell(1), 256).alias("text_sha256"), F.size("cells").alias("width"), "unclosed")
+
+
 @query
 def raw_load_runs(spark, sf):
     return audit.run_states(raw_loaded(spark, sf).run_events).select(
@@ -746,12 +759,11 @@ def timesheet_facts(spark, sf):
     """Work, absence and exam facts out of rendered files, as a store has taken them."""
     found = activity_tables(spark, sf).rows.withColumn("run_id", F.lit(1).cast("bigint"))
     parts = timesheets.activity_facts(found, views.dim_employee(spark, sf), views.dim_project(spark, sf))
-    store = loads.Store(spark, storage_folder(spark))
+    store = loads.Store(spark, storage_folder(spark), digits=1)
     number = store.begin()
     store.write_version("dim_employee", views.dim_employee(spark, sf), number)
     store.write_version("dim_project", views.dim_project(spark, sf), number)
-    for part, rows in parts.items():
-        batch.add_facts(store, rows, number, part)
+    batch.add_facts(store, reduce(DataFrame.unionByName, parts.values()), number, "timesheets")
     store.commit(number)
     stored = store.rows("fact_employee_activity", schemas.TARGET["fact_employee_activity"])
     return _shown(stored, "activity_key", "training_key", "load_timestamp", "etl_run_id")
