@@ -39,7 +39,10 @@ def calendar(spark: SparkSession, start: str = CALENDAR_START, end: str = CALEND
 
 
 def activity_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ACTIVITY_TYPES, schemas.TARGET["dim_activity_type"])
+    """The seed rows as an expression, of which Spark knows that it is small."""
+    names = schemas.TARGET["dim_activity_type"].names
+    rows = [F.struct(*(F.lit(value).alias(name) for name, value in zip(names, row))) for row in ACTIVITY_TYPES]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def unknown_employee(spark: SparkSession) -> DataFrame:

@@ -1,8 +1,7 @@
 """Reports and reconciliations over the star schema.
 
-Only the calendar (4,018 rows) and the activity types (4 rows) are broadcast by hint: both are
-fixed in size. Employees, projects and trainings grow with the data, so those joins carry no hint:
-Spark broadcasts them when their measured size is small and otherwise shuffles, splitting hot keys
+No join carries a hint: Spark broadcasts a side when its measured size is small, as that of the calendar and the
+activity types, and otherwise shuffles, splitting hot keys
 at run time. Facts are aggregated before such a join where the report allows it.
 """
 
@@ -21,7 +20,7 @@ SALTS = 64
 
 def _dated(fact: DataFrame, dim_date: DataFrame, dim_activity_type: DataFrame) -> DataFrame:
     """Facts with their calendar day and activity type; facts without either drop out."""
-    return fact.join(F.broadcast(dim_date), "date_key").join(F.broadcast(dim_activity_type), "activity_type_key")
+    return fact.join(dim_date, "date_key").join(dim_activity_type, "activity_type_key")
 
 
 def daily_activity(
@@ -36,8 +35,7 @@ def daily_activity(
     that_day = fact.where(F.col("date_key") == F.date_format(date, "yyyyMMdd").cast("int"))
     return (
         _dated(that_day, dates, dim_activity_type)
-        # employee_id is unique, so this side holds at most one row.
-        .join(F.broadcast(employee), "employee_key")
+        .join(employee, "employee_key")
         .join(dim_project, "project_key", "left")
         .join(dim_training, "training_key", "left")
         .select(
@@ -170,7 +168,7 @@ def source_target_counts(
     is the grain of the training facts. Source and target then agree when the load is complete.
     """
     training = dim_activity_type.where(F.col("activity_code") == "TRAINING").select("activity_type_key")
-    target = fact.join(F.broadcast(training), "activity_type_key", "left_semi").agg(F.count(F.lit(1)).alias("n"))
+    target = fact.join(training, "activity_type_key", "left_semi").agg(F.count(F.lit(1)).alias("n"))
     invalid = F.col("validation_status") == "INVALID"
     staged = participants.agg(
         F.count(F.lit(1)).alias("all"), F.count_if(invalid).alias("invalid"), F.count_if(~invalid).alias("valid")
