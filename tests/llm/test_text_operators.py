@@ -122,7 +122,7 @@ def test_pages_of_one_template_below_the_threshold_make_few_pairs(spark, make_do
     """Pages that share a template and, in pairs of neighbours, more: only the neighbours are compared, and linked."""
     template = [f"t{k}" for k in range(240)]
     rows = []
-    for k in range(3000):
+    for k in range(1200):
         own = [f"p{k}w{j}" for j in range(70)] if k % 100 else [f"q{k // 200}w{j}" for j in range(70)]
         rows.append((k, " ".join(template + [f"pool{(k * j) % 211}x{j % 3}" for j in range(8)] + own)))
     seen = []
