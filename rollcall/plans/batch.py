@@ -13,8 +13,8 @@ from rollcall.operators.loads import Highest, Store
 from rollcall.operators.ranking import number_by_hash
 from rollcall.plans import constraints, quality, reports
 from rollcall.sources import master
-from rollcall.sources.files import FILE_COLUMNS, describe_files, describe_paths, empty_files, plain_name, read_file_records, require_files
-from rollcall.sources.meetings import Meetings, parse_meetings
+from rollcall.sources.files import FILE_COLUMNS, describe_files, describe_paths, empty_files, plain_name, require_files
+from rollcall.sources.meetings import Meetings, parse_files
 from rollcall.storage import job, land
 
 RAW, STAGING, TARGET, CONTROL = schemas.SOURCES, schemas.STAGING, schemas.TARGET, schemas.CONTROL
@@ -50,7 +50,7 @@ def _load_folder(spark: SparkSession, directory: str | list[str], store: Store,
     unread = same.withColumn("file_name", F.substring_index("path", "/", -1)).select(
         "path", plain_name("file_name").alias("file_name"), "length", "source_file_hash", *(F.lit(None).cast("string").alias(c) for c in ("encoding", "delimiter", "error"))
     )
-    meetings = parse_meetings(fresh.select(*FILE_COLUMNS), read_file_records(raw, fresh))
+    meetings = parse_files(fresh, raw)
     whole = replace(meetings, files=meetings.files.unionByName(again).unionByName(unread))
     return load_meetings(whole, store, people, listed.join(files.select("path", "source_file_hash"), "path"))
 
