@@ -255,6 +255,16 @@ def test_fingerprints_are_fewer_than_windows_and_cover_each_of_them(make_docs):
         assert all(any(s <= p < s + 8 for p in places) for s in range(53))
 
 
+def test_production_matches_by_thinned_fingerprints_and_checks_the_rest(make_docs):
+    copied = "\n".join(f"l{k}" for k in range(60))
+    docs = make_docs([(1, copied, "a"), (2, f"own\n\n{copied}", "a"), (3, "other\nl7\nmore", "a")])
+    assert lines.fingerprints(docs).count() < 0.6 * 124  # not every line is one
+    matched = lines._matched(docs, lines.WINDOW).select("doc_id", "at").distinct().collect()
+    assert sorted(map(tuple, matched)) == [(2, at) for at in range(2, 62)]
+    alone = lines._later_alone(docs, lines._matched(docs, lines.WINDOW)).select("doc_id", "at").collect()
+    assert list(map(tuple, alone)) == [(3, 1)]
+
+
 def test_a_text_of_very_many_lines(make_docs):
     """Every third line goes; twice the lines take about twice the time."""
     took = {}
