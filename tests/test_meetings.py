@@ -8,7 +8,8 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.sources.files import read_files, whole_lines
+from rollcall.functions.text import normalise_label
+from rollcall.sources.files import decode, read_files, whole_lines
 from rollcall.sources.meetings import fixed_offset, read_meetings
 from rollcall.sources.records import number_records, read_records, split_cells
 
@@ -247,3 +248,13 @@ def test_fixed_offset_reads_past_the_table(spark, tmp_path):
     rows = fixed_offset(read_records(lines), ["Name", "Email"]).orderBy("row_number").collect()
     assert rows[0].name == "Ann Example" and rows[0].email == "Ann@Example.com"
     assert [r.name for r in rows[1:3]] == ["3. In-Meeting Activities", "Name"]
+
+
+def test_characters_are_replaced_without_a_letter_map(spark):
+    """Letter by letter replacement takes a large part of the time in which lines become rows."""
+    frame = spark.createDataFrame([("a\u0000b,c", "xé\u0080".encode("latin-1")), ("\u0000", b"plain")], "t string, raw binary")
+    cells = frame.select(split_cells(F.col("t"), F.lit(",")).alias("cells"), normalise_label("t").alias("label"))
+    assert [(r["cells"], r["label"]) for r in cells.collect()] == [(["ab", "c"], "ab c"), ([], "")]
+    assert "translate(t" not in cells._jdf.queryExecution().toString()
+    letters = frame.select(decode(F.col("raw"), F.lit("cp1252")).alias("text"))
+    assert [r["text"] for r in letters.collect()] == ["xé€", "plain"]
