@@ -29,7 +29,11 @@ def timestamp_of(parts) -> Column:
     Two-digit years 00-49 are in the 2000s and 50-99 in the 1900s. The timestamp is made from its
     fields, so the session time zone and its gaps have no part in it.
     """
-    parts = col(parts)
+    # As a variable the parts are made once, also where the timestamp is part of a filter.
+    return F.get(F.transform(F.array(col(parts)), _made_of), 0)
+
+
+def _made_of(parts: Column) -> Column:
     # All parts are digits or missing, so no cast fails; a failing try_cast is slow. Missing
     # seconds are an empty part, read as 0.
     number = lambda i: F.get(parts, i).cast("int")
@@ -59,12 +63,15 @@ def with_timestamps(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def parse_duration(c) -> Column:
     """``1h 2m 3s`` to seconds. Blank is null; text without any such number is 0."""
-    text = F.lower(blank_to_null(c))
+    # As a variable the text is made once, also where the duration is part of a filter.
+    return F.get(F.transform(F.array(F.lower(F.trim(col(c)))), _seconds), 0)
+
 
+def _seconds(text: Column) -> Column:
     def amount(unit: str) -> Column:
         # The leading zero reads a missing number as 0; a number that is too long becomes null.
         return F.concat(F.lit("0"), F.regexp_extract(text, rf"([0-9]+)\s*{unit}", 1)).try_cast("bigint")
 
     hours = F.try_multiply(amount("h"), F.lit(3600).cast("bigint"))
     minutes = F.try_multiply(amount("m"), F.lit(60).cast("bigint"))
-    return F.try_add(F.try_add(hours, minutes), amount("s"))
+    return F.when(text != "", F.try_add(F.try_add(hours, minutes), amount("s")))
