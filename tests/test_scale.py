@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 
 from checks import views
 from rollcall.functions.clock import parse_duration, with_timestamps
+from rollcall.sources import files, meetings
+from rollcall.storage import job, land_dealt
+from tests.test_meetings import export
 
 
 def optimized(df) -> str:
@@ -42,6 +45,36 @@ def test_numbered_rows_are_made_once(spark):
     assert plan.count("Exchange hashpartitioning(g#") - plan.count("ReusedExchange") <= 4 and "ReusedExchange" in plan
 
 
+def test_dealt_lines_are_not_moved_again(spark, tmp_path):
+    """Once dealt by file, lines meet the facts of their file and fold their digests where they are."""
+    for k in range(3):
+        (tmp_path / f"Meeting{k}.csv").write_bytes(export()[0])
+    found, raw = files.describe_files(spark, str(tmp_path), "Meeting*.csv")
+    rows = files.records_by_line(raw, found.select("path", "encoding", "delimiter", "last_line"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "Bucketed: true" in plan
+    leaves = raw.groupBy("path", "file_name", "length", files.LINE_BLOCK).agg(F.collect_list("line_number"))
+    assert "Exchange" not in leaves._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sessions_cut_no_rows(spark, tmp_path):
+    (tmp_path / "Meeting1.csv").write_bytes(export()[0])
+    parsed = meetings.read_meetings(spark, str(tmp_path))
+    assert parsed.sessions.count() == 1 and not parsed.rows[0]._landed
+    assert parsed.participants.count() > 0 and set(parsed.rows[0]._landed) == {(1,)}
+    alone = meetings.read_meetings(spark, str(tmp_path))
+    assert alone.rejects.count() == 0 and set(alone.rows[0]._landed) == {(1, 2)}
+    assert alone.participants.count() == parsed.participants.count() and set(alone.rows[0]._landed) == {(1, 2)}
+
+
+def test_tables_dealt_in_a_job_go_with_it(spark):
+    with job(spark):
+        dealt = land_dealt(spark.range(10).withColumn("v", F.col("id") * 2), "numbers", ["id"], 3)
+        assert {(r.id, r.v) for r in dealt.collect()} == {(k, 2 * k) for k in range(10)}
+        (name,) = [t.name for t in spark.catalog.listTables() if t.name.startswith("rollcall_numbers")]
+    assert not spark.catalog.tableExists(name)
+
+
 def _merged_plan(spark, make) -> str:
     """The final plan of a frame that has run without broadcasts."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
