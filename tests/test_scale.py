@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks import views
 from rollcall.functions.clock import parse_duration, with_timestamps
 from rollcall.sources import files, meetings
+from rollcall.sources.records import all_quoted, leaves_open, split_cells
 from rollcall.storage import job, land_dealt
 from tests.test_meetings import export
 
@@ -75,6 +76,17 @@ def test_tables_dealt_in_a_job_go_with_it(spark):
     assert not spark.catalog.tableExists(name)
 
 
+def test_quoted_records(spark):
+    lines = ['"a";"b"', '"a";"b;c"', '"', '""', '"";""', '"a"x;"b"', '"";";""', 'x"y;"z', '"a;b', 'a;"b""c";d', '"a";"b"\r', 'a"', '"a";b', '"a"";""b"', "", "a;b"]
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select(
+        "line", all_quoted(F.col("line"), F.lit(";")).alias("quoted"), leaves_open(F.col("line"), F.lit(";")).alias("opens"), split_cells(F.col("line"), F.lit(";")).alias("cells")
+    ).collect()
+    assert {r.line for r in got if r.quoted} == {'"a";"b"', '"a";"b;c"', '""', '"";""'}
+    assert {r.line for r in got if r.opens} == {'"', 'x"y;"z', '"a;b', '"";";""'}
+    cells = {r.line: r.cells for r in got}
+    assert cells['"a";"b;c"'] == ["a", "b;c"] and cells['"";""'] == ["", ""] and cells['a;"b""c";d'] == ["a", 'b"c', "d"] and cells['"a"";""b"'] == ['a";"b']
+
+
 def _merged_plan(spark, make) -> str:
     """The final plan of a frame that has run without broadcasts."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
