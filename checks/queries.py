@@ -354,7 +354,7 @@ def stored_batches(spark, sf, batches: int = 2) -> loads.Store:
             again = rows.where(((F.col("batch") == 0) & (F.col("record_id") % 20 == 0)) | ((F.col("batch") == k) & (F.col("record_id") % 15 == 1)))
             own = own.unionByName(again.withColumn("run_id", F.lit(k + 1)))
         listed = people.join(own.select(F.lower(F.trim("email")).alias("employee_id")).distinct(), "employee_id", "left_semi")
-        batch.merge_employees(store, number, listed.withColumn("grade", F.concat(F.lit("Grade "), F.lit(str(number)))))
+        batch.merge_employees(store, number, land(listed.withColumn("grade", F.concat(F.lit("Grade "), F.lit(str(number)))), "listed"))
         batch.merge_projects(store, number, own.where("project_name IS NOT NULL").select("project_name"))
         target = schemas.TARGET
         employees, projects = (store.version(t, target[t], number) for t in ("dim_employee", "dim_project"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollcall import schemas
 from rollcall.operators import audit, dims
@@ -47,9 +47,9 @@ def repeated(facts: DataFrame, history: DataFrame) -> DataFrame:
     many rows share is one row; the rows of the run with the lowest number come first.
     """
     per_run = facts.groupBy(_digest().alias("fact_digest"), "etl_run_id").agg(F.count(F.lit(1)).alias("n"))
-    first = per_run.groupBy("fact_digest").agg(F.min(F.coalesce("etl_run_id", F.lit(0).cast("bigint"))).alias("first_run"))
+    first = F.min(F.coalesce("etl_run_id", F.lit(0).cast("bigint"))).over(Window.partitionBy("fact_digest"))
     stored = history.select("fact_digest").distinct().withColumn("stored", F.lit(True))
-    found = per_run.join(first, "fact_digest").join(stored, "fact_digest", "left")
+    found = per_run.withColumn("first_run", first).join(stored, "fact_digest", "left")
     own = F.when(F.col("stored").isNull() & F.col("first_run").eqNullSafe(F.coalesce("etl_run_id", F.lit(0).cast("bigint"))), 1).otherwise(0)
     return found.withColumn("copies", F.col("n") - own).where("copies > 0").select("fact_digest", "etl_run_id", "copies", "stored")
 
@@ -95,7 +95,8 @@ def checked_facts(store: Store, facts: DataFrame, batch: int, part: str) -> Chec
     if has_copies:
         stored = twice.where("stored").select("fact_digest").distinct()
         inside = twice.where("stored IS NULL").select("fact_digest").distinct()
-        digested = accepted.withColumn("fact_digest", _digest())
+        # A digest is never null; said here, both branches below use one exchange.
+        digested = accepted.withColumn("fact_digest", _digest()).where("fact_digest IS NOT NULL")
         alone = digested.join(twice.select("fact_digest").distinct(), "fact_digest", "left_anti")
         # One row of each key that the batch itself repeats: the first by run, then by its own columns.
         row = F.struct(F.coalesce("etl_run_id", F.lit(0).cast("bigint")).alias("_first"), *accepted.columns)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from checks import views
 from rollcall.functions.clock import parse_duration, with_timestamps
+from rollcall.plans import constraints
 from rollcall.sources import files, meetings
 from rollcall.sources.records import all_quoted, leaves_open, split_cells
 from rollcall.storage import job, land_dealt
@@ -96,3 +97,11 @@ def _merged_plan(spark, make) -> str:
         return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_copies_of_facts_are_counted_once(spark):
+    rows = [("s", "a", 1, 1), ("s", "a", 1, 2), ("s", "a", 1, 2), ("s", "b", 1, None), ("s", "b", 1, 1), ("s", "c", 1, 1)]
+    facts = spark.createDataFrame(rows, "source_system string, source_record_id string, activity_type_key int, etl_run_id long")
+    found = constraints.repeated(facts, constraints.digests(facts.where("source_record_id = 'c'"), 1))
+    assert optimized(found).count("count(1)") == 1
+    assert sorted((r.etl_run_id or 0, r.copies, r.stored) for r in found.collect()) == [(1, 1, None), (1, 1, True), (2, 2, None)]
