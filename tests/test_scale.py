@@ -39,10 +39,10 @@ def test_activities_are_shuffled_once_by_order(spark, tmp_path):
 
 
 def test_numbered_rows_are_made_once(spark):
-    rows = spark.createDataFrame([("a", 5, "x"), ("a", 25, "y"), ("b", 7, "z"), ("a", 1, "w")], "g string, k long, v string")
-    facts = spark.createDataFrame([("a", 10), ("b", 20)], "g string, n int")
+    rows = spark.createDataFrame([("a", 5, "x"), ("a", 25, "y"), ("b", 7, "z"), ("a", 1, "w"), ("c", None, "n"), ("c", 3, "m")], "g string, k long, v string")
+    facts = spark.createDataFrame([("a", 10), ("b", 20), ("c", 30)], "g string, n int")
     numbered = views.number_within(rows, ["g"], "k", "position", 10, facts)
-    assert {tuple(r) for r in numbered.select("v", "position", "n").collect()} == {("w", 1, 10), ("x", 2, 10), ("y", 3, 10), ("z", 1, 20)}
+    assert {tuple(r) for r in numbered.select("v", "position", "n").collect()} == {("w", 1, 10), ("x", 2, 10), ("y", 3, 10), ("z", 1, 20), ("m", 2, 30)}
     plan = _merged_plan(spark, lambda: views.number_within(rows, ["g"], "k", "position", 10, facts))
     assert plan.count("Exchange hashpartitioning(g#") - plan.count("ReusedExchange") <= 4 and "ReusedExchange" in plan
 
@@ -104,4 +104,4 @@ def test_copies_of_facts_are_counted_once(spark):
     facts = spark.createDataFrame(rows, "source_system string, source_record_id string, activity_type_key int, etl_run_id long")
     found = constraints.repeated(facts, constraints.digests(facts.where("source_record_id = 'c'"), 1))
     assert optimized(found).count("count(1)") == 1
-    assert sorted((r.etl_run_id or 0, r.copies, r.stored) for r in found.collect()) == [(1, 1, None), (1, 1, True), (2, 2, None)]
+    assert sorted((r.etl_run_id or 0, r.copies, bool(r.stored)) for r in found.collect()) == [(1, 1, False), (1, 1, True), (2, 2, False)]
