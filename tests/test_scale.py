@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks import views
+from rollcall.functions import text
 from rollcall.functions.clock import parse_duration, with_timestamps
 from rollcall.plans import constraints
 from rollcall.sources import files, meetings
@@ -105,3 +106,34 @@ def test_copies_of_facts_are_counted_once(spark):
     found = constraints.repeated(facts, constraints.digests(facts.where("source_record_id = 'c'"), 1))
     assert optimized(found).count("count(1)") == 1
     assert sorted((r.etl_run_id or 0, r.copies, bool(r.stored)) for r in found.collect()) == [(1, 1, False), (1, 1, True), (2, 2, False)]
+
+
+def test_lines_are_looked_at_once_for_labels(spark):
+    """What the words are looked for in stands in no filter, where it would be made again for every word."""
+    texts = ["Name;Role", "NAÏME", "Pér TITLE", "plain", "tıtle", "ſummary", "x\x00y", ""]
+    rows = [(n, bytearray(t.encode(e, "ignore"))) for n, (t, e) in enumerate((t, e) for t in texts for e in ("utf-8", "cp1252", "utf-16-le", "utf-16-be"))]
+    raw = spark.createDataFrame(rows, "n int, raw binary")
+    words = ("title", "name", "role", "summary")
+    found = text.label_lines(raw, words)
+    assert found.columns == ["n", "raw"] and optimized(found).count("lower(") == 1
+    kept = {r.n for r in found.collect()}
+    assert kept == {r.n for r in raw.where(text.label_bytes(F.col("raw"), words)).collect()}
+    assert {0, 1, 2, 3, 8, 9, 10, 11, 20, 22, 23} <= kept and not kept & {12, 13, 14, 15, 24, 25, 26, 27, 28, 29, 30, 31}
+
+
+def test_table_rows_are_cut_without_a_filter_on_their_cells(spark, tmp_path):
+    (tmp_path / "Meeting1.csv").write_bytes(export()[0])
+    parsed = meetings.read_meetings(spark, str(tmp_path))
+    cut = optimized(parsed.rows[0]._make((1, 2)))
+    assert not [line for line in cut.splitlines() if "Filter" in line and "split(" in line]
+
+
+def test_facts_of_lines_by_their_bytes(spark):
+    lines = [b"a;b", b"a|b\r", b"a\rb", "é;\x81".encode("latin-1"), "é".encode(), b"\r", b"", "a\tb\r".encode("utf-16-le"), "䉁\td".encode("utf-16-le"), b"\x00\xd8a\x00", b"a\x00b"]
+    wide = [None] * 7 + ["FFFE"] * 4
+    rows = [(f"f{n}", f"f{n}", len(b), 1, bytearray(b), w) for n, (b, w) in enumerate(zip(lines, wide))]
+    raw = spark.createDataFrame(rows, "path string, file_name string, length long, line_number long, raw binary, wide string")
+    seen = {int(r.path[1:]): r for r in files._with_text(raw).select("path", "well_formed", "text", files.has_undefined_byte(F.col("raw")).alias("undefined")).collect()}
+    assert [seen[n].text for n in range(9)] == ["a;b", "a|b\r", "a\rb", "é;\x81", "Ã©", "\r", "", "a\tb\r", "\td"]
+    assert [n for n in seen if not seen[n].well_formed] == [9, 10] and [n for n in seen if seen[n].undefined] == [3]
+    assert {int(r.path[1:]) for r in files.describe_byte_lines(raw).where("bare_cr").collect()} == {2}
