@@ -14,7 +14,7 @@ from rollcall.operators.ranking import number_by_hash
 from rollcall.plans import constraints, quality, reports
 from rollcall.sources import master
 from rollcall.sources.files import FILE_COLUMNS, describe_files, describe_paths, empty_files, plain_name, require_files
-from rollcall.sources.meetings import Meetings, parse_files
+from rollcall.sources.meetings import LABEL_WORDS, Meetings, parse_files
 from rollcall.storage import job, land
 
 RAW, STAGING, TARGET, CONTROL = schemas.SOURCES, schemas.STAGING, schemas.TARGET, schemas.CONTROL
@@ -58,9 +58,9 @@ def _load_folder(spark: SparkSession, directory: str | list[str], store: Store,
 def _describe(spark: SparkSession, directory: str | list[str], changed: list[str], same: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``describe_files`` of the files that have changed, and of empty ones. ``changed`` are their locations, if they are few."""
     if len(changed) > MOST_PATHS:
-        files, raw = describe_files(spark, directory, MEETING_GLOB)
+        files, raw = describe_files(spark, directory, MEETING_GLOB, LABEL_WORDS)
         return files.join(same, "path", "left_anti"), raw.join(same, "path", "left_anti")
-    return describe_paths(spark, changed, empty_files(spark, directory, MEETING_GLOB), MEETING_GLOB)
+    return describe_paths(spark, changed, empty_files(spark, directory, MEETING_GLOB), MEETING_GLOB, LABEL_WORDS)
 
 
 def load_meetings(meetings: Meetings, store: Store, people: list[DataFrame] | None = None, seen: DataFrame | None = None) -> int:

@@ -7,7 +7,7 @@ from rollcall.functions import text
 from rollcall.functions.clock import parse_duration, with_timestamps
 from rollcall.plans import constraints
 from rollcall.sources import files, meetings
-from rollcall.sources.records import all_quoted, leaves_open, split_cells
+from rollcall.sources.records import _ended, all_quoted, leaves_open, split_cells
 from rollcall.storage import job, land_dealt
 from tests.test_meetings import export
 
@@ -137,3 +137,68 @@ def test_facts_of_lines_by_their_bytes(spark):
     assert [seen[n].text for n in range(9)] == ["a;b", "a|b\r", "a\rb", "é;\x81", "Ã©", "\r", "", "a\tb\r", "\td"]
     assert [n for n in seen if not seen[n].well_formed] == [9, 10] and [n for n in seen if seen[n].undefined] == [3]
     assert {int(r.path[1:]) for r in files.describe_byte_lines(raw).where("bare_cr").collect()} == {2}
+
+
+FACTS = {
+    b"a;b": {"open", "utf8"}, b"a|b\r": {"open", "utf8"}, b"a\rb": {"bare_cr", "utf8"}, b"a\r\r": {"bare_cr", "utf8"}, b"\r": {"utf8"}, b"": {"utf8"}, b'x"\ty': {"quoted", "tab", "utf8"},
+    "é;\x81".encode("latin-1"): {"open", "undefined"}, "é\r".encode(): {"utf8"}, "\ré".encode(): {"bare_cr", "utf8"},
+}
+
+
+def _with_facts(spark, rows, words=()):
+    """Lines (bytes, wide) with their facts, by number."""
+    made = [(f"f{n}", f"f{n}", len(b), 1, bytearray(b), wide) for n, (b, wide) in enumerate(rows)]
+    raw = spark.createDataFrame(made, "path string, file_name string, length long, line_number long, raw binary, wide string")
+    return {int(r.path[1:]): r for r in files.with_line_facts(raw, words).collect()}
+
+
+def test_facts_of_lines(spark):
+    seen = _with_facts(spark, [(b, None) for b in FACTS])
+    told = ("utf8", "undefined", "tab", "open", "bare_cr", "quoted")
+    assert [{name for name in told if seen[n][name]} for n in range(len(FACTS))] == list(FACTS.values())
+    assert [n for n in seen if not seen[n].ascii] == [7, 8, 9] and all(r.well_formed for r in seen.values())
+    wide = _with_facts(spark, [('"Pér\t\r'.encode("utf-16-le"), "FFFE"), ("䉁;\rx".encode("utf-16-be"), "FEFF"), (b"\x00\xd8a\x00", "FFFE"), ("a|".encode("utf-16-le"), "FFFE")])
+    assert [{name for name in told[2:] if wide[n][name]} for n in (0, 1, 3)] == [{"tab", "quoted"}, {"open", "bare_cr"}, {"open"}]
+    assert [n for n in wide if not wide[n].well_formed] == [2]
+
+
+def test_lines_marked_for_labels(spark):
+    """Lines are marked as ``label_bytes`` tells it, out of their text."""
+    texts = ["Name;Role", "NAÏME", "Pér TITLE", "plain", "tıtle", "ſummary", "na\ufeffme é", "x\x00y", "ti\x00tle", "e\u017f", "", "Pér 5"]
+    rows = [(t.encode(e, "ignore"), w) for t in texts for e, w in (("utf-8", None), ("cp1252", None), ("utf-16-le", "FFFE"), ("utf-16-be", "FEFF"))]
+    words = ("title", "name", "role", "summary")
+    marked = {n for n, r in _with_facts(spark, rows, words).items() if r.named}
+    told = spark.createDataFrame([(n, bytearray(b)) for n, (b, _) in enumerate(rows)], "n int, b binary").where(text.label_bytes(F.col("b"), words))
+    told = {r.n for r in told.collect()}
+    # Bytes alone may look like a letter they are not; a line that holds a label is marked by both.
+    sure = {4 * k + j for k in (0, 2, 5, 6, 8) for j in range(4)} - {21, 25}  # windows-1252 has neither the long s nor the mark
+    assert sure <= marked <= told and not marked & {4 * k + j for k in (3, 7, 10, 11) for j in range(4)}
+
+
+def test_landed_facts_are_not_looked_for_again(spark, tmp_path):
+    """Lines marked where they were landed are neither put into lower case nor searched for labels, and open quotes are found on the way."""
+    (tmp_path / "Meeting1.csv").write_bytes(export()[0])
+    (tmp_path / "Meeting2.csv").write_bytes(export(people=[["Line\nBreak", "a", "", "1h", "", "P1", ""]], encoding="utf-16")[0])
+    found, raw = files.describe_files(spark, str(tmp_path), "Meeting*.csv", meetings.LABEL_WORDS)
+    assert {*files.LINE_FACTS, files.NAMED} <= set(raw.columns)
+    telling = files.telling_records(raw, files.read_by_line(found).select("path", "encoding", "delimiter", "last_line"))
+    assert "lower(" not in optimized(telling) and optimized(telling).count("Join") == 1
+    assert {r.path.rsplit("/", 1)[-1] for r in telling.where("opens").collect()} == {"Meeting2.csv"}
+    alone = files.with_line_facts(raw.drop(*files.LINE_FACTS, files.NAMED, "line_block"))
+    assert sorted(files.describe_byte_lines(alone).collect()) == sorted(files.describe_byte_lines(raw).collect()) == sorted(found.collect())
+
+
+def test_line_ends_are_cut_by_bytes(spark):
+    lines = ["a\r", "a\r\r", "é\r", "\r", "", "a", "\ra", None]
+    got = spark.createDataFrame([(n, x) for n, x in enumerate(lines)], "n int, line string").select("n", _ended(F.col("line")).alias("cut"))
+    assert [r.cut for r in got.orderBy("n").collect()] == ["a", "a", "é", "", "", "a", "\ra", None]
+
+
+def test_patterns_are_known_beforehand(spark):
+    """A pattern that follows the delimiter of a row would be compiled again for every file."""
+    rows = [("a,\"b", ","), ("a;\"b", ","), ("a;\"b", ";"), ("a\t\"b", "\t"), ("a|\"b", "|"), ("a/\"b", "/"), ('a,"b;"",c",d', ","), ('a/"b/c"/d', "/")]
+    frame = spark.createDataFrame(rows, "line string, d string")
+    cut = frame.select(leaves_open(F.col("line"), F.col("d")).alias("opens"), split_cells(F.col("line"), F.col("d")).alias("cells"))
+    assert [r.opens for r in cut.collect()] == [True, False, True, True, True, True, False, False]
+    assert [r.cells for r in cut.collect()][-2:] == [["a", 'b;",c', "d"], ["a", "b/c", "d"]]
+    assert optimized(cut).count("RLIKE") + optimized(cut).count("rlike") >= 5
